@@ -1,4 +1,4 @@
 """All registered queries, imported for their side effect of registering."""
 
 from .registry import CHECKS, QUERIES  # noqa: F401
-from . import inputs, projects, filters  # noqa: F401
+from . import inputs, projects, filters, strings  # noqa: F401

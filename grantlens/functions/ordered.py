@@ -105,12 +105,12 @@ STEPS = 200  # bounds the rows of every unpartitioned window and broadcast below
 
 
 def running_number(df: DataFrame, key: str, amount: Column, name: str, steps: int = STEPS) -> DataFrame:
-    """Running total of `amount` over the groups in the order of the numeric `key`.
+    """Running total over the groups in the order of the numeric `key`; `amount` is an aggregate.
 
-    Amounts are summed per key, keys are put into at most `steps + 1` ranges by approximate
-    quantiles, and only the totals of the ranges are added up in one place.
+    Groups are reduced to one row per key, keys are put into at most `steps` ranges by
+    approximate quantiles, and only the totals of the ranges are added up in one place.
     """
-    per_key = df.groupBy(F.col(key).alias("_k")).agg(F.sum(amount).alias("_n"))
+    per_key = df.groupBy(F.col(key).alias("_k")).agg(amount.alias("_n"))
     cuts = per_key.agg(F.percentile_approx("_k", [i / steps for i in range(1, steps)], 10 * steps)).scalar()
     ranged = (per_key.withColumn("_cuts", cuts)
               .withColumn("_step", F.size(F.filter("_cuts", lambda c: c < F.col("_k"))))
@@ -120,7 +120,7 @@ def running_number(df: DataFrame, key: str, amount: Column, name: str, steps: in
     totals = totals.select("_step", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_step").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     numbered = (ranged.withColumn("_run", F.sum("_n").over(inside))
-                .join(F.broadcast(totals), "_step")  # at most steps + 1 rows
+                .join(F.broadcast(totals), "_step")  # at most `steps` rows
                 .select("_k", (F.col("_before") + F.col("_run")).alias(name)))
     return df.join(numbered, df[key] == numbered["_k"]).drop("_k")
 
