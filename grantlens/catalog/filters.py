@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import criteria
 from ..operators import children
 from ..sources import sinks
+from ..plans import stages
 from .registry import query
 
 SPECS = {"pgm_ele_code": "'1-URGENT', \"2-HIGH\",3-MEDIUM", "natr_rqst_code": "~BUILDING", "org_code": "1[0-3]%",
@@ -52,19 +53,10 @@ def flt_attr_other(e):
 
 @query("flt_date_range", """SELECT prop_id, nsf_rcvd_date FROM v_prop WHERE nsf_rcvd_date >= TIMESTAMP '1996-02-01' AND nsf_rcvd_date <= TIMESTAMP '1999-06-30' AND dd_rcom_date <= TIMESTAMP '1999-07-15'""")
 def flt_date_range(e):
-    return (date_range(date_range(e.prop, "nsf_rcvd_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
+    return (stages.date_range(stages.date_range(e.prop, "nsf_rcvd_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
             .select("prop_id", "nsf_rcvd_date"))
 
 
-def date_range(df: DataFrame, col: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Both ends are included and optional; the bounds are literals, so they reach the scan."""
-    if start:
-        df = df.filter(F.col(col) >= F.lit(start).cast("timestamp_ntz"))
-    if end:
-        df = df.filter(F.col(col) <= F.lit(end).cast("timestamp_ntz"))
-    return df
-
-
 @query("flt_date_day_inclusive", """SELECT prop_id, nsf_rcvd_date FROM v_prop WHERE nsf_rcvd_date BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-07-01'""")
 def flt_date_day_inclusive(e):
     end = F.lit("1998-06-30").cast("timestamp_ntz") + F.make_dt_interval(F.lit(1))

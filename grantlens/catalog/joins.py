@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..functions.ordered import cumulative, slots
 from ..operators import awards, panels, people, selection, splits
+from ..plans import stages
 from .registry import query
-from .windows import AWARD_WINDOW, MATCH, NAMED, PATTERNS, id_step, investigators, patterns
+from .windows import MATCH, NAMED, PATTERNS, id_step, patterns
 
 
 @query("jn_inner_dims", """
@@ -28,15 +29,6 @@ def jn_left(e):
     return e.revr.join(right, "inst_id", "left").select("revr_id", "revr_last_name", "inst_shrt_name")
 
 
-def panel_rows(e):
-    """Proposal on panel with begin date, and what the panel said where it said something."""
-    said = e.rec.select("panl_id", "prop_id", "rcom_seq_num", "prop_ordr")
-    names = panels.recommendation_names(e.rec)
-    return (e.panl_prop.join(e.panl.select("panl_id", "panl_bgn_date"), "panl_id")
-            .join(said, ["panl_id", "prop_id"], "left")
-            .join(names, ["panl_id", "rcom_seq_num"], "left"))
-
-
 PANEL_ROWS = """pw AS (SELECT pp.prop_id, pp.panl_id, v.panl_bgn_date, r.rcom_seq_num, d.rcom_abbr, r.prop_ordr FROM v_panl_prop pp JOIN v_panl v ON v.panl_id = pp.panl_id
   LEFT JOIN v_rec r ON r.panl_id = pp.panl_id AND r.prop_id = pp.prop_id
   LEFT JOIN (SELECT DISTINCT panl_id, rcom_seq_num, rcom_abbr FROM v_rec) d ON d.panl_id = r.panl_id AND d.rcom_seq_num = r.rcom_seq_num)"""
@@ -44,7 +36,7 @@ PANEL_ROWS = """pw AS (SELECT pp.prop_id, pp.panl_id, v.panl_bgn_date, r.rcom_se
 
 @query("jn_legacy_outer", f"WITH {PANEL_ROWS} SELECT * FROM pw")
 def jn_legacy_outer(e):
-    return panel_rows(e)
+    return stages.panel_rows(e)
 
 
 @query("jn_composite", """
@@ -63,7 +55,7 @@ def jn_computed_key(e):
 @query("jn_name_triple", f"WITH {NAMED} SELECT prop_id, last_name, frst_name, inst_shrt_name FROM sr")
 def jn_name_triple(e):
     new = people.candidates(e.senior, selection.with_project(e.prop), e.inst)
-    return new.join(investigators(e).select(*people.NAME), people.NAME, "left_anti").select(*people.NAME)
+    return new.join(stages.investigators(e).select(*people.NAME), people.NAME, "left_anti").select(*people.NAME)
 
 
 LAST_AWARD = """aw AS (SELECT pi_id, count(*) AS "NumAwd", max(strftime(awd_eff_date, '%Y.%m.%d') || ' ' || awd_id || '.' || proj_role_code) AS l FROM v_awd_pi
@@ -75,7 +67,7 @@ am AS (SELECT CAST(prop_id AS STRING) AS awd_id, CAST(round(sum(budg_splt_tot_do
 FROM aw JOIN am ON am.awd_id = split_part(substr(aw.l, 12), '.', 1)""")
 def jn_substring_key(e):
     """The latest award travels as a struct: no key is cut out of a text."""
-    start, end = (F.lit(d).cast("timestamp_ntz") for d in AWARD_WINDOW)
+    start, end = (F.lit(d).cast("timestamp_ntz") for d in stages.AWARD_WINDOW)
     latest = e.awd_pi.filter(F.col("awd_eff_date").between(start, end)).groupBy("pi_id").agg(
         F.max(F.struct("awd_eff_date", F.col("awd_id").cast("string"), "proj_role_code", F.col("awd_id").alias("id")))["id"].alias("awd_id"))
     return latest.join(awards.award_amounts(e.splt), "awd_id").withColumn("awd_amt", F.round("awd_amt", 2))
@@ -105,22 +97,11 @@ def jn_anti_double(e):
             .join(e.prop.filter("prop_stts_code = 'F'").select(F.col("pi_id").alias("id")), "id", "left_anti"))
 
 
-AS_OF = "2009-02-20"
-
-
-def new_institutions(prop, awd, as_of=AS_OF, months=58, status="P"):
-    """Institutions of pending proposals without an award that ran within the last months."""
-    cutoff = F.add_months(F.lit(as_of).cast("date"), -months).cast("timestamp_ntz")
-    recent = awd.filter(F.col("awd_exp_date") >= cutoff).select("inst_id")
-    pending = prop.filter(F.col("prop_stts_code") == status).select("inst_id").distinct()
-    return pending.join(recent, "inst_id", "left_anti")
-
-
 @query("jn_anti_range", """
 SELECT DISTINCT p.inst_id FROM v_prop p WHERE p.prop_stts_code = 'P'
 AND NOT EXISTS (SELECT 1 FROM v_awd a WHERE a.inst_id = p.inst_id AND a.awd_exp_date >= DATE '2009-02-20' - INTERVAL 58 MONTH)""")
 def jn_anti_range(e):
-    return new_institutions(e.prop, e.awd)
+    return stages.new_institutions(e.prop, e.awd)
 
 
 @query("jn_self_rank", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..functions import criteria
 from ..operators import pivots, selection
-from .projects import base
+from ..plans import stages
 from .registry import query
 
 STATUS = ("F", "O", "P")
@@ -36,16 +36,16 @@ _ACROSS = ", ".join(f"count(CASE WHEN prop_stts_code = '{s}' THEN 1 END) AS \"st
 
 @query("pvt_count_2d", f"WITH {_BASE} " + _rollup(['"Dir"', '"Div"', "pgm"], _ACROSS, "bs"))
 def pvt_count_2d(e):
-    return pivots.across(base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"], "prop_stts_code", STATUS, "st_")
+    return pivots.across(stages.base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"], "prop_stts_code", STATUS, "st_")
 
 
-_MONEY = "round(min(rqst_dol), 2) AS min_dol, round(avg(rqst_dol), 4) AS avg_dol, round(max(rqst_dol), 2) AS max_dol"
+_MONEY = "round(min(rqst_dol), 2) AS min_dol, round(avg(rqst_dol) + 1e-7, 4) AS avg_dol, round(max(rqst_dol), 2) AS max_dol"
 
 
 @query("pvt_minavgmax", f"WITH {_BASE} " + _rollup(['"Dir"', '"Div"', "pgm"], _MONEY, "bs"))
 def pvt_minavgmax(e):
-    return pivots.totalled(base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"],
-                           F.round(F.min("rqst_dol"), 2).alias("min_dol"), F.round(F.avg("rqst_dol"), 4).alias("avg_dol"),
+    return pivots.totalled(stages.base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"],
+                           F.round(F.min("rqst_dol"), 2).alias("min_dol"), c.rounded(F.avg("rqst_dol"), 4).alias("avg_dol"),
                            F.round(F.max("rqst_dol"), 2).alias("max_dol"))
 
 
@@ -74,5 +74,5 @@ def pvt_people(e):
 @query("pvt_filtered", f"""WITH {_BASE}, f AS (SELECT * FROM bs WHERE "Dir" <> 'ASIA' AND natr_rqst_code IN ('BUILDING', 'MACHINERY') AND "ILN" IN ('I', 'L')) """
        + _rollup(["pgm"], _ACROSS, "f"))
 def pvt_filtered(e):
-    kept = criteria.apply(base(e), {"Dir": "~ASIA", "natr_rqst_code": "BUILDING,MACHINERY", "ILN": "I,L", "Div": "eg:X"})
+    kept = criteria.apply(stages.base(e), {"Dir": "~ASIA", "natr_rqst_code": "BUILDING,MACHINERY", "ILN": "I,L", "Div": "eg:X"})
     return pivots.across(kept.withColumn("pgm", F.col("pgm_ele_code")), ["pgm"], "prop_stts_code", STATUS, "st_")

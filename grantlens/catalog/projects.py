@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..functions import criteria
 from ..operators import budgets, selection
+from ..plans import stages
 from .registry import query
 
 
@@ -87,12 +88,7 @@ SELECT p.nsf_rcvd_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rco
 FROM v_prj p JOIN v_org o ON o.org_code = p.org_code JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000'
 JOIN v_inst i ON i.inst_id = p.inst_id JOIN v_pi pi ON pi.pi_id = p.pi_id WHERE pi.prim_addr_flag = 'Y'""")
 def prj_base(e):
-    return base(e)
-
-
-def base(e):
-    rows = selection.base_rows(selection.with_project(e.prop), e.org, e.pi_primary, e.inst)
-    return rows.select(*selection.BASE)
+    return stages.base(e)
 
 
 @query("prj_one_row", """SELECT lead, prop_id, "ILN" FROM v_prj WHERE "ILN" < 'M'""")

@@ -6,55 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import documents, people, reviews, selection
-from .aggregates import timed
+from ..plans import stages
 from .registry import query
 
 
-def _texts_of(e):
-    """Narrative texts, one per proposal."""
-    return e.table("documents").select(F.col("doc_id").alias("prop_id"), "source", "lang", "n_chars", "text")
-
-
-def summaries(e):
-    """Project summaries of three sections; long ones are in a PDF."""
-    return (_texts_of(e).withColumn("spcl_char_pdf", F.when(F.col("n_chars") > 15000, "Y").otherwise("N"))
-            .withColumn("summ", text.sections("spcl_char_pdf", "text", "lang", "source")))
-
-
-def review_rows(e):
-    """Rated reviews of the heads with the text kept for the proposal."""
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select("prop_id")
-    rated = e.rev.join(heads, "prop_id", "left_semi").join(
-        e.rating.select(F.col("yn").alias("rev_prop_rtng_ind"), "string"), "rev_prop_rtng_ind")
-    return (rated.join(e.revr.select("revr_id", "revr_last_name"), "revr_id").join(people.emails(e.revr_mail), "revr_id")
-            .join(_texts_of(e).select("prop_id", "text"), "prop_id"))
-
-
-def collected(e):
-    """Seven kinds of documents of all projects as one stream of rows."""
-    projects = selection.with_project(e.prop).select("prop_id", "lead", "ILN")
-    heads = selection.one_row_per_project(projects).select("prop_id", "lead")
-    s = documents.as_stream
-    kinds = {k: e.text.filter(F.col("doc_type") == k) for k in ("POCmnt", "RA", "Abstr", "xDiaryNt")}
-    said = (e.rec.join(heads, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
-            .withColumn("t", F.concat(F.lit("Panel "), F.col("panl_name"), F.lit(": "), F.coalesce("rcom_abbr", F.lit("none")))))
-    parts = [
-        s(review_rows(e), "Review", lead="prop_id", prop_id="prop_id", name="revr_last_name", info="revr_email",
-          stts="rev_stts_code", due="rev_due_date", returned="rev_rtrn_date", score="string", text="text"),
-        s(said, " PanlSumm", lead="lead", prop_id="prop_id", name=F.concat(F.lit(" "), F.col("panl_name")), info="panl_id",
-          stts=F.col("prop_ordr").cast("string"), due="panl_bgn_date", score="rcom_abbr", text="t"),
-        s(documents.unless_same_length(kinds["POCmnt"], projects), "POCmnt", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(kinds["RA"].join(heads, "prop_id"), "RA", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(documents.unless_same_length(kinds["Abstr"], projects), "Abstr", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(summaries(e).filter(F.col("summ").isNotNull()).join(heads, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
-        s(kinds["xDiaryNt"].join(projects, "prop_id"), "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 @query("txt_collect", """
 WITH t AS (SELECT p.lead, p."ILN", v.* FROM v_prj p JOIN v_text v ON v.prop_id = p.prop_id)
 SELECT r.prop_id AS lead, r.prop_id, 'Review' AS doc_type, v.revr_last_name AS name, m.revr_addr_txt AS info, r.rev_stts_code AS stts, r.rev_due_date AS due, r.rev_rtrn_date AS returned, g.string AS score, d.text
@@ -67,18 +22,18 @@ UNION ALL SELECT lead, prop_id, doc_type, author, NULL, NULL, NULL, NULL, NULL,
 UNION ALL SELECT lead, prop_id, doc_type, author, NULL, NULL, NULL, NULL, NULL, text FROM t WHERE doc_type = 'xDiaryNt' OR (doc_type = 'RA' AND "ILN" < 'M')
 UNION ALL SELECT p.lead, p.prop_id, 'SummProj', NULL, NULL, NULL, NULL, NULL, NULL, d.text || d.lang || d.source FROM v_prj p JOIN documents d ON d.doc_id = p.prop_id WHERE p."ILN" < 'M' AND d.n_chars <= 15000""")
 def txt_collect(e):
-    return collected(e)
+    return stages.collected(e)
 
 
 @query("txt_nonlead_if_differs", """
 SELECT p.lead, p.prop_id, d.text FROM v_prj p JOIN documents d ON d.doc_id = p.prop_id LEFT JOIN documents l ON l.doc_id = p.lead WHERE p."ILN" < 'M' OR length(d.text) <> length(l.text)""")
 def txt_nonlead_if_differs(e):
-    return documents.unless_same_length(_texts_of(e), selection.with_project(e.prop)).select("lead", "prop_id", "text")
+    return documents.unless_same_length(stages.narratives(e), selection.with_project(e.prop)).select("lead", "prop_id", "text")
 
 
 @query("txt_concat_sections", "SELECT doc_id AS prop_id, concat(text, lang, source) AS summ FROM documents WHERE NOT n_chars > 15000")
 def txt_concat_sections(e):
-    return summaries(e).filter(F.col("summ").isNotNull()).select("prop_id", "summ")
+    return stages.summaries(e).filter(F.col("summ").isNotNull()).select("prop_id", "summ")
 
 
 def _ascii_sql(col: str) -> str:
@@ -132,7 +87,7 @@ def txt_keyword_tail(e):
 SELECT d.doc_id, CASE WHEN lower(p.prop_titl_txt) LIKE '%study 1%' OR lower(d.text || d.lang || d.source) LIKE '%src1%' THEN 'Y' ELSE 'N' END AS found,
 CASE WHEN lower(p.prop_titl_txt) LIKE '%study 1%' THEN 1 ELSE 0 END AS in_title FROM documents d JOIN v_prop p ON p.prop_id = d.doc_id""")
 def txt_search_flag(e):
-    joined = _texts_of(e).join(e.prop.select("prop_id", "prop_titl_txt"), "prop_id")
+    joined = stages.narratives(e).join(e.prop.select("prop_id", "prop_titl_txt"), "prop_id")
     in_title = text.contains("prop_titl_txt", "Study 1")
     in_text = text.contains(F.concat("text", "lang", "source"), "SRC1")
     return joined.select(F.col("prop_id").alias("doc_id"), F.when(in_title | in_text, "Y").otherwise("N").alias("found"),
@@ -157,9 +112,9 @@ def txt_doc_presence(e):
 
 
 @query("txt_length_stats", """
-SELECT r.revr_id, round(avg(length(d.text)), 6) AS avg_len, round(stddev_samp(length(d.text)), 6) AS std_len FROM v_rev r JOIN documents d ON d.doc_id = r.prop_id JOIN v_rating m ON m.yn = r.rev_prop_rtng_ind GROUP BY r.revr_id""")
+SELECT r.revr_id, round(avg(length(d.text)) + 1e-9, 6) AS avg_len, round(stddev_samp(length(d.text)) + 1e-9, 6) AS std_len FROM v_rev r JOIN documents d ON d.doc_id = r.prop_id JOIN v_rating m ON m.yn = r.rev_prop_rtng_ind GROUP BY r.revr_id""")
 def txt_length_stats(e):
-    return reviews.score_stats(timed(e)).select("revr_id", "avg_len", "std_len")
+    return reviews.score_stats(stages.timed(e)).select("revr_id", "avg_len", "std_len")
 
 
 @query("txt_person_name", """

@@ -8,8 +8,8 @@ from ..functions import columns as c
 from ..functions import criteria
 from ..functions.ordered import cumulative, running_number, slots
 from ..operators import awards, people, selection, splits
+from ..plans import stages
 from .registry import query
-from .strings import codes_of, codes_space
 
 ID_STEP = 12  # ids are stepped by 4096
 
@@ -20,7 +20,7 @@ def id_step(col: str):
 
 @query("win_seq", """SELECT prop_id, prop_atr_code, (SELECT count(*) FROM v_atr b WHERE b.prop_id = a.prop_id AND b.prop_atr_code < a.prop_atr_code) AS seq FROM v_atr a""")
 def win_seq(e):
-    places = cumulative(codes_of(e.atr), ["prop_id"], "prop_atr_code", F.substring("prop_atr_code", 1, 3))
+    places = cumulative(stages.codes_of(e.atr), ["prop_id"], "prop_atr_code", F.substring("prop_atr_code", 1, 3))
     return places.select("prop_id", "prop_atr_code", F.col("n_lt").alias("seq"))
 
 
@@ -49,25 +49,11 @@ def win_project_no(e):
     return by_head.join(by_key, "lead").select("prop_id", "lead", "project_no", "key_no")
 
 
-COMPARED = ["org_code", "pgm_ele_code", "natr_rqst_code", "prop_titl_txt"]
-
-
-def differs_from_lead(projects, compared=COMPARED):
-    """0/1 per column: does a non-lead differ from the head of its project?
-
-    The head is found by a minimum per lead, which is combined before the shuffle.
-    """
-    head = projects.groupBy("lead").agg(F.min(F.struct("ILN", "prop_id", *compared)).alias("_h"))
-    joined = projects.join(head, "lead")
-    return joined.select(*projects.columns, *[
-        c.flag((F.col("ILN") == "N") & (F.col(x) != F.col(f"_h.{x}"))).alias(f"dif_{x}") for x in compared])
-
-
 @query("win_differs_prev", """
 SELECT prop_id, lead, """ + ", ".join(
-    f"CASE WHEN \"ILN\" = 'N' AND {x} <> first_value({x}) OVER (PARTITION BY lead ORDER BY \"ILN\", prop_id) THEN 1 ELSE 0 END AS dif_{x}" for x in COMPARED) + " FROM v_prj")
+    f"CASE WHEN \"ILN\" = 'N' AND {x} <> first_value({x}) OVER (PARTITION BY lead ORDER BY \"ILN\", prop_id) THEN 1 ELSE 0 END AS dif_{x}" for x in stages.COMPARED) + " FROM v_prj")
 def win_differs_prev(e):
-    return differs_from_lead(selection.with_project(e.prop)).select("prop_id", "lead", *[f"dif_{x}" for x in COMPARED])
+    return stages.differs_from_lead(selection.with_project(e.prop)).select("prop_id", "lead", *[f"dif_{x}" for x in stages.COMPARED])
 
 
 @query("win_first_of_group", """
@@ -82,26 +68,14 @@ def _slot_sql(fields: dict[str, str], k: int, pattern: str = "{f}{i}") -> str:
     return ", ".join(f"max(CASE n WHEN {i + 1} THEN {x} END) AS \"{pattern.format(f=f, i=i)}\"" for i in range(k) for f, x in fields.items())
 
 
-_PANEL_FIELDS = {"panl_id": "panl_id", "panl_name": "panl_name", "panl_end": "panl_end_date", "rec_seq": "rcom_seq_num", "rec": "rcom_abbr", "rank": "prop_ordr"}
-
-
 @query("win_slots_panels", f"""
 WITH s AS (SELECT p.lead, r.*, v.panl_name, v.panl_end_date, row_number() OVER (PARTITION BY p.lead ORDER BY v.panl_end_date, v.panl_id) AS n
   FROM v_prj p JOIN v_rec r ON r.prop_id = p.lead JOIN v_panl v ON v.panl_id = r.panl_id WHERE p."ILN" < 'M')
-SELECT lead, {_slot_sql(_PANEL_FIELDS, 3)} FROM s GROUP BY lead""")
+SELECT lead, {_slot_sql(stages.PANEL_FIELDS, 3)} FROM s GROUP BY lead""")
 def win_slots_panels(e):
-    return panel_slots(e)
+    return stages.panel_slots(e)
 
 
-def panel_slots(e):
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select("lead")
-    rows = (e.rec.withColumnRenamed("prop_id", "lead").join(heads, "lead", "left_semi")
-            .join(e.panl.select("panl_id", "panl_name", "panl_end_date"), "panl_id"))
-    return slots(rows, ["lead"], [F.col("panl_end_date"), F.col("panl_id")], _PANEL_FIELDS, 3)
-
-
-_PROP_FIELDS = {"prop_id": "prop_id", "last": "pi_last_name", "frst": "pi_frst_name", "inst": "inst_shrt_name", "rqst": "rqst_dol", "btot": "T", "PRC": "R"}
-
 # the budget of the latest revision and the code string, for the checks
 LATEST = """lb AS (SELECT prop_id, revn_num, sum(budg_tot_dol) AS t, sum(sub_ctr_dol) AS sub_ctr, sum(frgn_trav_dol) AS frgn, sum(part_cnt) AS part FROM v_budg x
   WHERE NOT EXISTS (SELECT 1 FROM v_budg y WHERE y.prop_id = x.prop_id AND y.revn_num > x.revn_num) GROUP BY prop_id, revn_num)"""
@@ -113,29 +87,10 @@ CODES = """cd AS (SELECT prop_id, substr(string_agg(prop_atr_code, ' ' ORDER BY
 WITH {LATEST}, {CODES}, s AS (SELECT p.lead, p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name, p.rqst_dol, round(lb.t, 2) AS t, cd."R" AS r,
   row_number() OVER (PARTITION BY p.lead ORDER BY p."ILN", p.prop_id) AS n FROM v_prj p LEFT JOIN v_pi pi ON pi.pi_id = p.pi_id AND pi.prim_addr_flag = 'Y'
   LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cd ON cd.prop_id = p.prop_id)
-SELECT lead, {_slot_sql(dict(_PROP_FIELDS, btot='t', PRC='r'), 7)} FROM s GROUP BY lead""")
+SELECT lead, {_slot_sql(dict(stages.PROP_FIELDS, btot='t', PRC='r'), 7)} FROM s GROUP BY lead""")
 def win_slots_props(e):
-    return proposal_slots(e)
-
-
-def proposal_rows(e):
-    """Every proposal with PI, institution, latest budget (RN, T) and code string (R)."""
-    from ..operators import budgets
-
-    return (selection.with_project(e.prop)
-            .join(e.pi_primary.select("pi_id", "pi_last_name", "pi_frst_name", "pi_emai_addr"), "pi_id", "left")
-            .join(e.inst, "inst_id", "left")
-            .join(budgets.totals(e.budg).withColumn("T", F.round("T", 2)), "prop_id", "left")
-            .join(codes_space(e.atr), "prop_id", "left"))
-
+    return stages.proposal_slots(e)
 
-def proposal_slots(e, rows=None):
-    rows = proposal_rows(e) if rows is None else rows
-    return slots(rows, ["lead"], [F.col("ILN"), F.col("prop_id")], _PROP_FIELDS, 7)
-
-
-_PEOPLE_FIELDS = {"last_name": "pi_last_name", "email": "pi_emai_addr", "inst": "inst_shrt_name", "num_awd": "NumAwd", "last_awd": "LastAwd"}
-AWARD_WINDOW = ("1996-01-01", "2000-12-31")
 
 PEOPLE = """pr AS (SELECT p."ILN", p.lead, p.prop_id, p.pi_id FROM v_prj p UNION ALL SELECT 'P', p.lead, p.prop_id, c.pi_id FROM v_prj p JOIN v_copi c ON c.prop_id = p.prop_id),
 aw AS (SELECT pi_id, count(*) AS "NumAwd", max(strftime(awd_eff_date, '%Y.%m.%d') || ' ' || awd_id || '.' || proj_role_code) AS l FROM v_awd_pi
@@ -147,32 +102,14 @@ ps AS (SELECT pr.*, pi.pi_last_name, pi.pi_emai_addr, i.inst_shrt_name, ai."NumA
   FROM pr JOIN v_pi pi ON pi.pi_id = pr.pi_id AND pi.prim_addr_flag = 'Y' LEFT JOIN v_inst i ON i.inst_id = pi.inst_id LEFT JOIN ai ON ai.pi_id = pr.pi_id)"""
 
 
-def people_rows(e):
-    """Investigators of whole projects with their awards."""
-    rows = selection.expand_from_leads(selection.leads_of(e.prop), e.prop, e.copi)
-    last = awards.last_award(e.awd_pi, awards.award_amounts(e.splt), *AWARD_WINDOW)
-    return (rows.select("ILN", "lead", "prop_id", "pi_id")
-            .join(e.pi_primary.select("pi_id", "pi_last_name", "pi_emai_addr", "inst_id"), "pi_id")
-            .join(e.inst, "inst_id", "left").join(last, "pi_id", "left"))
-
-
-def people_slots(rows):
-    order = [F.col("ILN"), F.col("NumAwd").desc_nulls_last(), F.col("prop_id"), F.col("pi_id")]
-    return slots(rows, ["lead"], order, _PEOPLE_FIELDS, 10, pattern="pi{i}_{field}")
-
-
-@query("win_slots_people", f"""WITH {PEOPLE} SELECT lead, {_slot_sql(_PEOPLE_FIELDS, 10, 'pi{i}_{f}')} FROM ps GROUP BY lead""")
+@query("win_slots_people", f"""WITH {PEOPLE} SELECT lead, {_slot_sql(stages.PEOPLE_FIELDS, 10, 'pi{i}_{f}')} FROM ps GROUP BY lead""")
 def win_slots_people(e):
-    return people_slots(people_rows(e))
+    return stages.people_slots(stages.people_rows(e))
 
 
 # --- sort, limit, top-k --------------------------------------------------------------------
 
 
-def returned(rev):
-    return rev.filter((F.col("rev_stts_code") != "C") & F.col("rev_rtrn_date").isNotNull())
-
-
 @query("top_n", "SELECT prop_id, revr_id, rev_rtrn_date FROM v_rev WHERE rev_rtrn_date IS NOT NULL ORDER BY rev_rtrn_date DESC, prop_id, revr_id LIMIT 10")
 def top_n(e):
     return (e.rev.filter(F.col("rev_rtrn_date").isNotNull()).select("prop_id", "revr_id", "rev_rtrn_date")
@@ -183,22 +120,17 @@ def top_n(e):
 WITH t AS (SELECT revr_id, count(*) AS "nProp" FROM v_rev WHERE rev_stts_code <> 'C' AND rev_rtrn_date IS NOT NULL GROUP BY revr_id ORDER BY "nProp" DESC, revr_id LIMIT 20)
 SELECT t.revr_id, v.revr_last_name, v.revr_frst_name, i.inst_shrt_name, t."nProp" FROM t JOIN v_revr v ON v.revr_id = t.revr_id LEFT JOIN v_inst i ON i.inst_id = v.inst_id""")
 def top_then_enrich(e):
-    top = (returned(e.rev).groupBy("revr_id").agg(F.count("prop_id").alias("nProp"))
+    top = (stages.returned(e.rev).groupBy("revr_id").agg(F.count("prop_id").alias("nProp"))
            .orderBy(F.col("nProp").desc(), "revr_id").limit(20))
     return (e.revr.join(F.broadcast(top), "revr_id")  # 20 rows
             .join(e.inst.select("inst_id", "inst_shrt_name"), "inst_id", "left")
             .select("revr_id", "revr_last_name", "revr_frst_name", "inst_shrt_name", "nProp"))
 
 
-def limited(report, limit=None, order=()):
-    """Optional row limit of a report, taken in report order."""
-    return report if limit is None else report.orderBy(*order).limit(limit)
-
-
 @query("top_row_limit", """SELECT lead, "ILN", prop_id, rqst_dol FROM v_prj ORDER BY lead, "ILN", prop_id LIMIT 300""")
 def top_row_limit(e):
     report = selection.with_project(e.prop).select("lead", "ILN", "prop_id", "rqst_dol")
-    return limited(report, 300, ["lead", "ILN", "prop_id"])
+    return stages.limited(report, 300, ["lead", "ILN", "prop_id"])
 
 
 @query("ord_project", """SELECT lead, "ILN", prop_id, prop_titl_txt FROM v_prj ORDER BY lead, "ILN", prop_id""")
@@ -234,18 +166,9 @@ sr AS (SELECT DISTINCT p.prop_id, p."ILN", 'srPers' AS pers, s.last_name, s.frst
   WHERE NOT EXISTS (SELECT 1 FROM iv x WHERE x.prop_id = s.prop_id AND x.last_name = s.last_name AND x.frst_name = s.frst_name AND x.inst_shrt_name = i.inst_shrt_name))"""
 
 
-def investigators(e):
-    return people.investigators(selection.with_project(e.prop), e.copi, e.pi_primary, e.inst)
-
-
-def with_seniors(e):
-    projects = selection.with_project(e.prop)
-    return people.add_new(investigators(e), people.candidates(e.senior, projects, e.inst), "srPers")
-
-
 @query("set_insert_new", f"""WITH {NAMED} SELECT prop_id, pers, last_name, frst_name, inst_shrt_name FROM iv UNION ALL SELECT prop_id, pers, last_name, frst_name, inst_shrt_name FROM sr""")
 def set_insert_new(e):
-    return with_seniors(e).select("prop_id", "pers", "last_name", "frst_name", "inst_shrt_name")
+    return stages.with_seniors(e).select("prop_id", "pers", "last_name", "frst_name", "inst_shrt_name")
 
 
 PATTERNS = """pt AS (SELECT prop_id, CASE WHEN prop_id % 2 = 0 THEN 1996 + CAST(abs(prop_id) % 4 AS INT) END AS budg_yr, CASE WHEN prop_id % 3 = 0 THEN '2' END AS splt_id FROM v_idlist)"""

@@ -60,6 +60,11 @@ def approval(date: Column | str, pending: Column | str) -> Column:
     return F.when(d.isNotNull(), us_date(d)).when(_c(pending) == "Y", "Pend")
 
 
+def rounded(col: Column, digits: int = 6) -> Column:
+    """Half up, where a half that summation noise pushed just below still counts as one."""
+    return F.round(col + 10.0 ** -(digits + 3), digits)
+
+
 def flag(cond: Column) -> Column:
     """0/1 so that it can be summed; an unknown condition counts as 0."""
     return F.when(cond, 1).otherwise(0)

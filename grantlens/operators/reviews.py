@@ -83,7 +83,7 @@ def summary(reviews: DataFrame) -> DataFrame:
     counted = reviews.filter("confl = 0")
     stats = counted.groupBy("lead").agg(
         F.countDistinct("revr_id").alias("Nrev"), c.zero_to_null(F.sum("unmkd")).alias("Nunmkd"),
-        F.min("score").alias("minScore"), F.round(F.avg("score"), 6).alias("avg_score"),
+        F.min("score").alias("minScore"), c.rounded(F.avg("score")).alias("avg_score"),
         F.max("score").alias("maxScore"), F.max("rev_rtrn_date").alias("last_rev_date"))
     return stats.join(ratings(counted, ["lead"], "allReviews", CAP, WIDTH), "lead", "left")
 
@@ -128,7 +128,7 @@ def score_stats(reviews: DataFrame, key: str = "revr_id", suffix: str = "") -> D
     Needs prop_id, rev_rtrn_date, score, text_len, days_early. Deviations are sample deviations.
     """
     def r(col):
-        return F.round(col, 6)
+        return c.rounded(col)
 
     return reviews.groupBy(key).agg(
         F.count("prop_id").alias(f"nProps{suffix}"), F.max("rev_rtrn_date").alias(f"latest{suffix}"),
