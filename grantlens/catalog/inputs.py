@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import columns as c
 from ..operators import selection
 from ..sources import inputs, sinks, tables
 from .registry import query

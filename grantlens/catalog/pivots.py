@@ -45,7 +45,7 @@ _MONEY = "round(min(rqst_dol), 2) AS min_dol, round(avg(rqst_dol) + 1e-7, 4) AS
 @query("pvt_minavgmax", f"WITH {_BASE} " + _rollup(['"Dir"', '"Div"', "pgm"], _MONEY, "bs"))
 def pvt_minavgmax(e):
     return pivots.totalled(stages.base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"],
-                           F.round(F.min("rqst_dol"), 2).alias("min_dol"), c.rounded(F.avg("rqst_dol"), 4).alias("avg_dol"),
+                           F.round(F.min("rqst_dol"), 2).alias("min_dol"), c.rounded(F.avg("rqst_dol"), 4, 1e-7).alias("avg_dol"),
                            F.round(F.max("rqst_dol"), 2).alias("max_dol"))
 
 

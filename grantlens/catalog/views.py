@@ -176,6 +176,22 @@ FROM documents CROSS JOIN (VALUES ('proj_desc', 1), ('bibl', 2), ('dmp_plan', 3)
 """,
     "v_prj": """
 SELECT CASE WHEN lead_prop_id IS NULL THEN 'I' WHEN lead_prop_id <> prop_id THEN 'N' ELSE 'L' END AS "ILN", coalesce(lead_prop_id, prop_id) AS lead, v_prop.* FROM v_prop
+""",
+    "v_ra": """
+SELECT doc_id AS prop_id, DATE '2001-01-01' + INTERVAL 1 DAY * CAST(n_chars % 1000 AS INT) AS last_updt_tmsp FROM documents
+""",
+    "v_upld": """
+SELECT user_id AS prop_id, CASE WHEN event_type = 'click' THEN '034' ELSE '099' END AS ej_doc_type_code, ts AS last_updt_tmsp FROM events
+""",
+    "v_sugg": """
+SELECT doc_id + 5000000 AS temp_prop_id, text AS revr_want, concat(source, ' ', lang) AS revr_dont_want FROM documents
+""",
+    "v_log": """
+SELECT awd_id, awd_id - awd_id % 2 AS last_prop_id, awd_chg_date, from_org, to_org FROM v_chg
+""",
+    "v_own": """
+SELECT awd_id * 2 AS prop_id, CASE WHEN event_id % 3 = 0 THEN 9 ELSE 1 END AS ownr_stts_code, awd_chg_date AS crtd_date, from_org, to_org,
+  CASE WHEN event_id % 6 = 0 THEN concat('event ', CAST(event_id AS STRING)) END AS note FROM v_chg
 """,
 }
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..functions import criteria
-from ..functions.ordered import cumulative, running_number, slots
-from ..operators import awards, people, selection, splits
+from ..functions.ordered import cumulative, running_number
+from ..operators import awards, selection, splits
 from ..plans import stages
 from .registry import query
 

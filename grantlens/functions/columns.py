@@ -60,9 +60,13 @@ def approval(date: Column | str, pending: Column | str) -> Column:
     return F.when(d.isNotNull(), us_date(d)).when(_c(pending) == "Y", "Pend")
 
 
-def rounded(col: Column, digits: int = 6) -> Column:
+def rounded(col: Column, digits: int = 6, noise: float = 1e-9) -> Column:
     """Half up, where a half that summation noise pushed just below still counts as one."""
-    return F.round(col + 10.0 ** -(digits + 3), digits)
+    return F.round(col + noise, digits)
+
+
+def dollars(col: Column) -> Column:
+    return rounded(col, 0, 1e-6)
 
 
 def flag(cond: Column) -> Column:

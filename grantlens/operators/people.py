@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import columns as c
-
 
 def last_first(last: str, first: str) -> Column:
     return F.concat_ws(", ", F.rtrim(last), F.rtrim(first))

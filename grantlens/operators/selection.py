@@ -82,6 +82,15 @@ def criteria_not_list(prop: DataFrame, cond: Column, ids: DataFrame) -> DataFram
     return prop.filter(cond).join(ids, "prop_id", "left_anti")
 
 
+def listed(projects: DataFrame, ids: DataFrame) -> DataFrame:
+    """Proposals that are listed, or whose lead is."""
+    by_id = projects.join(ids.select("prop_id"), "prop_id", "left_semi")
+    by_lead = (projects.filter(F.col("lead_prop_id") != F.col("prop_id"))
+               .join(ids.select(F.col("prop_id").alias("lead_prop_id")), "lead_prop_id", "left_semi")
+               .join(ids.select("prop_id"), "prop_id", "left_anti"))
+    return by_id.unionByName(by_lead)
+
+
 def base_rows(projects: DataFrame, org: DataFrame, pi_primary: DataFrame, inst: DataFrame) -> DataFrame:
     """One denormalised row per proposal; the directorate is found by a key made from the division's."""
     division = org.select("org_code", F.col("dir_div_abbr").alias("Div"))

@@ -385,6 +385,41 @@ class Entities:
                         F.when((d + F.col("_i")) % 5 == 0, " ").when((d + F.col("_i")) % 5 != 1, F.col("source")).alias("path_name"),
                         F.when((d + F.col("_i")) % 7 != 0, n).alias("text_len")))
 
+    @cached_property
+    def ra(self) -> DataFrame:
+        """Analyses written as text, with the time of their last change."""
+        start = F.lit("2001-01-01").cast("timestamp_ntz")
+        return self.table("documents").select(
+            F.col("doc_id").alias("prop_id"),
+            (start + F.make_dt_interval((F.col("n_chars") % 1000).cast("int"))).alias("last_updt_tmsp"))
+
+    @cached_property
+    def upld(self) -> DataFrame:
+        """Uploaded documents; type 034 is an analysis."""
+        return self.table("events").select(
+            F.col("user_id").alias("prop_id"), F.when(F.col("event_type") == "click", "034").otherwise("099").alias("ej_doc_type_code"),
+            F.col("ts").alias("last_updt_tmsp"))
+
+    @cached_property
+    def sugg(self) -> DataFrame:
+        return self.table("documents").select(
+            (F.col("doc_id") + 5000000).alias("temp_prop_id"), F.col("text").alias("revr_want"),
+            F.concat_ws(" ", "source", "lang").alias("revr_dont_want"))
+
+    @cached_property
+    def log(self) -> DataFrame:
+        """Award change log with the proposal the change came from."""
+        return self.chg.select("awd_id", (F.col("awd_id") - F.col("awd_id") % 2).alias("last_prop_id"),
+                               "awd_chg_date", "from_org", "to_org")
+
+    @cached_property
+    def own(self) -> DataFrame:
+        """Ownership history of proposals; status 9 is a completed transfer."""
+        k = F.col("event_id")
+        return self.chg.select(
+            (F.col("awd_id") * 2).alias("prop_id"), F.when(k % 3 == 0, 9).otherwise(1).alias("ownr_stts_code"),
+            F.col("awd_chg_date").alias("crtd_date"), "from_org", "to_org",
+            F.when(k % 6 == 0, F.concat(F.lit("event "), _text(k))).alias("note"))
 
 DOC_KINDS = ("proj_desc", "bibl", "dmp_plan", "ment_plan", "budg_expl", "supp")
 
