@@ -61,7 +61,7 @@ def assessed(rev: DataFrame, rating: DataFrame) -> DataFrame:
     """The reviews that count, with string, score and flags; prop_id becomes the project's lead."""
     return (with_rating(rev.filter(counts()), rating)
             .withColumns({**reconciled(), **flags()})
-            .withColumnRenamed("prop_id", "lead"))
+            .select(F.col("prop_id").alias("lead"), "revr_id", "rev_rtrn_date", "string", "score", *flags()))
 
 
 def credit_panel(rev: DataFrame, panl_prop: DataFrame, panl_revr: DataFrame) -> DataFrame:
@@ -74,6 +74,21 @@ def credit_panel(rev: DataFrame, panl_prop: DataFrame, panl_revr: DataFrame) ->
             .fillna(AD_HOC, ["panl_id"]))
 
 
+def with_panel(reviews: DataFrame, panl_prop: DataFrame, panl_revr: DataFrame) -> DataFrame:
+    """Assessed reviews with the panel they are credited to, in one pass over the reviews.
+
+    A review is keyed by (lead, revr_id), so its other columns are the same in all copies the
+    panels make of it.
+    """
+    seated = panl_revr.withColumn("_seated", F.lit(1))
+    considered = panl_prop.filter(F.col("panl_id").startswith("P")).withColumnRenamed("prop_id", "lead")
+    rest = [x for x in reviews.columns if x not in ("lead", "revr_id")]
+    return (reviews.join(considered, "lead", "left").join(seated, ["panl_id", "revr_id"], "left")
+            .groupBy("lead", "revr_id")
+            .agg(F.coalesce(F.min(F.when(F.col("_seated") == 1, F.col("panl_id"))), F.lit(AD_HOC)).alias("panl_id"),
+                 *[F.any_value(x).alias(x) for x in rest]))
+
+
 def ratings_order() -> list[Column]:
     return [F.col("score").desc_nulls_last(), F.col("revr_id")]
 

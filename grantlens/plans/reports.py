@@ -14,6 +14,7 @@ from ..functions import columns as c
 from ..functions import criteria
 from ..functions.ordered import cumulative, ordered_concat, padded_concat, running_number, slots
 from ..operators import awards, budgets, changes, documents, panels, people, reviews, selection, splits
+from ..sources import sinks
 from . import stages
 
 ID_STEP = 12  # ids are counted in steps of 4096
@@ -29,7 +30,7 @@ def _heads(e) -> DataFrame:
 
 def last_update(e) -> DataFrame:
     """Per project the last change of its analysis, written or uploaded (type 034)."""
-    heads = _heads(e).select("prop_id")
+    heads = stages.heads(e)
     both = e.ra.unionByName(e.upld.filter("ej_doc_type_code = '034'").select("prop_id", "last_updt_tmsp"))
     return (both.groupBy("prop_id").agg(F.max("last_updt_tmsp").alias("RAupdate"))
             .join(heads, "prop_id", "left_semi").withColumnRenamed("prop_id", "lead"))
@@ -47,19 +48,14 @@ def project_wide(e) -> DataFrame:
     """The flagship: one wide row per project with its reviews, up to three panels, up to seven
     proposals and totals."""
     projects = _projects(e)
-    assessed = stages.lead_reviews(e, True)
-    by_panel = reviews.by_panel(assessed)
-    on_panels = stages.project_panel_rows(e, assessed)
+    assessed = sinks.staged(stages.lead_reviews(e, True))
+    by_panel = sinks.staged(reviews.by_panel(assessed))
     panelists = e.panl_revr.groupBy("panl_id").agg(F.count_distinct("revr_id").alias("P"))
-    on_panels = on_panels.join(panelists, "panl_id", "left")
+    on_panels = stages.project_panel_rows(e, assessed, by_panel).join(panelists, "panl_id", "left")
     panel_fields = {"rec": "RA", "panl_id": "panl_id", "rank": "RK", "panl_name": "panl_name", "panl_end": "panl_end_date",
                     "revs": "V", "PanlString": "outcome", "pnlst": "P", "confl": "C", "conflrev": "CR"}
     wide_panels = slots(on_panels, ["lead"], [F.col("panl_end_date"), F.col("panl_id")], panel_fields, 3)
-    rows = stages.proposal_rows(e)
-    per_project = rows.groupBy("lead").agg(
-        F.round(F.sum("rqst_dol"), 2).alias("rqst_tot"), F.round(F.sum("T"), 2).alias("budg_tot"), F.max("RN").alias("budRevnMax"))
-    mails = ordered_concat(rows.select("lead", "ILN", "prop_id", "pi_emai_addr"), ["lead"], [F.col("ILN"), F.col("prop_id")],
-                           "pi_emai_addr", ";", 7, 255, "allPIemail")
+    totals = selection.project_totals(stages.projects(e), budgets.totals(e.budg, {}).withColumn("T", F.round("T", 2)))
     ad_hoc = by_panel.filter(F.col("panl_id") == reviews.AD_HOC).select(
         "lead", F.col("N").alias("AhNrev"), F.col("V").alias("AhRevs"), F.col("last_rev_date").alias("AhLast"))
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
@@ -73,7 +69,7 @@ def project_wide(e) -> DataFrame:
     parts = [
         facts, last_update(e), reviews.summary(assessed), reviews.marks(assessed).select("lead", "Nunrlsbl"), ad_hoc, wide_panels,
         panels.project_panel_summary(on_panels).select("lead", "nPanl", F.col("RecRkMin").alias("_best")),
-        stages.proposal_slots(e, rows), per_project, mails,
+        stages.proposal_slots(e, mail=True), totals,
     ]
     wide = reduce(lambda a, b: a.join(b, "lead", "left"), parts)
     return wide.withColumn("RecRkMin", panels.rank_score(F.col("_best"), F.col("avg_score"))).drop("_best")
@@ -81,8 +77,8 @@ def project_wide(e) -> DataFrame:
 
 def coding_check(e) -> DataFrame:
     """Coding facts of every proposal, with review counts on heads and demographics."""
-    assessed = stages.lead_reviews(e, True)
-    on_panels = panels.project_panel_summary(stages.project_panel_rows(e, assessed))
+    assessed = sinks.staged(stages.lead_reviews(e, True))
+    on_panels = panels.project_panel_summary(panels.said_by_panels(reviews.by_panel(assessed), e.rec))
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
     facts = (_projects(e).withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
              .join(division, "org_code")
@@ -228,7 +224,7 @@ def people_report(e) -> DataFrame:
 
 def project_text(e) -> DataFrame:
     """Summary sections of every project with its total request."""
-    money = _projects(e).groupBy("lead").agg(F.round(F.sum("rqst_dol"), 2).alias("rqst_dol_tot"))
+    money = stages.projects(e).groupBy("lead").agg(F.round(F.sum("rqst_dol"), 2).alias("rqst_dol_tot"))
     sections = stages.summaries(e).select("prop_id", "spcl_char_pdf", F.col("text").alias("proj_summ_txt"), F.col("lang").alias("intul_mert"),
                                           F.col("source").alias("brodr_impt"))
     return (stages.base(e).filter(c.heads_project()).join(money, "lead").join(sections, "prop_id", "left")
@@ -279,14 +275,14 @@ def panelist_statistics(e, panels_spec="P1%", since="1996-01-01") -> DataFrame:
 
 def reviewers(e) -> DataFrame:
     """Who returned reviews for the projects: how many, the latest."""
-    heads = _heads(e).select("prop_id")
+    heads = stages.heads(e)
     done = (e.rev.filter("rev_rtrn_date IS NOT NULL AND rev_type_code <> 'C'").join(heads, "prop_id", "left_semi")
             .groupBy("revr_id").agg(F.count("prop_id").alias("nProps"), F.max("rev_rtrn_date").alias("latest")))
     return done.join(people.reviewer_facts(e.revr, e.revr_mail, e.inst), "revr_id")
 
 
 def reviewer_statistics(e) -> DataFrame:
-    heads = _heads(e).select("prop_id")
+    heads = stages.heads(e)
     held = stages.timed(e).filter("rev_rtrn_date IS NOT NULL AND rev_type_code <> 'C'").join(heads, "prop_id", "left_semi")
     return reviews.score_stats(held).join(people.reviewer_facts(e.revr, e.revr_mail, e.inst), "revr_id")
 
@@ -295,10 +291,10 @@ def props_on_panels(e) -> DataFrame:
     """Proposal by panel: rank, outcome of the panel, ratings, countries, approvals."""
     said = e.rec.select("panl_id", "prop_id", F.lit("Y").alias("panl_held"), F.col("panl_summ_rlse_flag").alias("summ_rlse"),
                         F.col("prop_ordr").alias("rank"), F.col("rcom_seq_num").alias("rcom_seq"), "rcom_abbr")
-    heads = _heads(e).select("prop_id")
+    heads = stages.heads(e)
     on = (e.panl_prop.join(heads, "prop_id", "left_semi").join(said, ["panl_id", "prop_id"], "left")
           .withColumnRenamed("prop_id", "lead"))
-    outcome = panels.listed_outcomes(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), e.rec, _projects(e))
+    outcome = panels.listed_outcomes(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), e.rec, stages.projects(e))
     short = stages.short_reviews(e)
     rated = short.groupBy("lead").agg(c.rounded(F.avg("score")).alias("avg_score"), F.max("rev_rtrn_date").alias("last_rev_date")).join(
         reviews.ratings(short, ["lead"], "reviews", 10, None), "lead")
@@ -311,10 +307,10 @@ def props_on_panels(e) -> DataFrame:
 
 def panels_report(e) -> DataFrame:
     """Panels that consider the projects, and how all proposals on them fared."""
-    heads = _heads(e).select("prop_id")
+    heads = stages.heads(e)
     on = e.panl_prop.join(heads, "prop_id", "left_semi").groupBy("panl_id").agg(F.count("prop_id").alias("numProps"))
     rows = e.panl.join(on, "panl_id")
-    text = panels.listed_outcomes(rows, e.rec, _projects(e))
+    text = panels.listed_outcomes(rows, e.rec, stages.projects(e))
     return text.withColumn("panlSumm", F.replace(F.col("panlSumm"), F.lit(" proj: "), F.lit(" rated projects: ")))
 
 
@@ -416,7 +412,7 @@ def pi_pending(e, status=("P",)) -> DataFrame:
 
 def panel_minutes(e) -> DataFrame:
     """Panel facts, numbers of projects, proposals and panelists, and the conflict text block."""
-    heads = _projects(e).select("prop_id", c.flag(F.col("prop_id") == F.col("lead")).alias("_h"))
+    heads = stages.projects(e).select("prop_id", c.flag(F.col("prop_id") == F.col("lead")).alias("_h"))
     considered = (e.panl_prop.join(heads, "prop_id", "left").groupBy("panl_id")
                   .agg(F.sum(F.coalesce("_h", F.lit(0))).alias("Nproj"), F.count("prop_id").alias("Nprop")))
     seated = e.panl_revr.groupBy("panl_id").agg(F.count("revr_id").alias("Nrevr"))

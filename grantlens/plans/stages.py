@@ -35,23 +35,27 @@ def split_codes(splt_code):
                           " ", 11, name="bPRCs")
 
 
+def projects(e):
+    """prop_id, lead, ILN, rqst_dol of all proposals."""
+    return selection.with_project(e.keys).drop("lead_prop_id")
+
+
+def heads(e):
+    """prop_id of the head of every project."""
+    return selection.one_row_per_project(projects(e)).select("prop_id")
+
+
 def lead_reviews(e, panels_too: bool = False):
     """Assessed reviews of the lead proposals, optionally with the panel they are credited to."""
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select("prop_id")
-    rev = e.rev.join(heads, "prop_id", "left_semi")
-    out = reviews.assessed(rev, e.rating)
-    if panels_too:
-        credit = reviews.credit_panel(rev.filter(reviews.counts()), e.panl_prop, e.panl_revr).withColumnRenamed("prop_id", "lead")
-        out = out.join(credit, ["lead", "revr_id"])
-    return out
+    out = reviews.assessed(e.rev.join(heads(e), "prop_id", "left_semi"), e.rating)
+    return reviews.with_panel(out, e.panl_prop, e.panl_revr) if panels_too else out
 
 
 def short_reviews(e):
     """Rated, unconflicted reviews of the leads: the panel report's simpler choice."""
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select(F.col("prop_id").alias("lead"))
     rated = e.rating.select(F.col("yn").alias("rev_prop_rtng_ind"), "string", "score")
-    return (e.rev.filter("rev_stts_code <> 'C'").withColumnRenamed("prop_id", "lead")
-            .join(heads, "lead", "left_semi").join(rated, "rev_prop_rtng_ind"))
+    return (e.rev.filter("rev_stts_code <> 'C'").join(heads(e), "prop_id", "left_semi").withColumnRenamed("prop_id", "lead")
+            .join(rated, "rev_prop_rtng_ind"))
 
 
 def countries(e):
@@ -78,8 +82,7 @@ def differs_from_lead(projects, compared=COMPARED):
 
 
 def panel_slots(e):
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select("lead")
-    rows = (e.rec.withColumnRenamed("prop_id", "lead").join(heads, "lead", "left_semi")
+    rows = (e.rec.join(heads(e), "prop_id", "left_semi").withColumnRenamed("prop_id", "lead")
             .join(e.panl.select("panl_id", "panl_name", "panl_end_date"), "panl_id"))
     return slots(rows, ["lead"], [F.col("panl_end_date"), F.col("panl_id")], PANEL_FIELDS, 3)
 
@@ -93,9 +96,14 @@ def proposal_rows(e):
             .join(codes_space(e.atr), "prop_id", "left"))
 
 
-def proposal_slots(e, rows=None):
-    rows = proposal_rows(e) if rows is None else rows
-    return slots(rows, ["lead"], [F.col("ILN"), F.col("prop_id")], PROP_FIELDS, 7)
+def proposal_slots(e, mail: bool = False):
+    """Seven proposals of a project side by side, optionally with all their addresses as one text."""
+    fields = {**PROP_FIELDS, "_mail": "pi_emai_addr"} if mail else PROP_FIELDS
+    wide = slots(proposal_rows(e), ["lead"], [F.col("ILN"), F.col("prop_id")], fields, 7)
+    if not mail:
+        return wide
+    each = [f"_mail{i}" for i in range(7)]
+    return wide.withColumn("allPIemail", c.clip(F.concat_ws(";", *each), 255)).drop(*each)
 
 
 def people_rows(e):
@@ -174,11 +182,11 @@ def adhoc_counters(rev):
         F.count_if(F.col("rev_stts_code") == "R").alias("revRcvd"), F.max("rev_due_date").alias("last_rev_due"))
 
 
-def project_panel_rows(e, assessed=None):
+def project_panel_rows(e, assessed, by_panel=None):
     """Rows per (project, panel) with outcomes and conflicts, from the assessed reviews."""
-    assessed = lead_reviews(e, True) if assessed is None else assessed
-    outcomes = panels.rated_outcomes(e.panl, e.rec, selection.with_project(e.prop))
-    return panels.project_panels(reviews.by_panel(assessed), outcomes, panels.conflict_people(assessed, e.revr, e.inst), e.rec)
+    by_panel = reviews.by_panel(assessed) if by_panel is None else by_panel
+    outcomes = panels.rated_outcomes(e.panl, e.rec, projects(e))
+    return panels.project_panels(by_panel, outcomes, panels.conflict_people(assessed, e.revr, e.inst), e.rec)
 
 
 def release_check(e):
@@ -210,8 +218,7 @@ def summaries(e):
 
 def review_rows(e):
     """Rated reviews of the heads with the text kept for the proposal."""
-    heads = selection.one_row_per_project(selection.with_project(e.prop)).select("prop_id")
-    rated = e.rev.join(heads, "prop_id", "left_semi").join(
+    rated = e.rev.join(heads(e), "prop_id", "left_semi").join(
         e.rating.select(F.col("yn").alias("rev_prop_rtng_ind"), "string"), "rev_prop_rtng_ind")
     return (rated.join(e.revr.select("revr_id", "revr_last_name"), "revr_id").join(people.emails(e.revr_mail), "revr_id")
             .join(narratives(e).select("prop_id", "text"), "prop_id"))
@@ -219,22 +226,22 @@ def review_rows(e):
 
 def collected(e):
     """Seven kinds of documents of all projects as one stream of rows."""
-    projects = selection.with_project(e.prop).select("prop_id", "lead", "ILN")
-    heads = selection.one_row_per_project(projects).select("prop_id", "lead")
+    rows = projects(e).select("prop_id", "lead", "ILN")
+    lead_rows = selection.one_row_per_project(rows).select("prop_id", "lead")
     s = documents.as_stream
     kinds = {k: e.text.filter(F.col("doc_type") == k) for k in ("POCmnt", "RA", "Abstr", "xDiaryNt")}
-    said = (e.rec.join(heads, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
+    said = (e.rec.join(lead_rows, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
             .withColumn("t", F.concat(F.lit("Panel "), F.col("panl_name"), F.lit(": "), F.coalesce("rcom_abbr", F.lit("none")))))
     parts = [
         s(review_rows(e), "Review", lead="prop_id", prop_id="prop_id", name="revr_last_name", info="revr_email",
           stts="rev_stts_code", due="rev_due_date", returned="rev_rtrn_date", score="string", text="text"),
         s(said, " PanlSumm", lead="lead", prop_id="prop_id", name=F.concat(F.lit(" "), F.col("panl_name")), info="panl_id",
           stts=F.col("prop_ordr").cast("string"), due="panl_bgn_date", score="rcom_abbr", text="t"),
-        s(documents.unless_same_length(kinds["POCmnt"], projects), "POCmnt", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(kinds["RA"].join(heads, "prop_id"), "RA", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(documents.unless_same_length(kinds["Abstr"], projects), "Abstr", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(summaries(e).filter(F.col("summ").isNotNull()).join(heads, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
-        s(kinds["xDiaryNt"].join(projects, "prop_id"), "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text"),
+        s(documents.unless_same_length(kinds["POCmnt"], rows), "POCmnt", lead="lead", prop_id="prop_id", name="author", text="text"),
+        s(kinds["RA"].join(lead_rows, "prop_id"), "RA", lead="lead", prop_id="prop_id", name="author", text="text"),
+        s(documents.unless_same_length(kinds["Abstr"], rows), "Abstr", lead="lead", prop_id="prop_id", name="author", text="text"),
+        s(summaries(e).filter(F.col("summ").isNotNull()).join(lead_rows, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
+        s(kinds["xDiaryNt"].join(rows, "prop_id"), "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text"),
     ]
     out = parts[0]
     for p in parts[1:]:

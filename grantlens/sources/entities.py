@@ -66,6 +66,13 @@ class Entities:
             )
         )
 
+    @cached_property
+    def keys(self) -> DataFrame:
+        """Proposal, lead and request alone: one table where no other fact of a proposal is needed."""
+        k = F.col("o_orderkey")
+        return self.table("orders").select(k.alias("prop_id"), F.when(k % 4 != 3, k - k % 4).alias("lead_prop_id"),
+                                           F.col("o_totalprice").alias("rqst_dol"))
+
     @cached_property
     def org(self) -> DataFrame:
         divisions = self.nation.select(_org_code().alias("org_code"), F.col("n_name").alias("dir_div_abbr"))

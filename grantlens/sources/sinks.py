@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import time
 import uuid
 
@@ -19,9 +22,8 @@ def work_folder(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        import tempfile
-
         base = tempfile.mkdtemp(prefix="grantlens-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -33,6 +35,18 @@ def save_result(df: DataFrame, path: str) -> dict[str, object]:
     return {"path": path, "n_rows": seen.get["n_rows"], "seconds": time.perf_counter() - start}
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """Write a frame that several branches of one report read, and read it back.
+
+    The table lies in the shared folder, so a lost executor does not lose it, the branches read
+    only the columns they need, and nothing before it runs twice.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def large_selection(df: DataFrame, limit: int = 300) -> DataFrame:
     """How many rows a selection would pull, and whether to warn first."""
     return df.agg(F.count(F.lit(1)).alias("num_retrieved")).withColumn(
