@@ -42,10 +42,9 @@ SELECT prop_id, lead, CAST(sum(CASE WHEN "ILN" < 'M' THEN 1 ELSE 0 END) OVER (OR
 dense_rank() OVER (ORDER BY lead) AS key_no FROM v_prj""")
 def win_project_no(e):
     """Running project number: one more at every project head, or at every change of the lead."""
-    rows = selection.with_project(e.prop).select("prop_id", "lead", "ILN")
-    by_head = running_number(rows, "lead", F.sum(c.flag(c.heads_project())), "project_no")
-    by_key = running_number(rows.select("lead").distinct(), "lead", F.max(F.lit(1)), "key_no")
-    return by_head.join(by_key, "lead").select("prop_id", "lead", "project_no", "key_no")
+    rows = stages.projects(e).select("prop_id", "lead", "ILN")
+    numbers = {"project_no": F.sum(c.flag(c.heads_project())), "key_no": F.max(F.lit(1))}
+    return running_number(rows, "lead", numbers).select("prop_id", "lead", "project_no", "key_no")
 
 
 @query("win_differs_prev", """

@@ -51,15 +51,16 @@ def padded_concat(df: DataFrame, keys: Sequence[str], order: Sequence[Column], v
 
 def slots(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fields: dict[str, Column | str],
           count: int, first: int = 0, pattern: str = "{field}{i}") -> DataFrame:
-    """The first `count` rows of a group side by side: one shuffle, one aggregate."""
+    """The first `count` rows of a group side by side.
+
+    Every group is cut to `count` rows before they are gathered, and gathered as one short array:
+    a single aggregate per row instead of one per output column.
+    """
+    picked = F.struct(F.col("rn"), *[(F.col(x) if isinstance(x, str) else x).alias(f) for f, x in fields.items()])
     ranked = first_in_group(df, keys, order, count)
-    aggs = []
-    for i in range(count):
-        at = F.col("rn") == i + 1
-        for field, c in fields.items():
-            c = F.col(c) if isinstance(c, str) else c
-            aggs.append(F.max(F.when(at, c)).alias(pattern.format(field=field, i=i + first)))
-    return ranked.groupBy(*keys).agg(*aggs)
+    wide = ranked.groupBy(*keys).agg(F.array_sort(F.collect_list(picked)).alias("_items"))
+    return wide.select(*keys, *[
+        F.get("_items", F.lit(i))[f].alias(pattern.format(field=f, i=i + first)) for i in range(count) for f in fields])
 
 
 def cumulative(df: DataFrame, keys: Sequence[str], order: str, coarse: Column) -> DataFrame:
@@ -101,26 +102,35 @@ def previous_value(df: DataFrame, keys: Sequence[str], coarse: Column, order: Se
             .drop("_step", "_rn", "_lag", "_carry"))
 
 
-STEPS = 200  # bounds the rows of every unpartitioned window and broadcast below
+LEVELS = 8
+STEPS = 2 ** LEVELS  # bounds the rows of every unpartitioned window and broadcast below
+
 
+def _step_of(df: DataFrame, key: str, cuts: Column) -> DataFrame:
+    """Add `_step`, how many of the STEPS - 1 cuts are below the key, by binary search."""
+    df = df.withColumn("_cuts", cuts).withColumn("_step", F.lit(0))
+    for level in reversed(range(LEVELS)):
+        half = 2 ** level
+        df = df.withColumn("_step", F.col("_step") + F.when(
+            F.get("_cuts", F.col("_step") + (half - 1)) < F.col(key), half).otherwise(0))
+    return df.drop("_cuts")
 
-def running_number(df: DataFrame, key: str, amount: Column, name: str, steps: int = STEPS) -> DataFrame:
-    """Running total over the groups in the order of the numeric `key`; `amount` is an aggregate.
 
-    Groups are reduced to one row per key, keys are put into at most `steps` ranges by
-    approximate quantiles, and only the totals of the ranges are added up in one place.
+def running_number(df: DataFrame, key: str, amounts: dict[str, Column]) -> DataFrame:
+    """Running totals over the groups in the order of the numeric `key`; amounts are aggregates.
+
+    Groups are reduced to one row per key, keys are put into at most STEPS ranges by approximate
+    quantiles, and only the totals of the ranges are added up in one place.
     """
-    per_key = df.groupBy(F.col(key).alias("_k")).agg(amount.alias("_n"))
-    cuts = per_key.agg(F.percentile_approx("_k", [i / steps for i in range(1, steps)], 10 * steps)).scalar()
-    ranged = (per_key.withColumn("_cuts", cuts)
-              .withColumn("_step", F.size(F.filter("_cuts", lambda c: c < F.col("_k"))))
-              .drop("_cuts"))
-    totals = ranged.groupBy("_step").agg(F.sum("_n").alias("_t"))
+    names = list(amounts)
+    per_key = df.groupBy(F.col(key).alias("_k")).agg(*[a.alias(n) for n, a in amounts.items()])
+    cuts = per_key.agg(F.percentile_approx("_k", [i / STEPS for i in range(1, STEPS)], 10 * STEPS)).scalar()
+    ranged = _step_of(per_key, "_k", cuts)
+    totals = ranged.groupBy("_step").agg(*[F.sum(n).alias(n) for n in names])
     before = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_step", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
+    totals = totals.select("_step", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in names])
     inside = Window.partitionBy("_step").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = (ranged.withColumn("_run", F.sum("_n").over(inside))
-                .join(F.broadcast(totals), "_step")  # at most `steps` rows
-                .select("_k", (F.col("_before") + F.col("_run")).alias(name)))
+    numbered = (ranged.select("_k", "_step", *[F.sum(n).over(inside).alias(f"_run_{n}") for n in names])
+                .join(F.broadcast(totals), "_step")  # at most STEPS rows
+                .select("_k", *[(F.col(f"_before_{n}") + F.col(f"_run_{n}")).alias(n) for n in names]))
     return df.join(numbered, df[key] == numbered["_k"]).drop("_k")
-

@@ -471,7 +471,7 @@ def list_found(e) -> DataFrame:
     """
     rows = _projects(e).select("lead", "prop_id", F.when(c.heads_project(), -1).otherwise(F.col("prop_id")).alias("_o"))
     sizes = rows.groupBy("lead").agg(F.count(F.lit(1)).alias("_size"))
-    upto = running_number(sizes, "lead", F.max("_size"), "_upto")
+    upto = running_number(sizes, "lead", {"_upto": F.max("_size")})
     listed = e.idlist.select("prop_id").distinct()
     touched = rows.join(listed, "prop_id", "left_semi").select("lead").distinct()
     inside = cumulative(rows.join(touched, "lead", "left_semi"), ["lead"], "_o", F.shiftright("_o", ID_STEP)).select("lead", "_o", "n_le")
