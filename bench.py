@@ -31,6 +31,7 @@ def seconds(run) -> float:
 def main() -> None:
     from grantlens.catalog import CHECKS, QUERIES
     from grantlens.session import local_session
+    from grantlens.sources.sinks import clear_work
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
@@ -57,6 +58,7 @@ def main() -> None:
             con.execute(CHECKS[name]).fetchall()
             duck[name] = round(statistics.median(seconds(lambda: con.execute(CHECKS[name]).fetchall()) for _ in range(runs)), 3)
         out["duckdb"] = duck
+    clear_work(spark)
     spark.stop()
     print(json.dumps(out))
 

@@ -13,18 +13,35 @@ from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder below the shared one the cluster names.
+    """A fresh folder for this application below the shared one the cluster names.
 
     A local session without that setting gets a temporary folder of its own; a cluster without it
     is an error, since executors do not share a local disk.
     """
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application staged, wherever the shared folder is."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_LOCAL: dict[str, str] = {}
+
+
+def _application_folder(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="grantlens-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="grantlens-")
+            atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+        base = _LOCAL[app]
+    return f"{base.rstrip('/')}/grantlens/{app}"
 
 
 def save_result(df: DataFrame, path: str) -> dict[str, object]:
