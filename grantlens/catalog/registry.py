@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Entities(tune(spark), folder))
+            return fn(Entities(tune(spark, folder), folder))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -45,13 +45,13 @@ def mentoring_plan(postdoc: Column) -> Column:
 def unless_same_length(texts: DataFrame, projects: DataFrame, col: str = "text") -> DataFrame:
     """Texts of heads, and of collaborators only where the length differs from the head's.
 
-    A head with several texts is represented by its longest. Only lengths are compared, so texts
-    are shuffled once, by their own proposal.
+    A head with several texts is represented by its longest. The heads' lengths travel to the
+    proposals first, without texts, so texts are shuffled once, by their own proposal.
     """
-    rows = texts.join(projects.select("prop_id", "lead", "ILN"), "prop_id")
     heads = (texts.select(F.col("prop_id").alias("lead"), F.length(col).alias("_len"))
              .groupBy("lead").agg(F.max("_len").alias("_len")))
-    compared = rows.join(heads, "lead", "left")
+    wanted = projects.select("prop_id", "lead", "ILN").join(heads, "lead", "left")
+    compared = texts.join(wanted, "prop_id")
     return compared.filter((F.col("ILN") < "M") | (F.length(col) != F.col("_len"))).drop("_len")
 
 

@@ -50,7 +50,7 @@ def project_wide(e) -> DataFrame:
     projects = _projects(e)
     assessed = sinks.staged(stages.lead_reviews(e, True))
     by_panel = sinks.staged(reviews.by_panel(assessed))
-    panelists = e.panl_revr.groupBy("panl_id").agg(F.count_distinct("revr_id").alias("P"))
+    panelists = e.panl_revr.groupBy("panl_id").agg(F.count("revr_id").alias("P"))
     on_panels = stages.project_panel_rows(e, assessed, by_panel).join(panelists, "panl_id", "left")
     panel_fields = {"rec": "RA", "panl_id": "panl_id", "rank": "RK", "panl_name": "panl_name", "panl_end": "panl_end_date",
                     "revs": "V", "PanlString": "outcome", "pnlst": "P", "confl": "C", "conflrev": "CR"}
@@ -109,7 +109,7 @@ def coding_flags(e, states=("S1", "S2"), state_code="0015", people_code="0012",
     assessed = stages.lead_reviews(e)
     wanted = ["org_code", "pgm_ele_code", "natr_rqst_code", "prop_titl_txt"]
     demog = people.demographics(e.person, e.pi, e.pdmog)
-    counted = assessed.filter("confl = 0").groupBy(F.col("lead").alias("prop_id")).agg(F.count_distinct("revr_id").alias("Nrev"))
+    counted = assessed.filter("confl = 0").groupBy(F.col("lead").alias("prop_id")).agg(F.count("revr_id").alias("Nrev"))
     rows = (stages.differs_from_lead(_projects(e), wanted)
             .join(e.inst.select("inst_id", "st_code"), "inst_id", "left")
             .join(stages.codes_space(e.atr), "prop_id", "left")

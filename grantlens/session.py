@@ -17,13 +17,31 @@ RUNTIME = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Switch on the adaptive settings above; sizes stay as the cluster set them."""
+SHUFFLE_BYTES = 128 * 1024 * 1024  # of compressed input per initial shuffle partition
+
+
+def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """Switch on the adaptive settings above, and start shuffles with enough partitions for the data.
+
+    The number grows with the size of the tables and never falls below what the session asked for;
+    adaptive execution joins small partitions again, so starting high costs little.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    if folder is not None:
+        asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(asked, -(-input_bytes(spark, folder) // SHUFFLE_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return spark
 
 
+def input_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of the tables, from the file system's own summary (no data is read)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return path.getFileSystem(conf).getContentSummary(path).getLength()
+
+
 def local_session(cores: int | str = 8, app: str = "grantlens") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     spark = (
