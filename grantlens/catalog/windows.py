@@ -145,7 +145,7 @@ UNION ALL SELECT conv_id, 'Conv', role, length(text) FROM conversations UNION AL
 def set_union_all(e):
     def part(table, key, kind, author, text):
         return e.table(table).select(F.col(key).alias("prop_id"), F.lit(kind).alias("kind"), F.col(author).alias("author"),
-                                     F.length(text).alias("len"))
+                                     F.length(text).cast("long").alias("len"))
 
     return (part("documents", "doc_id", "Doc", "source", "text")
             .unionByName(part("conversations", "conv_id", "Conv", "role", "text"))

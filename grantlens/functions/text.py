@@ -42,7 +42,8 @@ def question_marks(text: Column | str) -> Column:
     (fewer than three characters before the mark) the snippet starts at the mark and ends the search.
     """
     backwards = F.concat(F.lit(PAD), F.reverse(_c(text)))
-    mark = r"(?<=([\s\S]{4}))\?(?:[\s\S]{0,2}\z|(?!(?<=[ '\"]\?)[a-zA-Z])([\s\S]{3}))"
+    # the mark itself comes first, so nothing else is tried at other characters
+    mark = r"\?(?<=([\s\S]{4})\?)(?:[\s\S]{0,2}\z|(?!(?<=[ '\"]\?)[a-zA-Z])([\s\S]{3}))"
     after = F.regexp_extract_all(backwards, F.lit(mark), F.lit(1))
     before = F.regexp_extract_all(backwards, F.lit(mark), F.lit(2))
     snippets = F.zip_with(before, after, lambda b, a: F.concat(

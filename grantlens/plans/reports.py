@@ -236,7 +236,7 @@ def suggested_reviewers(e) -> DataFrame:
     rows = stages.base(e).join(e.subm, "prop_id").join(e.sugg, "temp_prop_id")
     return rows.select("lead", "ILN", "Div", "prop_id", "pi_last_name", F.col("revr_want").alias("Suggested_Reviewers"),
                        F.col("revr_dont_want").alias("Unwanted_Reviewers"),
-                       (F.length("revr_want") + F.length("revr_dont_want")).alias("len_tot"))
+                       (F.length("revr_want") + F.length("revr_dont_want")).cast("long").alias("len_tot"))
 
 
 def orphans(e) -> DataFrame:
@@ -349,7 +349,7 @@ def autocode_check(e) -> DataFrame:
 
 def tracker_proposal(e) -> DataFrame:
     """Tracking row: ad hoc counters, first and last panel, splits, award."""
-    first, last = panels.first_and_last(stages.panel_rows(e))
+    ends = sinks.staged(panels.first_and_last(stages.panel_rows(e)))
 
     def side(df, name):
         return df.select("prop_id", F.col("panl_id").alias(f"{name}_panl"), F.col("panl_bgn_date").alias(f"{name}_begin"),
@@ -366,7 +366,7 @@ def tracker_proposal(e) -> DataFrame:
             .join(e.pi_primary.select("pi_id", "pi_last_name", "pi_gend_code"), "pi_id").join(e.inst.select("inst_id", F.col("inst_shrt_name").alias("inst_name")), "inst_id")
             .join(codes, "prop_id", "left").join(stages.adhoc_counters(e.rev), "prop_id", "left")
             .fillna(0, ["adhoc_reqd", "adhoc_pend", "revRcvd"])
-            .join(side(first, "first"), "prop_id", "left").join(side(last, "last"), "prop_id", "left")
+            .join(side(ends.filter("is_first"), "first"), "prop_id", "left").join(side(ends.filter("is_last"), "last"), "prop_id", "left")
             .join(money, "prop_id", "left").join(award, "prop_id", "left")
             .drop("lead_prop_id", "pi_id", "inst_id", "orig_pgm_ele_code", "other_pct"))
 

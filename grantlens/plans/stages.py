@@ -141,10 +141,9 @@ def returned(rev):
 def panel_rows(e):
     """Proposal on panel with begin date, and what the panel said where it said something."""
     said = e.rec.select("panl_id", "prop_id", "rcom_seq_num", "prop_ordr")
-    names = panels.recommendation_names(e.rec)
     return (e.panl_prop.join(e.panl.select("panl_id", "panl_bgn_date"), "panl_id")
             .join(said, ["panl_id", "prop_id"], "left")
-            .join(names, ["panl_id", "rcom_seq_num"], "left"))
+            .join(e.rcom_def, ["panl_id", "rcom_seq_num"], "left"))
 
 
 def new_institutions(prop, awd, as_of=AS_OF, months=58, status="P"):

@@ -281,6 +281,14 @@ class Entities:
             F.when(p % 8 == 0, "Y").otherwise("N").alias("panl_summ_rlse_flag"),
             F.when(p % 31 == 0, "Y").otherwise("N").alias("panl_summ_unrl_flag"))
 
+    @cached_property
+    def rcom_def(self) -> DataFrame:
+        """What each recommendation number of a panel is called."""
+        names = F.array(*[F.struct(F.lit(i).cast("long").alias("rcom_seq_num"), F.lit(n).alias("rcom_abbr"))
+                          for i, n in enumerate(("HC", "C", "LC", "NC", "NDP"), 1)])
+        return (self.table("part").select(_panel_id().alias("panl_id")).distinct()
+                .select("panl_id", F.inline(names)))
+
     @cached_property
     def confl(self) -> DataFrame:
         return (self.rev.filter("rev_stts_code = 'C'").select("prop_id", "revr_id")
