@@ -27,9 +27,13 @@ def _text(c: Column) -> Column:
 class Entities:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return scan(self.spark, self.folder, name)
+        """A base table; its footer is read once per set of entities."""
+        if name not in self._tables:
+            self._tables[name] = scan(self.spark, self.folder, name)
+        return self._tables[name]
 
     @cached_property
     def nation(self) -> DataFrame:
