@@ -51,6 +51,7 @@ def local_session(cores: int | str = 8, app: str = "grantlens") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", os.environ.get("GRANTLENS_DRIVER_MEMORY", "12g"))
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=768m -XX:+UseParallelGC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.codegen.cache.maxEntries", "2000")  # wide reports have many stages
         .config("spark.sql.session.timeZone", "UTC")
