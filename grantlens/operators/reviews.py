@@ -131,6 +131,11 @@ def by_panel(reviews: DataFrame) -> DataFrame:
     return stats.join(strings, ["lead", "panl_id"], "left").fillna("", ["V"])
 
 
+def panels_of(reviews: DataFrame) -> DataFrame:
+    """The (project, panel) pairs with an unconflicted review. Needs panl_id."""
+    return reviews.filter("confl = 0").select("lead", "panl_id").distinct()
+
+
 def release_counts(rev: DataFrame) -> DataFrame:
     """Per proposal over reviews in both systems without conflict: all, unreleasable, unmarked."""
     released, unreleasable = F.col("rev_rlse_flag") == "Y", F.col("rev_prop_unrl_flag") == "Y"

@@ -78,7 +78,7 @@ def project_wide(e) -> DataFrame:
 def coding_check(e) -> DataFrame:
     """Coding facts of every proposal, with review counts on heads and demographics."""
     assessed = sinks.staged(stages.lead_reviews(e, True))
-    on_panels = panels.project_panel_summary(panels.said_by_panels(reviews.by_panel(assessed), e.rec))
+    on_panels = panels.project_panel_summary(panels.said_by_panels(reviews.panels_of(assessed), e.rec))
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
     facts = (_projects(e).withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
              .join(division, "org_code")
