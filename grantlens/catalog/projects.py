@@ -51,7 +51,6 @@ def prj_add_omit(e):
     return selection.add_and_omit(chosen, e.prop, e.idlist, omitted).select("prop_id", "lead_prop_id")
 
 
-_A = "org_code LIKE '1[0-2]%' AND pgm_ele_code = '1-URGENT'"
 _A_SQL = "(org_code LIKE '10%' OR org_code LIKE '11%' OR org_code LIKE '12%') AND pgm_ele_code = '1-URGENT'"
 
 

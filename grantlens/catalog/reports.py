@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import reports, stages
-from .aggregates import (ADHOC, BY_PANEL, DEMOG, DETAIL_TOTAL, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
+from .aggregates import (ADHOC, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
                          SUMMARY, TIMED, YEARS, stats_sql)
 from .registry import query
 from .strings import ASSESSED, CONFLICT_PEOPLE, CONFLICT_TEXT, OUTCOMES
