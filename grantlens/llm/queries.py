@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, packing, tokenfiles
+from . import checks, decontaminate, packing, quality, tokenfiles
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+@query
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for each document."""
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
