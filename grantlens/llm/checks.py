@@ -25,3 +25,14 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 """
+
+_AFTER = "substr(url, instr(url, '://') + 3)"
+SQL["op5_url_rules"] = f"""
+WITH rules(rhost, rpath, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                                     ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+p AS (SELECT page_id, row_number() OVER () AS r, CASE WHEN contains(url, '://') THEN {_AFTER} ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, r, {lowered("regexp_extract(rest, '^[^/?#]*')")} AS host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM p),
+m AS (SELECT r, rhost || rpath AS rule, verdict, row_number() OVER (PARTITION BY r ORDER BY length(rhost || rpath) DESC, length(rhost) DESC) AS k
+      FROM q JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM q LEFT JOIN (SELECT * FROM m WHERE k = 1) USING (r)
+"""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import string
 import sys
 import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.sinks import staged, work_folder  # noqa: F401  (part of this module's interface)
 
@@ -19,6 +21,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case; other letters stay."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def plan_bytes(df: DataFrame) -> int:
     """What Spark expects the frame to hold, from its statistics; no data is read."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

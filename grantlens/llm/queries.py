@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, packing, quality, tokenfiles
+from . import checks, decontaminate, packing, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,16 @@ def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule that decides on each page."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, folder, "pages"), rules)
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
