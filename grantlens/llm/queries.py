@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, packing, quality, tokenfiles, urls
+from . import checks, decontaminate, packing, pii, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,9 @@ def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
     return tokenfiles.encode_and_read(table(spark, folder, "documents"), vocabulary())
+
+
+@query
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in each document."""
+    return pii.digest(table(spark, folder, "documents"))
