@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import staged, work_folder  # noqa: F401  (part of this module's interface)
+from ..sources.sinks import work_folder
 
 SLICE = 1_500_000  # bytes of text that one step of numpy work looks at
 
@@ -21,6 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """Write a frame into the shared work folder and read it back: nothing before it runs again, and no executor's loss undoes it."""
+    path = work_folder(df.sparkSession)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case; other letters stay."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, packing, pii, quality, tokenfiles, urls
+from . import checks, decontaminate, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,12 @@ def op2_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+@query
+def op3_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    """The PPM score of each document, and that of a unigram model."""
+    return ppm.scores(table(spark, folder, "documents"))
+
+
 @query
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     """A quality score for each document."""
