@@ -52,6 +52,12 @@ def worker_memory(name: str, make):
     return getattr(kept, name)
 
 
+def column(table: pa.Table, name: str) -> pa.Array:
+    """A table's column as one array."""
+    found = table[name]
+    return found.chunk(0) if found.num_chunks == 1 else pa.concat_arrays(found.chunks) if found.num_chunks else pa.array([], found.type)
+
+
 def text_lengths(texts: pa.Array) -> np.ndarray:
     """Bytes of each text (null: 0)."""
     _, ends = text_bounds(texts)

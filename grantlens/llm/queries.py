@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, packing, pii, ppm, quality, tokenfiles, urls
+from . import checks, decontaminate, jaccard, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,12 @@ def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), rules)
 
 
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near duplicates of each document."""
+    return jaccard.components(table(spark, folder, "documents"))
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
