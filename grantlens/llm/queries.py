@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, jaccard, packing, pii, ppm, quality, tokenfiles, urls
+from . import checks, decontaminate, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,12 @@ def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(table(spark, folder, "documents"))
 
 
+@query
+def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest neighbours of every fiftieth vector."""
+    return neighbours.search(table(spark, folder, "embeddings"))
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
