@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
+from . import checks, decontaminate, extract, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ def op7_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.search(table(spark, folder, "embeddings"))
 
 
+@query
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of each page."""
+    return extract.extract(table(spark, folder, "pages"))
+
+
 @query
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files and read back."""
