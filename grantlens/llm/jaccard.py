@@ -324,6 +324,9 @@ def components(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id names their group of near duplicates, with all their columns. Rows that repeat an id count as one."""
-    kept = components(docs).where("doc_id = component_id OR (doc_id IS NULL AND component_id IS NULL)").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """The documents whose id names their group of near duplicates, with all their columns.
+
+    Rows that repeat an id count as one document. Documents without an id cannot be told apart and all stay.
+    """
+    kept = components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
