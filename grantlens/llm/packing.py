@@ -29,7 +29,7 @@ from .common import slices, staged
 from .tokens import encoder
 
 CAPACITY = 4096
-GROUPS = 32
+GROUPS = (32, 64)  # numbers of groups to try; the plan with fewer sequences is kept
 SHARD_ROWS = 200_000  # rows that one shard ranks, on average
 SHARDS = 64  # and shards at least
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -166,8 +166,12 @@ def _knapsack(sizes: list[int], price: np.ndarray, capacity: int) -> tuple[np.nd
     return best, float(top)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> Plan:
+def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> Plan:
     """Where documents of each length go, from how many there are of each."""
+    return min((_plan(counts, capacity, g) for g in groups), key=lambda p: p.sequences)
+
+
+def _plan(counts: dict[int, int], capacity: int, groups: int) -> Plan:
     out = Plan(capacity)
     left = {length: n for length, n in counts.items() if length <= capacity // 8}
     pools = grouped({length: n for length, n in counts.items() if length > capacity // 8}, groups)
@@ -225,7 +229,7 @@ def ranked(rows: DataFrame, shards: int) -> DataFrame:
     return numbered.join(before, ["length", "shard"]).withColumn("rank", F.col("rank") + F.col("before")).drop("shard", "before")
 
 
-def place(rows: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
+def place(rows: DataFrame, capacity: int = CAPACITY, groups: tuple[int, ...] = GROUPS) -> DataFrame:
     """Add sequence_id and offset to pieces (columns of `pieces`); rows is read twice, so give a stored table.
 
     Equal rows are interchangeable. Lengths must be 1 to `capacity`. An empty table gives an empty one.
