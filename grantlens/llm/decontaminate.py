@@ -133,7 +133,7 @@ class Matcher:
         n_words = np.diff(at)
         none = (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
         out = [none] * len(n_words)
-        if not len(starts):
+        if not len(starts) or not self.searches:
             return n_words, out
         prints = W.fingerprints(data, starts, ends)
         raw = data.tobytes()
