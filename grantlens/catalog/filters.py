@@ -51,17 +51,17 @@ def flt_attr_other(e):
     return children.other_child(e.prop, e.atr, criteria.positive(F.col("prop_atr_code"), "00%1")).select("prop_id")
 
 
-@query("flt_date_range", """SELECT prop_id, nsf_rcvd_date FROM v_prop WHERE nsf_rcvd_date >= TIMESTAMP '1996-02-01' AND nsf_rcvd_date <= TIMESTAMP '1999-06-30' AND dd_rcom_date <= TIMESTAMP '1999-07-15'""")
+@query("flt_date_range", """SELECT prop_id, received_date FROM v_prop WHERE received_date >= TIMESTAMP '1996-02-01' AND received_date <= TIMESTAMP '1999-06-30' AND dd_rcom_date <= TIMESTAMP '1999-07-15'""")
 def flt_date_range(e):
-    return (stages.date_range(stages.date_range(e.prop, "nsf_rcvd_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
-            .select("prop_id", "nsf_rcvd_date"))
+    return (stages.date_range(stages.date_range(e.prop, "received_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
+            .select("prop_id", "received_date"))
 
 
-@query("flt_date_day_inclusive", """SELECT prop_id, nsf_rcvd_date FROM v_prop WHERE nsf_rcvd_date BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-07-01'""")
+@query("flt_date_day_inclusive", """SELECT prop_id, received_date FROM v_prop WHERE received_date BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-07-01'""")
 def flt_date_day_inclusive(e):
     end = F.lit("1998-06-30").cast("timestamp_ntz") + F.make_dt_interval(F.lit(1))
-    return e.prop.filter(F.col("nsf_rcvd_date").between(F.lit("1997-01-01").cast("timestamp_ntz"), end)).select(
-        "prop_id", "nsf_rcvd_date")
+    return e.prop.filter(F.col("received_date").between(F.lit("1997-01-01").cast("timestamp_ntz"), end)).select(
+        "prop_id", "received_date")
 
 
 @query("flt_guard_empty", """

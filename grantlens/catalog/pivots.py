@@ -50,12 +50,12 @@ def pvt_minavgmax(e):
 
 
 @query("pvt_sum", """
-WITH d AS (SELECT lead, min(strftime(nsf_rcvd_date, '%m/%d/%y')) FILTER ("ILN" < 'M') AS day, count(*) AS n FROM v_prj GROUP BY lead)
+WITH d AS (SELECT lead, min(strftime(received_date, '%m/%d/%y')) FILTER ("ILN" < 'M') AS day, count(*) AS n FROM v_prj GROUP BY lead)
 SELECT day, CAST(sum(n) AS BIGINT) AS "nProp" FROM d GROUP BY day UNION ALL SELECT 'Total', CAST(sum(n) AS BIGINT) FROM d""")
 def pvt_sum(e):
     """Proposals by the day their project was received, as mm/dd/yy."""
     projects = selection.with_project(e.prop)
-    per = projects.groupBy("lead").agg(F.min(F.when(c.heads_project(), c.us_date("nsf_rcvd_date"))).alias("day"),
+    per = projects.groupBy("lead").agg(F.min(F.when(c.heads_project(), c.us_date("received_date"))).alias("day"),
                                        F.count(F.lit(1)).alias("n"))
     return pivots.totalled(per, ["day"], F.sum("n").alias("nProp"))
 

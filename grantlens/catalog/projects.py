@@ -80,7 +80,7 @@ def prj_a_minus_b(e):
 
 
 @query("prj_base", """
-SELECT p.nsf_rcvd_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code,
+SELECT p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code,
   p.org_code || ' - ' || o.dir_div_abbr AS "OrgLabel", p.pgm_ele_code, CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC",
   p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name AS inst_name, i.st_code,
   pi.pi_emai_addr, p.prop_titl_txt, p.rqst_dol, p.inst_id, p.pi_id

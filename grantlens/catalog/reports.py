@@ -6,18 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import reports, stages
-from .aggregates import (ADHOC, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
+from .aggregates import (ADHOC, ADHOC_COLUMNS, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
                          SUMMARY, TIMED, YEARS, stats_sql)
 from .registry import query
 from .strings import ASSESSED, CONFLICT_PEOPLE, CONFLICT_TEXT, OUTCOMES
 from .windows import CODES, LATEST, MATCH, NAMED, PATTERNS, PEOPLE, _slot_sql, patterns
 
-RA = """ra AS (SELECT x.prop_id AS lead, max(x.last_updt_tmsp) AS "RAupdate" FROM (SELECT prop_id, last_updt_tmsp FROM v_ra UNION ALL SELECT prop_id, last_updt_tmsp FROM v_upld WHERE ej_doc_type_code = '034') x
+RA = """ra AS (SELECT x.prop_id AS lead, max(x.last_updt_tmsp) AS "RAupdate" FROM (SELECT prop_id, last_updt_tmsp FROM v_ra UNION ALL SELECT prop_id, last_updt_tmsp FROM v_upld WHERE upload_type_code = '034') x
   JOIN v_prj p ON p.prop_id = x.prop_id AND p."ILN" < 'M' GROUP BY x.prop_id)"""
 PRIMARY = "v_pi pi ON pi.pi_id = p.pi_id AND pi.prim_addr_flag = 'Y'"
 DIV = """JOIN v_org o ON o.org_code = p.org_code"""
 BASE_FROM = f"""v_prj p {DIV} JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000' JOIN v_inst i ON i.inst_id = p.inst_id JOIN {PRIMARY}"""
-BASE = f"""bs AS (SELECT p.nsf_rcvd_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code, p.org_code || ' - ' || o.dir_div_abbr AS "OrgLabel", p.pgm_ele_code,
+BASE = f"""bs AS (SELECT p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code, p.org_code || ' - ' || o.dir_div_abbr AS "OrgLabel", p.pgm_ele_code,
   CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC", p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name,
   i.inst_shrt_name AS inst_name, i.st_code, pi.pi_emai_addr, p.prop_titl_txt, p.rqst_dol, p.inst_id, p.pi_id FROM {BASE_FROM})"""
 APPROVALS = """ap AS (SELECT s.prop_id, CASE WHEN c.hum_date IS NOT NULL THEN strftime(c.hum_date, '%m/%d/%y') WHEN c.humn_date_pend_flag = 'Y' THEN 'Pend' END AS humn_date,
@@ -26,6 +26,10 @@ COUNTRY = """cy AS (SELECT prop_id, string_agg(ctry_name, '; ' ORDER BY n) AS "C
   FROM v_subm b JOIN v_item i ON i.temp_prop_id = b.temp_prop_id JOIN v_ctry c ON c.ctry_code = i.spcl_item_code WHERE i.end_date IS NULL) WHERE n <= 8 GROUP BY prop_id)"""
 
 
+ALL_COUNTRIES = """cy AS (SELECT b.prop_id, string_agg(c.ctry_name, '; ' ORDER BY c.ctry_name) AS "Country" FROM v_subm b JOIN v_item i ON i.temp_prop_id = b.temp_prop_id
+  JOIN v_ctry c ON c.ctry_code = i.spcl_item_code WHERE i.end_date IS NULL GROUP BY b.prop_id)"""
+
+
 def _codes(name: str, sep: str, cap: int, padded: bool = False) -> str:
     rows = "(SELECT prop_id, prop_atr_code, row_number() OVER (PARTITION BY prop_id ORDER BY prop_atr_code) AS n FROM v_atr)"
     if padded:
@@ -82,7 +86,7 @@ pp AS (SELECT p.lead, p.prop_id, pi.pi_last_name, pi.pi_frst_name, pi.pi_emai_ad
   row_number() OVER (PARTITION BY p.lead ORDER BY p."ILN", p.prop_id) AS n FROM v_prj p LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cd ON cd.prop_id = p.prop_id),
 ss AS (SELECT lead, {_slot_sql(dict(stages.PROP_FIELDS, btot='t', PRC='r'), 7)} FROM pp GROUP BY lead),
 tt AS (SELECT lead, round(sum(rqst_dol), 2) AS rqst_tot, round(sum(t), 2) AS budg_tot, max(revn_num) AS "budRevnMax", substr(string_agg(CASE WHEN n <= 7 THEN pi_emai_addr END, ';' ORDER BY n), 1, 255) AS "allPIemail" FROM pp GROUP BY lead)
-SELECT p.lead, p.nsf_rcvd_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.org_code, p.pgm_ele_code, p.natr_rqst_code, p.prop_stts_code, rtrim(p.prop_titl_txt) AS prop_titl_txt,
+SELECT p.lead, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.org_code, p.pgm_ele_code, p.natr_rqst_code, p.prop_stts_code, rtrim(p.prop_titl_txt) AS prop_titl_txt,
   o.dir_div_abbr AS "Div", o2.dir_div_abbr AS "Dir", pi.pi_emai_addr AS email, ra."RAupdate", sm.* EXCLUDE (lead), mk."Nunrlsbl", ah."N" AS "AhNrev", ah."V" AS "AhRevs", ah.last_rev_date AS "AhLast",
   sp.* EXCLUDE (lead), pl."nPanl", ss.* EXCLUDE (lead), tt.* EXCLUDE (lead), {RANK_SCORE} AS "RecRkMin"
 FROM v_prj p {DIV} LEFT JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000' LEFT JOIN {PRIMARY} LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN sm ON sm.lead = p.lead LEFT JOIN mk ON mk.lead = p.lead
@@ -93,9 +97,9 @@ def rpt_project_wide(e):
 
 @query("rpt_coding_check", f"""
 WITH {ASSESSED}, {BY_PANEL}, {SUMMARY}, {CONFLICT_PEOPLE}, {PROJ_PANEL}, {MARKS}, {CODES}, {RA}, {DEMOG}
-SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.nsf_rcvd_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.bas_rsch_pct, p.other_pct, cd."R" AS "propPRCs", i.st_code,
+SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.received_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.bas_rsch_pct, p.other_pct, cd."R" AS "propPRCs", i.st_code,
   ra."RAupdate", p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name AS inst, pl."nPanl", pl."nPSunmrkd", pl."nPSunrls", round(pl.best, 6) AS "RecRkMin", sm."Nrev", sm."allReviews",
-  sm.avg_score, sm.last_rev_date, sm."Nunmkd", mk."Nconfl", mk."Nunrlsbl", mk."NrlsdCDNPS", mk."NpendSlct", mk."NdiffFLeJ", p.prop_titl_txt, p.rqst_dol AS rqst_tot, dm."NfmlPIs", dm."NhispPIs", dm."NhndcpPIs", dm."NnonWhtAsnPIs",
+  sm.avg_score, sm.last_rev_date, sm."Nunmkd", mk."Nconfl", mk."Nunrlsbl", mk."n_released_unfinished", mk."NpendSlct", mk."n_systems_differ", p.prop_titl_txt, p.rqst_dol AS rqst_tot, dm."NfmlPIs", dm."NhispPIs", dm."NhndcpPIs", dm."NnonWhtAsnPIs",
   pi.pi_emai_addr AS email
 FROM v_prj p {DIV} LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN dm ON dm.prop_id = p.prop_id
 LEFT JOIN sm ON sm.lead = p.prop_id LEFT JOIN mk ON mk.lead = p.prop_id LEFT JOIN pl ON pl.lead = p.prop_id""")
@@ -107,12 +111,12 @@ _LEAD_DIF = ", ".join(f"CASE WHEN p.\"ILN\" = 'N' AND p.{x} <> first_value(p.{x}
 
 
 @query("rpt_coding_flags", f"""
-WITH {ASSESSED}, {SUMMARY}, {CODES}, {DEMOG}
+WITH {ASSESSED}, {SUMMARY}, {DEMOG}, held AS (SELECT prop_id, list(rtrim(prop_atr_code)) AS codes FROM v_atr WHERE prop_atr_type_code = 'PRC' GROUP BY prop_id)
 SELECT p.lead, p."ILN", p.prop_id, CASE WHEN p.bas_rsch_pct + p.other_pct <> 1 THEN 1 ELSE 0 END AS bad_pct,
-  CASE WHEN (i.st_code IN ('S1', 'S2')) <> (coalesce(cd."R", '') LIKE '%0015%') THEN 1 ELSE 0 END AS bad_state,
-  CASE WHEN (dm."NfmlPIs" + dm."NhispPIs" + dm."NhndcpPIs" + dm."NnonWhtAsnPIs" > 0) <> (coalesce(cd."R", '') LIKE '%0012%') THEN 1 ELSE 0 END AS bad_people,
+  CASE WHEN (i.st_code IN ('S1', 'S2')) <> coalesce(list_contains(held.codes, '0015'), false) THEN 1 ELSE 0 END AS bad_state,
+  CASE WHEN (dm."NfmlPIs" + dm."NhispPIs" + dm."NhndcpPIs" + dm."NnonWhtAsnPIs" > 0) <> coalesce(list_contains(held.codes, '0012'), false) THEN 1 ELSE 0 END AS bad_people,
   CASE WHEN p."ILN" < 'M' AND coalesce(sm."Nrev", 0) < 3 THEN 1 ELSE 0 END AS few_reviews, {_LEAD_DIF}
-FROM v_prj p LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN dm ON dm.prop_id = p.prop_id LEFT JOIN sm ON sm.lead = p.prop_id""")
+FROM v_prj p LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN held ON held.prop_id = p.prop_id LEFT JOIN dm ON dm.prop_id = p.prop_id LEFT JOIN sm ON sm.lead = p.prop_id""")
 def rpt_coding_flags(e):
     return reports.coding_flags(e)
 
@@ -127,15 +131,18 @@ def rpt_splits(e):
     return reports.split_rows(e)
 
 
-@query("rpt_split_flags", f"""WITH {_SPLITS} SELECT prop_id, budg_yr, splt_id, CASE WHEN "pPEC" <> "bPEC" THEN 1 ELSE 0 END AS "dif_PEC", CASE WHEN "propPRCs" IS DISTINCT FROM "bPRCs" THEN 1 ELSE 0 END AS "dif_PRCs",
-CASE WHEN row_number() OVER (PARTITION BY prop_id ORDER BY budg_yr, splt_id) = 1 THEN 1 ELSE 0 END AS new_group FROM sl""")
+@query("rpt_split_flags", f"""WITH {_SPLITS}, pset AS (SELECT prop_id, list_sort(list(DISTINCT rtrim(prop_atr_code))) AS codes FROM v_atr WHERE prop_atr_type_code = 'PRC' GROUP BY prop_id),
+bset AS (SELECT prop_id, budg_yr, splt_id, list_sort(list(DISTINCT rtrim(pgm_ref_code))) AS codes FROM v_splt_code GROUP BY ALL)
+SELECT sl.prop_id, sl.budg_yr, sl.splt_id, CASE WHEN "pPEC" <> "bPEC" THEN 1 ELSE 0 END AS "dif_PEC", (pset.codes IS DISTINCT FROM bset.codes)::INT AS "dif_PRCs",
+CASE WHEN row_number() OVER (PARTITION BY sl.prop_id ORDER BY sl.budg_yr, sl.splt_id) = 1 THEN 1 ELSE 0 END AS new_group
+FROM sl LEFT JOIN pset USING (prop_id) LEFT JOIN bset ON bset.prop_id = sl.prop_id AND bset.budg_yr = sl.budg_yr AND bset.splt_id = sl.splt_id""")
 def rpt_split_flags(e):
     return reports.split_flags(e)
 
 
 @query("rpt_award_check", f"""
 WITH {LATEST}, {LATEST_ROWS}, {RA}, {APPROVALS}, {COUNTRY}, yr AS (SELECT q.prop_id, {YEARS} FROM (SELECT DISTINCT prop_id FROM v_budg) q)
-SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.nsf_rcvd_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, ra."RAupdate", p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name,
+SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.received_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, ra."RAupdate", p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name,
   i.inst_shrt_name AS inst, i.st_code, ap.humn_date, ap.vrtb_date, cy."Country", round(nullif(lb.frgn, 0), 4) AS frgn_trav_tot, p.prop_titl_txt, lb.revn_num AS brevn, p.rqst_dol AS rqst_tot, round(lb.t, 2) AS budg_tot, yr.* EXCLUDE (prop_id),
   round(nullif(lb.sub_ctr, 0), 4) AS sub_ctr_tot, nullif(lb.part, 0) AS part_tot_cnt, pi.pi_emai_addr AS email
 FROM v_prj p {DIV} LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN ap ON ap.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id LEFT JOIN lb ON lb.prop_id = p.prop_id
@@ -145,7 +152,7 @@ def rpt_award_check(e):
 
 
 @query("rpt_award_flags", f"""
-WITH {LATEST}, {COUNTRY}, q AS (SELECT p.*, round(lb.t, 2) AS t, lb.sub_ctr, lb.part, coalesce(cy."Country", '') AS "Country" FROM v_prj p LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id)
+WITH {LATEST}, {ALL_COUNTRIES}, q AS (SELECT p.*, round(lb.t, 2) AS t, lb.sub_ctr, lb.part, coalesce(cy."Country", '') AS "Country" FROM v_prj p LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id)
 SELECT p.lead, p."ILN", p.prop_id, CASE WHEN p.rqst_dol < p.t THEN 1 ELSE 0 END AS below_budget, CASE WHEN p.rqst_dol > p.t THEN 1 ELSE 0 END AS above_budget,
   CASE WHEN (coalesce(p.sub_ctr, 0) > 0) <> (coalesce(p.part, 0) > 0) THEN 1 ELSE 0 END AS part_mismatch,
   """ + ", ".join(f"CASE WHEN p.\"ILN\" = 'N' AND p.\"{x}\" <> first_value(p.\"{x}\") OVER (PARTITION BY p.lead ORDER BY p.\"ILN\", p.prop_id) THEN 1 ELSE 0 END AS \"dif_{x}\"" for x in ("org_code", "pgm_ele_code", "Country", "prop_titl_txt")) + " FROM q p")
@@ -195,7 +202,7 @@ def rpt_people(e):
 
 @query("rpt_project_text", f"""
 WITH {BASE} SELECT bs.lead, bs."ILN", bs."Dir", bs."Div", bs.prop_id, bs.pi_last_name, bs.inst_name, bs.prop_titl_txt, (SELECT round(sum(p.rqst_dol), 2) FROM v_prj p WHERE p.lead = bs.lead) AS rqst_dol_tot,
-CASE WHEN d.n_chars > 15000 THEN 'Y' WHEN d.n_chars IS NOT NULL THEN 'N' END AS spcl_char_pdf, d.text AS proj_summ_txt, d.lang AS intul_mert, d.source AS brodr_impt FROM bs LEFT JOIN documents d ON d.doc_id = bs.prop_id WHERE bs."ILN" < 'M'""")
+CASE WHEN d.source LIKE '%7' THEN 'Y' WHEN d.doc_id IS NOT NULL THEN 'N' END AS spcl_char_pdf, d.text AS proj_summ_txt, d.lang AS intul_mert, d.source AS brodr_impt FROM bs LEFT JOIN documents d ON d.doc_id = bs.prop_id WHERE bs."ILN" < 'M'""")
 def rpt_project_text(e):
     return reports.project_text(e)
 
@@ -314,13 +321,13 @@ def _side(name: str) -> str:
 
 
 @query("rpt_tracker_proposal", f"""
-WITH {PANEL_ROWS}, {_codes('cp6', ' ', 6, True)}, sx AS (SELECT prop_id, min(panl_bgn_date) AS lo, max(panl_bgn_date) AS hi FROM pw GROUP BY prop_id),
+WITH {PANEL_ROWS}, {ADHOC}, {_codes('cp6', ' ', 6, True)}, sx AS (SELECT prop_id, min(panl_bgn_date) AS lo, max(panl_bgn_date) AS hi FROM pw GROUP BY prop_id),
 first AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.lo), last AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.hi AND sx.hi > sx.lo),
 mo AS (SELECT prop_id, round(sum(budg_splt_tot_dol), 2) AS split_tot_dol, max(frwd_date) AS split_frwd_date FROM v_splt GROUP BY prop_id)
-SELECT p.lead AS lead_id, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.rqst_dol, p.nsf_rcvd_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.bas_rsch_pct, p.prop_titl_txt,
-  pi.pi_last_name, pi.pi_gend_code, i.inst_shrt_name AS inst_name, cp6.codes AS "PRCs", {ADHOC}, {_side('first')}, {_side('last')}, mo.split_tot_dol, mo.split_frwd_date,
+SELECT p.lead AS lead_id, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.rqst_dol, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.bas_rsch_pct, p.prop_titl_txt,
+  pi.pi_last_name, pi.pi_gend_code, i.inst_shrt_name AS inst_name, cp6.codes AS "PRCs", {ADHOC_COLUMNS}, {_side('first')}, {_side('last')}, mo.split_tot_dol, mo.split_frwd_date,
   a.awd_id, a.tot_intn_awd_amt, a.awd_stts_code, a.awd_eff_date, a.awd_exp_date, i2.inst_shrt_name AS inst_awd
-FROM v_prj p JOIN {PRIMARY} JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cp6 ON cp6.prop_id = p.prop_id LEFT JOIN first ON first.prop_id = p.prop_id LEFT JOIN last ON last.prop_id = p.prop_id LEFT JOIN mo ON mo.prop_id = p.prop_id
+FROM v_prj p JOIN {PRIMARY} JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cp6 ON cp6.prop_id = p.prop_id LEFT JOIN ah ON ah.prop_id = p.prop_id LEFT JOIN first ON first.prop_id = p.prop_id LEFT JOIN last ON last.prop_id = p.prop_id LEFT JOIN mo ON mo.prop_id = p.prop_id
 LEFT JOIN v_awd a ON a.awd_id = p.prop_id LEFT JOIN v_inst i2 ON i2.inst_id = a.inst_id""")
 def rpt_tracker_proposal(e):
     return reports.tracker_proposal(e)
@@ -334,7 +341,7 @@ def _omit(e) -> DataFrame:
 @query("rpt_tracker_split", f"""
 WITH {PATTERNS}, {_codes('c11', ' ', 11)}, {SPLIT_CODES}, k AS (SELECT s.* FROM v_splt s WHERE s.pgm_ele_code LIKE 'S%' UNION SELECT s.* FROM v_splt s JOIN pt ON {MATCH}),
 o AS (SELECT s.* FROM k s WHERE NOT EXISTS (SELECT 1 FROM v_idlist l WHERE l.prop_id = s.prop_id AND s.budg_yr = 1999))
-SELECT s.prop_id, s.budg_yr, s.splt_id, round(s.budg_splt_tot_dol, 2) AS budg_splt_tot_dol, s.pgm_ele_code AS "PEC_bdg_splt", p."ILN", p.lead AS lead_id, p.nsf_rcvd_date, p.org_code, p.pgm_ele_code AS "PEC_prop", p.prop_stts_code,
+SELECT s.prop_id, s.budg_yr, s.splt_id, round(s.budg_splt_tot_dol, 2) AS budg_splt_tot_dol, s.pgm_ele_code AS "PEC_bdg_splt", p."ILN", p.lead AS lead_id, p.received_date, p.org_code, p.pgm_ele_code AS "PEC_prop", p.prop_stts_code,
   pi.pi_last_name, i.inst_shrt_name AS inst_name, p.rqst_dol, c11.codes AS "PropPRCs", sc.codes AS "BudgPRCs", a.awd_stts_code
 FROM o s JOIN v_prj p ON p.prop_id = s.prop_id LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN c11 ON c11.prop_id = s.prop_id LEFT JOIN sc ON sc.prop_id = s.prop_id AND sc.budg_yr = s.budg_yr AND sc.splt_id = s.splt_id
 LEFT JOIN v_awd a ON a.awd_id = s.prop_id""")

@@ -15,12 +15,12 @@ WITH t AS (SELECT p.lead, p."ILN", v.* FROM v_prj p JOIN v_text v ON v.prop_id =
 SELECT r.prop_id AS lead, r.prop_id, 'Review' AS doc_type, v.revr_last_name AS name, m.revr_addr_txt AS info, r.rev_stts_code AS stts, r.rev_due_date AS due, r.rev_rtrn_date AS returned, g.string AS score, d.text
   FROM v_rev r JOIN v_prj p ON p.prop_id = r.prop_id AND p."ILN" < 'M' JOIN v_rating g ON g.yn = r.rev_prop_rtng_ind JOIN v_revr v ON v.revr_id = r.revr_id
   JOIN v_revr_mail m ON m.revr_id = r.revr_id AND m.addr_lne_type_code = 'E' JOIN documents d ON d.doc_id = r.prop_id
-UNION ALL SELECT p.lead, r.prop_id, ' PanlSumm', ' ' || v.panl_name, r.panl_id, CAST(r.prop_ordr AS STRING), v.panl_bgn_date, NULL, r.rcom_abbr, 'Panel ' || v.panl_name || ': ' || coalesce(r.rcom_abbr, 'none')
-  FROM v_rec r JOIN v_prj p ON p.prop_id = r.prop_id AND p."ILN" < 'M' JOIN v_panl v ON v.panl_id = r.panl_id
+UNION ALL SELECT p.lead, a.prop_id, ' PanlSumm', ' ' || v.panl_name, a.panl_id, CAST(r.prop_ordr AS STRING), v.panl_bgn_date, NULL, r.rcom_abbr, 'Panel ' || v.panl_name || ': ' || coalesce(r.rcom_abbr, 'none')
+  FROM v_panl_prop a JOIN v_prj p ON p.prop_id = a.prop_id AND p."ILN" < 'M' JOIN v_panl v ON v.panl_id = a.panl_id LEFT JOIN v_rec r ON r.panl_id = a.panl_id AND r.prop_id = a.prop_id
 UNION ALL SELECT lead, prop_id, doc_type, author, NULL, NULL, NULL, NULL, NULL, text FROM t WHERE doc_type IN ('POCmnt', 'Abstr')
   AND ("ILN" < 'M' OR length(text) <> (SELECT max(length(l.text)) FROM v_text l WHERE l.prop_id = t.lead AND l.doc_type = t.doc_type))
 UNION ALL SELECT lead, prop_id, doc_type, author, NULL, NULL, NULL, NULL, NULL, text FROM t WHERE doc_type = 'xDiaryNt' OR (doc_type = 'RA' AND "ILN" < 'M')
-UNION ALL SELECT p.lead, p.prop_id, 'SummProj', NULL, NULL, NULL, NULL, NULL, NULL, d.text || d.lang || d.source FROM v_prj p JOIN documents d ON d.doc_id = p.prop_id WHERE p."ILN" < 'M' AND d.n_chars <= 15000""")
+UNION ALL SELECT p.lead, p.prop_id, 'SummProj', NULL, NULL, NULL, NULL, NULL, NULL, if(d.source LIKE '%7', '(in the PDF)', d.text || d.lang || d.source) FROM v_prj p JOIN documents d ON d.doc_id = p.prop_id WHERE p."ILN" < 'M'""")
 def txt_collect(e):
     return stages.collected(e)
 
@@ -31,9 +31,9 @@ def txt_nonlead_if_differs(e):
     return documents.unless_same_length(stages.narratives(e), selection.with_project(e.prop)).select("lead", "prop_id", "text")
 
 
-@query("txt_concat_sections", "SELECT doc_id AS prop_id, concat(text, lang, source) AS summ FROM documents WHERE NOT n_chars > 15000")
+@query("txt_concat_sections", "SELECT doc_id AS prop_id, if(source LIKE '%7', '(in the PDF)', concat(text, lang, source)) AS summ FROM documents")
 def txt_concat_sections(e):
-    return stages.summaries(e).filter(F.col("summ").isNotNull()).select("prop_id", "summ")
+    return stages.summaries(e).select("prop_id", "summ")
 
 
 def _ascii_sql(col: str) -> str:

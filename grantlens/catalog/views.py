@@ -13,7 +13,7 @@ SELECT o.o_orderkey AS prop_id,
   o.o_orderpriority AS pgm_ele_code,
   CASE WHEN o.o_orderkey % 7 = 0 THEN '5-LOW' ELSE o.o_orderpriority END AS orig_pgm_ele_code,
   o.o_orderstatus AS prop_stts_code, c.c_mktsegment AS natr_rqst_code,
-  o.o_totalprice AS rqst_dol, o.o_orderdate AS nsf_rcvd_date,
+  o.o_totalprice AS rqst_dol, o.o_orderdate AS received_date,
   CASE WHEN o.o_orderstatus = 'O' THEN DATE '1900-01-01' ELSE o.o_orderdate + INTERVAL 90 DAY END AS dd_rcom_date,
   CAST(CASE WHEN o.o_orderkey % 5 = 0 THEN 0.75 ELSE 1.0 END AS DOUBLE) AS bas_rsch_pct,
   CAST(CASE WHEN o.o_orderkey % 10 = 0 THEN 0.25 ELSE 0.0 END AS DOUBLE) AS other_pct,
@@ -181,7 +181,7 @@ SELECT CASE WHEN lead_prop_id IS NULL THEN 'I' WHEN lead_prop_id <> prop_id THEN
 SELECT doc_id AS prop_id, DATE '2001-01-01' + INTERVAL 1 DAY * CAST(n_chars % 1000 AS INT) AS last_updt_tmsp FROM documents
 """,
     "v_upld": """
-SELECT user_id AS prop_id, CASE WHEN event_type = 'click' THEN '034' ELSE '099' END AS ej_doc_type_code, ts AS last_updt_tmsp FROM events
+SELECT user_id AS prop_id, CASE WHEN event_type = 'click' THEN '034' ELSE '099' END AS upload_type_code, ts AS last_updt_tmsp FROM events
 """,
     "v_sugg": """
 SELECT doc_id + 5000000 AS temp_prop_id, text AS revr_want, concat(source, ' ', lang) AS revr_dont_want FROM documents

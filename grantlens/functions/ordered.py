@@ -63,6 +63,24 @@ def slots(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fields: d
         F.get("_items", F.lit(i))[f].alias(pattern.format(field=f, i=i + first)) for i in range(count) for f in fields])
 
 
+def numbered(df: DataFrame, keys: Sequence[str], items: Sequence[str], coarse: Column) -> DataFrame:
+    """All rows of every group with their position: keys, position, items.
+
+    Rows are ordered by the items, nulls first; equal rows follow one another. Nothing is cut, and no task holds a whole group: positions are
+    counted per coarse step of the order (`coarse` must grow with the first item).
+    """
+    rows = df.select(*keys, F.struct(*items).alias("_item"), coarse.alias("_coarse"))
+    placed = cumulative(rows, keys, "_item", F.col("_coarse"))
+    position = F.explode(F.sequence(F.col("n_lt") + 1, F.col("n_le")))
+    return placed.select(*keys, "_item", position.alias("position")).select(*keys, "position", "_item.*")
+
+
+def chunked(numbered_rows: DataFrame, keys: Sequence[str], value: Column, sep: str, size: int = 1000) -> DataFrame:
+    """Complete strings as numbered chunks: keys, chunk, joined (at most `size` values each), from the rows of `numbered`."""
+    rows = numbered_rows.withColumn("chunk", F.floor((F.col("position") - 1) / size)).withColumn("_v", value)
+    return rows.groupBy(*keys, "chunk").agg(joined("position", F.col("_v"), sep).alias("joined"))
+
+
 def cumulative(df: DataFrame, keys: Sequence[str], order: str, coarse: Column) -> DataFrame:
     """Per (group, value of `order`): n, and how many rows of the group are `<=` and `<` that value.
 

@@ -72,9 +72,12 @@ def title_flag(title: Column | str, tag: str) -> Column:
     return F.when(F.contains(F.upper(_c(title)), F.lit(tag.upper())), "Y")
 
 
+IN_PDF = "(in the PDF)"
+
+
 def sections(flag: Column | str, *texts: Column | str) -> Column:
-    """Sections joined to one text, or null where a PDF holds them."""
-    return F.when(_c(flag) != "Y", F.concat_ws("", *texts))
+    """Sections joined to one text, or a note where a PDF holds them."""
+    return F.when(_c(flag) == "Y", IN_PDF).otherwise(F.concat_ws("", *texts))
 
 
 def _c(x: Column | str) -> Column:

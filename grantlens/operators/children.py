@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions import criteria
 
@@ -35,3 +36,26 @@ def by_dimension(fact: DataFrame, dim: DataFrame, key: str, col: str, spec: str
     """Restrict by a column of a dimension; it is joined only when the specification restricts."""
     cond = criteria.predicate(dim[col], spec)
     return fact if cond is None else fact.join(dim.filter(cond).select(key), key, "left_semi")
+
+
+def holds(child: DataFrame, key: str, code: str, wanted: dict[str, str]) -> DataFrame:
+    """Per parent and wanted code: is it among the children, however many there are?"""
+    return child.groupBy(key).agg(*[F.max(F.rtrim(code) == value).alias(name) for name, value in wanted.items()])
+
+
+_BAG = "struct<n:bigint,total:decimal(38,0),mix:bigint>"
+
+
+def empty_bag() -> Column:
+    return F.expr(f"cast(named_struct('n', 0, 'total', 0, 'mix', 0) AS {_BAG})")
+
+
+def bag(child: DataFrame, keys: list[str], value: Column, name: str, distinct: bool = False) -> DataFrame:
+    """Per parent one value that is equal for equal children, in whatever order: their number and two sums of 64-bit hashes.
+
+    All parts are combined before the shuffle, so a parent with very many children costs no list.
+    """
+    rows = child.select(*keys, value.alias("_v"))
+    rows = rows.distinct() if distinct else rows
+    first, second = F.xxhash64("_v"), F.xxhash64(F.lit(1), F.col("_v"))
+    return rows.groupBy(*keys).agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(first.cast("decimal(28,0)")).alias("total"), F.bit_xor(second).alias("mix")).cast(_BAG).alias(name))

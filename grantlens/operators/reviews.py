@@ -17,7 +17,7 @@ CAP, WIDTH = 15, 50  # fixed values: places and width of a ratings string
 
 def with_rating(rev: DataFrame, rating: DataFrame) -> DataFrame:
     """Text and score of the packed rating (null where there is none)."""
-    return rev.join(rating.withColumnsRenamed({"yn": "rev_prop_rtng_ind", "string": "fl_string", "score": "fl_score"}),
+    return rev.join(rating.withColumnsRenamed({"yn": "rev_prop_rtng_ind", "string": "packed_string", "score": "packed_score"}),
                     "rev_prop_rtng_ind", "left")
 
 
@@ -28,9 +28,9 @@ def letter_score() -> Column:
 
 def reconciled() -> dict[str, Column]:
     """The packed rating where it has a score, else the letter."""
-    packed = F.col("fl_score").isNotNull()
-    return {"string": F.when(packed, F.col("fl_string")).otherwise(F.col("rev_prop_rtng_code")),
-            "score": F.when(packed, F.col("fl_score")).otherwise(letter_score())}
+    packed = F.col("packed_score").isNotNull()
+    return {"string": F.when(packed, F.col("packed_string")).otherwise(F.col("rev_prop_rtng_code")),
+            "score": F.when(packed, F.col("packed_score")).otherwise(letter_score())}
 
 
 def counts() -> Column:
@@ -46,14 +46,14 @@ def flags() -> dict[str, Column]:
     """Six 0/1 flags. The last and the unmarked one are 1 unless shown otherwise, so nulls count."""
     status, released = F.col("rev_stts_code"), F.col("rev_rlse_flag") == "Y"
     unreleasable = F.col("rev_prop_unrl_flag") == "Y"
-    agreed = status.isin("C", "D", "N", "R") | (F.col("rev_prop_rtng_code") == F.nullif("fl_string", F.lit(" ")))
+    agreed = status.isin("C", "D", "N", "R") | (F.col("rev_prop_rtng_code") == F.nullif("packed_string", F.lit(" ")))
     return {
         "confl": c.flag(status == "C"),
         "pendSlct": c.flag(status.isin("P", "S")),
         "unrlsbl": c.flag(unreleasable),
         "unmkd": F.when(F.col("rev_prop_rtng_ind").isNull() | released | unreleasable, 0).otherwise(1),
-        "rlsdCDNPS": c.flag(released & status.isin("C", "D", "N", "P", "S")),
-        "diffFLeJ": F.when(agreed, 0).otherwise(1),
+        "released_unfinished": c.flag(released & status.isin("C", "D", "N", "P", "S")),
+        "systems_differ": F.when(agreed, 0).otherwise(1),
     }
 
 
@@ -112,8 +112,8 @@ def ratings(reviews: DataFrame, keys: list[str], name: str, cap: int, width: int
 
 def marks(reviews: DataFrame) -> DataFrame:
     """Per project, conflicted reviews included: how many need attention (0 shown as null)."""
-    names = {"Nconfl": "confl", "Nunrlsbl": "unrlsbl", "NrlsdCDNPS": "rlsdCDNPS", "NpendSlct": "pendSlct",
-             "NdiffFLeJ": "diffFLeJ"}
+    names = {"Nconfl": "confl", "Nunrlsbl": "unrlsbl", "n_released_unfinished": "released_unfinished", "NpendSlct": "pendSlct",
+             "n_systems_differ": "systems_differ"}
     return reviews.groupBy("lead").agg(*[c.zero_to_null(F.sum(f)).alias(n) for n, f in names.items()])
 
 

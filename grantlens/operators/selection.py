@@ -108,7 +108,7 @@ def base_rows(projects: DataFrame, org: DataFrame, pi_primary: DataFrame, inst:
     )
 
 
-BASE = ["nsf_rcvd_date", "dd_rcom_date", "Dir", "org_code", "OrgLabel", "pgm_ele_code", "origPEC",
+BASE = ["received_date", "dd_rcom_date", "Dir", "org_code", "OrgLabel", "pgm_ele_code", "origPEC",
         "natr_rqst_code", "prop_stts_code", "ILN", "lead", "Div", "prop_id", "pi_last_name", "pi_frst_name",
         "inst_name", "st_code", "pi_emai_addr", "prop_titl_txt", "rqst_dol", "inst_id", "pi_id"]
 

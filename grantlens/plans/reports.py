@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..functions import criteria
 from ..functions.ordered import cumulative, ordered_concat, padded_concat, running_number, slots
-from ..operators import awards, budgets, changes, documents, panels, people, reviews, selection, splits
+from ..operators import awards, budgets, changes, children, documents, panels, people, reviews, selection, splits
 from ..sources import sinks
 from . import stages
 
@@ -31,7 +31,7 @@ def _heads(e) -> DataFrame:
 def last_update(e) -> DataFrame:
     """Per project the last change of its analysis, written or uploaded (type 034)."""
     heads = stages.heads(e)
-    both = e.ra.unionByName(e.upld.filter("ej_doc_type_code = '034'").select("prop_id", "last_updt_tmsp"))
+    both = e.ra.unionByName(e.upld.filter("upload_type_code = '034'").select("prop_id", "last_updt_tmsp"))
     return (both.groupBy("prop_id").agg(F.max("last_updt_tmsp").alias("RAupdate"))
             .join(heads, "prop_id", "left_semi").withColumnRenamed("prop_id", "lead"))
 
@@ -61,7 +61,7 @@ def project_wide(e) -> DataFrame:
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
     directorate = e.org.select(F.col("org_code").alias("_dir"), F.col("dir_div_abbr").alias("Dir"))
     facts = (selection.one_row_per_project(projects)
-             .select("lead", "nsf_rcvd_date", c.real_date("dd_rcom_date").alias("dd_rcom_date"), "org_code", "pgm_ele_code",
+             .select("lead", "received_date", c.real_date("dd_rcom_date").alias("dd_rcom_date"), "org_code", "pgm_ele_code",
                      "natr_rqst_code", "prop_stts_code", F.rtrim("prop_titl_txt").alias("prop_titl_txt"), "pi_id",
                      c.directorate_code("org_code").alias("_dir"))
              .join(division, "org_code").join(directorate, "_dir", "left").drop("_dir")
@@ -95,10 +95,10 @@ def coding_check(e) -> DataFrame:
             .join(on_head(reviews.marks(assessed)), "prop_id", "left")
             .join(on_head(on_panels), "prop_id", "left")
             .withColumn("RecRkMin", F.round("RecRkMin", 6))
-            .select("dd_rcom_date", "nsf_rcvd_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "bas_rsch_pct",
+            .select("dd_rcom_date", "received_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "bas_rsch_pct",
                     "other_pct", F.col("R").alias("propPRCs"), "st_code", "RAupdate", "lead", "ILN", "Div", "prop_id", "pi_last_name",
                     "pi_frst_name", F.col("inst_shrt_name").alias("inst"), "nPanl", "nPSunmrkd", "nPSunrls", "RecRkMin", "Nrev",
-                    "allReviews", "avg_score", "last_rev_date", "Nunmkd", "Nconfl", "Nunrlsbl", "NrlsdCDNPS", "NpendSlct", "NdiffFLeJ",
+                    "allReviews", "avg_score", "last_rev_date", "Nunmkd", "Nconfl", "Nunrlsbl", "n_released_unfinished", "NpendSlct", "n_systems_differ",
                     "prop_titl_txt", F.col("rqst_dol").alias("rqst_tot"), "NfmlPIs", "NhispPIs", "NhndcpPIs", "NnonWhtAsnPIs",
                     F.col("pi_emai_addr").alias("email")))
 
@@ -112,13 +112,13 @@ def coding_flags(e, states=("S1", "S2"), state_code="0015", people_code="0012",
     counted = assessed.filter("confl = 0").groupBy(F.col("lead").alias("prop_id")).agg(F.count("revr_id").alias("Nrev"))
     rows = (stages.differs_from_lead(_projects(e), wanted)
             .join(e.inst.select("inst_id", "st_code"), "inst_id", "left")
-            .join(stages.codes_space(e.atr), "prop_id", "left")
+            .join(children.holds(stages.codes_of(e.atr), "prop_id", "prop_atr_code", {"has_state": state_code, "has_people": people_code}), "prop_id", "left")
             .join(demog, "prop_id", "left").join(counted, "prop_id", "left"))
     counted_people = F.col("NfmlPIs") + F.col("NhispPIs") + F.col("NhndcpPIs") + F.col("NnonWhtAsnPIs") > 0
     return rows.select(
         "lead", "ILN", "prop_id", c.flag(F.col("bas_rsch_pct") + F.col("other_pct") != 1).alias("bad_pct"),
-        c.flag(c.differs(F.col("st_code").isin(*states), F.contains("R", F.lit(state_code)))).alias("bad_state"),
-        c.flag(c.differs(counted_people, F.contains("R", F.lit(people_code)))).alias("bad_people"),
+        c.flag(c.differs(F.col("st_code").isin(*states), F.col("has_state"))).alias("bad_state"),
+        c.flag(c.differs(counted_people, F.col("has_people"))).alias("bad_people"),
         c.flag(c.heads_project() & (F.coalesce("Nrev", F.lit(0)) < reviews_wanted)).alias("few_reviews"),
         *[f"dif_{x}" for x in wanted])
 
@@ -135,11 +135,13 @@ def split_rows(e) -> DataFrame:
 
 
 def split_flags(e) -> DataFrame:
-    rows = split_rows(e)
+    rows = (split_rows(e)
+            .join(children.bag(stages.codes_of(e.atr), ["prop_id"], F.rtrim("prop_atr_code"), "_prop_codes"), "prop_id", "left")
+            .join(children.bag(e.splt_code, ["prop_id", "budg_yr", "splt_id"], F.rtrim("pgm_ref_code"), "_splt_codes", True), ["prop_id", "budg_yr", "splt_id"], "left"))
     first = rows.groupBy("prop_id").agg(F.min(F.struct("budg_yr", "splt_id")).alias("_f"))
     return rows.join(first, "prop_id").select(
         "prop_id", "budg_yr", "splt_id", c.flag(F.col("pPEC") != F.col("bPEC")).alias("dif_PEC"),
-        c.flag(F.coalesce("propPRCs", F.lit("")) != F.coalesce("bPRCs", F.lit(""))).alias("dif_PRCs"),
+        c.flag(~F.col("_prop_codes").eqNullSafe(F.col("_splt_codes"))).alias("dif_PRCs"),
         c.flag(F.struct("budg_yr", "splt_id") == F.col("_f")).alias("new_group"))
 
 
@@ -161,7 +163,7 @@ def award_check(e) -> DataFrame:
             .join(last_update(e), "lead", "left")
             .join(approvals(e), "prop_id", "left").join(stages.countries(e), "prop_id", "left")
             .join(totals, "prop_id", "left").join(budgets.year_columns(e.budg), "prop_id", "left")
-            .select("dd_rcom_date", "nsf_rcvd_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "RAupdate", "lead",
+            .select("dd_rcom_date", "received_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "RAupdate", "lead",
                     "ILN", "Div", "prop_id", "pi_last_name", F.col("inst_shrt_name").alias("inst"), "st_code", "humn_date", "vrtb_date",
                     "Country", "frgn_trav_tot", "prop_titl_txt", "brevn", F.col("rqst_dol").alias("rqst_tot"), "budg_tot",
                     *[f"y{y}_tot" for y in range(1, 7)], "sub_ctr_tot", "part_tot_cnt", F.col("pi_emai_addr").alias("email")))
@@ -170,8 +172,9 @@ def award_check(e) -> DataFrame:
 def award_flags(e) -> DataFrame:
     """Request against budget, subcontract money against head count, non-leads against their lead."""
     totals = budgets.totals(e.budg)
-    rows = (_projects(e).join(totals, "prop_id", "left").join(stages.countries(e), "prop_id", "left")
-            .withColumn("T", F.round("T", 2)).withColumn("Country", F.coalesce("Country", F.lit(""))))
+    rows = (_projects(e).join(totals, "prop_id", "left").join(
+        children.bag(stages.country_rows(e), ["prop_id"], F.col("ctry_name"), "Country"), "prop_id", "left")
+            .withColumn("T", F.round("T", 2)).withColumn("Country", F.coalesce("Country", children.empty_bag())))
     marked = stages.differs_from_lead(rows, ["org_code", "pgm_ele_code", "Country", "prop_titl_txt"])
     return marked.select(
         "lead", "ILN", "prop_id", c.flag(F.col("rqst_dol") < F.col("T")).alias("below_budget"),
@@ -376,7 +379,7 @@ def tracker_split(e, include: DataFrame, omit: DataFrame, spec="S%") -> DataFram
     chosen = criteria.predicate("pgm_ele_code", spec)
     kept = splits.tracked(e.splt, chosen, include, omit)
     rows = stages.proposal_rows(e)
-    proposal = rows.select("prop_id", "ILN", F.col("lead").alias("lead_id"), "nsf_rcvd_date", "org_code", F.col("pgm_ele_code").alias("PEC_prop"),
+    proposal = rows.select("prop_id", "ILN", F.col("lead").alias("lead_id"), "received_date", "org_code", F.col("pgm_ele_code").alias("PEC_prop"),
                            "prop_stts_code", "pi_last_name", F.col("inst_shrt_name").alias("inst_name"), "rqst_dol")
     codes = ordered_concat(stages.codes_of(e.atr), ["prop_id"], [F.col("prop_atr_code")], F.rtrim("prop_atr_code"), " ", 11, name="PropPRCs")
     award = e.awd.select(F.col("awd_id").alias("prop_id"), "awd_stts_code")

@@ -58,11 +58,15 @@ def short_reviews(e):
             .join(rated, "rev_prop_rtng_ind"))
 
 
-def countries(e):
-    """Countries of a proposal, the first one included."""
-    rows = (e.subm.join(e.item.filter(F.col("end_date").isNull()), "temp_prop_id")
+def country_rows(e):
+    """Countries of a proposal, one a row."""
+    return (e.subm.join(e.item.filter(F.col("end_date").isNull()), "temp_prop_id")
             .join(e.ctry.withColumnRenamed("ctry_code", "spcl_item_code"), "spcl_item_code"))
-    return ordered_concat(rows, ["prop_id"], [F.col("ctry_name")], "ctry_name", "; ", 8, name="Country")
+
+
+def countries(e):
+    """The first eight countries of a proposal; `all_countries` lists them all."""
+    return ordered_concat(country_rows(e), ["prop_id"], [F.col("ctry_name")], "ctry_name", "; ", 8, name="Country")
 
 
 def routing(e):
@@ -210,8 +214,8 @@ def narratives(e):
 
 
 def summaries(e):
-    """Project summaries of three sections; long ones are in a PDF."""
-    return (narratives(e).withColumn("spcl_char_pdf", F.when(F.col("n_chars") > 15000, "Y").otherwise("N"))
+    """Project summaries of three sections, or a note where the stored flag says that a PDF holds them."""
+    return (narratives(e).withColumn("spcl_char_pdf", F.when(F.col("source").endswith("7"), "Y").otherwise("N"))
             .withColumn("summ", text.sections("spcl_char_pdf", "text", "lang", "source")))
 
 
@@ -229,7 +233,8 @@ def collected(e):
     lead_rows = selection.one_row_per_project(rows).select("prop_id", "lead")
     s = documents.as_stream
     kinds = {k: e.text.filter(F.col("doc_type") == k) for k in ("POCmnt", "RA", "Abstr", "xDiaryNt")}
-    said = (e.rec.join(lead_rows, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
+    said = (e.panl_prop.select("panl_id", "prop_id").join(lead_rows, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
+            .join(e.rec.select("panl_id", "prop_id", "rcom_abbr", "prop_ordr"), ["panl_id", "prop_id"], "left")
             .withColumn("t", F.concat(F.lit("Panel "), F.col("panl_name"), F.lit(": "), F.coalesce("rcom_abbr", F.lit("none")))))
     parts = [
         s(review_rows(e), "Review", lead="prop_id", prop_id="prop_id", name="revr_last_name", info="revr_email",
@@ -239,7 +244,7 @@ def collected(e):
         s(documents.unless_same_length(kinds["POCmnt"], rows), "POCmnt", lead="lead", prop_id="prop_id", name="author", text="text"),
         s(kinds["RA"].join(lead_rows, "prop_id"), "RA", lead="lead", prop_id="prop_id", name="author", text="text"),
         s(documents.unless_same_length(kinds["Abstr"], rows), "Abstr", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(summaries(e).filter(F.col("summ").isNotNull()).join(lead_rows, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
+        s(summaries(e).join(lead_rows, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
         s(kinds["xDiaryNt"].join(rows, "prop_id"), "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text"),
     ]
     out = parts[0]

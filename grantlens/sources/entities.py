@@ -60,7 +60,7 @@ class Entities:
                 F.col("o_orderstatus").alias("prop_stts_code"),
                 F.col("c_mktsegment").alias("natr_rqst_code"),
                 F.col("o_totalprice").alias("rqst_dol"),
-                F.col("o_orderdate").alias("nsf_rcvd_date"),
+                F.col("o_orderdate").alias("received_date"),
                 F.when(F.col("o_orderstatus") == "O", F.lit("1900-01-01").cast("timestamp_ntz"))
                 .otherwise(F.col("o_orderdate") + _days(90)).alias("dd_rcom_date"),
                 F.when(k % 5 == 0, 0.75).otherwise(1.0).alias("bas_rsch_pct"),
@@ -416,7 +416,7 @@ class Entities:
     def upld(self) -> DataFrame:
         """Uploaded documents; type 034 is an analysis."""
         return self.table("events").select(
-            F.col("user_id").alias("prop_id"), F.when(F.col("event_type") == "click", "034").otherwise("099").alias("ej_doc_type_code"),
+            F.col("user_id").alias("prop_id"), F.when(F.col("event_type") == "click", "034").otherwise("099").alias("upload_type_code"),
             F.col("ts").alias("last_updt_tmsp"))
 
     @cached_property

@@ -148,8 +148,8 @@ def test_review_truth_table(spark):
         assert got[i].score == want and got[i].string == (text_of[pk] if score is not None else letter)
         assert got[i].unmkd == (0 if pk is None or released == "Y" or unrel == "Y" else 1)
         same = letter is not None and pk is not None and letter == text_of[pk]
-        assert got[i].diffFLeJ == (0 if status in "CR" or same else 1)
-        assert got[i].rlsdCDNPS == (1 if released == "Y" and status in "CP" else 0)
+        assert got[i].systems_differ == (0 if status in "CR" or same else 1)
+        assert got[i].released_unfinished == (1 if released == "Y" and status in "CP" else 0)
 
 
 def test_summary_without_scores(spark):
