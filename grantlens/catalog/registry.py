@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..session import isolated
 from ..sources.entities import Entities
 from .views import with_views
 
@@ -22,7 +22,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Entities(tune(spark, folder), folder))
+            return fn(Entities(isolated(spark), folder, sized=True))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

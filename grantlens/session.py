@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import io
 import os
+import re
+import shutil
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only: they can be changed on a session somebody else created.
 RUNTIME = {
@@ -17,33 +23,44 @@ RUNTIME = {
 }
 
 
-SHUFFLE_BYTES = 128 * 1024 * 1024  # of compressed input per initial shuffle partition
+PARTITION_BYTES = 1 << 30  # of input that is read, per initial shuffle partition
+MOST_PARTITIONS = 32_768  # map outputs times this many blocks is what the driver keeps track of
 
 
-def tune(spark: SparkSession, folder: str | None = None) -> SparkSession:
-    """Switch on the adaptive settings above, and start shuffles with enough partitions for the data.
+def initial_partitions(read_bytes: int, asked: int) -> int:
+    """Shuffle partitions to start with, for a query that reads so many bytes; adaptive execution joins small ones."""
+    return max(asked, min(-(-read_bytes // PARTITION_BYTES), MOST_PARTITIONS))
 
-    The number grows with the size of the tables and never falls below what the session asked for;
-    adaptive execution joins small partitions again, so starting high costs little.
-    """
+
+def isolated(spark: SparkSession) -> SparkSession:
+    """A session of its own for one query, with the caller's settings and the adaptive ones above; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
     for key, value in RUNTIME.items():
-        spark.conf.set(key, value)
-    if folder is not None:
-        asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = max(asked, -(-input_bytes(spark, folder) // SHUFFLE_BYTES))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return spark
+        own.conf.set(key, value)
+    return own
+
 
+def table_bytes(table: DataFrame) -> int:
+    """Size of a table as Spark's plan statistics give it; no data is read."""
+    with contextlib.redirect_stdout(io.StringIO()) as told:
+        table.explain(mode="cost")
+    found = re.search(r"sizeInBytes=([0-9.E+]+) ([KMGTPE]?)i?B", told.getvalue())
+    return int(float(found[1]) * 1024 ** " KMGTPE".index(found[2] or " ")) if found else 0
 
-def input_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of the tables, from the file system's own summary (no data is read)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return path.getFileSystem(conf).getContentSummary(path).getLength()
+
+def expect(spark: SparkSession, read_bytes: int) -> None:
+    """Start this session's shuffles with partitions for what its query reads."""
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions(read_bytes, asked)))
 
 
 def local_session(cores: int | str = 8, app: str = "grantlens") -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+    """A session for tests and benchmarks on one machine, with a shared folder of its own."""
+    shared = tempfile.mkdtemp(prefix=f"{app}-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -53,9 +70,12 @@ def local_session(cores: int | str = 8, app: str = "grantlens") -> SparkSession:
         .config("spark.driver.memory", os.environ.get("GRANTLENS_DRIVER_MEMORY", "12g"))
         .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=768m -XX:+UseParallelGC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", f"file://{shared}")
         .config("spark.sql.codegen.cache.maxEntries", "2000")  # wide reports have many stages
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return tune(spark)
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark

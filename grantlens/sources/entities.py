@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordered import previous_value
+from ..session import expect, table_bytes
 from .inputs import rating_table
 from .tables import scan
 
@@ -25,14 +26,19 @@ def _text(c: Column) -> Column:
 
 
 class Entities:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, sized: bool = False):
+        """With `sized`, the session is this query's own and its shuffles follow what the opened tables hold."""
+        self.spark, self.folder, self.sized = spark, folder, sized
         self._tables: dict[str, DataFrame] = {}
+        self._bytes = 0
 
     def table(self, name: str) -> DataFrame:
         """A base table; its footer is read once per set of entities."""
         if name not in self._tables:
             self._tables[name] = scan(self.spark, self.folder, name)
+            if self.sized:
+                self._bytes += table_bytes(self._tables[name])
+                expect(self.spark, self._bytes)
         return self._tables[name]
 
     @cached_property

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import time
 import uuid
 
@@ -13,10 +10,9 @@ from pyspark.sql import functions as F
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder for this application below the shared one the cluster names.
+    """A fresh folder for this application below the shared one that spark.checkpoint.dir names.
 
-    A local session without that setting gets a temporary folder of its own; a cluster without it
-    is an error, since executors do not share a local disk.
+    Where that is unset it is the warehouse, which a cluster shares as well; never a machine-local temporary folder.
     """
     return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
 
@@ -28,20 +24,9 @@ def clear_work(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-_LOCAL: dict[str, str] = {}
-
-
 def _application_folder(spark: SparkSession) -> str:
-    app = spark.sparkContext.applicationId
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if app not in _LOCAL:
-            _LOCAL[app] = tempfile.mkdtemp(prefix="grantlens-")
-            atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
-        base = _LOCAL[app]
-    return f"{base.rstrip('/')}/grantlens/{app}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    return f"{base.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
 
 
 def save_result(df: DataFrame, path: str) -> dict[str, object]:
