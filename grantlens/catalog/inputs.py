@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import columns as c
 from ..operators import selection
 from ..sources import inputs, sinks, tables
 from .registry import query
@@ -52,7 +53,7 @@ def src_paste_ids(e):
 
 
 @query("src_literal_table", """
-SELECT t.splt_id, t.budg_yr, t.label, count(*) AS n, round(sum(s.budg_splt_tot_dol), 2) AS dol
+SELECT t.splt_id, t.budg_yr, t.label, count(*) AS n, CAST(CAST(sum(CAST(s.budg_splt_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS dol
 FROM (VALUES ('1', 1996, 'first'), ('2', NULL, NULL), ('3', 1997, NULL)) AS t(splt_id, budg_yr, label)
 JOIN v_splt s ON s.splt_id = t.splt_id AND coalesce(t.budg_yr, s.budg_yr) = s.budg_yr
 GROUP BY t.splt_id, t.budg_yr, t.label""")
@@ -62,7 +63,7 @@ def src_literal_table(e):
     t = F.broadcast(t.withColumnRenamed("budg_yr", "t_yr"))  # typed in by hand
     return (e.splt.join(t, "splt_id").filter(F.col("t_yr").isNull() | (F.col("t_yr") == F.col("budg_yr")))
             .groupBy("splt_id", F.col("t_yr").alias("budg_yr"), "label")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("budg_splt_tot_dol"), 2).alias("dol")))
+            .agg(F.count(F.lit(1)).alias("n"), c.money("budg_splt_tot_dol").alias("dol")))
 
 
 @query("src_rating_map", """

@@ -60,7 +60,7 @@ def jn_name_triple(e):
 
 LAST_AWARD = """aw AS (SELECT pi_id, count(*) AS "NumAwd", max(strftime(awd_eff_date, '%Y.%m.%d') || ' ' || awd_id || '.' || proj_role_code) AS l FROM v_awd_pi
   WHERE awd_eff_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31' GROUP BY pi_id),
-am AS (SELECT CAST(prop_id AS STRING) AS awd_id, CAST(round(sum(budg_splt_tot_dol), 2) AS DECIMAL(18,2)) AS amt FROM v_splt GROUP BY prop_id)"""
+am AS (SELECT CAST(prop_id AS STRING) AS awd_id, CAST(CAST(CAST(sum(CAST(budg_splt_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS DECIMAL(18,2)) AS amt FROM v_splt GROUP BY prop_id)"""
 
 
 @query("jn_substring_key", f"""WITH {LAST_AWARD} SELECT aw.pi_id, CAST(am.awd_id AS BIGINT) AS awd_id, CAST(am.amt AS DOUBLE) AS awd_amt

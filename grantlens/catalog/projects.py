@@ -107,9 +107,9 @@ def prj_with_template(e):
 
 
 @query("prj_totals", """
-WITH b AS (SELECT prop_id, revn_num, sum(budg_tot_dol) AS t FROM v_budg x
+WITH b AS (SELECT prop_id, revn_num, CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS t FROM v_budg x
   WHERE NOT EXISTS (SELECT 1 FROM v_budg y WHERE y.prop_id = x.prop_id AND y.revn_num > x.revn_num) GROUP BY prop_id, revn_num)
-SELECT p.lead, round(sum(p.rqst_dol), 2) AS rqst_tot, round(sum(b.t), 2) AS budg_tot, max(b.revn_num) AS "budRevnMax"
+SELECT p.lead, CAST(CAST(sum(CAST(p.rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS rqst_tot, CAST(CAST(sum(CAST(b.t AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS budg_tot, max(b.revn_num) AS "budRevnMax"
 FROM v_prj p LEFT JOIN b ON b.prop_id = p.prop_id GROUP BY p.lead""")
 def prj_totals(e):
     return selection.project_totals(selection.with_project(e.prop), budgets.totals(e.budg))

@@ -85,7 +85,7 @@ sp AS (SELECT lead, {_slot_sql(_PANEL_SLOTS, 3).replace('CASE n WHEN', 'CASE slo
 pp AS (SELECT p.lead, p.prop_id, pi.pi_last_name, pi.pi_frst_name, pi.pi_emai_addr, i.inst_shrt_name, p.rqst_dol, round(lb.t, 2) AS t, lb.revn_num, cd."R" AS r,
   row_number() OVER (PARTITION BY p.lead ORDER BY p."ILN", p.prop_id) AS n FROM v_prj p LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cd ON cd.prop_id = p.prop_id),
 ss AS (SELECT lead, {_slot_sql(dict(stages.PROP_FIELDS, btot='t', PRC='r'), 7)} FROM pp GROUP BY lead),
-tt AS (SELECT lead, round(sum(rqst_dol), 2) AS rqst_tot, round(sum(t), 2) AS budg_tot, max(revn_num) AS "budRevnMax", substr(string_agg(CASE WHEN n <= 7 THEN pi_emai_addr END, ';' ORDER BY n), 1, 255) AS "allPIemail" FROM pp GROUP BY lead)
+tt AS (SELECT lead, CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS rqst_tot, CAST(CAST(sum(CAST(t AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS budg_tot, max(revn_num) AS "budRevnMax", substr(string_agg(CASE WHEN n <= 7 THEN pi_emai_addr END, ';' ORDER BY n), 1, 255) AS "allPIemail" FROM pp GROUP BY lead)
 SELECT p.lead, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.org_code, p.pgm_ele_code, p.natr_rqst_code, p.prop_stts_code, rtrim(p.prop_titl_txt) AS prop_titl_txt,
   o.dir_div_abbr AS "Div", o2.dir_div_abbr AS "Dir", pi.pi_emai_addr AS email, ra."RAupdate", sm.* EXCLUDE (lead), mk."Nunrlsbl", ah."N" AS "AhNrev", ah."V" AS "AhRevs", ah.last_rev_date AS "AhLast",
   sp.* EXCLUDE (lead), pl."nPanl", ss.* EXCLUDE (lead), tt.* EXCLUDE (lead), {RANK_SCORE} AS "RecRkMin"
@@ -165,13 +165,13 @@ WITH {CODES}, {LATEST_ROWS}
 SELECT p.lead, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, cd."R" AS "PRCs", '' AS pi_last_name, '' AS inst_name, round(b.frgn_trav_dol, 4) AS frgn_trav_dol, b.part_cnt, b.revn_num, b.budg_seq_yr, round(b.budg_tot_dol, 2) AS dol
 FROM v_prj p LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN lr b ON b.prop_id = p.prop_id
 UNION ALL SELECT p.lead, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, cd."R", pi.pi_last_name, i.inst_shrt_name, NULL, NULL, (SELECT max(revn_num) FROM lr b WHERE b.prop_id = p.prop_id), NULL,
-  (SELECT round(sum(budg_tot_dol), 2) FROM lr b WHERE b.prop_id = p.prop_id) FROM v_prj p LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id""")
+  (SELECT CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) FROM lr b WHERE b.prop_id = p.prop_id) FROM v_prj p LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id""")
 def rpt_budget_blocks(e):
     return reports.budget_blocks(e)
 
 
 @query("rpt_projects", f"""
-WITH {BASE}, k AS (SELECT lead, count(*) AS "nProp", CAST(sum(1 + (SELECT count(*) FROM v_copi c WHERE c.prop_id = p.prop_id)) AS BIGINT) AS "nPI", round(sum(rqst_dol), 2) AS rqst_dol_tot FROM v_prj p GROUP BY lead),
+WITH {BASE}, k AS (SELECT lead, count(*) AS "nProp", CAST(sum(1 + (SELECT count(*) FROM v_copi c WHERE c.prop_id = p.prop_id)) AS BIGINT) AS "nPI", CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS rqst_dol_tot FROM v_prj p GROUP BY lead),
 pc AS (SELECT prop_id, count(*) AS n, max(panl_id) AS m FROM v_panl_prop GROUP BY prop_id)
 SELECT bs.* EXCLUDE (rqst_dol), k.* EXCLUDE (lead), coalesce(pc.n, 0) AS "nPanl", pc.m AS panl_idmax, bs.pi_last_name || ', ' || bs.pi_frst_name AS pi_name FROM bs JOIN k ON k.lead = bs.lead LEFT JOIN pc ON pc.prop_id = bs.lead WHERE bs."ILN" < 'M'""")
 def rpt_projects(e):
@@ -201,7 +201,7 @@ def rpt_people(e):
 
 
 @query("rpt_project_text", f"""
-WITH {BASE} SELECT bs.lead, bs."ILN", bs."Dir", bs."Div", bs.prop_id, bs.pi_last_name, bs.inst_name, bs.prop_titl_txt, (SELECT round(sum(p.rqst_dol), 2) FROM v_prj p WHERE p.lead = bs.lead) AS rqst_dol_tot,
+WITH {BASE} SELECT bs.lead, bs."ILN", bs."Dir", bs."Div", bs.prop_id, bs.pi_last_name, bs.inst_name, bs.prop_titl_txt, (SELECT CAST(CAST(sum(CAST(p.rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) FROM v_prj p WHERE p.lead = bs.lead) AS rqst_dol_tot,
 CASE WHEN d.source LIKE '%7' THEN 'Y' WHEN d.doc_id IS NOT NULL THEN 'N' END AS spcl_char_pdf, d.text AS proj_summ_txt, d.lang AS intul_mert, d.source AS brodr_impt FROM bs LEFT JOIN documents d ON d.doc_id = bs.prop_id WHERE bs."ILN" < 'M'""")
 def rpt_project_text(e):
     return reports.project_text(e)
@@ -323,7 +323,7 @@ def _side(name: str) -> str:
 @query("rpt_tracker_proposal", f"""
 WITH {PANEL_ROWS}, {ADHOC}, {_codes('cp6', ' ', 6, True)}, sx AS (SELECT prop_id, min(panl_bgn_date) AS lo, max(panl_bgn_date) AS hi FROM pw GROUP BY prop_id),
 first AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.lo), last AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.hi AND sx.hi > sx.lo),
-mo AS (SELECT prop_id, round(sum(budg_splt_tot_dol), 2) AS split_tot_dol, max(frwd_date) AS split_frwd_date FROM v_splt GROUP BY prop_id)
+mo AS (SELECT prop_id, CAST(CAST(sum(CAST(budg_splt_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS split_tot_dol, max(frwd_date) AS split_frwd_date FROM v_splt GROUP BY prop_id)
 SELECT p.lead AS lead_id, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.rqst_dol, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.bas_rsch_pct, p.prop_titl_txt,
   pi.pi_last_name, pi.pi_gend_code, i.inst_shrt_name AS inst_name, cp6.codes AS "PRCs", {ADHOC_COLUMNS}, {_side('first')}, {_side('last')}, mo.split_tot_dol, mo.split_frwd_date,
   a.awd_id, a.tot_intn_awd_amt, a.awd_stts_code, a.awd_eff_date, a.awd_exp_date, i2.inst_shrt_name AS inst_awd
@@ -355,7 +355,7 @@ pr AS (SELECT * FROM lp UNION SELECT p.lead, p.prop_id, c.pi_id FROM lp p JOIN v
 
 @query("rpt_pi_awards", f"""
 WITH {_PAIRS}, mn AS (SELECT t.awd_id, t.n AS "totPIs", o.* EXCLUDE (oblg_id) FROM (SELECT awd_id, count(DISTINCT pi_id) AS n FROM v_awd_pi WHERE end_date IS NULL GROUP BY awd_id) t
-  JOIN (SELECT oblg_id, round(sum(oblg_amt), 2) AS "totOblg_amt", round(sum(cuml_xpnd_amt), 2) AS "totCuml_xpnd_amt", max(last_pymt_date) AS last_pymt_date FROM v_oblg GROUP BY oblg_id) o ON o.oblg_id = t.awd_id)
+  JOIN (SELECT oblg_id, CAST(CAST(sum(CAST(oblg_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totOblg_amt", CAST(CAST(sum(CAST(cuml_xpnd_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totCuml_xpnd_amt", max(last_pymt_date) AS last_pymt_date FROM v_oblg GROUP BY oblg_id) o ON o.oblg_id = t.awd_id)
 SELECT pr.lead, pr.prop_id, pr.pi_id, w.awd_id, w.proj_role_code, a.tot_intn_awd_amt, a.awd_exp_date, mn.* EXCLUDE (awd_id), pi.pi_last_name, pi.pi_frst_name, pi.pi_emai_addr, i.inst_shrt_name AS inst_name, i2.inst_shrt_name AS inst_awd
 FROM pr JOIN v_awd_pi w ON w.pi_id = pr.pi_id AND w.end_date IS NULL JOIN v_awd a ON a.awd_id = w.awd_id AND a.awd_stts_code = '80' JOIN mn ON mn.awd_id = w.awd_id JOIN v_pi pi ON pi.pi_id = pr.pi_id JOIN v_inst i ON i.inst_id = pi.inst_id
 JOIN v_inst i2 ON i2.inst_id = a.inst_id""")
@@ -392,7 +392,7 @@ def rpt_compliance_prop(e):
 
 @query("rpt_compliance_proj", f"""
 WITH {PRESENT}, {PEOPLE}, b AS (SELECT p.lead, sum(x.budg_tot_dol) AS cum, sum(x.sub_ctr_dol) AS pdoc FROM v_budg x JOIN v_prj p ON p.prop_id = x.prop_id WHERE x.revn_num = 0 GROUP BY p.lead),
-t AS (SELECT lead, round(sum(rqst_dol), 2) AS tot_rqst_dol, CASE WHEN min(prop_titl_txt) <> max(prop_titl_txt) THEN 'Y' END AS dif_titl_collab FROM v_prj GROUP BY lead),
+t AS (SELECT lead, CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS tot_rqst_dol, CASE WHEN min(prop_titl_txt) <> max(prop_titl_txt) THEN 'Y' END AS dif_titl_collab FROM v_prj GROUP BY lead),
 s AS (SELECT lead, count(*) AS "NumPIs", count("LastAwd") AS "NumRPS", {_slot_sql(stages.PEOPLE_FIELDS, 10, 'pi{i}_{f}')} FROM ps GROUP BY lead)
 SELECT p.lead, p.org_code, p.pgm_ele_code, CASE WHEN upper(p.prop_titl_txt) LIKE '%GOALI%' THEN 'Y' END AS "GOALI_flag", dp.pd AS "ProjDesc", dp.rc AS "RefCited", CASE WHEN b.pdoc > 0 AND NOT dp.mp THEN 'No MP' ELSE dp.mp_pg END AS "MentPlan",
   dp.dmp AS "DMP", t.dif_titl_collab, t.tot_rqst_dol, round(b.cum, 2) AS cumulative_tot_dol, nullif(round(b.cum - coalesce(t.tot_rqst_dol, 0), 2), 0) AS "Diff_tot_dol", s.* EXCLUDE (lead)
@@ -408,7 +408,7 @@ def rpt_list_found(e):
 
 
 @query("rpt_portfolio", """
-SELECT q.*, o.dir_div_abbr AS "Dir" FROM (SELECT left(org_code, 4) AS "Org", pgm_ele_code, natr_rqst_code, count(prop_id) AS "Nprop", CAST(sum(CASE WHEN lead_prop_id <> prop_id THEN 0 ELSE 1 END) AS BIGINT) AS "Nproj", round(sum(rqst_dol), 2) AS "SumRqstDol"
+SELECT q.*, o.dir_div_abbr AS "Dir" FROM (SELECT left(org_code, 4) AS "Org", pgm_ele_code, natr_rqst_code, count(prop_id) AS "Nprop", CAST(sum(CASE WHEN lead_prop_id <> prop_id THEN 0 ELSE 1 END) AS BIGINT) AS "Nproj", CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "SumRqstDol"
 FROM v_prop GROUP BY 1, 2, 3) q JOIN v_org o ON o.org_code = left(q."Org", 2) || '000000'""")
 def rpt_portfolio(e):
     return reports.portfolio(e)

@@ -75,7 +75,7 @@ def win_slots_panels(e):
 
 
 # the budget of the latest revision and the code string, for the checks
-LATEST = """lb AS (SELECT prop_id, revn_num, sum(budg_tot_dol) AS t, sum(sub_ctr_dol) AS sub_ctr, sum(frgn_trav_dol) AS frgn, sum(part_cnt) AS part FROM v_budg x
+LATEST = """lb AS (SELECT prop_id, revn_num, CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS t, sum(sub_ctr_dol) AS sub_ctr, sum(frgn_trav_dol) AS frgn, sum(part_cnt) AS part FROM v_budg x
   WHERE NOT EXISTS (SELECT 1 FROM v_budg y WHERE y.prop_id = x.prop_id AND y.revn_num > x.revn_num) GROUP BY prop_id, revn_num)"""
 CODES = """cd AS (SELECT prop_id, substr(string_agg(prop_atr_code, ' ' ORDER BY prop_atr_code), 1, 35) AS "R" FROM (
   SELECT *, row_number() OVER (PARTITION BY prop_id ORDER BY prop_atr_code) AS n FROM v_atr) WHERE n <= 11 GROUP BY prop_id)"""
@@ -93,7 +93,7 @@ def win_slots_props(e):
 PEOPLE = """pr AS (SELECT p."ILN", p.lead, p.prop_id, p.pi_id FROM v_prj p UNION ALL SELECT 'P', p.lead, p.prop_id, c.pi_id FROM v_prj p JOIN v_copi c ON c.prop_id = p.prop_id),
 aw AS (SELECT pi_id, count(*) AS "NumAwd", max(strftime(awd_eff_date, '%Y.%m.%d') || ' ' || awd_id || '.' || proj_role_code) AS l FROM v_awd_pi
   WHERE awd_eff_date BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '2000-12-31' GROUP BY pi_id),
-am AS (SELECT CAST(prop_id AS STRING) AS awd_id, CAST(round(sum(budg_splt_tot_dol), 2) AS DECIMAL(18,2)) AS amt FROM v_splt GROUP BY prop_id),
+am AS (SELECT CAST(prop_id AS STRING) AS awd_id, CAST(CAST(CAST(sum(CAST(budg_splt_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS DECIMAL(18,2)) AS amt FROM v_splt GROUP BY prop_id),
 ai AS (SELECT aw.pi_id, aw."NumAwd", aw.l || ' $' || am.amt AS "LastAwd" FROM aw JOIN am ON am.awd_id = split_part(substr(aw.l, 12), '.', 1)),
 ps AS (SELECT pr.*, pi.pi_last_name, pi.pi_emai_addr, i.inst_shrt_name, ai."NumAwd", ai."LastAwd",
   row_number() OVER (PARTITION BY pr.lead ORDER BY pr."ILN", ai."NumAwd" DESC NULLS LAST, pr.prop_id, pr.pi_id) AS n

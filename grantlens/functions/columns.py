@@ -65,6 +65,11 @@ def rounded(col: Column, digits: int = 6, noise: float = 1e-9) -> Column:
     return F.round(col + noise, digits)
 
 
+def money(col: Column | str) -> Column:
+    """Aggregate: a sum of amounts in exact decimals, to the cent; the order of partial sums cannot change it."""
+    return F.sum(_c(col).cast("decimal(18,4)")).cast("decimal(28,2)").cast("double")
+
+
 def dollars(col: Column) -> Column:
     return rounded(col, 0, 1e-6)
 

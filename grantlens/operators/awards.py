@@ -45,7 +45,7 @@ def people_count(awd_pi: DataFrame) -> DataFrame:
 
 def balances(oblg: DataFrame) -> DataFrame:
     return oblg.groupBy(F.col("oblg_id").alias("awd_id")).agg(
-        F.round(F.sum("oblg_amt"), 2).alias("totOblg_amt"), F.round(F.sum("cuml_xpnd_amt"), 2).alias("totCuml_xpnd_amt"),
+        c.money("oblg_amt").alias("totOblg_amt"), c.money("cuml_xpnd_amt").alias("totCuml_xpnd_amt"),
         F.max("last_pymt_date").alias("last_pymt_date"))
 
 

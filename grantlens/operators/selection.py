@@ -129,5 +129,5 @@ def project_totals(projects: DataFrame, budget_totals: DataFrame) -> DataFrame:
     return (projects.select("lead", "prop_id", "rqst_dol")
             .join(budget_totals.select("prop_id", "RN", "T"), "prop_id", "left")
             .groupBy("lead")
-            .agg(F.round(F.sum("rqst_dol"), 2).alias("rqst_tot"), F.round(F.sum("T"), 2).alias("budg_tot"),
+            .agg(c.money("rqst_dol").alias("rqst_tot"), c.money("T").alias("budg_tot"),
                  F.max("RN").alias("budRevnMax")))

@@ -192,7 +192,7 @@ def budget_blocks(e) -> DataFrame:
     years = base.join(latest, "prop_id", "left").select(
         *facts, F.lit("").alias("pi_last_name"), F.lit("").alias("inst_name"), F.round("frgn_trav_dol", 4).alias("frgn_trav_dol"),
         "part_cnt", "revn_num", "budg_seq_yr", F.round("budg_tot_dol", 2).alias("dol"))
-    sums = latest.groupBy("prop_id").agg(F.max("revn_num").alias("revn_num"), F.round(F.sum("budg_tot_dol"), 2).alias("dol"))
+    sums = latest.groupBy("prop_id").agg(F.max("revn_num").alias("revn_num"), c.money("budg_tot_dol").alias("dol"))
     total = (base.join(sums, "prop_id", "left")
              .join(e.pi_primary.select("pi_id", "pi_last_name"), "pi_id", "left")
              .join(e.inst.select("inst_id", F.col("inst_shrt_name").alias("inst_name")), "inst_id", "left")
@@ -205,7 +205,7 @@ def projects_report(e) -> DataFrame:
     """One base row per project with counts of proposals, people and panels, and the total request."""
     projects = _projects(e)
     base = stages.base(e).filter(c.heads_project())
-    money = projects.groupBy("lead").agg(F.round(F.sum("rqst_dol"), 2).alias("rqst_dol_tot"))
+    money = projects.groupBy("lead").agg(c.money("rqst_dol").alias("rqst_dol_tot"))
     counts = selection.project_counts(projects, e.copi, e.panl_prop)
     return base.join(counts, "lead").join(money, "lead").drop("rqst_dol").withColumn(
         "pi_name", F.concat_ws(", ", "pi_last_name", "pi_frst_name"))
@@ -227,7 +227,7 @@ def people_report(e) -> DataFrame:
 
 def project_text(e) -> DataFrame:
     """Summary sections of every project with its total request."""
-    money = stages.projects(e).groupBy("lead").agg(F.round(F.sum("rqst_dol"), 2).alias("rqst_dol_tot"))
+    money = stages.projects(e).groupBy("lead").agg(c.money("rqst_dol").alias("rqst_dol_tot"))
     sections = stages.summaries(e).select("prop_id", "spcl_char_pdf", F.col("text").alias("proj_summ_txt"), F.col("lang").alias("intul_mert"),
                                           F.col("source").alias("brodr_impt"))
     return (stages.base(e).filter(c.heads_project()).join(money, "lead").join(sections, "prop_id", "left")
@@ -359,7 +359,7 @@ def tracker_proposal(e) -> DataFrame:
                          F.col("rcom_seq_num").alias(f"{name}_recno"), F.col("rcom_abbr").alias(f"{name}_rec"),
                          F.col("prop_ordr").alias(f"{name}_rank"))
 
-    money = e.splt.groupBy("prop_id").agg(F.round(F.sum("budg_splt_tot_dol"), 2).alias("split_tot_dol"),
+    money = e.splt.groupBy("prop_id").agg(c.money("budg_splt_tot_dol").alias("split_tot_dol"),
                                           F.max("frwd_date").alias("split_frwd_date"))
     award = e.awd.select(F.col("awd_id").alias("prop_id"), F.col("awd_id"), "tot_intn_awd_amt", "awd_stts_code", "awd_eff_date", "awd_exp_date",
                          F.col("inst_id").alias("_ai")).join(

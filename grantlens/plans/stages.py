@@ -162,7 +162,7 @@ def portfolio_counts(prop):
     return prop.groupBy(F.substring("org_code", 1, 4).alias("Org"), "pgm_ele_code", "natr_rqst_code").agg(
         F.count("prop_id").alias("Nprop"),
         F.sum(F.when(F.col("lead_prop_id") != F.col("prop_id"), 0).otherwise(1)).alias("Nproj"),
-        F.round(F.sum("rqst_dol"), 2).alias("SumRqstDol"))
+        c.money("rqst_dol").alias("SumRqstDol"))
 
 
 def timed(e):
@@ -171,7 +171,7 @@ def timed(e):
 
 def title_totals(projects):
     return projects.groupBy("lead").agg(
-        F.round(F.sum("rqst_dol"), 2).alias("tot_rqst_dol"),
+        c.money("rqst_dol").alias("tot_rqst_dol"),
         c.yes(F.min("prop_titl_txt") != F.max("prop_titl_txt")).alias("dif_titl_collab"))
 
 
