@@ -38,29 +38,29 @@ def flt_dim(e):
 
 @query("flt_attr_any", """SELECT p.prop_id FROM v_prop p WHERE EXISTS (SELECT 1 FROM v_atr a WHERE a.prop_id = p.prop_id AND a.prop_atr_code IN ('0005', '0007', '0041'))""")
 def flt_attr_any(e):
-    return children.by_codes(e.prop, e.atr, "prop_atr_code", "0005,0007,0041").select("prop_id")
+    return children.by_codes(e.facts, e.atr, "prop_atr_code", "0005,0007,0041").select("prop_id")
 
 
 @query("flt_attr_none", """SELECT p.prop_id FROM v_prop p WHERE NOT EXISTS (SELECT 1 FROM v_atr a WHERE a.prop_id = p.prop_id AND a.prop_atr_code BETWEEN '0005' AND '0020')""")
 def flt_attr_none(e):
-    return children.by_codes(e.prop, e.atr, "prop_atr_code", "~0005::0020").select("prop_id")
+    return children.by_codes(e.facts, e.atr, "prop_atr_code", "~0005::0020").select("prop_id")
 
 
 @query("flt_attr_other", """SELECT DISTINCT p.prop_id FROM v_prop p JOIN v_atr a ON a.prop_id = p.prop_id WHERE NOT (a.prop_atr_code LIKE '00%1')""")
 def flt_attr_other(e):
-    return children.other_child(e.prop, e.atr, criteria.positive(F.col("prop_atr_code"), "00%1")).select("prop_id")
+    return children.other_child(e.facts, e.atr, criteria.positive(F.col("prop_atr_code"), "00%1")).select("prop_id")
 
 
 @query("flt_date_range", """SELECT prop_id, received_date FROM v_prop WHERE received_date >= TIMESTAMP '1996-02-01' AND received_date <= TIMESTAMP '1999-06-30' AND dd_rcom_date <= TIMESTAMP '1999-07-15'""")
 def flt_date_range(e):
-    return (stages.date_range(stages.date_range(e.prop, "received_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
+    return (stages.date_range(stages.date_range(e.facts, "received_date", "1996-02-01", "1999-06-30"), "dd_rcom_date", None, "1999-07-15")
             .select("prop_id", "received_date"))
 
 
 @query("flt_date_day_inclusive", """SELECT prop_id, received_date FROM v_prop WHERE received_date BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1998-07-01'""")
 def flt_date_day_inclusive(e):
     end = F.lit("1998-06-30").cast("timestamp_ntz") + F.make_dt_interval(F.lit(1))
-    return e.prop.filter(F.col("received_date").between(F.lit("1997-01-01").cast("timestamp_ntz"), end)).select(
+    return e.facts.filter(F.col("received_date").between(F.lit("1997-01-01").cast("timestamp_ntz"), end)).select(
         "prop_id", "received_date")
 
 
@@ -81,7 +81,7 @@ SELECT p.prop_id FROM v_prop p WHERE p.prop_id IN (SELECT s.prop_id FROM v_subm
 def flt_route(e):
     routed = e.subm.join(e.route.filter(criteria.predicate("code", "R2,R5")).select("temp_prop_id"),
                          "temp_prop_id", "left_semi")
-    return e.prop.join(routed.select("prop_id"), "prop_id", "left_semi").select("prop_id")
+    return e.facts.join(routed.select("prop_id"), "prop_id", "left_semi").select("prop_id")
 
 
 @query("flt_primary_row", """
@@ -109,4 +109,4 @@ def flt_fiscal_prefix(e):
 
 @query("flt_precount", """SELECT count(*) AS num_retrieved, CASE WHEN count(*) > 300 THEN 1 ELSE 0 END AS warn FROM v_prop WHERE prop_stts_code = 'O'""")
 def flt_precount(e):
-    return sinks.large_selection(criteria.apply(e.prop, {"prop_stts_code": "O"}))
+    return sinks.large_selection(criteria.apply(e.facts, {"prop_stts_code": "O"}))

@@ -29,14 +29,14 @@ def src_id_list(e):
              .unionByName(e.idlist.select(F.lit(" " + inputs.NBSP).alias("line")))
              .unionByName(e.idlist.select(F.col("prop_id").cast("string").alias("line"))))
     ids = inputs.clean_ids(typed, "line", width=7, name="id_text")
-    return e.prop.withColumn("id_text", inputs.pad_id("prop_id")).join(ids, "id_text", "left_semi").select(
+    return e.facts.withColumn("id_text", inputs.pad_id("prop_id")).join(ids, "id_text", "left_semi").select(
         "prop_id", "id_text", "rqst_dol")
 
 
 @query("src_id_pad", """
 SELECT prop_id, CASE WHEN prop_id < 10000000 THEN format('{:07d}', prop_id) ELSE CAST(prop_id AS STRING) END AS id_text FROM v_prop""")
 def src_id_pad(e):
-    return e.prop.select("prop_id", inputs.pad_id("prop_id").alias("id_text"))
+    return e.facts.select("prop_id", inputs.pad_id("prop_id").alias("id_text"))
 
 
 @query("src_paste_ids", r"""
@@ -78,7 +78,7 @@ SELECT prop_id, lead, "ILN", rqst_dol, (SELECT count(*) FROM v_prop) AS n_rows F
 def snk_result(e):
     """Write a report and read it back next to the row count the write observed."""
     path = sinks.work_folder(e.spark)
-    report = selection.with_project(e.prop).select("prop_id", "lead", "ILN", "rqst_dol")
+    report = selection.with_project(e.facts).select("prop_id", "lead", "ILN", "rqst_dol")
     done = sinks.save_result(report, path)
     return e.spark.read.parquet(path).withColumn("n_rows", F.lit(done["n_rows"]).cast("long"))
 

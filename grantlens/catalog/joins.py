@@ -80,12 +80,12 @@ def jn_wildcard_null(e):
 
 @query("jn_semi", "SELECT prop_id FROM v_prop p WHERE EXISTS (SELECT 1 FROM v_budg b WHERE b.prop_id = p.prop_id AND b.sub_ctr_dol > 1000)")
 def jn_semi(e):
-    return e.prop.select("prop_id").join(e.budg.filter("sub_ctr_dol > 1000").select("prop_id"), "prop_id", "left_semi")
+    return e.facts.select("prop_id").join(e.budg.filter("sub_ctr_dol > 1000").select("prop_id"), "prop_id", "left_semi")
 
 
 @query("jn_anti", "SELECT prop_id FROM v_prop WHERE prop_id NOT IN (SELECT prop_id FROM v_panl_prop)")
 def jn_anti(e):
-    return e.prop.select("prop_id").join(e.panl_prop.select("prop_id"), "prop_id", "left_anti")
+    return e.facts.select("prop_id").join(e.panl_prop.select("prop_id"), "prop_id", "left_anti")
 
 
 @query("jn_anti_double", """
@@ -94,7 +94,7 @@ AND NOT EXISTS (SELECT 1 FROM v_prop p WHERE p.pi_id = c_custkey AND p.prop_stts
 def jn_anti_double(e):
     return (e.table("customer").select(F.col("c_custkey").alias("id"))
             .join(e.copi.select(F.col("pi_id").alias("id")), "id", "left_anti")
-            .join(e.prop.filter("prop_stts_code = 'F'").select(F.col("pi_id").alias("id")), "id", "left_anti"))
+            .join(e.facts.filter("prop_stts_code = 'F'").select(F.col("pi_id").alias("id")), "id", "left_anti"))
 
 
 @query("jn_anti_range", """

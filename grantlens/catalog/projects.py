@@ -13,12 +13,12 @@ from .registry import query
 
 @query("prj_iln", """SELECT prop_id, CASE WHEN lead_prop_id IS NULL THEN 'I' WHEN lead_prop_id <> prop_id THEN 'N' ELSE 'L' END AS "ILN" FROM v_prop""")
 def prj_iln(e):
-    return e.prop.select("prop_id", c.role("lead_prop_id", "prop_id").alias("ILN"))
+    return e.facts.select("prop_id", c.role("lead_prop_id", "prop_id").alias("ILN"))
 
 
 @query("prj_lead", "SELECT prop_id, ifnull(lead_prop_id, prop_id) AS lead FROM v_prop")
 def prj_lead(e):
-    return e.prop.select("prop_id", c.lead("lead_prop_id", "prop_id").alias("lead"))
+    return e.facts.select("prop_id", c.lead("lead_prop_id", "prop_id").alias("lead"))
 
 
 @query("prj_expand", """
@@ -27,8 +27,8 @@ SELECT lead_prop_id, prop_id FROM s
 UNION SELECT p.lead_prop_id, p.prop_id FROM v_prop p JOIN s ON s.lead_prop_id = p.lead_prop_id
 WHERE NOT EXISTS (SELECT 1 FROM s x WHERE x.prop_id = p.prop_id)""")
 def prj_expand(e):
-    chosen = criteria.apply(e.prop, {"prop_stts_code": "F"})
-    return selection.expand(chosen, e.prop).select("lead_prop_id", "prop_id")
+    chosen = criteria.apply(e.facts, {"prop_stts_code": "F"})
+    return selection.expand(chosen, e.facts).select("lead_prop_id", "prop_id")
 
 
 @query("prj_expand_leadfirst", """
@@ -46,9 +46,9 @@ WITH s AS (SELECT prop_id, lead_prop_id FROM v_prop WHERE prop_stts_code = 'P' O
 x AS (SELECT * FROM s UNION SELECT p.prop_id, p.lead_prop_id FROM v_prop p WHERE p.lead_prop_id IN (SELECT lead_prop_id FROM s))
 SELECT prop_id, lead_prop_id FROM x WHERE prop_id NOT IN (SELECT prop_id FROM v_panl_prop WHERE panl_id = 'P11')""")
 def prj_add_omit(e):
-    chosen = criteria.apply(e.prop, {"prop_stts_code": "P"})
+    chosen = criteria.apply(e.facts, {"prop_stts_code": "P"})
     omitted = e.panl_prop.filter("panl_id = 'P11'").select("prop_id")
-    return selection.add_and_omit(chosen, e.prop, e.idlist, omitted).select("prop_id", "lead_prop_id")
+    return selection.add_and_omit(chosen, e.facts, e.idlist, omitted).select("prop_id", "lead_prop_id")
 
 
 _A_SQL = "(org_code LIKE '10%' OR org_code LIKE '11%' OR org_code LIKE '12%') AND pgm_ele_code = '1-URGENT'"
@@ -92,7 +92,7 @@ def prj_base(e):
 
 @query("prj_one_row", """SELECT lead, prop_id, "ILN" FROM v_prj WHERE "ILN" < 'M'""")
 def prj_one_row(e):
-    return selection.one_row_per_project(selection.with_project(e.prop)).select("lead", "prop_id", "ILN")
+    return selection.one_row_per_project(selection.with_project(e.facts)).select("lead", "prop_id", "ILN")
 
 
 @query("prj_with_template", """
@@ -101,9 +101,9 @@ WITH s AS (SELECT DISTINCT lead_prop_id, prop_id, 'Award' AS template FROM v_pro
 SELECT * FROM s UNION SELECT DISTINCT p.lead_prop_id, p.prop_id, s.template FROM s JOIN v_prop p ON p.lead_prop_id = s.lead_prop_id
 WHERE s.lead_prop_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s x WHERE x.prop_id = p.prop_id AND x.template = s.template)""")
 def prj_with_template(e):
-    tagged = (criteria.apply(e.prop, {"prop_stts_code": "F"}).withColumn("template", F.lit("Award"))
-              .unionByName(e.prop.filter("bas_rsch_pct < 1").withColumn("template", F.lit("Decline"))))
-    return selection.expand(tagged, e.prop, ["template"]).select("lead_prop_id", "prop_id", "template")
+    tagged = (criteria.apply(e.facts, {"prop_stts_code": "F"}).withColumn("template", F.lit("Award"))
+              .unionByName(e.facts.filter("bas_rsch_pct < 1").withColumn("template", F.lit("Decline"))))
+    return selection.expand(tagged, e.facts, ["template"]).select("lead_prop_id", "prop_id", "template")
 
 
 @query("prj_totals", """
@@ -112,7 +112,7 @@ WITH b AS (SELECT prop_id, revn_num, CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(
 SELECT p.lead, CAST(CAST(sum(CAST(p.rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS rqst_tot, CAST(CAST(sum(CAST(b.t AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS budg_tot, max(b.revn_num) AS "budRevnMax"
 FROM v_prj p LEFT JOIN b ON b.prop_id = p.prop_id GROUP BY p.lead""")
 def prj_totals(e):
-    return selection.project_totals(selection.with_project(e.prop), budgets.totals(e.budg))
+    return selection.project_totals(selection.with_project(e.facts), budgets.totals(e.budg))
 
 
 @query("prj_counts", """
@@ -120,4 +120,4 @@ SELECT lead, count(*) AS "nProp", CAST(sum(1 + (SELECT count(*) FROM v_copi c WH
   (SELECT count(*) FROM v_panl_prop pp WHERE pp.prop_id = p.lead) AS "nPanl", (SELECT max(panl_id) FROM v_panl_prop pp WHERE pp.prop_id = p.lead) AS "panl_idmax"
 FROM v_prj p GROUP BY lead""")
 def prj_counts(e):
-    return selection.project_counts(selection.with_project(e.prop), e.copi, e.panl_prop)
+    return selection.project_counts(selection.with_project(e.facts), e.copi, e.panl_prop)

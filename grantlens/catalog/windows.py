@@ -127,7 +127,7 @@ def top_then_enrich(e):
 
 @query("top_row_limit", """SELECT lead, "ILN", prop_id, rqst_dol FROM v_prj ORDER BY lead, "ILN", prop_id LIMIT 300""")
 def top_row_limit(e):
-    report = selection.with_project(e.prop).select("lead", "ILN", "prop_id", "rqst_dol")
+    report = selection.with_project(e.facts).select("lead", "ILN", "prop_id", "rqst_dol")
     return stages.limited(report, 300, ["lead", "ILN", "prop_id"])
 
 

@@ -199,7 +199,7 @@ def release_check(e):
     summaries = e.panl_prop.join(said, ["panl_id", "prop_id"], "left").groupBy("prop_id").agg(
         F.count("panl_id").alias("Npanl"), c.zero_to_null(F.sum(c.flag(unreleasable))).alias("NpanlUnreleasable"),
         c.zero_to_null(F.sum(F.when(released | unreleasable, 0).otherwise(1))).alias("NpanlUnmarked"))
-    return (e.prop.select("prop_id").join(reviews.release_counts(e.rev), "prop_id", "left")
+    return (e.facts.select("prop_id").join(reviews.release_counts(e.rev), "prop_id", "left")
             .join(summaries, "prop_id", "left"))
 
 

@@ -48,31 +48,37 @@ class Entities:
     # --- proposals -------------------------------------------------------------------------
 
     @cached_property
-    def prop(self) -> DataFrame:
+    def facts(self) -> DataFrame:
+        """What a proposal's own table holds: enough for ids, projects, status, dates and money, without a join."""
         k, prio = F.col("o_orderkey"), F.col("o_orderpriority")
-        lead = k - k % 4
+        return self.table("orders").select(
+            k.alias("prop_id"),
+            F.when(k % 4 != 3, k - k % 4).alias("lead_prop_id"),
+            F.col("o_custkey").alias("pi_id"),
+            prio.alias("pgm_ele_code"),
+            F.when(k % 7 == 0, "5-LOW").otherwise(prio).alias("orig_pgm_ele_code"),
+            F.col("o_orderstatus").alias("prop_stts_code"),
+            F.col("o_totalprice").alias("rqst_dol"),
+            F.col("o_orderdate").alias("received_date"),
+            F.when(F.col("o_orderstatus") == "O", F.lit("1900-01-01").cast("timestamp_ntz"))
+            .otherwise(F.col("o_orderdate") + _days(90)).alias("dd_rcom_date"),
+            F.when(k % 5 == 0, 0.75).otherwise(1.0).alias("bas_rsch_pct"),
+            F.when(k % 10 == 0, 0.25).otherwise(0.0).alias("other_pct"),
+        )
+
+    @cached_property
+    def prop(self) -> DataFrame:
+        """Proposals with the facts that come from their investigator: organisation, institution, request and title."""
+        k = F.col("prop_id")
         return (
-            self.table("orders")
-            .join(self.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
+            self.facts.join(self.table("customer"), F.col("c_custkey") == F.col("pi_id"))
             .join(self.nation, F.col("n_nationkey") == F.col("c_nationkey"))
             .select(
-                k.alias("prop_id"),
-                F.when(k % 4 != 3, lead).alias("lead_prop_id"),
-                F.col("o_custkey").alias("pi_id"),
-                F.col("c_nationkey").alias("inst_id"),
-                _org_code().alias("org_code"),
-                prio.alias("pgm_ele_code"),
-                F.when(k % 7 == 0, "5-LOW").otherwise(prio).alias("orig_pgm_ele_code"),
-                F.col("o_orderstatus").alias("prop_stts_code"),
-                F.col("c_mktsegment").alias("natr_rqst_code"),
-                F.col("o_totalprice").alias("rqst_dol"),
-                F.col("o_orderdate").alias("received_date"),
-                F.when(F.col("o_orderstatus") == "O", F.lit("1900-01-01").cast("timestamp_ntz"))
-                .otherwise(F.col("o_orderdate") + _days(90)).alias("dd_rcom_date"),
-                F.when(k % 5 == 0, 0.75).otherwise(1.0).alias("bas_rsch_pct"),
-                F.when(k % 10 == 0, 0.25).otherwise(0.0).alias("other_pct"),
+                "prop_id", "lead_prop_id", "pi_id", F.col("c_nationkey").alias("inst_id"), _org_code().alias("org_code"),
+                "pgm_ele_code", "orig_pgm_ele_code", "prop_stts_code", F.col("c_mktsegment").alias("natr_rqst_code"),
+                "rqst_dol", "received_date", "dd_rcom_date", "bas_rsch_pct", "other_pct",
                 F.concat(F.when(k % 23 == 0, "Goali: ").otherwise(""), "c_mktsegment", F.lit(" study "),
-                         _text(lead), F.when(k % 29 == 1, " (revised)").otherwise("")).alias("prop_titl_txt"),
+                         _text(k - k % 4), F.when(k % 29 == 1, " (revised)").otherwise("")).alias("prop_titl_txt"),
             )
         )
 

@@ -50,3 +50,14 @@ def test_hinted_broadcasts_are_fixed_dimensions(spark, folder, unhinted):
     for block in text.split("BroadcastExchange")[1:]:
         scans = re.findall(r"/(\w+)\.parquet", block.split("Exchange hashpartitioning")[0])
         assert not scans or scans[0] in {"nation", "region"}
+
+
+@pytest.mark.parametrize("name", ["prj_iln", "prj_lead", "src_id_pad", "flt_date_range"])
+def test_own_facts_need_one_scan(spark, folder, name):
+    text = plan(spark, folder, name)
+    assert set(re.findall(r"/(\w+)\.parquet", text)) == {"orders"} and "Exchange" not in text
+
+
+@pytest.mark.parametrize("name", ["prj_totals", "prj_counts", "agg_scalar_subqueries", "rev_release_check", "jn_anti", "flt_attr_none", "prj_one_row"])
+def test_no_join_with_investigators_that_nobody_asked_for(spark, folder, name):
+    assert "customer.parquet" not in plan(spark, folder, name)
