@@ -31,6 +31,24 @@ def pvt_count_1d(e):
     return pivots.totalled(e.prop, ["prop_stts_code"], F.count(F.lit(1)).alias("n"))
 
 
+def _count_by(name: str, dim: str) -> None:
+    """One pivot for each dimension that proposals are counted by."""
+    query(name, _rollup([dim], "count(*) AS n", "v_prop"))(
+        lambda e: pivots.totalled(e.facts if dim in e.facts.columns else e.prop, [dim], F.count(F.lit(1)).alias("n")))
+
+
+for _name, _dim in {"pvt_count_program": "pgm_ele_code", "pvt_count_request": "natr_rqst_code", "pvt_count_organisation": "org_code", "pvt_count_investigator": "pi_id"}.items():
+    _count_by(_name, _dim)
+
+REQUESTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+@query("pvt_program_request", _rollup(["pgm_ele_code"], ", ".join(f"count(*) FILTER (WHERE natr_rqst_code = '{r}') AS \"rq_{r}\"" for r in REQUESTS) + ", count(*) AS n", "v_prop"))
+def pvt_program_request(e):
+    """Programs down, kinds of request across."""
+    return pivots.across(e.prop, ["pgm_ele_code"], "natr_rqst_code", REQUESTS, "rq_")
+
+
 _ACROSS = ", ".join(f"count(CASE WHEN prop_stts_code = '{s}' THEN 1 END) AS \"st_{s}\"" for s in STATUS) + ", count(*) AS n"
 
 

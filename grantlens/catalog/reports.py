@@ -414,6 +414,14 @@ def rpt_portfolio(e):
     return reports.portfolio(e)
 
 
+@query("rpt_panel_load_org", """
+WITH h AS (SELECT panl_id FROM v_panl WHERE panl_bgn_date BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-01-01')
+SELECT p.org_code, p.pgm_ele_code, count(DISTINCT pp.panl_id) AS "Npanl", count(DISTINCT p.lead) AS "Nproj" FROM v_panl_prop pp SEMI JOIN h ON h.panl_id = pp.panl_id
+JOIN v_prj p ON p.prop_id = pp.prop_id AND p."ILN" < 'M' GROUP BY ALL""")
+def rpt_panel_load_org(e):
+    return reports.panel_load_by_org(e)
+
+
 @query("rpt_panel_load", """
 WITH h AS (SELECT panl_id, left(panl_id, 2) AS manager FROM v_panl WHERE panl_bgn_date BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '1996-01-01'),
 n AS (SELECT pp.panl_id, pp.prop_id FROM v_panl_prop pp JOIN v_prj p ON p.prop_id = pp.prop_id AND p."ILN" < 'M' AND p.org_code LIKE '10%')

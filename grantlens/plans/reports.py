@@ -489,6 +489,20 @@ def portfolio(e) -> DataFrame:
     return (stages.portfolio_counts(e.prop).withColumn("_dir", c.directorate_code("Org")).join(names, "_dir").drop("_dir"))
 
 
+def panel_load_by_org(e, start="1995-01-01", end="1996-01-01") -> DataFrame:
+    """Panels and projects on them in a date window, by organisation and program of the projects.
+
+    Reduced to panels and projects per group first; each distinct count is then a plain one.
+    """
+    window = F.col("panl_bgn_date").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    held = e.panl.filter(window).select("panl_id")
+    rows = e.panl_prop.join(held, "panl_id", "left_semi").join(_heads(e).select("prop_id", "lead", "org_code", "pgm_ele_code"), "prop_id")
+    by = ["org_code", "pgm_ele_code"]
+    panels_of = rows.select(*by, "panl_id").distinct().groupBy(*by).agg(F.count("panl_id").alias("Npanl"))
+    projects_of = rows.select(*by, "lead").distinct().groupBy(*by).agg(F.count("lead").alias("Nproj"))
+    return panels_of.join(projects_of, by)
+
+
 def panel_load(e, start="1995-01-01", end="1996-01-01", org_spec="10%") -> DataFrame:
     """Panels per manager in a date window, and the projects of some organisations they review."""
     window = F.col("panl_bgn_date").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))

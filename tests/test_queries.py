@@ -13,7 +13,7 @@ def con(folder):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
-    assert len(QUERIES) == 181
+    assert len(QUERIES) == 187
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
