@@ -120,14 +120,23 @@ def previous_value(df: DataFrame, keys: Sequence[str], coarse: Column, order: Se
             .drop("_step", "_rn", "_lag", "_carry"))
 
 
-LEVELS = 8
-STEPS = 2 ** LEVELS  # bounds the rows of every unpartitioned window and broadcast below
+LEVELS = (8, 14)  # 256 to 16,384 steps: what bounds the rows of every unpartitioned window and broadcast below
 
 
-def _step_of(df: DataFrame, key: str, cuts: Column) -> DataFrame:
-    """Add `_step`, how many of the STEPS - 1 cuts are below the key, by binary search."""
+def step_levels(partitions: int) -> int:
+    """Halvings of the key range, four steps for each shuffle partition the data asks for."""
+    return min(max(LEVELS[0], (4 * partitions - 1).bit_length()), LEVELS[1])
+
+
+def _partitions(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    return int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
+
+
+def _step_of(df: DataFrame, key: str, cuts: Column, levels: int) -> DataFrame:
+    """Add `_step`, how many of the cuts are below the key, by binary search."""
     df = df.withColumn("_cuts", cuts).withColumn("_step", F.lit(0))
-    for level in reversed(range(LEVELS)):
+    for level in reversed(range(levels)):
         half = 2 ** level
         df = df.withColumn("_step", F.col("_step") + F.when(
             F.get("_cuts", F.col("_step") + (half - 1)) < F.col(key), half).otherwise(0))
@@ -137,18 +146,20 @@ def _step_of(df: DataFrame, key: str, cuts: Column) -> DataFrame:
 def running_number(df: DataFrame, key: str, amounts: dict[str, Column]) -> DataFrame:
     """Running totals over the groups in the order of the numeric `key`; amounts are aggregates.
 
-    Groups are reduced to one row per key, keys are put into at most STEPS ranges by approximate
-    quantiles, and only the totals of the ranges are added up in one place.
+    Groups are reduced to one row per key, keys are put into ranges by approximate quantiles, more of them
+    the more partitions the data has, and only the totals of the ranges are added up in one place.
     """
     names = list(amounts)
+    levels = step_levels(_partitions(df))
+    steps = 2 ** levels
     per_key = df.groupBy(F.col(key).alias("_k")).agg(*[a.alias(n) for n, a in amounts.items()])
-    cuts = per_key.agg(F.percentile_approx("_k", [i / STEPS for i in range(1, STEPS)], 10 * STEPS)).scalar()
-    ranged = _step_of(per_key, "_k", cuts)
+    cuts = per_key.agg(F.percentile_approx("_k", [i / steps for i in range(1, steps)], 10 * steps)).scalar()
+    ranged = _step_of(per_key, "_k", cuts, levels)
     totals = ranged.groupBy("_step").agg(*[F.sum(n).alias(n) for n in names])
     before = Window.orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select("_step", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in names])
     inside = Window.partitionBy("_step").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
     numbered = (ranged.select("_k", "_step", *[F.sum(n).over(inside).alias(f"_run_{n}") for n in names])
-                .join(F.broadcast(totals), "_step")  # at most STEPS rows
+                .join(F.broadcast(totals), "_step")  # one row per step
                 .select("_k", *[(F.col(f"_before_{n}") + F.col(f"_run_{n}")).alias(n) for n in names]))
     return df.join(numbered, df[key] == numbered["_k"]).drop("_k")

@@ -1,6 +1,7 @@
 """Shuffle sizes, the caller's session, and the folder for intermediate tables."""
 
 from grantlens.catalog import QUERIES
+from grantlens.functions.ordered import step_levels
 from grantlens.session import initial_partitions, table_bytes
 from grantlens.sources.sinks import work_folder
 
@@ -24,3 +25,7 @@ def test_the_callers_session_stays_as_it_is(spark, folder):
 
 def test_work_folder_is_shared(spark):
     assert work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+def test_steps_of_running_numbers_grow_with_the_data():
+    assert [step_levels(n) for n in (1, 8, 64, 200, 2000, 32_768)] == [8, 8, 8, 10, 13, 14]
