@@ -108,3 +108,9 @@ def test_reliabilities_tell_good_labelers_from_noise(vote):
     table, p = pii.reliabilities(np.zeros(4000, int), said, np.ones(4000))
     assert ((p > 0.5) == truth).mean() > 0.95
     assert abs(table[3, 1, vote] - table[3, 0, vote]) < 0.1 < abs(table[0, 1, vote] - table[0, 0, vote])
+
+
+def test_no_python_in_the_plan(documents):
+    for frame in (pii.digest(documents), pii.masked(documents)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
