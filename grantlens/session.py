@@ -35,11 +35,10 @@ def initial_partitions(read_bytes: int, asked: int) -> int:
 def isolated(spark: SparkSession) -> SparkSession:
     """A session of its own for one query, with the caller's settings and the adaptive ones above; the caller's stays as it is."""
     own = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+    has = own.conf.getAll
+    for key, value in {**spark.conf.getAll, **RUNTIME}.items():
+        if key.startswith("spark.sql.") and has.get(key) != value and own.conf.isModifiable(key):
             own.conf.set(key, value)
-    for key, value in RUNTIME.items():
-        own.conf.set(key, value)
     return own
 
 
