@@ -11,6 +11,7 @@ from ..functions import criteria
 from ..operators import children
 from ..sources import sinks
 from ..plans import stages
+from ..sources.inputs import id_prefix
 from .registry import query
 
 SPECS = {"pgm_ele_code": "'1-URGENT', \"2-HIGH\",3-MEDIUM", "natr_rqst_code": "~BUILDING", "org_code": "1[0-3]%",
@@ -102,9 +103,7 @@ def flt_active_child(e):
 @query("flt_fiscal_prefix", """
 SELECT prop_id, org_code FROM v_prop WHERE substr(format('{:07d}', prop_id), 1, 4) = '0000' AND regexp_matches(org_code, '^12')""")
 def flt_fiscal_prefix(e):
-    from ..sources.inputs import pad_id
-
-    return e.prop.filter(pad_id("prop_id").startswith("0000") & F.col("org_code").startswith("12")).select("prop_id", "org_code")
+    return e.prop.filter(id_prefix("prop_id", "0000") & F.col("org_code").startswith("12")).select("prop_id", "org_code")
 
 
 @query("flt_precount", """SELECT count(*) AS num_retrieved, CASE WHEN count(*) > 300 THEN 1 ELSE 0 END AS warn FROM v_prop WHERE prop_stts_code = 'O'""")

@@ -22,7 +22,8 @@ ONE_TO_MANY = {"—": "--", "…": "...", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff",
 def to_ascii(text: Column | str) -> Column:
     """Typographic characters as ASCII, vertical tab as carriage return; other letters stay."""
     col = F.translate(_c(text), "".join(ONE_TO_ONE), "".join(ONE_TO_ONE.values()))
-    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ONE_TO_MANY.items(), col)
+    many = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ONE_TO_MANY.items(), col)
+    return F.when(col.rlike(f"[{''.join(ONE_TO_MANY)}]"), many).otherwise(col)  # one pass for most texts
 
 
 def strip_brackets(text: Column | str) -> Column:

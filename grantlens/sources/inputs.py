@@ -37,6 +37,13 @@ def pad_id(col: Column | str, width: int = 7) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
+def id_prefix(col: Column | str, prefix: str, width: int = 7) -> Column:
+    """Whether a numeric id, padded to `width` digits, begins with a prefix: a range, which reaches the scan."""
+    step = 10 ** (width - len(prefix))
+    c = F.col(col) if isinstance(col, str) else col
+    return c.between(int(prefix) * step, (int(prefix) + 1) * step - 1)
+
+
 def clean_ids(lines: DataFrame, col: str, width: int | None = None, name: str = "prop_id") -> DataFrame:
     """Distinct ids of a user's column: blanks (also invisible ones) removed, empties dropped."""
     bare = F.regexp_replace(F.col(col), f"[ {NBSP}]", "")
