@@ -91,8 +91,11 @@ def fit(cuts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Network:
         net.bias = float(np.log((ones + 1) / (len(labels) - ones + 1)))
         return net
     flat = [c for doc in cuts for c in doc]
-    size = np.array([len(c) for c in flat])
-    symbols = chunked(np.frombuffer(b"".join(flat), np.uint8), np.concatenate(([0], np.cumsum(size))))[0]
+    symbols = np.zeros((len(flat), CHUNK), np.uint16)
+    for at in range(0, len(flat), AT_ONCE):
+        some = flat[at:at + AT_ONCE]
+        marks = np.concatenate(([0], np.cumsum([len(c) for c in some])))
+        symbols[at:at + AT_ONCE] = chunked(np.frombuffer(b"".join(some), np.uint8), marks)[0]
     of = np.repeat(np.arange(len(cuts)), [len(c) for c in cuts])
     first = np.searchsorted(of, np.arange(len(cuts) + 1))
     weight = np.where(labels == 1, 0.5 / ones, 0.5 / (len(labels) - ones)) * len(labels)

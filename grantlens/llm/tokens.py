@@ -21,7 +21,7 @@ from .words import ranges
 # Words made of these two parts end a piece between them.
 PLAIN = r"^[a-z\x{DF}-\x{F6}\x{F8}-\x{FF}]+"
 TAIL = r"[.,*$%#&|;:!?\")(]"
-KEPT_WORDS = 700_000  # words a worker remembers, about 200 bytes each
+KEPT_WORDS = 300_000  # words a worker remembers, about 200 bytes each
 
 
 def _byte_letters() -> dict[int, int]:
