@@ -16,18 +16,24 @@ def connected(edges: DataFrame) -> DataFrame:
     only its minimum, made before the shuffle, meets them.
     """
     pairs = staged(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    before = _summary(pairs)
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a != b").distinct()
-        large = staged(large)
+        large = staged(both.join(least, "a").where("b > a AND m != b").select(F.col("m").alias("a"), "b"))
         # Here every edge goes up from a to b: b is tied to the smallest of its smaller neighbours, and so are they.
         lowest = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(lowest, "b").select("m", F.explode(F.array("a", "b")).alias("b")).where("m != b").select(F.col("m").alias("a"), "b").distinct()
-        after = staged(small)
-        changed = after.join(pairs, ["a", "b"], "left_anti").isEmpty() and pairs.join(after, ["a", "b"], "left_anti").isEmpty()
-        pairs = after
-        if changed:
+        small = large.join(lowest, "b").select("m", F.explode(F.array("a", "b")).alias("b")).where("m != b")
+        pairs = staged(small.select(F.col("m").alias("a"), "b").distinct())
+        after = _summary(pairs)
+        if after == before:
             break
+        before = after
     stars = pairs.select(F.col("b").alias("node"), F.col("a").alias("part"))
     return stars.unionByName(pairs.select(F.col("a").alias("node"), F.col("a").alias("part")).distinct())
+
+
+def _summary(pairs: DataFrame) -> tuple:
+    """Number of edges and two sums of their hashes: equal for equal sets of edges."""
+    first, second = F.xxhash64("a", "b"), F.xxhash64("b", "a")
+    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(first.cast("decimal(28,0)")), F.bit_xor(second)).first())

@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import column, joined_bytes, slices, staged
+from .common import column, in_blocks, joined_bytes, per_block, slices, staged, unpacked
 from .components import connected
 
 SHINGLE, PERCENT = 5, 75
-CHUNK = 4_000_000  # bytes of text whose element counts travel together
-BUCKET = 4_000_000  # distinct elements that one task counts, about
+BLOCK = 4_000_000  # bytes of text whose element counts travel together
+BUCKET = 1_500_000  # elements that one task counts, about
 GROUP, GROUP_ELEMENTS = 512, 2_000_000  # documents, and elements, that one task compares
 DEALS = 3  # times a large group is dealt into blocks before the rest is compared exhaustively
 
@@ -60,38 +60,20 @@ def _digest(found: np.ndarray) -> str:
     return hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest()
 
 
-def in_chunks(docs: DataFrame) -> DataFrame:
-    """chunk, doc_id, text; stored, so that all passes see the same chunks."""
+def _texts(block: pa.Table) -> Iterator[pa.RecordBatch]:
+    return slices(block.combine_chunks().to_batches(), "text")
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        first = TaskContext.get().partitionId() << 32
-        for i, part in enumerate(slices(batches, "text", CHUNK)):
-            yield part.append_column("chunk", pa.array(np.full(part.num_rows, first + i)))
-
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    return staged(read.mapInArrow(number, "doc_id long, text string, chunk long"), "zstd")
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    for part in slices(batches, "text", CHUNK):
-        chunk = part.column("chunk").to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(chunk)) + 1, [len(chunk)])).tolist()
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            yield int(chunk[a]), part.slice(a, b - a)
-
-
-def classes(chunks: DataFrame) -> DataFrame:
+def classes(blocks: DataFrame) -> DataFrame:
     """doc_id, class, n_shingles of every document (class null without words)."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in (p for _, block in per_block(batches) for p in _texts(block)):
             sets = shingle_sets(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([_digest(s) if len(s) else None for s in sets], pa.string()),
                                               pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "class", "n_shingles"])
 
-    return chunks.select("doc_id", "text").mapInArrow(digests, "doc_id long, class string, n_shingles long")
+    return blocks.mapInArrow(digests, "doc_id long, class string, n_shingles long")
 
 
 def _short(found: np.ndarray, bits: int) -> np.ndarray:
@@ -99,27 +81,27 @@ def _short(found: np.ndarray, bits: int) -> np.ndarray:
     return (found >> np.uint64(64 - bits)).astype(np.uint32 if bits <= 32 else np.uint64)
 
 
-def shared_elements(chunks: DataFrame, total: int) -> DataFrame:
-    """chunk, elements, uses: the short forms in each chunk that several documents have, and how many do.
+def shared_elements(blocks: DataFrame, total: int) -> DataFrame:
+    """block, elements, uses: the short forms in each block that several documents have, and how many do.
 
-    Copies inside a chunk count once. A chunk's distinct elements travel in sorted lots, one for each range of elements.
+    Copies inside a block count once. A block's distinct elements travel in sorted lots, one for each range of elements.
     """
     buckets = max(1, -(-total // BUCKET))
     bits = 32 if total < 1 << 28 else 64
     kind = np.uint32 if bits == 32 else np.uint64
 
     def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, part in _chunks(batches):
-            different = {s.tobytes() for s in shingle_sets(part.column("text")) if len(s)}
+        for block, texts in per_block(batches):
+            different = {s.tobytes() for part in _texts(texts) for s in shingle_sets(part.column("text")) if len(s)}
             if not different:
                 continue
             found, n = np.unique(np.concatenate([_short(np.frombuffer(s, np.uint64), bits) for s in different]), return_counts=True)
             bucket = (found.astype(np.float64) * (buckets / 2.0 ** bits)).astype(np.int64)
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, chunk)),
+                [pa.array(bucket[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, block)),
                  pa.array([found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                 pa.array([n[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], ["bucket", "chunk", "elements", "uses"])
+                 pa.array([n[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], ["bucket", "block", "elements", "uses"])
 
     def count(table: pa.Table) -> pa.Table:
         found = [np.frombuffer(x.as_buffer(), kind) for x in column(table, "elements")]
@@ -127,17 +109,17 @@ def shared_elements(chunks: DataFrame, total: int) -> DataFrame:
         distinct, where = np.unique(np.concatenate(found), return_inverse=True)
         total = np.bincount(where, np.concatenate(uses), len(distinct)).astype(np.uint32)[where]
         out, at = [], 0
-        for chunk, f in zip(column(table, "chunk").to_pylist(), found):
+        for block, f in zip(column(table, "block").to_pylist(), found):
             n = total[at:at + len(f)]
             at += len(f)
             several = n > 1
             if several.any():
-                out.append((chunk, f[several].tobytes(), n[several].tobytes()))
-        return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "elements": pa.array([x[1] for x in out], pa.binary()),
+                out.append((block, f[several].tobytes(), n[several].tobytes()))
+        return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "elements": pa.array([x[1] for x in out], pa.binary()),
                          "uses": pa.array([x[2] for x in out], pa.binary())})
 
-    sent = chunks.select("chunk", "text").mapInArrow(lots, "bucket long, chunk long, elements binary, uses binary")
-    return sent.groupBy("bucket").applyInArrow(count, "chunk long, elements binary, uses binary")
+    sent = blocks.mapInArrow(lots, "bucket long, block long, elements binary, uses binary")
+    return sent.groupBy("bucket").applyInArrow(count, "block long, elements binary, uses binary")
 
 
 def boundary(sizes: dict[int, int], scanned: float) -> int:
@@ -159,8 +141,8 @@ def boundary(sizes: dict[int, int], scanned: float) -> int:
     return at
 
 
-def signatures(chunks: DataFrame, shared: DataFrame, total: int, light: int) -> DataFrame:
-    """class, found, keys: candidates' sets (packed) with the keys under which they meet others."""
+def signatures(blocks: DataFrame, shared: DataFrame, total: int, light: int) -> DataFrame:
+    """class, n, found, keys: candidates' sets (packed) with the keys under which they meet others."""
     bits = 32 if total < 1 << 28 else 64
     kind = np.uint32 if bits == 32 else np.uint64
 
@@ -171,7 +153,7 @@ def signatures(chunks: DataFrame, shared: DataFrame, total: int, light: int) ->
         order = np.argsort(known, kind="stable")
         known, uses = known[order], uses[order]
         rows, seen = [], set()
-        for part in slices(texts.select(["text"]).combine_chunks().to_batches(), "text"):
+        for part in (p for block in unpacked(column(texts, "texts")) for p in _texts(block)):
             for s in shingle_sets(part.column("text")):
                 n = len(s)
                 if n < 2 or not len(known):
@@ -185,11 +167,11 @@ def signatures(chunks: DataFrame, shared: DataFrame, total: int, light: int) ->
                     if name not in seen:
                         seen.add(name)
                         rows.append((name, s.tobytes(), chosen.view(np.int64)))
-        return pa.table({"class": pa.array([r[0] for r in rows], pa.string()), "found": pa.array([r[1] for r in rows], pa.binary()),
+        return pa.table({"class": pa.array([r[0] for r in rows], pa.string()), "n": pa.array([len(r[1]) // 8 for r in rows], pa.int64()), "found": pa.array([r[1] for r in rows], pa.binary()),
                          "keys": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
 
-    both = chunks.select("chunk", "text").groupBy("chunk").cogroup(shared.groupBy("chunk"))
-    return both.applyInArrow(keys, "class string, found binary, keys array<long>")
+    both = blocks.groupBy("block").cogroup(shared.groupBy("block"))
+    return both.applyInArrow(keys, "class string, n long, found binary, keys array<long>").dropDuplicates(["class"])
 
 
 def _first_keys(s: np.ndarray, uses: np.ndarray, light: int) -> np.ndarray:
@@ -261,15 +243,16 @@ LINKS = "class string, other string"
 def linked_classes(candidates: DataFrame, group: int = GROUP) -> DataFrame:
     """class, part: connected classes under the name of the smallest; classes without a link are missing or alone.
 
-    candidates: class, found, keys; stored.
+    candidates: class, n, found, keys; stored.
     """
     keys = candidates.select("class", F.explode("keys").alias("key"))
     firsts = keys.groupBy("key").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     together = connected(keys.join(firsts, "key").where(F.col("class") != F.col("first")).select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
-    members = staged(candidates.select("class", "found").join(together.select(F.col("node").alias("class"), F.col("part").alias("group")), "class"))
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("found") / 8).alias("elements"))
-    blocks = F.greatest(F.ceil(F.col("n") / group), F.ceil(F.col("elements") / GROUP_ELEMENTS)).cast("int")
-    dealt = staged(members.join(sizes.select("group", blocks.alias("blocks")), "group"))
+    places = candidates.select("class", "n").join(together.select(F.col("node").alias("class"), F.col("part").alias("group")), "class")
+    sizes = places.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("elements"))
+    blocks = F.greatest(F.ceil(F.col("many") / group), F.ceil(F.col("elements") / GROUP_ELEMENTS)).cast("int")
+    placed = places.join(sizes.select("group", blocks.alias("blocks")), "group").select("class", "group", "blocks")
+    dealt = staged(candidates.select("class", "found").join(placed, "class"))
     links = staged(dealt.where("blocks = 1").groupBy("group").applyInArrow(lambda t: _links(t), LINKS))
     large = dealt.where("blocks > 1")
     if not large.isEmpty():
@@ -307,15 +290,15 @@ def components(docs: DataFrame, group: int = GROUP) -> DataFrame:
     Texts without words (or null) have an empty set and link with nothing, as do null ids; their component is their own id. Rows
     that repeat a text are one class; a class without any id has a null component. Other columns are not read.
     """
-    chunks = in_chunks(docs)
-    named = staged(classes(chunks))
+    blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), BLOCK)
+    named = staged(classes(blocks))
     of_class = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
     sizes = {r["n"]: r["count"] for r in of_class.groupBy("n").count().collect()}  # as many rows as there are sizes
     total = sum(n * many for n, many in sizes.items())
-    shared = staged(shared_elements(chunks, total))
+    shared = staged(shared_elements(blocks, total))
     lists = shared.agg(F.sum(F.length("uses") / 4).alias("n")).first()["n"] or 0
     light = boundary(sizes, 1 + lists / max(1, total))
-    parts = linked_classes(staged(signatures(chunks, shared, total, light)), group)
+    parts = linked_classes(staged(signatures(blocks, shared, total, light)), group)
     ids = of_class.select("class", "first").join(parts, "class", "left").withColumn("part", F.coalesce("part", "class"))
     smallest = ids.groupBy("part").agg(F.min("first").alias("component_id"))
     found = ids.join(smallest, "part").select("class", "component_id")
