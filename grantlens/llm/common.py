@@ -52,6 +52,60 @@ def worker_memory(name: str, make):
     return getattr(kept, name)
 
 
+def packed(columns: dict[str, pa.Array]) -> bytes:
+    """A record batch as one compressed value."""
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(values: pa.Array) -> list[pa.Table]:
+    return [pa.ipc.open_stream(v.as_buffer()).read_all() for v in values]
+
+
+def in_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """block, texts: neighbouring rows in one compressed value for about `limit` bytes of their column text.
+
+    Stored, so that all passes see the same blocks and only compressed text is shuffled. A longer text is a block of its own.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        first, n = TaskContext.get().partitionId() << 32, 0
+        for part in _of_size(batches, limit):
+            yield pa.RecordBatch.from_arrays([pa.array([first + n]), pa.array([packed(part)], pa.binary())], ["block", "texts"])
+            n += 1
+
+    return staged(rows.mapInArrow(pack, "block long, texts binary"))
+
+
+def _of_size(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[str, pa.Array]]:
+    """Rows of a partition in turn, until their texts hold `limit` bytes."""
+    have, size = [], 0
+    for part in slices(batches, "text", limit // 4):
+        n = int(text_lengths(part.column("text")).sum())
+        if have and size + n > limit:
+            yield _merged(have)
+            have, size = [], 0
+        have.append(part)
+        size += n
+    if have:
+        yield _merged(have)
+
+
+def _merged(parts: list[pa.RecordBatch]) -> dict[str, pa.Array]:
+    return {c: pa.concat_arrays([p.column(c) for p in parts]) for c in parts[0].schema.names}
+
+
+def per_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    for batch in batches:
+        for i, block in enumerate(batch.column("block").to_pylist()):
+            yield block, unpacked(batch.column("texts").slice(i, 1))[0]
+
+
 def column(table: pa.Table, name: str) -> pa.Array:
     """A table's column as one array."""
     found = table[name]
