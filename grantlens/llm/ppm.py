@@ -4,9 +4,9 @@ The model is a trie of byte contexts up to ORDER bytes with the counts of what f
 is coded in the longest context that training has seen; a context that never saw it costs an escape (method D: each different symbol gives half an
 occurrence to it), after which shorter contexts leave out the symbols already ruled out. Texts end with an end symbol.
 
-Texts are scored in blocks of a few MB. The trie is a distributed table and may outgrow any machine: a block asks for the
+Texts are scored in blocks of some MB. The trie is a distributed table and may outgrow any machine: a block asks for the
 contexts it holds, gets their counts by a join, and builds the part of the trie that it needs. Word counts of the
-unigram base travel the same way.
+unigram base travel the same way; a word has one row for each block.
 """
 
 from __future__ import annotations
@@ -16,63 +16,56 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import joined_bytes, slices, staged
+from .common import column, in_blocks, joined_bytes, packed, per_block, staged, unpacked
 
 ORDER = 5
-BLOCK = 6_000_000  # bytes of text
+BLOCK = 5_000_000  # bytes of text
 END, START, BITS = 256, 257, 9  # symbols after the 256 bytes; bits of a symbol in a context's key
 ALPHABET = 257  # what can follow a context
 _LEVEL = 58  # where a key holds its order
 END_WORD = b" end"  # no word holds a space
 
 
-def in_blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_id, held_out, text: neighbouring rows share a block. Stored, so that all passes see the same blocks."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        first = TaskContext.get().partitionId() << 32
-        for i, part in enumerate(slices(batches, "text", BLOCK)):
-            yield part.append_column("block", pa.array(np.full(part.num_rows, first + i)))
-
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1).alias("held_out"), F.col("text").alias("text"))
-    return staged(read.mapInArrow(number, "doc_id long, held_out boolean, text string, block long"), "zstd")
+def _blocks(docs: DataFrame) -> DataFrame:
+    """block, texts with doc_id, held_out and text."""
+    return in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                 (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1).alias("held_out"), F.col("text").alias("text")), BLOCK)
 
 
 class Contexts:
     """The symbols of a block's texts and the contexts before each, numbered densely order by order."""
 
-    def __init__(self, texts: pa.Array, order: int = ORDER):
+    def __init__(self, texts: pa.Array, order: int = ORDER, grams: bool = True):
         data, marks = joined_bytes(texts)
         n = len(marks) - 1
         self.marks = marks + np.arange(n + 1)  # an end symbol follows each text
-        self.symbols = np.full(self.marks[-1], END, np.int32)
+        self.symbols = np.full(self.marks[-1], END, np.uint16)
         inside = np.ones(len(self.symbols), bool)
         inside[self.marks[1:] - 1] = False
         self.symbols[inside] = W.LOWER[data]
-        place = (np.arange(len(self.symbols)) - np.repeat(self.marks[:-1], np.diff(self.marks))).astype(np.int32)
         used = np.zeros(START + 1, bool)
         used[self.symbols] = used[START] = True
         dense, self.used = np.cumsum(used) - 1, np.flatnonzero(used)
         self.width = len(self.used)
-        stream = dense[self.symbols].astype(np.int32)
+        stream = dense.astype(np.uint16)[self.symbols]
         self.keys, self.parents = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)]
         at = np.zeros(len(stream), np.int32)
         for k in range(1, order + 1):
-            before = np.full(len(stream), dense[START], np.int32)
-            if len(stream) > k:
-                before[k:] = np.where(place[k:] >= k, stream[:-k], dense[START])
+            before = np.full(len(stream), dense[START], np.uint16)
+            before[k:] = stream[:-k]
+            begin = (self.marks[:-1, None] + np.arange(k)).ravel()  # places with fewer than k symbols before them
+            before[begin[begin < np.repeat(self.marks[1:], k)]] = dense[START]
             at, codes = _numbered(at, before, len(self.keys[-1]), self.width)
             parent = codes // self.width
             self.parents.append(parent)
             self.keys.append((self.keys[-1][parent] & ((1 << _LEVEL) - 1)) | self.used[codes % self.width] << (BITS * (k - 1)) | k << _LEVEL)
         self.at = at  # the longest context before each symbol
+        if not grams:
+            return
         self.grams, codes = _numbered(at, stream, len(self.keys[-1]), self.width)
         self.gram_context, self.gram_symbol = codes // self.width, self.used[codes % self.width]
 
@@ -84,7 +77,7 @@ def _numbered(high: np.ndarray, low: np.ndarray, rows: int, width: int) -> tuple
         found, which = np.unique(high.astype(np.int64) * width + low, return_inverse=True)
         return which.astype(np.int32), found
     codes = high * np.int32(width)
-    codes += low
+    np.add(codes, low, out=codes, casting="unsafe")
     seen = np.zeros(limit, bool)
     seen[codes] = True
     found = np.flatnonzero(seen)
@@ -93,37 +86,27 @@ def _numbered(high: np.ndarray, low: np.ndarray, rows: int, width: int) -> tuple
     return number[codes], found
 
 
-def _per_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Parts of batches that hold one block each (a block may come in several parts)."""
-    for batch in batches:
-        block = batch.column("block").to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)]))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            if b > a:
-                yield int(block[a]), batch.slice(a, b - a)
-
-
-def _trains(part: pa.RecordBatch) -> pa.Array:
-    return pc.fill_null(pc.invert(part.column("held_out")), False)
+def _trains(texts: pa.Table) -> pa.Array:
+    return pc.fill_null(pc.invert(column(texts, "held_out")), False)
 
 
 def trie(blocks: DataFrame, order: int = ORDER) -> DataFrame:
     """key, found: every context of up to `order` symbols in the training texts, and count << BITS | symbol of all that followed it."""
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, part in _per_block(batches):
-            texts = part.column("text").filter(_trains(part))
+        for _, part in per_block(batches):
+            texts = column(part, "text").filter(_trains(part))
             if len(texts):
                 c = Contexts(texts, order)
                 yield pa.RecordBatch.from_arrays([pa.array(c.keys[-1][c.gram_context]), pa.array(c.gram_symbol.astype(np.int16)),
                                                   pa.array(np.bincount(c.grams, minlength=len(c.gram_symbol)))], ["key", "symbol", "n"])
 
-    longest = blocks.select("block", "held_out", "text").mapInArrow(grams, "key long, symbol short, n long")
+    longest = blocks.mapInArrow(grams, "key long, symbol short, n long")
     level = staged(longest.groupBy("key", "symbol").agg(F.sum("n").alias("n")))
     levels = [level]
     for k in range(order - 1, -1, -1):
         shorter = F.col("key").bitwiseAND((1 << BITS * k) - 1).bitwiseOR(F.lit(k << _LEVEL))
-        level = level.select(shorter.alias("key"), "symbol", "n").groupBy("key", "symbol").agg(F.sum("n").alias("n"))
+        level = staged(level.select(shorter.alias("key"), "symbol", "n").groupBy("key", "symbol").agg(F.sum("n").alias("n")))
         levels.append(level)
     every = levels[0]
     for x in levels[1:]:
@@ -136,11 +119,11 @@ def asked(blocks: DataFrame, order: int = ORDER) -> DataFrame:
     """block, key: the contexts each block needs."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, part in _per_block(batches):
-            found = np.concatenate(Contexts(part.column("text"), order).keys)
+        for block, part in per_block(batches):
+            found = np.concatenate(Contexts(column(part, "text"), order, grams=False).keys)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block)), pa.array(found)], ["block", "key"])
 
-    return blocks.select("block", "text").mapInArrow(keys, "block long, key long")
+    return blocks.mapInArrow(keys, "block long, key long")
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -158,14 +141,14 @@ def word_uses(blocks: DataFrame) -> DataFrame:
     """block, word, n: the words of each block and their number in its training texts; the end word too."""
 
     def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, part in _per_block(batches):
-            which, marks, found = words_of(part.column("text"))
+        for block, part in per_block(batches):
+            which, marks, found = words_of(column(part, "text"))
             trains = _trains(part).to_numpy(zero_copy_only=False)
             n = np.bincount(which[np.repeat(trains, np.diff(marks))], minlength=len(found))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n) + 1, block)), pa.concat_arrays([found, pa.array([END_WORD], pa.binary())]),
                                               pa.array(np.append(n, trains.sum()).astype(np.int64))], ["block", "word", "n"])
 
-    return blocks.select("block", "held_out", "text").mapInArrow(uses, "block long, word binary, n long")
+    return blocks.mapInArrow(uses, "block long, word binary, n long")
 
 
 class Model:
@@ -232,45 +215,101 @@ def scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     Rows with a null doc_id are in no fold: they are scored, not learned from. Repeated rows are scored, and learned from, each by
     itself. Without training texts every symbol is equally likely, and the base has no tokens (train_tokens 0). Other columns are not read.
     """
-    blocks = in_blocks(docs)
-    uses = staged(word_uses(blocks), "zstd")
-    counts = uses.where("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
-    totals = staged(counts).agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    words = uses.select("block", "word").join(counts, "word").select(
-        "block", F.lit(None).cast("long").alias("key"), "word", F.array("c").alias("found"))
-    nodes = asked(blocks, order).join(trie(blocks, order), "key").select("block", "key", F.lit(None).cast("binary").alias("word"), "found")
+    blocks = _blocks(docs)
+    of_word = Window.partitionBy("word")
+    answered = word_uses(blocks).withColumn("c", F.sum("n").over(of_word)).withColumn("first", F.row_number().over(of_word.orderBy("block")) == 1)
+    words = staged(_by_block(answered.select(
+        "block", F.xxhash64("word").alias("key"), F.array("c").alias("found"), "n", (F.col("first") & (F.col("c") > 0)).cast("long").alias("types")), True))
+    totals = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).first()
     train_tokens, types = int(totals["n"]), int(totals["v"])
+    nodes = asked(blocks, order).join(trie(blocks, order), "key").select("block", "key", "found", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("types"))
+    told = words.drop("tokens", "types").unionByName(_by_block(nodes, False).drop("tokens", "types"))
 
     def score(texts: pa.Table, told: pa.Table) -> pa.Table:
-        is_word = pc.is_valid(told["word"])
-        return _scored(texts, told.filter(is_word), told.filter(pc.invert(is_word)), train_tokens, types, order)
+        answers = [_Answers(unpacked(column(told.filter(pc.equal(told["words"], kind)), "told"))) for kind in (True, False)]
+        return _scored(pa.concat_tables(unpacked(column(texts, "texts"))), *answers, train_tokens, types, order)
 
-    both = blocks.groupBy("block").cogroup(nodes.unionByName(words).groupBy("block"))
+    both = blocks.groupBy("block").cogroup(told.groupBy("block"))
     return both.applyInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _column(table: pa.Table, name: str) -> pa.Array:
-    found = table[name]
-    return found.chunk(0) if found.num_chunks == 1 else pa.concat_arrays(found.chunks) if found.num_chunks else pa.array([], found.type)
+class _Answers:
+    """Keys with their numbers of entries, and the entries' symbols and counts, from compressed lots."""
+
+    def __init__(self, lots: list[pa.Table]):
+        take = lambda name, kind: np.concatenate([column(x, name).values.to_numpy().astype(kind) for x in lots]) if lots else np.zeros(0, kind)
+        self.keys = np.concatenate([np.cumsum(column(x, "key").values.to_numpy()) for x in lots]) if lots else np.zeros(0, np.int64)
+        self.size, self.symbols, self.counts = (take(name, np.int64) for name in ("size", "symbol", "count"))
 
 
-def _scored(texts: pa.Table, words: pa.Table, nodes: pa.Table, train_tokens: int, types: int, order: int) -> pa.Table:
-    text = _column(texts, "text")
+def _lot(keys: np.ndarray, size: np.ndarray, found: np.ndarray, words: bool) -> bytes:
+    """Answers in columns that compress well: steps between sorted keys, numbers of entries, symbols, counts."""
+    symbols, counts = (np.zeros(len(found), np.int64), found) if words else (found & ((1 << BITS) - 1), found >> BITS)
+    narrow = np.uint32 if counts.max(initial=0) < 1 << 32 else np.int64
+    columns = {"key": np.diff(keys, prepend=np.int64(0)), "size": size.astype(np.uint16), "symbol": symbols.astype(np.uint16), "count": counts.astype(narrow)}
+    return packed({name: pa.array([x], pa.list_(pa.from_numpy_dtype(x.dtype))) for name, x in columns.items()})
+
+
+TOLD = 300_000  # answers that a task gathers before it deals them to their blocks
+
+
+def _by_block(answers: DataFrame, words: bool) -> DataFrame:
+    """block, words, told, tokens, types: the answers (block, key, found, n, types) to a block in compressed lots, so that few rows are shuffled.
+
+    tokens and types are the sums of n and types in a lot.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have, size = [], 0
+        for batch in batches:
+            have.append(batch)
+            size += batch.num_rows
+            if size >= TOLD:
+                yield from _lots(have, words)
+                have, size = [], 0
+        if size:
+            yield from _lots(have, words)
+
+    return answers.mapInArrow(deal, "block long, words boolean, told binary, tokens long, types long")
+
+
+def _lots(batches: list[pa.RecordBatch], words: bool) -> Iterator[pa.RecordBatch]:
+    block, keys, n, types = (np.concatenate([b.column(c).to_numpy() for b in batches]) for c in ("block", "key", "n", "types"))
+    found = pa.concat_arrays([b.column("found") for b in batches])
+    size = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
+    entries, first = found.flatten().to_numpy(), np.cumsum(size) - size
+    order = np.lexsort((keys, block))
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(block[order])) + 1, [len(order)])).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        mine = order[a:b]
+        lot = _lot(keys[mine], size[mine], entries[W.ranges(first[mine], size[mine])], words)
+        yield pa.RecordBatch.from_arrays([pa.array([block[mine[0]]]), pa.array([words]), pa.array([lot], pa.binary()), pa.array([n[mine].sum()]), pa.array([types[mine].sum()])],
+                                         ["block", "words", "told", "tokens", "types"])
+
+
+def _hash(word: bytes) -> int:
+    """Spark's xxhash64 of a binary value."""
+    import xxhash
+
+    value = xxhash.xxh64_intdigest(word, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _scored(texts: pa.Table, words: _Answers, nodes: _Answers, train_tokens: int, types: int, order: int) -> pa.Table:
+    text = column(texts, "text")
     which, marks, found = words_of(text)
-    counted = dict(zip(words["word"].to_pylist(), pc.list_flatten(words["found"]).to_pylist()))
-    c = np.array([counted.get(w, 0) for w in found.to_pylist()] + [counted.get(END_WORD, 0)], float)
+    # Equal words met in the window; inside a block their 64-bit hashes tell them apart.
+    c = np.zeros(len(found) + 1)
+    if len(words.keys):
+        hashes = np.fromiter(map(_hash, [*found.to_pylist(), END_WORD]), np.int64, len(c))
+        order_of = np.argsort(words.keys)
+        at = np.minimum(np.searchsorted(words.keys[order_of], hashes), len(words.keys) - 1)
+        c = np.where(words.keys[order_of][at] == hashes, words.counts[order_of][at], 0).astype(float)
     cost = np.log10((c + 0.5) / (train_tokens + 0.5 * (types + 1)))
     known = np.concatenate(([0], np.cumsum(c[which] > 0)))
     base = np.array([cost[which[a:b]].sum() for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]) + cost[-1]
     contexts = Contexts(text, order)
-    found = _column(nodes, "found")
-    keys = nodes["key"].to_numpy()
-    size = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
-    keys, first = np.unique(keys, return_index=True)  # a block that came in parts asks twice
-    start = (np.cumsum(size) - size)[first]
-    each = W.ranges(start, size[first])
-    entries = found.flatten().to_numpy()[each]
-    model = Model(contexts, keys, entries & ((1 << BITS) - 1), entries >> BITS, size[first])
+    model = Model(contexts, nodes.keys, nodes.symbols, nodes.counts, nodes.size)
     costs = model.log10(contexts)[contexts.grams]
     total = np.add.reduceat(costs, contexts.marks[:-1]) if len(text) else np.zeros(0)
     n = np.diff(marks)
