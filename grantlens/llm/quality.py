@@ -22,7 +22,7 @@ from .common import joined_bytes, slices
 CHUNK, STEP = 1024, 960
 WIDTH, FILTERS, REACH = 5, 12, 40
 SAMPLE, SAMPLE_CHUNKS = 4000, 16
-EPOCHS, BATCH, RATE = 8, 64, 0.01
+EPOCHS, STEPS, BATCH, RATE = 8, 400, 64, 0.01  # passes over the sample, and updates at least
 AT_ONCE = 128  # chunks that one step scores
 
 
@@ -101,7 +101,7 @@ def fit(cuts: list[list[bytes]], labels: np.ndarray, seed: int = 7) -> Network:
     weight = np.where(labels == 1, 0.5 / ones, 0.5 / (len(labels) - ones)) * len(labels)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (net.tables, net.floor, net.weights, np.zeros(1))]
     bias, step = np.zeros(1), 0
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(cuts)))):
         order = random.permutation(len(cuts))
         for at in range(0, len(order), BATCH):
             docs = order[at:at + BATCH]
