@@ -9,8 +9,8 @@ sets A and B with 100 |A & B| >= 75 |A | B| share at least t = ceil(0.75 |A|) el
 * The boundary is the one with the lowest cost: pairs enumerated by light sets plus list entries scanned by heavy sets.
 
 Candidates form groups (connected through lists), and each candidate's set travels once to its group, where overlaps are counted exactly
-along inverted lists. Groups above GROUP documents are dealt into blocks, first to join what is close by, then every document outside
-the largest part meets every block, so no link is lost and no task holds a whole group.
+along inverted lists. Groups above GROUP documents are dealt into blocks, and every block meets itself and every other block: each
+pair of sets is compared in one task, so no link is lost or counted twice, and no task holds a whole group.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ SHINGLE, PERCENT = 5, 75
 BLOCK = 4_000_000  # bytes of text whose element counts travel together
 BUCKET = 1_500_000  # elements that one task counts, about
 GROUP, GROUP_ELEMENTS = 512, 2_000_000  # documents, and elements, that one task compares
-DEALS = 3  # times a large group is dealt into blocks before the rest is compared exhaustively
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -190,8 +189,8 @@ def _first_keys(s: np.ndarray, uses: np.ndarray, light: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _matched(sets: list[np.ndarray], guests: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
-    """(i, the j < i that i links to), by counting overlaps along inverted lists. With guests, only pairs that hold one."""
+def _matched(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, the j < i that i links to), by counting overlaps along inverted lists. With sides, only pairs from different sides."""
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
     own = np.repeat(np.arange(len(sets)), size)
@@ -209,15 +208,31 @@ def _matched(sets: list[np.ndarray], guests: np.ndarray | None = None) -> Iterat
         common = np.bincount(others[others < i], minlength=1)
         j = np.flatnonzero(common)
         linked = 100 * common[j] >= PERCENT * (size[i] + size[j] - common[j])
-        if guests is not None:
-            linked &= guests[i] | guests[j]
+        if side is not None:
+            linked &= side[i] != side[j]
         yield i, j[linked]
 
 
-def _links(table: pa.Table, guests: bool = False) -> pa.Table:
-    """class, other: a spanning forest of the links between the sets of a table."""
-    names = column(table, "class").to_pylist()
+def _linked(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Links of a meeting: of one block with itself, or between two blocks."""
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in column(table, "found")]
+    between = table.num_rows and column(table, "low")[0] != column(table, "high")[0]
+    return _matched(sets, column(table, "block").to_numpy() if between else None)
+
+
+def _pairs(table: pa.Table) -> pa.Table:
+    """class, other: every link of a meeting."""
+    names = column(table, "class")
+    found = [(np.full(len(j), i), j) for i, j in _linked(table)]
+    here, there = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else ((), ())))
+    return pa.table({"class": names.take(pa.array(here)), "other": names.take(pa.array(there))})
+
+
+def _sums(table: pa.Table) -> pa.Table:
+    """The links of a meeting in short: a spanning forest (class, other), and of each class (other null) how many rows it links to here."""
+    names = column(table, "class").to_pylist()
+    rows = column(table, "rows").to_numpy()
+    total = np.zeros(len(names), np.int64)
     above = list(range(len(names)))
 
     def top(i: int) -> int:
@@ -227,83 +242,90 @@ def _links(table: pa.Table, guests: bool = False) -> pa.Table:
         return i
 
     out = []
-    some = np.array(column(table, "guest").to_pylist(), bool) if guests else None
-    for i, linked in _matched(sets, some):
+    for i, linked in _linked(table):
+        total[i] += rows[linked].sum()
+        total[linked] += rows[i]
         for j in linked.tolist():
             a, b = top(i), top(j)
             if a != b:
                 above[a] = b
-                out.append((names[i], names[j]))
-    return pa.table({"class": pa.array([x[0] for x in out], pa.string()), "other": pa.array([x[1] for x in out], pa.string())})
+                out.append((names[i], names[j], None))
+    out += [(names[i], None, total[i]) for i in np.flatnonzero(total)]
+    return pa.table({"class": pa.array([x[0] for x in out], pa.string()), "other": pa.array([x[1] for x in out], pa.string()),
+                     "n": pa.array([x[2] for x in out], pa.int64())})
 
 
-LINKS = "class string, other string"
+def meetings(candidates: DataFrame, sizes: DataFrame, group: int = GROUP) -> DataFrame:
+    """group, low, high, block, class, rows, found: the candidates' sets, so that any two that share a key meet in one (group, low, high).
 
-
-def linked_classes(candidates: DataFrame, group: int = GROUP) -> DataFrame:
-    """class, part: connected classes under the name of the smallest; classes without a link are missing or alone.
-
-    candidates: class, n, found, keys; stored.
+    A group is one block, or dealt into blocks of which each meets itself and every other one; two sets meet once.
+    candidates: class, n, found, keys; stored. sizes: class, rows.
     """
     keys = candidates.select("class", F.explode("keys").alias("key"))
     firsts = keys.groupBy("key").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     together = connected(keys.join(firsts, "key").where(F.col("class") != F.col("first")).select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
     places = candidates.select("class", "n").join(together.select(F.col("node").alias("class"), F.col("part").alias("group")), "class")
-    sizes = places.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("elements"))
+    many = places.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("elements"))
     blocks = F.greatest(F.ceil(F.col("many") / group), F.ceil(F.col("elements") / GROUP_ELEMENTS)).cast("int")
-    placed = places.join(sizes.select("group", blocks.alias("blocks")), "group").select("class", "group", "blocks")
-    dealt = staged(candidates.select("class", "found").join(placed, "class"))
-    links = staged(dealt.where("blocks = 1").groupBy("group").applyInArrow(lambda t: _links(t), LINKS))
-    large = dealt.where("blocks > 1")
-    if not large.isEmpty():
-        links = links.unionByName(_large_groups(staged(large)))
-    return connected(links.select(F.col("class").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("class"), "part")
-
-
-def _large_groups(members: DataFrame) -> DataFrame:
-    """Links of groups that are dealt into blocks (class, found, group, blocks)."""
-    links = None
-    for deal in range(DEALS):
-        block = F.pmod(F.xxhash64("class", F.lit(deal)), F.col("blocks"))
-        found = members.withColumn("block", block).groupBy("group", "block").applyInArrow(lambda t: _links(t), LINKS)
-        links = staged(found if links is None else links.unionByName(found))
-    parts = connected(links.select(F.col("class").alias("a"), F.col("other").alias("b")))
-    placed = members.join(parts.select(F.col("node").alias("class"), "part"), "class", "left").withColumn("part", F.coalesce("part", "class"))
-    counts = placed.groupBy("group", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("group").agg(F.max(F.struct("n", "part")).alias("main")).select("group", F.col("main.part").alias("main"))
-    placed = staged(placed.join(main, "group").withColumn("guest", F.col("part") != F.col("main")).withColumn(
-        "block", F.pmod(F.xxhash64("class", F.lit(DEALS)), F.col("blocks")).cast("int")))
-    guests = placed.where("guest")
-    deals = guests.groupBy("group").agg(F.count(F.lit(1)).alias("n")).select("group", F.ceil(F.col("n") / GROUP).cast("int").alias("parties"))
-    # Each party of guests meets each block once; guests of a block are guests there too.
-    party = guests.join(deals, "group").withColumn("party", F.pmod(F.xxhash64("class", F.lit(-1)), F.col("parties")).cast("int"))
-    visits = party.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("group", "block", "party", "class", "found", "guest")
-    hosts = placed.join(deals, "group").withColumn("party", F.explode(F.sequence(F.lit(0), F.col("parties") - 1))).select(
-        "group", "block", "party", "class", "found", F.lit(False).alias("guest"))
-    met = hosts.unionByName(visits).groupBy("group", "block", "party").applyInArrow(lambda t: _links(t, True), LINKS)
-    return staged(links.unionByName(met))
+    placed = (places.join(many.select("group", blocks.alias("blocks")), "group").join(sizes, "class")
+              .select("class", "rows", "group", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block")))
+    return candidates.select("class", "found").join(_visits(placed), "class").select("group", "low", "high", "block", "class", "rows", "found")
 
 
-def components(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) of every document.
+def _visits(placed: DataFrame) -> DataFrame:
+    """class, rows, group, block, low, high: the meetings of each class."""
+    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.select("class", "rows", "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
 
-    Texts without words (or null) have an empty set and link with nothing, as do null ids; their component is their own id. Rows
-    that repeat a text are one class; a class without any id has a null component. Other columns are not read.
-    """
+
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with their class (stored), classes (class, first, rows, n), and the candidates' sets with their keys (stored)."""
     blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), BLOCK)
     named = staged(classes(blocks))
-    of_class = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
+    of_class = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.first("n_shingles").alias("n"))
     sizes = {r["n"]: r["count"] for r in of_class.groupBy("n").count().collect()}  # as many rows as there are sizes
     total = sum(n * many for n, many in sizes.items())
     shared = staged(shared_elements(blocks, total))
     lists = shared.agg(F.sum(F.length("uses") / 4).alias("n")).first()["n"] or 0
     light = boundary(sizes, 1 + lists / max(1, total))
-    parts = linked_classes(staged(signatures(blocks, shared, total, light)), group)
-    ids = of_class.select("class", "first").join(parts, "class", "left").withColumn("part", F.coalesce("part", "class"))
+    return named, of_class, staged(signatures(blocks, shared, total, light))
+
+
+def links(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """class, other (class < other): every pair of different classes that link, once.
+
+    Documents of one class link with each other as well; `classes` names the class of a document. A group of near copies has as many
+    rows here as it has pairs; `linked` counts them without making them.
+    """
+    _, of_class, candidates = _prepared(docs)
+    met = meetings(candidates, of_class.select("class", "rows"), group)
+    found = met.groupBy("group", "low", "high").applyInArrow(_pairs, "class string, other string")
+    return found.select(F.least("class", "other").alias("class"), F.greatest("class", "other").alias("other"))
+
+
+def linked(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and n_links (how many other rows it links with) of every document.
+
+    Rows of one class link with each other. Texts without words (or null) have an empty set and link with nothing; their component is
+    their own id. Rows that repeat a text are one class; a class without any id has a null component. Other columns are not read.
+    """
+    named, of_class, candidates = _prepared(docs)
+    met = meetings(candidates, of_class.select("class", "rows"), group)
+    found = staged(met.groupBy("group", "low", "high").applyInArrow(_sums, "class string, other string, n long"))
+    parts = connected(found.where("other IS NOT NULL").select(F.col("class").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("class"), "part")
+    counts = found.where("other IS NULL").groupBy("class").agg(F.sum("n").alias("n_links"))
+    ids = of_class.select("class", "first", "rows").join(parts, "class", "left").join(counts, "class", "left").withColumn("part", F.coalesce("part", "class"))
     smallest = ids.groupBy("part").agg(F.min("first").alias("component_id"))
-    found = ids.join(smallest, "part").select("class", "component_id")
-    return named.join(found, "class", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_documents = ids.join(smallest, "part").select("class", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    alone = F.col("class").isNull()
+    return named.join(of_documents, "class", "left").select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+
+
+def components(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document, as `linked` has them."""
+    return linked(docs, group).drop("n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -61,8 +61,8 @@ def op5_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    """The group of near duplicates of each document."""
-    return jaccard.components(table(spark, folder, "documents"))
+    """The group of near duplicates of each document, and how many documents it links with."""
+    return jaccard.linked(table(spark, folder, "documents"))
 
 
 @query

@@ -138,3 +138,41 @@ def test_connected(spark):
     got = {r["node"]: r["part"] for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in above}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_copies():
+    """Rows of one large group, where most pairs link, with copies under other ids, under one id and without an id, and a chain."""
+    random.seed(12)
+    words = [f"w{i}" for i in range(300)]
+    base = [random.choice(words) for _ in range(70)]
+    docs = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(random.randint(0, 3)):
+            w[random.randrange(len(w))] = f"x{i}"
+        docs += [(len(docs) + k, " ".join(w)) for k in range(random.choice((1, 1, 1, 3)))]
+    chain = [random.choice(words) + "y" for _ in range(60)]
+    docs += [(1000 + i, " ".join(chain[i:] + [f"z{i}{k}" for k in range(i)])) for i in range(25)]
+    return docs + [docs[0], (None, docs[1][1]), (2000, None), (2001, ""), (2002, "alone with itself and nobody else around")]
+
+
+def brute_links(docs):
+    sets = [shingles(t) for _, t in docs]
+    return [(i, j) for i in range(len(docs)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])], sets
+
+
+@pytest.mark.parametrize("group", [512, 20, 5])
+def test_every_link(spark, group):
+    """Each linked pair of different texts comes once, and each row counts all that it links with."""
+    docs = near_copies()
+    pairs, sets = brute_links(docs)
+    degree = collections.Counter(i for pair in pairs for i in pair)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = sorted(((r["doc_id"], r["n_links"]) for r in jaccard.linked(frame, group).collect()), key=repr)
+    assert got == sorted(((d, degree[i]) for i, (d, _) in enumerate(docs)), key=repr)
+    rows = [(r["class"], r["other"]) for r in jaccard.links(frame, group).collect()]
+    assert len(rows) == len(set(rows)) and all(a < b for a, b in rows)
+    by_name = {r["class"]: r["doc_id"] for r in jaccard.classes(jaccard.in_blocks(frame, 1000)).where("doc_id IS NOT NULL").collect()}
+    of_id = {d: s for (d, _), s in zip(docs, sets)}
+    want = {frozenset((sets[i], sets[j])) for i, j in pairs if sets[i] != sets[j]}
+    assert {frozenset((of_id[by_name[a]], of_id[by_name[b]])) for a, b in rows} == want and len(rows) == len(want)
