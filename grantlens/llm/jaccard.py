@@ -9,8 +9,9 @@ sets A and B with 100 |A & B| >= 75 |A | B| share at least t = ceil(0.75 |A|) el
 * The boundary is the one with the lowest cost: pairs enumerated by light sets plus list entries scanned by heavy sets.
 
 Candidates form groups (connected through lists), and each candidate's set travels once to its group, where overlaps are counted exactly
-along inverted lists. Groups above GROUP documents are dealt into blocks, and every block meets itself and every other block: each
-pair of sets is compared in one task, so no link is lost or counted twice, and no task holds a whole group.
+along inverted lists. Groups above GROUP documents are dealt into blocks; a set travels to its own block and to the meetings with
+blocks that hold one of its keys, so each pair that shares a key is compared in one task: no link is lost or counted twice, and no
+task holds a whole group.
 """
 
 from __future__ import annotations
@@ -258,7 +259,7 @@ def _sums(table: pa.Table) -> pa.Table:
 def meetings(candidates: DataFrame, sizes: DataFrame, group: int = GROUP) -> DataFrame:
     """group, low, high, block, class, rows, found: the candidates' sets, so that any two that share a key meet in one (group, low, high).
 
-    A group is one block, or dealt into blocks of which each meets itself and every other one; two sets meet once.
+    A group is one block, or dealt into blocks; a set visits the blocks that hold its keys, so two sets that share one meet once.
     candidates: class, n, found, keys; stored. sizes: class, rows.
     """
     keys = candidates.select("class", F.explode("keys").alias("key"))
@@ -269,13 +270,26 @@ def meetings(candidates: DataFrame, sizes: DataFrame, group: int = GROUP) -> Dat
     blocks = F.greatest(F.ceil(F.col("many") / group), F.ceil(F.col("elements") / GROUP_ELEMENTS)).cast("int")
     placed = (places.join(many.select("group", blocks.alias("blocks")), "group").join(sizes, "class")
               .select("class", "rows", "group", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block")))
-    return candidates.select("class", "found").join(_visits(placed), "class").select("group", "low", "high", "block", "class", "rows", "found")
+    return candidates.select("class", "found").join(_visits(placed, keys), "class").select("group", "low", "high", "block", "class", "rows", "found")
 
 
-def _visits(placed: DataFrame) -> DataFrame:
-    """class, rows, group, block, low, high: the meetings of each class."""
-    other = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return other.select("class", "rows", "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+def _visits(placed: DataFrame, keys: DataFrame) -> DataFrame:
+    """class, rows, group, block, low, high: the meetings of each class.
+
+    Classes of large groups meet only those blocks of their group in which another class has a key of theirs, and their own.
+    """
+    placed = staged(placed)
+    own = F.col("block")
+    meet = placed.select("class", "rows", "group", "block", own.alias("low"), own.alias("high"))
+    large = placed.where("blocks > 1")
+    if large.isEmpty():
+        return meet
+    held = staged(keys.join(large.select("class", "block"), "class"))
+    spread = held.groupBy("key").agg(F.collect_set("block").alias("others")).where("size(others) > 1")  # as many as a group has blocks
+    other = held.join(spread, "key").select("class", "block", F.explode("others").alias("other")).where("other != block").distinct()
+    across = large.join(other.select("class", "other"), "class").select(
+        "class", "rows", "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return meet.unionByName(across)
 
 
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

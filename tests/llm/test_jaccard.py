@@ -176,3 +176,15 @@ def test_every_link(spark, group):
     of_id = {d: s for (d, _), s in zip(docs, sets)}
     want = {frozenset((sets[i], sets[j])) for i, j in pairs if sets[i] != sets[j]}
     assert {frozenset((of_id[by_name[a]], of_id[by_name[b]])) for a, b in rows} == want and len(rows) == len(want)
+
+
+def test_sets_visit_only_blocks_that_hold_their_keys(spark):
+    """A group tied by a chain of shared keys ships each set a few times, however many blocks it has."""
+    rows = [(f"c{i:03}", 8, bytes(8 * 8), [i, i + 1]) for i in range(200)]
+    candidates = spark.createDataFrame(rows, "class string, n long, found binary, keys array<long>")
+    sizes = spark.createDataFrame([(r[0], 1) for r in rows], "class string, rows long")
+    met = collections.defaultdict(set)
+    for r in jaccard.meetings(candidates, sizes, 10).collect():
+        met[r["group"], r["low"], r["high"]].add(r["class"])
+    assert sum(map(len, met.values())) <= 3 * len(rows)
+    assert all(any({a[0], b[0]} <= m for m in met.values()) for a, b in zip(rows, rows[1:]))
