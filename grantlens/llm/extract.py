@@ -34,7 +34,10 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
     "hgroup hr html iframe legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template svg math iframe object canvas audio video".split())
+RAW_TAGS = frozenset("script style".split())  # hold no markup, up to their end tag or the end of the page
+HIDDEN_TAGS = frozenset("noscript template iframe".split())  # not shown; without an end tag they are taken as any element
+FOREIGN_TAGS = frozenset("svg math".split())
+HEAD_TAGS = frozenset("html head title meta link base script style noscript template".split())  # anything else ends an open head
 CONTENT_TAGS = frozenset("article main".split())
 BOILER_TAGS = frozenset("nav footer aside form menu dialog button select textarea fieldset".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -118,8 +121,9 @@ def blocks(page: str) -> tuple[list[Block], str]:
             text.clear()
             inner = stack[-1]
             if found:
-                if inner.tag == "title" or any(e.tag == "title" for e in stack):
-                    title.append(found)
+                if any(e.tag == "title" for e in stack):
+                    if not any(e.tag in FOREIGN_TAGS for e in stack):
+                        title.append(found)
                 elif not any(e.tag == "head" for e in stack):
                     held = next((e for e in reversed(stack) if e.tag in BLOCK_TAGS), stack[0])
                     around = next((e for e in reversed(stack) if e.tag in BLOCK_TAGS and e is not held), stack[0])
@@ -131,11 +135,19 @@ def blocks(page: str) -> tuple[list[Block], str]:
         links -= sum(e.tag == "a" for e in stack[upto:])
         del stack[upto:]
 
+    def end_head(tag: str = "") -> None:
+        head = next((i for i, e in enumerate(stack) if e.tag == "head"), 0)
+        if head and (tag in ("body", "article", "main", "nav", "footer") or not any(e.tag == "title" for e in stack[head:])):
+            flush()
+            close(head)
+
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
         run = page[at:m.start() if m else end]
         if run:
+            if not run.isspace():
+                end_head()
             text.append(run)
             if links:
                 linked += len(run.strip())
@@ -152,10 +164,18 @@ def blocks(page: str) -> tuple[list[Block], str]:
             if where:
                 close(where)
             continue
-        if tag in RAW_TAGS:
-            if not m[3].rstrip().endswith("/"):
-                last = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = last.end() if last else end
+        alone = m[3].rstrip().endswith("/")
+        if tag in RAW_TAGS or tag in HIDDEN_TAGS:
+            last = None if alone else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if last:
+                at = last.end()
+            elif tag in RAW_TAGS and not alone:
+                at = end
+            if last or alone or tag in RAW_TAGS:
+                continue
+        if tag not in HEAD_TAGS:
+            end_head(tag)
+        if alone and (tag in ("svg", "math", "object", "canvas", "audio", "video") or any(e.tag in FOREIGN_TAGS for e in stack)):
             continue
         if tag == "br":
             text.append(" ")
@@ -166,10 +186,6 @@ def blocks(page: str) -> tuple[list[Block], str]:
                 inner = max((i for i, e in enumerate(stack) if e.tag in BLOCK_TAGS), default=0)
                 if inner and (stack[inner].tag == "p" or tag in CLOSED_BY and stack[inner].tag in CLOSED_BY[tag]):
                     close(inner)
-            if tag == "body" or tag in ("article", "main", "nav", "footer"):
-                head = next((i for i, e in enumerate(stack) if e.tag == "head"), 0)
-                if head:
-                    close(head)
         if tag in VOID_TAGS:
             continue
         count += 1

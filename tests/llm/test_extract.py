@@ -75,3 +75,17 @@ def test_odd(spark):
     assert len(got) == 6 and {r["text"] for r in got if r["page_id"] in (1, 2)} == {""}
     assert len({r["text"] for r in got if r["page_id"] == 3}) == 1 and next(r for r in got if r["page_id"] == 4)["n_chars"] == 100_000 * 6 - 1
     assert extract.extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p>Before it.</p><object data=x><p>Inside of it.</p><p>After it.</p></article>", ["Before it.", "Inside of it.", "After it."]),
+    *[(f"<article><p>Before it.</p><{tag}><p>After it.</p></article>", ["Before it.", "After it."]) for tag in "video audio canvas svg math noscript iframe template".split()],
+    ("<article><p>So <math><mi>x</mi> = <mn>2</mn></math> holds.</p></article>", ["So x = 2 holds."]),
+    ("<article><p>A <svg><title>icon</title><path d='M0'/><text>label</text></svg> b.</p></article>", ["A", "label b."]),
+    ("<article><p>A <svg/>b <noscript>not this</noscript>c<template>nor this</template>.</p></article>", ["A b c."]),
+    ("<html><head><title>T</title><div><p>A page without an end of its head.</p></div>", ["A page without an end of its head."]),
+    ("<head><meta charset=x><title>T</title><script>x</script>Text at once, <b>and more</b>.", ["Text at once, and more."]),
+    ("<head><title>A <b>bold</b> title</title></head><body><p>Text.</p>", ["Text."]),
+])
+def test_no_text_is_lost(page, want):
+    assert [b.text for b in extract.blocks(page)[0]] == want
