@@ -202,7 +202,7 @@ def describe(found: list[Block], title: str) -> np.ndarray:
         n = len(b.text)
         words = b.text.count(" ") + 1
         row[:] = (1, b.content and not b.boiler, b.boiler, min(1.0, b.linked / n), math.log1p(n) - 3, words < 4, b.text[-1] in ".!?:;…»”\"'", b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
-                  b.tag == "li", min(1.0, 20 * b.text.count(",") / n), "©" in b.text, bool(title) and b.text[:60] in title, sum(map(str.isdigit, b.text[:400])) / min(n, 400))
+                  b.tag == "li", min(1.0, 20 * b.text.count(",") / n), "©" in b.text, bool(title) and b.text in title, sum(map(str.isdigit, b.text)) / n)
     return rows
 
 

@@ -89,3 +89,10 @@ def test_odd(spark):
 ])
 def test_no_text_is_lost(page, want):
     assert [b.text for b in extract.blocks(page)[0]] == want
+
+
+def test_features_look_at_whole_blocks():
+    title = "A title of more than sixty characters, which a paragraph may repeat at its begin"
+    table, repeated, same = (extract.Block(t, "p", False, False, 0, 0) for t in ("prose " * 100 + "1" * 600, title[:60] + " and then go on with text.", title))
+    rows = extract.describe([table, repeated, same], title)
+    assert rows[0, extract.NAMES.index("digits")] == 0.5 and rows[:, extract.NAMES.index("is_title")].tolist() == [0, 0, 1]
