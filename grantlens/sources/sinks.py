@@ -19,8 +19,12 @@ def work_folder(spark: SparkSession) -> str:
 
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application staged, wherever the shared folder is."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    remove(spark, _application_folder(spark))
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that this application made, wherever it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
