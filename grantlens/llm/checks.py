@@ -36,3 +36,26 @@ m AS (SELECT r, rhost || rpath AS rule, verdict, row_number() OVER (PARTITION BY
       FROM q JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM q LEFT JOIN (SELECT * FROM m WHERE k = 1) USING (r)
 """
+
+
+def _centroids(clusters: int = 40, rounds: int = 5) -> str:
+    """Lloyd's rounds over integer vectors, each distance computed anew."""
+    nearest = """a{r} AS MATERIALIZED (SELECT id, v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+      FROM (SELECT k.id, k.v, c.cluster, list_sum(list_transform(list_zip(k.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM k, c{r} c) GROUP BY id, v)"""
+    means = """m{r} AS MATERIALIZED (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c
+      FROM (SELECT cluster, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY cluster, i) GROUP BY cluster),
+    c{q} AS MATERIALIZED (SELECT c{r}.cluster, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (cluster))"""
+    steps = ",\n".join([f"{nearest.format(r=r)},\n{means.format(r=r, q=r + 1)}" for r in range(rounds)] + [nearest.format(r=rounds)])
+    return f"""
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+      WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x::DOUBLE))) = 64),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h NULLS LAST, v) - 1)::INTEGER AS cluster, v AS c
+      FROM (SELECT sha256('2:' || vec_id::VARCHAR) AS h, v FROM k) ORDER BY h NULLS LAST, v LIMIT {clusters}),
+{steps}
+SELECT k.vec_id, a.cluster::INTEGER AS cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN k USING (id) JOIN c{rounds} c ON a.cluster = c.cluster
+"""
+
+
+SQL["op11_centroids"] = _centroids()

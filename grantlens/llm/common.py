@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import work_folder
+from ..sources.sinks import remove, work_folder
 
 SLICE = 1_500_000  # bytes of text that one step of numpy work looks at
 
@@ -23,9 +23,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame into the shared work folder and read it back: nothing before it runs again, and no executor's loss undoes it."""
+    return _written(df, compression)[0]
+
+
+def _written(df: DataFrame, compression: str) -> tuple[DataFrame, str]:
     path = work_folder(df.sparkSession)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+_STORED = "_stored_at"
+
+
+def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
+    """As `staged`, for a table that `discarded` deletes once nothing reads it any more."""
+    out, path = _written(df, compression)
+    setattr(out, _STORED, path)
+    return out
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables made by `stored`."""
+    for t in tables:
+        remove(t.sparkSession, getattr(t, _STORED))
 
 
 def lower_ascii(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import checks, decontaminate, extract, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
+from . import centroids, checks, decontaminate, extract, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,9 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in each document."""
     return pii.digest(table(spark, folder, "documents"))
+
+
+@query
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector's cluster after five rounds over 40 centroids."""
+    return centroids.assigned(table(spark, folder, "embeddings"))
