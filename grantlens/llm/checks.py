@@ -59,3 +59,42 @@ FROM a{rounds} a JOIN k USING (id) JOIN c{rounds} c ON a.cluster = c.cluster
 
 
 SQL["op11_centroids"] = _centroids()
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+
+
+def _row(text: str) -> str:
+    return f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {_FIELD.format(text)})"
+
+
+# crc is the usual reflected checksum, byte by byte from a table made by eight halvings of each number.
+SQL["op13_merkle"] = f"""
+WITH RECURSIVE halved(i, k, v) AS (SELECT i, 0, i::BIGINT FROM range(256) t(i)
+      UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM halved WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM halved WHERE k = 8),
+summed AS MATERIALIZED (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) AS sum FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc),
+d AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, source, {_row('text')} AS leaf,
+      CASE WHEN sum % 2 = 0 THEN {_row("replace(text, chr(10), '')")} ELSE {_row('text')} END AS changed FROM documents LEFT JOIN summed USING (doc_id)),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS size FROM d),
+grown(source, level, pos, size, hash) AS (SELECT source, 0, pos, size, leaf FROM placed
+      UNION ALL SELECT source, level + 1, pos // 3, any_value((size + 2) // 3), sha256(string_agg(hash, '' ORDER BY pos)) FROM grown WHERE size > 1 GROUP BY source, level, pos // 3),
+subroots AS MATERIALIZED (SELECT source, level AS height, hash, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM grown WHERE size = 1),
+over_all(level, pos, size, hash) AS (SELECT 0, pos, size, hash FROM subroots
+      UNION ALL SELECT level + 1, pos // 3, any_value((size + 2) // 3), sha256(string_agg(hash, '' ORDER BY pos)) FROM over_all WHERE size > 1 GROUP BY level, pos // 3),
+root AS (SELECT hash FROM over_all WHERE size = 1),
+parents AS MATERIALIZED (SELECT source, level, pos // 3 AS parent, list(hash ORDER BY pos) AS run, min(pos) AS first FROM grown WHERE size > 1 GROUP BY source, level, pos // 3),
+tops AS MATERIALIZED (SELECT level, pos // 3 AS parent, list(hash ORDER BY pos) AS run, min(pos) AS first FROM over_all WHERE size > 1 GROUP BY level, pos // 3),
+steps AS (SELECT p.id, r.level AS step, r.run, p.pos // (3 ** r.level)::BIGINT - r.first + 1 AS k FROM placed p JOIN parents r
+            ON r.source IS NOT DISTINCT FROM p.source AND r.parent = p.pos // (3 ** (r.level + 1))::BIGINT
+          UNION ALL SELECT p.id, s.height + t.level, t.run, s.pos // (3 ** t.level)::BIGINT - t.first + 1 FROM placed p
+            JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN tops t ON t.parent = s.pos // (3 ** (t.level + 1))::BIGINT),
+path AS MATERIALIZED (SELECT id, step, array_to_string(list_slice(run, 1, k - 1), '') AS l, array_to_string(list_slice(run, k + 1, len(run)), '') AS r FROM steps),
+proof AS (SELECT id, string_agg(l || r, '' ORDER BY step) AS told FROM path GROUP BY id),
+folded(id, step, hash) AS (SELECT id, 0, changed FROM placed
+      UNION ALL SELECT f.id, f.step + 1, sha256(l || f.hash || r) FROM folded f JOIN path p ON p.id = f.id AND p.step = f.step),
+last AS (SELECT id, arg_max(hash, step) AS hash FROM folded GROUP BY id)
+SELECT p.doc_id, p.leaf, s.hash AS subroot, (SELECT hash FROM root) AS root, sha256(coalesce(told, '')) AS proof_sha256,
+       last.hash AS folded_root, last.hash = (SELECT hash FROM root) AS verified
+FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN last USING (id) LEFT JOIN proof USING (id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, checks, decontaminate, extract, jaccard, neighbours, packing, pii, ppm, quality, tokenfiles, urls
+from . import centroids, checks, decontaminate, extract, jaccard, merkle, neighbours, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,9 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """Every vector's cluster after five rounds over 40 centroids."""
     return centroids.assigned(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, proof and verification in a Merkle tree of all documents."""
+    return merkle.manifest(table(spark, folder, "documents"))
