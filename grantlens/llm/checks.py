@@ -98,3 +98,22 @@ SELECT p.doc_id, p.leaf, s.hash AS subroot, (SELECT hash FROM root) AS root, sha
        last.hash AS folded_root, last.hash = (SELECT hash FROM root) AS verified
 FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN last USING (id) LEFT JOIN proof USING (id)
 """
+
+
+def _near(percent: int, columns: str) -> str:
+    """Components and links over all pairs of rows that share a shingle."""
+    return rf"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({lowered("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+links AS MATERIALIZED (SELECT x, y FROM (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r)
+      JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 100 * c >= {percent} * (nx.n + ny.n - c)),
+reach(x, y) AS (SELECT r, r FROM d UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+parts AS (SELECT x AS r, min(doc_id) AS component_id FROM reach JOIN d ON d.r = reach.y GROUP BY x),
+of AS (SELECT x AS r, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, {columns} FROM d JOIN parts USING (r) LEFT JOIN n USING (r) LEFT JOIN of USING (r)
+"""
+
+
+SQL["op6_near_duplicates"] = _near(75, "coalesce(n_links, 0)::BIGINT AS n_links")
+SQL["op12_near_duplicates"] = _near(85, "doc_id = component_id AS kept")

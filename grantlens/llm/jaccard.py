@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -65,15 +65,15 @@ def _texts(block: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def classes(blocks: DataFrame) -> DataFrame:
-    """doc_id, class, n_shingles of every document (class null without words)."""
+    """doc_id, mark, class, n_shingles of every document (class null without words)."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for _, block in per_block(batches) for p in _texts(block)):
             sets = shingle_sets(part.column("text"))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([_digest(s) if len(s) else None for s in sets], pa.string()),
-                                              pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "class", "n_shingles"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array([_digest(s) if len(s) else None for s in sets], pa.string()),
+                                              pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "mark", "class", "n_shingles"])
 
-    return blocks.mapInArrow(digests, "doc_id long, class string, n_shingles long")
+    return blocks.mapInArrow(digests, "doc_id long, mark string, class string, n_shingles long")
 
 
 def _short(found: np.ndarray, bits: int) -> np.ndarray:
@@ -190,7 +190,7 @@ def _first_keys(s: np.ndarray, uses: np.ndarray, light: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _matched(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def matched(sets: list[np.ndarray], side: np.ndarray | None = None, percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray]]:
     """(i, the j < i that i links to), by counting overlaps along inverted lists. With sides, only pairs from different sides."""
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets)
@@ -208,7 +208,7 @@ def _matched(sets: list[np.ndarray], side: np.ndarray | None = None) -> Iterator
         others = lists[W.ranges(begin[several], n[several])]
         common = np.bincount(others[others < i], minlength=1)
         j = np.flatnonzero(common)
-        linked = 100 * common[j] >= PERCENT * (size[i] + size[j] - common[j])
+        linked = 100 * common[j] >= percent * (size[i] + size[j] - common[j])
         if side is not None:
             linked &= side[i] != side[j]
         yield i, j[linked]
@@ -218,7 +218,7 @@ def _linked(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     """Links of a meeting: of one block with itself, or between two blocks."""
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in column(table, "found")]
     between = table.num_rows and column(table, "low")[0] != column(table, "high")[0]
-    return _matched(sets, column(table, "block").to_numpy() if between else None)
+    return matched(sets, column(table, "block").to_numpy() if between else None)
 
 
 def _pairs(table: pa.Table) -> pa.Table:
@@ -256,11 +256,11 @@ def _sums(table: pa.Table) -> pa.Table:
                      "n": pa.array([x[2] for x in out], pa.int64())})
 
 
-def meetings(candidates: DataFrame, sizes: DataFrame, group: int = GROUP) -> DataFrame:
+def meetings(candidates: DataFrame, told: DataFrame, group: int = GROUP, name: str = "rows") -> DataFrame:
     """group, low, high, block, class, rows, found: the candidates' sets, so that any two that share a key meet in one (group, low, high).
 
     A group is one block, or dealt into blocks; a set visits the blocks that hold its keys, so two sets that share one meet once.
-    candidates: class, n, found, keys; stored. sizes: class, rows.
+    candidates: class, n, found, keys; stored. told: class and a column of this name that travels with it.
     """
     keys = candidates.select("class", F.explode("keys").alias("key"))
     firsts = keys.groupBy("key").agg(F.min("class").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -268,19 +268,22 @@ def meetings(candidates: DataFrame, sizes: DataFrame, group: int = GROUP) -> Dat
     places = candidates.select("class", "n").join(together.select(F.col("node").alias("class"), F.col("part").alias("group")), "class")
     many = places.groupBy("group").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("elements"))
     blocks = F.greatest(F.ceil(F.col("many") / group), F.ceil(F.col("elements") / GROUP_ELEMENTS)).cast("int")
-    placed = (places.join(many.select("group", blocks.alias("blocks")), "group").join(sizes, "class")
-              .select("class", "rows", "group", "blocks", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int").alias("block")))
-    return candidates.select("class", "found").join(_visits(placed, keys), "class").select("group", "low", "high", "block", "class", "rows", "found")
+    # Stored: the join then reads both sides from a shuffle, and a group of very many classes is split. Only groups of several blocks are in it.
+    several = staged(many.select("group", blocks.alias("blocks")).where("blocks > 1"))
+    count = F.coalesce("blocks", F.lit(1))
+    placed = (places.join(several, "group", "left").join(told, "class")
+              .select("class", name, "group", count.alias("blocks"), F.pmod(F.xxhash64("class"), count).cast("int").alias("block")))
+    return candidates.select("class", "found").join(_visits(placed, keys, name), "class").select("group", "low", "high", "block", "class", name, "found")
 
 
-def _visits(placed: DataFrame, keys: DataFrame) -> DataFrame:
-    """class, rows, group, block, low, high: the meetings of each class.
+def _visits(placed: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """class, the told column, group, block, low, high: the meetings of each class.
 
     Classes of large groups meet only those blocks of their group in which another class has a key of theirs, and their own.
     """
     placed = staged(placed)
     own = F.col("block")
-    meet = placed.select("class", "rows", "group", "block", own.alias("low"), own.alias("high"))
+    meet = placed.select("class", name, "group", "block", own.alias("low"), own.alias("high"))
     large = placed.where("blocks > 1")
     if large.isEmpty():
         return meet
@@ -288,13 +291,18 @@ def _visits(placed: DataFrame, keys: DataFrame) -> DataFrame:
     spread = held.groupBy("key").agg(F.collect_set("block").alias("others")).where("size(others) > 1")  # as many as a group has blocks
     other = held.join(spread, "key").select("class", "block", F.explode("others").alias("other")).where("other != block").distinct()
     across = large.join(other.select("class", "other"), "class").select(
-        "class", "rows", "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        "class", name, "group", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     return meet.unionByName(across)
 
 
+def _mark() -> Column:
+    """What tells the texts of rows with one id apart."""
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents with their class (stored), classes (class, first, rows, n), and the candidates' sets with their keys (stored)."""
-    blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), BLOCK)
+    blocks = in_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _mark().alias("mark"), F.col("text").alias("text")), BLOCK)
     named = staged(classes(blocks))
     of_class = named.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"), F.first("n_shingles").alias("n"))
     sizes = {r["n"]: r["count"] for r in of_class.groupBy("n").count().collect()}  # as many rows as there are sizes
@@ -317,22 +325,28 @@ def links(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return found.select(F.least("class", "other").alias("class"), F.greatest("class", "other").alias("other"))
 
 
-def linked(docs: DataFrame, group: int = GROUP) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and n_links (how many other rows it links with) of every document.
-
-    Rows of one class link with each other. Texts without words (or null) have an empty set and link with nothing; their component is
-    their own id. Rows that repeat a text are one class; a class without any id has a null component. Other columns are not read.
-    """
+def _components(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
+    """The documents (doc_id, mark, class, n_shingles), and the classes' component (part), component_id and n_links."""
     named, of_class, candidates = _prepared(docs)
     met = meetings(candidates, of_class.select("class", "rows"), group)
     found = staged(met.groupBy("group", "low", "high").applyInArrow(_sums, "class string, other string, n long"))
     parts = connected(found.where("other IS NOT NULL").select(F.col("class").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("class"), "part")
     counts = found.where("other IS NULL").groupBy("class").agg(F.sum("n").alias("n_links"))
     ids = of_class.select("class", "first", "rows").join(parts, "class", "left").join(counts, "class", "left").withColumn("part", F.coalesce("part", "class"))
-    smallest = ids.groupBy("part").agg(F.min("first").alias("component_id"))
-    of_documents = ids.join(smallest, "part").select("class", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+    smallest = staged(ids.groupBy("part").agg(F.min("first").alias("component_id")))
+    return named, ids.join(smallest, "part").select("class", "part", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("rows") - 1).alias("n_links"))
+
+
+def linked(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and n_links (how many other rows it links with) of every document.
+
+    Rows of one class link with each other. Texts without words (or null) have an empty set and link with nothing; their component is
+    their own id. Rows that repeat a text are one class; a class without any id has a null component. Very long texts are read whole. An
+    empty table has no rows. Other columns are not read.
+    """
+    named, of_classes = _components(docs, group)
     alone = F.col("class").isNull()
-    return named.join(of_documents, "class", "left").select(
+    return named.join(of_classes, "class", "left").select(
         "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(alone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
 
@@ -342,10 +356,19 @@ def components(docs: DataFrame, group: int = GROUP) -> DataFrame:
     return linked(docs, group).drop("n_links")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents whose id names their group of near duplicates, with all their columns.
+def one_of_each(docs: DataFrame, group: int = GROUP) -> DataFrame:
+    """One document of each group of near duplicates, with all its columns: the one with the smallest id.
 
-    Rows that repeat an id count as one document. Documents without an id cannot be told apart and all stay.
+    Documents are told apart by id and text, so different texts under one id are judged each for itself; rows that agree in both are
+    one document. Among several texts under the smallest id, or where no document of a group has an id, the smallest hash of the text
+    stays. Documents without words link with nothing and stay.
     """
-    kept = components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    named, of_classes = _components(docs, group)
+    key = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "mark")
+    grouped = named.join(of_classes.select("class", "part"), "class")
+    chosen = grouped.groupBy("part").agg(F.min(key).alias("k")).select("k.doc_id", "k.mark")
+    wordless = named.where("class IS NULL").select("doc_id", "mark")
+    kept = chosen.unionByName(wordless).distinct().select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    marked = docs.withColumn("_own", _mark())
+    rows = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_mark")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_own"]).drop("_own")

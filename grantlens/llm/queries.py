@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, checks, decontaminate, extract, jaccard, merkle, neighbours, packing, pii, ppm, quality, tokenfiles, urls
+from . import centroids, checks, decontaminate, extract, jaccard, merkle, minmax, neighbours, packing, pii, ppm, quality, tokenfiles, urls
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,12 @@ def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return centroids.assigned(table(spark, folder, "embeddings"))
 
 
+@query
+def op12_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near duplicates of each document at a similarity of 0.85, and whether the document stays."""
+    return minmax.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's leaf, proof and verification in a Merkle tree of all documents."""

@@ -17,8 +17,8 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute(docs):
-    """Rows (doc_id, n_shingles, component_id) of all documents; documents are those with an id."""
+def brute(docs, percent=75):
+    """Rows (doc_id, n_shingles, component_id) of all documents."""
     sets = [(d, shingles(t)) for d, t in docs]
     above = list(range(len(docs)))
 
@@ -34,7 +34,7 @@ def brute(docs):
             common.update(lists[x])
             lists[x].append(i)
         for j, n in common.items():
-            if 100 * n >= 75 * (len(s) + len(sets[j][1]) - n):
+            if 100 * n >= percent * (len(s) + len(sets[j][1]) - n):
                 above[top(i)] = top(j)
     least = {}
     for i, (d, _) in enumerate(sets):
@@ -126,6 +126,17 @@ def test_one_of_each(documents, texts, odd):
     assert ids.count(8) == 1 and ids.count(None) == 1 and 6 in ids and 7 not in ids
 
 
+def test_one_of_each_tells_texts_under_one_id_apart(spark):
+    """A row is judged by its own text: copies go, whatever id they share, and a text that nobody else has stays."""
+    same, other = "one text that two rows have in common here", "a text of its own under the id of a copy"
+    docs = [(1, same), (2, same), (2, other), (3, other.upper()), (4, None), (4, ""), (4, "  "), (4, "  "), (5, "five words make one shingle"), (None, same), (None, "nobody has this text or any id")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.one_of_each(frame).collect()), key=repr)
+    # Null and empty text under one id are the same document without words.
+    assert [g for g in got if g[0] != 4] == sorted([(1, same), (2, other), (5, docs[8][1]), (None, docs[10][1])], key=repr)
+    assert len([g for g in got if g[0] == 4]) == 2
+
+
 def test_connected(spark):
     random.seed(1)
     edges = [(random.randrange(300), random.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(70)] + [(5, 5)] + [(2000, 2001 + i) for i in range(50)]
@@ -172,7 +183,7 @@ def test_every_link(spark, group):
     assert got == sorted(((d, degree[i]) for i, (d, _) in enumerate(docs)), key=repr)
     rows = [(r["class"], r["other"]) for r in jaccard.links(frame, group).collect()]
     assert len(rows) == len(set(rows)) and all(a < b for a, b in rows)
-    by_name = {r["class"]: r["doc_id"] for r in jaccard.classes(jaccard.in_blocks(frame, 1000)).where("doc_id IS NOT NULL").collect()}
+    by_name = {r["class"]: r["doc_id"] for r in jaccard.classes(jaccard.in_blocks(frame.selectExpr("*", "md5(text) AS mark"), 1000)).where("doc_id IS NOT NULL").collect()}
     of_id = {d: s for (d, _), s in zip(docs, sets)}
     want = {frozenset((sets[i], sets[j])) for i, j in pairs if sets[i] != sets[j]}
     assert {frozenset((of_id[by_name[a]], of_id[by_name[b]])) for a, b in rows} == want and len(rows) == len(want)
