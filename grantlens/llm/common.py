@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import string
 import sys
 import types
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,19 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
     return max(asked, min(-(-plan_bytes(df) // bytes_each), 200_000))
 
 
+def shared(spark: SparkSession, value):
+    """A function that gives `value` inside tasks, from a broadcast that carries its classes: executors need no copy of this package."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    made: list = []
+
+    def received():
+        if not made:
+            made.append(pickle.loads(sent.value))
+        return made[0]
+
+    return received
+
+
 def worker_memory(name: str, make):
     """A value kept by a Python worker between tasks (the worker is reused; losing it only costs time)."""
     kept = sys.modules.setdefault("_grantlens_worker", types.ModuleType("_grantlens_worker"))

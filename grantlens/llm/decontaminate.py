@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import joined_bytes, slices, staged
+from .common import joined_bytes, shared, slices, staged
 
 WIDTH = 10
 BLOCK_PAIRS = 200_000
@@ -189,11 +189,11 @@ def measure(docs: DataFrame, bench: DataFrame, width: int = WIDTH, keep: list[st
     total = pairs.count()
     if total > block_pairs:
         return _in_blocks(docs, pairs, -(-total // block_pairs), keep)
-    matcher = docs.sparkSession.sparkContext.broadcast(Matcher([tuple(r) for r in pairs.select("item_id", "window", "n_words").collect()]))
+    matcher = shared(docs.sparkSession, Matcher([tuple(r) for r in pairs.select("item_id", "window", "n_words").collect()]))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            n_words, found = matcher.value.hits(*joined_bytes(part.column("text")))
+            n_words, found = matcher().hits(*joined_bytes(part.column("text")))
             yield _with_summaries(part, keep, [_summary(n, *f) if len(f[1]) else (n, 0, 0, _EMPTY, False) for n, f in zip(n_words.tolist(), found)])
 
     return docs.select(*{*keep, "text"}).mapInArrow(search, _schema(docs, keep))
@@ -210,11 +210,11 @@ def _in_blocks(docs: DataFrame, pairs: DataFrame, blocks: int, keep: list[str])
     parts = []
     for block in range(blocks):
         mine = pairs.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(blocks)) == block)
-        matcher = spark.sparkContext.broadcast(Matcher([tuple(r) for r in mine.select("item_id", "window", "n_words").collect()]))
+        matcher = shared(spark, Matcher([tuple(r) for r in mine.select("item_id", "window", "n_words").collect()]))
 
         def search(batches: Iterator[pa.RecordBatch], matcher=matcher) -> Iterator[pa.RecordBatch]:
             for part in slices(batches, "text"):
-                _, found = matcher.value.hits(*joined_bytes(part.column("text")))
+                _, found = matcher().hits(*joined_bytes(part.column("text")))
                 some = [i for i, f in enumerate(found) if len(f[1])]
                 yield pa.RecordBatch.from_arrays([part.column("_row").take(pa.array(some, pa.int64())),
                                                   pa.array([found[i][0].ravel().tolist() for i in some], pa.list_(pa.int64())),

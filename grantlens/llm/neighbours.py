@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, staged
+from .common import column, shared, staged
 
 NEAREST = 5
 SAMPLE = 6000  # vectors that the partition is learned on, at most
@@ -26,6 +26,7 @@ PARTS, PART_ROWS = 32, 64  # parts, and sampled vectors in a part at least
 GRAPH, HIDDEN, EPOCHS = 10, 64, 25
 RECALL = 0.97  # wanted on sampled vectors that training left out
 BLOCK = 4096  # vectors in a block
+WAITING = 50_000  # different vectors that a task gathers before it hands them on
 
 
 @dataclass
@@ -162,16 +163,25 @@ def entries(vectors: DataFrame, nearest: int, every: int) -> DataFrame:
     """vector, ids, query: each different usable vector with its smallest nearest + 1 ids, and whether a query has it."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[bytes, tuple[list[int], bool]] = {}
         for batch in batches:
-            found: dict[bytes, list[int]] = {}
+            here: dict[bytes, list[int]] = {}
             for i, v in zip(batch.column("vec_id").to_pylist(), _bytes(batch.column("v"))):
-                found.setdefault(v, []).append(i)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(found), pa.binary()), pa.array([sorted(ids)[:nearest + 1] for ids in found.values()], pa.list_(pa.int64())),
-                pa.array([any(i % every == 0 for i in ids) for ids in found.values()], pa.bool_())], ["vector", "ids", "query"])
+                here.setdefault(v, []).append(i)
+            for v, more in here.items():
+                ids, query = found.get(v, ([], False))
+                found[v] = sorted(ids + more)[:nearest + 1], query or any(i % every == 0 for i in more)
+            if len(found) > WAITING:
+                yield rows(found)
+                found = {}
+        yield rows(found)
+
+    def rows(found: dict[bytes, tuple[list[int], bool]]) -> pa.RecordBatch:
+        ids, query = zip(*found.values()) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(ids, pa.list_(pa.int64())), pa.array(query, pa.bool_())], ["vector", "ids", "query"])
 
     packed = vectors.mapInArrow(pack, "vector binary, ids array<long>, query boolean")
-    # A vector has one row for each batch that holds it, with nearest + 1 ids at most.
+    # A vector has one row for each task that holds it (or for every WAITING different ones there), with nearest + 1 ids at most.
     return packed.groupBy("vector").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, nearest + 1).alias("ids"), F.max("query").alias("query"))
 
 
@@ -192,38 +202,42 @@ def usable(table: DataFrame, vector: str = "embedding") -> DataFrame:
     return read.where(F.size("v") == (top["n"] if top else 0))
 
 
+def _shards(rows: DataFrame, size: int) -> DataFrame:
+    """part, shards: how many blocks of about `size` each part has; one row for each part."""
+    return rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("shards"))
+
+
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """part, ids, vectors: rows (part, id list, vector) of a part in blocks of about `size`."""
+    """part, shard, ids, vectors: rows (part, id list, vector) of a part in blocks of about `size`."""
 
     def pack(table: pa.Table) -> pa.Table:
-        return pa.table({"part": column(table, "part").slice(0, 1), "vectors": pa.array([b"".join(column(table, "vector").to_pylist())], pa.binary()),
+        return pa.table({"part": column(table, "part").slice(0, 1), "shard": column(table, "shard").slice(0, 1), "vectors": pa.array([b"".join(column(table, "vector").to_pylist())], pa.binary()),
                          "ids": pa.array([column(table, "ids").to_pylist()], pa.list_(pa.list_(pa.int64())))})
 
-    shards = rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).alias("shards"))
-    dealt = rows.join(shards, "part").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
-    return dealt.groupBy("part", "shard").applyInArrow(lambda t: pack(t), "part int, vectors binary, ids array<array<long>>")
+    dealt = rows.join(F.broadcast(_shards(rows, size)), "part").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int"))
+    return dealt.groupBy("part", "shard").applyInArrow(lambda t: pack(t), "part int, shard int, vectors binary, ids array<array<long>>")
 
 
 def search(table: DataFrame, nearest: int = NEAREST, every: int = 50, vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each vec_id divisible by `every` its nearest other rows by cosine, ties to smaller ids.
 
     Null, zero and non-finite vectors, vectors of another length than most, and null ids take no part. Rows that repeat an id are
-    candidates each, and a query leaves out one row with its id. With fewer candidates than asked for, all that the visited parts hold are
-    returned; tables too small to partition are searched whole. Other columns are not read.
+    candidates each, and a query leaves out one row with its id. A query whose parts hold fewer candidates than asked for is searched
+    again in all parts, so only a table with fewer candidates gives fewer rows; an empty one gives none. Other columns are not read.
     """
     spark = table.sparkSession
     rows = usable(table, vector)
     index = staged(entries(rows, nearest, every))
     sample = index.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).collect()
     learned = fit(_matrix(pa.array([bytes(r["vector"]) for r in sample], pa.binary())))
-    router = spark.sparkContext.broadcast(learned)
+    router = shared(spark, learned)
 
     def route(probes: int, ids: str):
         def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                parts = np.argsort(-router.value.parts(unit(_matrix(batch.column("vector")))), axis=1, kind="stable")[:, :probes]
+                parts = np.argsort(-router().parts(unit(_matrix(batch.column("vector")))), axis=1, kind="stable")[:, :probes]
                 take = pa.array(np.repeat(np.arange(batch.num_rows), parts.shape[1]))
                 yield pa.RecordBatch.from_arrays([pa.array(parts.ravel().astype(np.int32)), batch.column("vector").take(take), batch.column(ids).take(take)],
                                                  ["part", "vector", "ids"])
@@ -231,21 +245,35 @@ def search(table: DataFrame, nearest: int = NEAREST, every: int = 50, vector: st
 
     place = "part int, vector binary, ids array<long>"
     queries = staged(index.where("query").select("vector", F.array(F.monotonically_increasing_id()).alias("ids")))
-    held = _blocks(staged(index.select("vector", "ids").mapInArrow(route(1, "ids"), place)), BLOCK)
-    asked = _blocks(staged(queries.mapInArrow(route(learned.probes, "ids"), place)), BLOCK // 4)
-    pairs = asked.select("part", F.col("vectors").alias("asked"), F.col("ids").alias("queries")).join(held, "part")
+    homes = staged(index.select("vector", "ids").mapInArrow(route(1, "ids"), place))
+    held, shards = staged(_blocks(homes, BLOCK)), _shards(homes, BLOCK)
+
+    def met(asking: DataFrame, probes: int) -> DataFrame:
+        """query, vec_id, score: the best nearest + 1 candidates of each query in the parts it visits; each block of candidates meets its queries in a task of its own."""
+        asked = _blocks(staged(asking.mapInArrow(route(probes, "ids"), place)), BLOCK // 4).select("part", F.col("vectors").alias("asked"), F.col("ids").alias("queries"))
+        spread = asked.join(F.broadcast(shards), "part").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))  # as many rows as there are parts
+        pairs = spread.join(held, ["part", "shard"])
+        found = pairs.select("asked", "queries", "vectors", "ids").mapInArrow(rank, "query long, vec_id long, score double")
+        best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        return staged(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= nearest + 1).drop("rank"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, q, v, ids in zip(*(batch.column(c) for c in ("asked", "queries", "vectors", "ids"))):
                 yield _ranked(a.as_buffer(), q.as_py(), v.as_buffer(), ids.as_py(), nearest)
 
-    found = pairs.select("asked", "queries", "vectors", "ids").mapInArrow(rank, "query long, vec_id long, score double")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= nearest + 1)
+    top = met(queries, learned.probes)
+    candidates = index.agg(F.sum(F.size("ids"))).first()[0] or 0
+    if learned.probes < learned.second.shape[1]:
+        counts = top.groupBy("query").agg(F.count(F.lit(1)).alias("n"))
+        named = queries.withColumn("query", F.get("ids", F.lit(0))).join(counts, "query", "left")
+        short = staged(named.where(F.coalesce("n", F.lit(0)) < min(nearest + 1, candidates)).select("vector", "ids"))
+        if not short.isEmpty():
+            again = met(short, learned.second.shape[1])
+            top = top.join(again.select("query").distinct(), "query", "left_anti").unionByName(again)
     own = rows.where(F.col("vec_id") % every == 0).mapInArrow(_keyed, "query_id long, vector binary").join(
         queries.select("vector", F.get("ids", F.lit(0)).alias("query")), "vector").select("query_id", "query")
-    near = own.join(top.drop("rank"), "query")
+    near = own.join(top, "query")
     # The query itself is left out once.
     same = Window.partitionBy("query_id", "vec_id").orderBy(F.desc("score"))
     others = near.withColumn("again", F.row_number().over(same)).where((F.col("vec_id") != F.col("query_id")) | (F.col("again") > 1))

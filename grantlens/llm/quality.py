@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, slices
+from .common import joined_bytes, shared, slices
 
 CHUNK, STEP = 1024, 960
 WIDTH, FILTERS, REACH = 5, 12, 40
@@ -165,12 +165,12 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
 def score(docs: DataFrame, network: Network, keep: list[str] | None = None, threshold: float = 0.7) -> DataFrame:
     """Columns `keep` (default doc_id), then score and predicted, for every whole text (null: empty)."""
     keep = [c for c in (keep if keep is not None else ["doc_id"]) if c not in ("score", "predicted")]
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    sent = shared(docs.sparkSession, network)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 1_000_000):
             data, marks = joined_bytes(part.column("text"))
-            out = _in_steps(shared.value, data, marks)
+            out = _in_steps(sent(), data, marks)
             yield pa.RecordBatch.from_arrays(
                 [part.column(c) for c in keep] + [pa.array(out), pa.array((out >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
 

@@ -27,9 +27,19 @@ def searched(frame, **more):
     return out
 
 
-@pytest.mark.parametrize("folder, least", [("/root/testdata/sf0.1", 0.95), ("/root/testdata/check_s", 0.9)])
-def test_recall(spark, folder, least):
-    frame = spark.read.parquet(f"{folder}/embeddings.parquet")
+def clouds(spark):
+    """20,000 vectors around 150 centres of uneven weight, with a few far from all."""
+    draw = np.random.default_rng(11)
+    centre = draw.normal(size=(150, 32))
+    own = np.minimum(draw.geometric(0.02, 20_000) - 1, 149)
+    vectors = centre[own] + 0.6 * draw.normal(size=(20_000, 32))
+    vectors[::997] = 40 * draw.normal(size=(len(vectors[::997]), 32))
+    return spark.createDataFrame([(i, v) for i, v in enumerate(vectors.astype(np.float32).tolist())], "vec_id long, embedding array<float>")
+
+
+@pytest.mark.parametrize("made, least", [(False, 0.95), (True, 0.9)])
+def test_recall(spark, made, least):
+    frame = clouds(spark) if made else spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     rows = [r for r in frame.collect() if any(r["embedding"])]
     want = brute([r["vec_id"] for r in rows], [r["embedding"] for r in rows])
     got = searched(frame)
@@ -80,3 +90,18 @@ def test_parts_are_balanced():
     size = np.bincount(part, minlength=10)
     assert size.max() <= 1.15 * 150 and size.min() >= 0.8 * 150
     assert (part[graph] == part[:, None]).mean() > 0.6
+
+
+def test_queries_in_nearly_empty_parts_get_all_their_neighbours(spark, monkeypatch):
+    """Parts that hold fewer candidates than asked for: the queries that visit them are searched in all parts."""
+    draw = np.random.default_rng(4)
+    vectors = draw.normal(size=(3000, 8))
+    vectors[:, 0] = -abs(vectors[:, 0])
+    vectors[[0, 50, 100], 0] = 30.0
+    first, second = np.zeros((9, 1)), np.zeros((2, 2))
+    first[0, 0], second[:, 1] = 1.0, (1000.0, -1.0)  # the second part has only those three
+    monkeypatch.setattr(neighbours, "fit", lambda vectors, seed=3: neighbours.Router(first, second, 1))
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    got, want = searched(frame), brute(range(3000), vectors.tolist())
+    assert set(got) == set(want) and all(len(found) == 5 for found in got.values())
+    assert {q: [i for i, _ in found] for q, found in got.items()} == {q: [i for i, _ in found] for q, found in want.items()}
