@@ -5,26 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discarded, stored
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """node, part of every node of the edges (a, b): the smallest node that it is connected with.
 
     Alternating large and small stars: every node's larger neighbours, then its smaller ones, are tied to its smallest neighbour, until
-    each part is one star. Each round is stored in the shared folder; a node that many edges share is split by skew joins, since
-    only its minimum, made before the shuffle, meets them.
+    each part is one star. Each round is stored in the shared folder, and so are the minima, so that joins read both sides from a shuffle
+    and a node that many edges share is split. An empty table of edges has no nodes.
     """
-    pairs = staged(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = stored(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     before = _summary(pairs)
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = staged(both.join(least, "a").where("b > a AND m != b").select(F.col("m").alias("a"), "b"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        large = stored(both.join(least, "a").where("b > a AND m != b").select(F.col("m").alias("a"), "b"))
         # Here every edge goes up from a to b: b is tied to the smallest of its smaller neighbours, and so are they.
-        lowest = large.groupBy("b").agg(F.min("a").alias("m"))
+        lowest = stored(large.groupBy("b").agg(F.min("a").alias("m")))
         small = large.join(lowest, "b").select("m", F.explode(F.array("a", "b")).alias("b")).where("m != b")
-        pairs = staged(small.select(F.col("m").alias("a"), "b").distinct())
+        old, pairs = pairs, stored(small.select(F.col("m").alias("a"), "b").distinct())
+        discarded(least, large, lowest, old)
         after = _summary(pairs)
         if after == before:
             break
