@@ -1,11 +1,13 @@
 """Main text of web pages by a minimum cut.
 
 A page is cut into blocks of text at block-level tags. A logistic classifier gives each block's probability of being content; its log odds
-become capacities to the two terminals. Smoothness edges join neighbouring blocks, and blocks of the same container more
-strongly. The minimum cut then separates content from boilerplate with the lowest total cost.
+become capacities to the two terminals. Smoothness edges join neighbouring blocks, and more strongly blocks of the same container, items
+of one list, and headings and lists with what stands beside them. The minimum cut then separates content from boilerplate with the
+lowest total cost.
 
-The classifier learns, on a bounded sample of pages, from blocks whose containers say what they are (an article or main element; navigation, footers,
-adverts and so on); in half of its examples these marks are hidden, so that it also learns from length, links and punctuation
+The classifier learns, on a bounded sample of pages, from blocks whose elements or roles say what they are (an article or main element; navigation,
+footers and so on). Words of classes and ids are features with weights of their own, never labels: a word counts by its share of the name that it stands in, so that no
+single word of a longer name decides. In half of the examples marks and words are hidden, so that the classifier also learns from length, links and punctuation
 for pages without them. It is drawn towards fixed prior weights, which alone decide where a table has no marked page.
 """
 
@@ -27,6 +29,7 @@ from .common import slices
 
 SAMPLE_PAGES, SAMPLE_BLOCKS = 400, 64  # pages, and blocks of each, that the classifier learns from
 NEIGHBOUR, CONTAINER = 0.3, 0.5  # capacities between blocks next to each other, and inside one container
+ITEMS, BESIDE = 1.5, 1.5  # ... between items of one list, and between a heading or list and its neighbour in the same part of the page
 CERTAIN = 6.0  # log odds count up to here
 
 # Names of the language of web pages, and words that name parts of pages.
@@ -46,16 +49,25 @@ BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement adsense sponsor sponsored sponsors promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login menu nav navbar navigation breadcrumb breadcrumbs sidebar widget widgets related recommended recommendations share sharing social "
     "footer copyright header masthead topbar toolbar pagination pager comment comments commentlist reply replies disqus respond discussion search form".split())
+PLAIN_WORDS = frozenset(  # say nothing about what a part holds
+    "area block body bottom box button buttons card col column container group head header icon icons inline inner item items left link links list outer panel post posts results right row "
+    "section slot small large strip the title top unit wrap wrapper bar".split())
+ABOUT_OTHERS = frozenset("has with no without not hide show".split())  # a name with them tells what stands elsewhere
+LISTED = frozenset("li dt dd".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 # Features of a block with the weights that training starts from.
 PRIOR = {
     "constant": -0.2, "marked_content": 3.0, "marked_boiler": -5.0, "link_share": -2.5, "length": 0.35, "few_words": -0.6, "sentence_end": 0.8,
-    "heading": 0.6, "list_item": -0.4, "commas": 0.3, "copyright": -2.0, "is_title": 1.0, "digits": -0.5,
+    "heading": 0.6, "list_item": 0.2, "commas": 0.3, "copyright": -2.0, "is_title": 1.0, "digits": -0.5, "content_word": 1.5,
+    **{f"word_{w}": -6.0 for w in sorted(BOILER_WORDS)},
 }
 NAMES = list(PRIOR)
+MARKS = [i for i, n in enumerate(NAMES) if n.startswith(("marked_", "word_")) or n == "content_word"]
+WORD_AT = {n[5:]: i for i, n in enumerate(NAMES) if n.startswith("word_")}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -64,8 +76,9 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Element:
     tag: str
     content: bool = False  # stands inside a marked article
-    boiler: bool = False  # stands inside a part marked as something else
-    by_word: bool = False  # ... by a class or id only
+    boiler: bool = False  # stands inside an element or role that is none
+    content_word: bool = False
+    words: dict[str, float] = field(default_factory=dict)  # words of the names around it that tell of other parts, with their shares
     number: int = 0
 
 
@@ -75,44 +88,64 @@ class Block:
     tag: str
     content: bool
     boiler: bool
-    container: int
+    container: int  # the element that the block's own element stands in
     linked: int
-    features: list[float] = field(default_factory=list)
+    part: int = 0  # the element around that
+    content_word: bool = False
+    words: dict[str, float] = field(default_factory=dict)
+
+
+def told_by(name: str) -> tuple[dict[str, float], bool]:
+    """The words of one class or id that tell of other parts than the article, with their squared share of its meaning words; whether it tells of an article."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    if ABOUT_OTHERS & set(words):
+        return {}, False
+    boiler = [w for w in words if w in BOILER_WORDS]
+    if not boiler:
+        return {}, bool(CONTENT_WORDS & set(words))
+    meaning = [w for w in words if w in BOILER_WORDS or w not in PLAIN_WORDS and w not in CONTENT_WORDS]
+    return {w: (len(boiler) / len(meaning)) ** 2 for w in boiler}, False
 
 
 def _mark(parent: Element, tag: str, attributes: str, number: int) -> Element:
-    out = Element(tag, parent.content, parent.boiler, parent.by_word, number)
+    out = Element(tag, parent.content, parent.boiler, parent.content_word, parent.words, number)
     if tag in CONTENT_TAGS:
-        out.content = True
-        if out.by_word:  # a page's wrapper may be named after its sidebar
-            out.boiler = out.by_word = False
+        out.content, out.words = True, {}  # a page's wrapper may be named after its sidebar
     if tag in BOILER_TAGS or (tag == "header" and not parent.content):
-        out.boiler, out.by_word = True, False
+        out.boiler = True
     if attributes and tag not in ("html", "body"):
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values)
             if name in ("class", "id"):
-                words = {w.lower() for w in _WORDS.findall(value)}
-                if words & BOILER_WORDS and not (words & CONTENT_WORDS and tag in CONTENT_TAGS):
-                    out.by_word = out.by_word or not out.boiler
-                    out.boiler = True
-                elif words & CONTENT_WORDS and tag in ("div", "section"):
-                    out.content = True
+                for one in value.split():
+                    words, content = told_by(one)
+                    if words and tag not in CONTENT_TAGS:
+                        out.words = {w: max(words.get(w, 0.0), out.words.get(w, 0.0)) for w in {*words, *out.words}}
+                    if content and tag in ("div", "section"):
+                        out.content_word = True
             elif name == "role":
                 if value.lower() in BOILER_ROLES:
-                    out.boiler, out.by_word = True, False
+                    out.boiler = True
                 elif value.lower() in CONTENT_TAGS:
                     out.content = True
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
-                out.boiler, out.by_word = True, False
+                out.boiler = True
     return out
 
 
 def blocks(page: str) -> tuple[list[Block], str]:
-    """The blocks of a page with text, and its title. Unclosed and unmatched tags are taken as browsers mostly do."""
+    """The blocks of a page with text, and its title. Unclosed and unmatched tags are taken as browsers mostly do.
+
+    Open elements are found by their tag, so the work grows with the page, however deep it is nested.
+    """
     stack, out, title = [Element("")], [], []
+    places: dict[str, list[int]] = {}  # of open elements in the stack, by tag
+    held: list[int] = []  # of open block elements
     text: list[str] = []
-    links, linked, at, count = 0, 0, 0, 0
+    linked, at, count = 0, 0, 0
+
+    def is_open(*tags: str) -> bool:
+        return any(places.get(t) for t in tags)
 
     def flush() -> None:
         nonlocal linked
@@ -121,25 +154,31 @@ def blocks(page: str) -> tuple[list[Block], str]:
             text.clear()
             inner = stack[-1]
             if found:
-                if any(e.tag == "title" for e in stack):
-                    if not any(e.tag in FOREIGN_TAGS for e in stack):
+                if is_open("title"):
+                    if not is_open(*FOREIGN_TAGS):
                         title.append(found)
-                elif not any(e.tag == "head" for e in stack):
-                    held = next((e for e in reversed(stack) if e.tag in BLOCK_TAGS), stack[0])
-                    around = next((e for e in reversed(stack) if e.tag in BLOCK_TAGS and e is not held), stack[0])
-                    out.append(Block(found, held.tag, inner.content, inner.boiler, around.number, linked))
+                elif not is_open("head"):
+                    own, around, part = (stack[held[-i]] if len(held) >= i else stack[0] for i in (1, 2, 3))
+                    out.append(Block(found, own.tag, inner.content, inner.boiler, around.number, linked, part.number, inner.content_word, inner.words))
         linked = 0
 
+    def open_(element: Element) -> None:
+        places.setdefault(element.tag, []).append(len(stack))
+        if element.tag in BLOCK_TAGS:
+            held.append(len(stack))
+        stack.append(element)
+
     def close(upto: int) -> None:
-        nonlocal links
-        links -= sum(e.tag == "a" for e in stack[upto:])
-        del stack[upto:]
+        while len(stack) > upto:
+            gone = stack.pop()
+            places[gone.tag].pop()
+            if gone.tag in BLOCK_TAGS:
+                held.pop()
 
     def end_head(tag: str = "") -> None:
-        head = next((i for i, e in enumerate(stack) if e.tag == "head"), 0)
-        if head and (tag in ("body", "article", "main", "nav", "footer") or not any(e.tag == "title" for e in stack[head:])):
+        if is_open("head") and (tag in ("body", "article", "main", "nav", "footer") or not is_open("title") or places["title"][-1] < places["head"][0]):
             flush()
-            close(head)
+            close(places["head"][0])
 
     end = len(page)
     while at < end:
@@ -149,7 +188,7 @@ def blocks(page: str) -> tuple[list[Block], str]:
             if not run.isspace():
                 end_head()
             text.append(run)
-            if links:
+            if is_open("a"):
                 linked += len(run.strip())
         if not m:
             break
@@ -158,11 +197,10 @@ def blocks(page: str) -> tuple[list[Block], str]:
             continue
         tag = m[2].lower()
         if m[1]:
-            where = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if tag in BLOCK_TAGS:
                 flush()
-            if where:
-                close(where)
+            if is_open(tag):
+                close(places[tag][-1])
             continue
         alone = m[3].rstrip().endswith("/")
         if tag in RAW_TAGS or tag in HIDDEN_TAGS:
@@ -175,7 +213,7 @@ def blocks(page: str) -> tuple[list[Block], str]:
                 continue
         if tag not in HEAD_TAGS:
             end_head(tag)
-        if alone and (tag in ("svg", "math", "object", "canvas", "audio", "video") or any(e.tag in FOREIGN_TAGS for e in stack)):
+        if alone and (tag in ("svg", "math", "object", "canvas", "audio", "video") or is_open(*FOREIGN_TAGS)):
             continue
         if tag == "br":
             text.append(" ")
@@ -183,14 +221,13 @@ def blocks(page: str) -> tuple[list[Block], str]:
         if tag in BLOCK_TAGS:
             flush()
             if stack[-1].tag not in BLOCK_TAGS or stack[-1].tag in ("p", *CLOSED_BY):
-                inner = max((i for i, e in enumerate(stack) if e.tag in BLOCK_TAGS), default=0)
+                inner = held[-1] if held else 0
                 if inner and (stack[inner].tag == "p" or tag in CLOSED_BY and stack[inner].tag in CLOSED_BY[tag]):
                     close(inner)
         if tag in VOID_TAGS:
             continue
         count += 1
-        stack.append(_mark(stack[-1], tag, m[3], count))
-        links += tag == "a"
+        open_(_mark(stack[-1], tag, m[3], count))
     flush()
     return out, " ".join(title)
 
@@ -200,9 +237,12 @@ def describe(found: list[Block], title: str) -> np.ndarray:
     rows = np.zeros((len(found), len(NAMES)))
     for row, b in zip(rows, found):
         n = len(b.text)
-        words = b.text.count(" ") + 1
-        row[:] = (1, b.content and not b.boiler, b.boiler, min(1.0, b.linked / n), math.log1p(n) - 3, words < 4, b.text[-1] in ".!?:;…»”\"'", b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
-                  b.tag == "li", min(1.0, 20 * b.text.count(",") / n), "©" in b.text, bool(title) and b.text in title, sum(map(str.isdigit, b.text)) / n)
+        listed, heading = b.tag in LISTED, b.tag in HEADINGS
+        size, few = math.log1p(n) - 3, b.text.count(" ") < 3
+        row[:14] = (1, b.content and not b.boiler, b.boiler, min(1.0, b.linked / n), max(size, 0.0) if listed or heading else size, few and not listed and not heading, b.text[-1] in ".!?:;…»”\"'", heading,
+                    listed, min(1.0, 20 * b.text.count(",") / n), "©" in b.text, bool(title) and b.text in title, sum(map(str.isdigit, b.text)) / n, b.content_word and not b.boiler and not b.words)
+        for word, share in b.words.items():
+            row[WORD_AT[word]] = share / len(b.words)  # together as much as one
     return rows
 
 
@@ -213,7 +253,7 @@ def fit(rows: np.ndarray, labels: np.ndarray, seed: int = 5) -> np.ndarray:
         return prior
     random = np.random.default_rng(seed)
     hidden = rows.copy()
-    hidden[:, [NAMES.index("marked_content"), NAMES.index("marked_boiler")]] = 0
+    hidden[:, MARKS] = 0
     x, y = np.concatenate([rows, hidden]), np.concatenate([labels, labels])
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     order = random.permutation(len(x))
@@ -297,16 +337,40 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     if not found:
         return ""
     odds = np.clip(describe(found, title) @ weights, -CERTAIN, CERTAIN)
+    kept = _cut(found, odds)
+    if not any(kept):
+        # A page of prose has a main text: the likeliest paragraph is one, and what holds on to it.
+        prose = [i for i, b in enumerate(found) if not b.boiler and 2 * b.linked < len(b.text) and "©" not in b.text and b.text.count(" ") >= 3 and max(b.words.values(), default=0.0) < 0.5]
+        if prose:
+            odds[max(prose, key=lambda i: odds[i])] = 2 * CERTAIN
+            kept = _cut(found, odds)
+    return "\n".join(b.text for b, k in zip(found, kept) if k)
+
+
+def _cut(found: list[Block], odds: np.ndarray) -> list[bool]:
     content, boiler = np.logaddexp(0, odds), np.logaddexp(0, -odds)
-    edges, last = [], {}
+    return minimum_cut(content.tolist(), boiler.tolist(), edges(found))
+
+
+def edges(found: list[Block]) -> list[tuple[int, int, float]]:
+    """What parting two blocks costs. Blocks that are marked differently, or mostly links, hold on to others as any neighbours only."""
+    out, last = [], {}
+    alike = lambda a, b: a.boiler == b.boiler and a.content == b.content and a.words == b.words and 2 * a.linked < len(a.text) and 2 * b.linked < len(b.text)
     for i, b in enumerate(found):
         if i:
-            edges.append((i - 1, i, NEIGHBOUR))
+            before = found[i - 1]
+            close = NEIGHBOUR
+            if alike(before, b):
+                a_part, b_part = (x.part if x.tag in LISTED else x.container for x in (before, b))
+                if before.tag in LISTED and b.tag in LISTED and before.container == b.container:
+                    close = ITEMS
+                elif a_part == b_part and {before.tag, b.tag} & (LISTED | HEADINGS):
+                    close = BESIDE
+            out.append((i - 1, i, close))
         if b.container in last:
-            edges.append((last[b.container], i, CONTAINER))
+            out.append((last[b.container], i, CONTAINER))
         last[b.container] = i
-    kept = minimum_cut(content.tolist(), boiler.tolist(), edges)
-    return "\n".join(b.text for b, k in zip(found, kept) if k)
+    return out
 
 
 def train(pages: DataFrame) -> np.ndarray:
@@ -319,7 +383,8 @@ def train(pages: DataFrame) -> np.ndarray:
             out = []
             for page in part.column("html").to_pylist():
                 found, title = blocks(page or "")
-                known = [b for b in found if b.content or b.boiler]
+                # A block of an article that stands in a part named otherwise is no example of either kind.
+                known = [b for b in found if b.boiler or b.content and not b.words]
                 known = [known[i] for i in np.unique(np.linspace(0, len(known) - 1, min(len(known), SAMPLE_BLOCKS)).astype(int))] if known else []
                 rows = describe(known, title)
                 out.append([[*row, float(not b.boiler)] for row, b in zip(rows.tolist(), known)])
@@ -335,7 +400,8 @@ def train(pages: DataFrame) -> np.ndarray:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page: the main text of the whole html (null: empty), blocks in page order, one a line.
 
-    Each row is read by itself, so repeated rows repeat their text. Other columns are not read.
+    Each row is read by itself, so repeated rows repeat their text. Very long and deeply nested pages are read whole. An empty table has no
+    rows. Other columns are not read.
     """
     weights = train(pages)
 

@@ -96,3 +96,50 @@ def test_features_look_at_whole_blocks():
     table, repeated, same = (extract.Block(t, "p", False, False, 0, 0) for t in ("prose " * 100 + "1" * 600, title[:60] + " and then go on with text.", title))
     rows = extract.describe([table, repeated, same], title)
     assert rows[0, extract.NAMES.index("digits")] == 0.5 and rows[:, extract.NAMES.index("is_title")].tolist() == [0, 0, 1]
+
+
+LEARNED = {}
+
+
+@pytest.fixture(params=["prior", "learned"])
+def weights(request, spark, folder):
+    if request.param == "prior":
+        return np.array(list(extract.PRIOR.values()))
+    if not LEARNED:
+        LEARNED["w"] = extract.train(spark.read.parquet(f"{folder}/pages.parquet"))
+    return LEARNED["w"]
+
+
+RECIPE = ("<html><body><div class='wrap'><nav><a href=/>Home</a></nav><div><h1>Pancakes</h1><ul><li>Two eggs</li><li>Some flour</li><li>A cup of milk</li></ul>"
+          "<p>Mix everything well, let it rest for a while, and bake thin pancakes in a hot pan.</p></div><footer>&copy; 2021 Site</footer></div></body></html>")
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><p>First paragraph of the text.</p><![CDATA[ never closed ><p>Second paragraph, after it.</p></article>", "First paragraph of the text.\nSecond paragraph, after it."),
+    ("<article><p>One sentence here.</p><!--><p>Two sentences here.</p><!-- x --!><p>Three of them.</p></article>", "One sentence here.\nTwo sentences here.\nThree of them."),
+    ("<div class='share-price-report'><p>The share price rose by a tenth on Monday, the company said.</p></div>", "The share price rose by a tenth on Monday, the company said."),
+    ("<div class='share-price-report'>" + "".join(f"<p>The share price rose by {i} tenths on Monday, as the company and its bank said.</p>" for i in (2, 3, 4)) + "</div>",
+     "\n".join(f"The share price rose by {i} tenths on Monday, as the company and its bank said." for i in (2, 3, 4))),
+    (RECIPE, "Pancakes\nTwo eggs\nSome flour\nA cup of milk\nMix everything well, let it rest for a while, and bake thin pancakes in a hot pan."),
+    ("<p>One short paragraph.</p>", "One short paragraph."),
+    ("<html><body><p>Just a few words</p></body></html>", "Just a few words"),
+    ("<nav><a href=x>Home page of this site</a></nav><footer>All about us and our partners.</footer>", ""),
+    ("<div class='sidebar'><p>Some words of a sidebar that stands alone.</p></div><div id='share-buttons'><a href=x>Share this with all your friends</a></div>", ""),
+])
+def test_article_text_is_kept(weights, page, want):
+    assert extract.main_text(page, weights) == want
+
+
+@pytest.mark.parametrize("name, told", [("share-price-report", {"share": 1 / 9}), ("share-buttons", {"share": 1.0}), ("cookieNotice", {"cookie": 1.0, "notice": 1.0}), ("layout-with-sidebar", {}),
+                                        ("sponsored-content", {"sponsored": 1.0}), ("post-body", {}), ("related", {"related": 1.0})])
+def test_words_count_by_their_share_of_a_name(name, told):
+    assert extract.told_by(name)[0] == pytest.approx(told)
+
+
+def test_time_grows_with_the_page_however_deep():
+    import time
+
+    for page in ("<div>" * 60_000 + "<p>deep text here</p>", "<div><b>" * 30_000 + "x" + "</i>" * 60_000, "<p>a</p></div>" * 40_000, "<svg>" * 30_000 + "<title>t</title>" * 10_000):
+        begin = time.time()
+        extract.blocks(page)
+        assert time.time() - begin < 6
