@@ -47,12 +47,12 @@ WIDE = {
     "phone": r"(?<![0-9+(.-])(?<![0-9] )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])(?![ .-][0-9])",
     "secret": r"(?<![A-Za-z0-9_/+.-])(?=[A-Za-z_/+-]*+[0-9])[A-Za-z0-9_/+-]{20,512}+(?![A-Za-z0-9_/+@-])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?+[A-Z0-9]{4}){2,7}+(?: ?+[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
-    "person": rf"(?<![\p{{L}}0-9])(?:(?:{TITLES})\.? (?:{_WORD}|[\p{{Lu}}]\.)|(?:{'|'.join(GIVEN)}) (?:[\p{{Lu}}]\. )?{_WORD})(?:[ -]{_WORD}){{0,2}}+",
-    "address": rf"(?<![\p{{L}}0-9])(?:[0-9]{{1,5}}+ (?:{_WORD} ){{1,3}}(?:{ROADS})(?![\p{{L}}])|[\p{{Lu}}][\p{{Ll}}]{{1,30}}(?:straße|strasse|weg|gasse|platz) [0-9]{{1,5}}+|[0-9]{{1,5}}+,? [Rr]ue (?:de (?:la )?)?{_WORD}|[Cc]alle (?:de )?{_WORD},? [0-9]{{1,5}}+)",
+    "person": rf"(?=[A-Z][\p{{L}}]{{1,11}}+\.? [\p{{Lu}}])(?<![\p{{L}}0-9])(?:(?:{TITLES})\.? (?:{_WORD}|[\p{{Lu}}]\.)|(?:{'|'.join(GIVEN)}) (?:[\p{{Lu}}]\. )?{_WORD})(?:[ -]{_WORD}){{0,2}}+",
+    "address": rf"(?=[0-9A-ZÄÖÜc])(?<![\p{{L}}0-9])(?:[0-9]{{1,5}}+ (?:{_WORD} ){{1,3}}(?:{ROADS})(?![\p{{L}}])|[\p{{Lu}}][\p{{Ll}}]{{1,30}}(?:straße|strasse|weg|gasse|platz) [0-9]{{1,5}}+|[0-9]{{1,5}}+,? [Rr]ue (?:de (?:la )?)?{_WORD}|[Cc]alle (?:de )?{_WORD},? [0-9]{{1,5}}+)",
 }
 WIDE_NEEDS = {"email": r"[\[(](?:at|AT|arroba)[\])]", "card": r"[0-9][0-9 -]{9}", "phone": r"[0-9]{3}[ .-][0-9]{4}", "secret": r"[A-Za-z0-9_/+-]{20}",
-              "account": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "person": rf"(?:{TITLES}|{'|'.join(GIVEN)})\.? [\p{{Lu}}]",
-              "address": rf"[0-9] [\p{{Lu}}]|(?:straße|strasse|weg|gasse|platz) [0-9]|[Rr]ue |[Cc]alle "}
+              "account": r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", "person": r"[A-Z][\p{L}]{1,11}+\.? [\p{Lu}]",
+              "address": r"[0-9]{1,5}+,? [\p{Lu}Rr]|[\p{L}],? [0-9]"}
 
 # Signal words of the gazetteer and context labelers.
 ENDINGS = r"(?i)\.(?:com|net|org|edu|gov|info|io|de|fr|es|uk|eu)$"
