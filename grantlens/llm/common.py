@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import string
 import sys
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import remove, work_folder
+from . import words as W
 
 SLICE = 1_500_000  # bytes of text that one step of numpy work looks at
 
@@ -45,9 +48,11 @@ def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
 
 
 def discarded(*tables: DataFrame) -> None:
-    """Delete tables made by `stored`."""
+    """Delete tables made by `stored`, and let Spark delete the shuffles of finished steps: it does when their frames are collected as garbage."""
     for t in tables:
         remove(t.sparkSession, getattr(t, _STORED))
+    gc.collect()
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def lower_ascii(text: Column) -> Column:
@@ -87,6 +92,43 @@ def worker_memory(name: str, make):
     return getattr(kept, name)
 
 
+def released() -> None:
+    """Hand back to the machine what a finished step of a worker no longer needs: idle workers stand beside the executor's own memory."""
+    W.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frugal(steps):
+    """A function over the batches of a task that hands its memory back when the task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from steps(batches)
+        finally:
+            released()
+
+    return run
+
+
+def frugal_groups(step, each: int = 16):
+    """A function over the tables of a group that hands its memory back after every `each` groups of a worker."""
+    done = [0]
+
+    def counted(out: pa.Table) -> pa.Table:
+        done[0] += 1
+        if done[0] % each == 0:
+            released()
+        return out
+
+    # Spark reads the number of tables from the signature.
+    if step.__code__.co_argcount == 2:
+        return lambda left, right: counted(step(left, right))
+    return lambda table: counted(step(table))
+
+
 def packed(columns: dict[str, pa.Array]) -> bytes:
     """A record batch as one compressed value."""
     batch = pa.RecordBatch.from_pydict(columns)
@@ -114,7 +156,7 @@ def in_blocks(rows: DataFrame, limit: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([first + n]), pa.array([packed(part)], pa.binary())], ["block", "texts"])
             n += 1
 
-    return staged(rows.mapInArrow(pack, "block long, texts binary"))
+    return staged(rows.mapInArrow(frugal(pack), "block long, texts binary"))
 
 
 def _of_size(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[str, pa.Array]]:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import joined_bytes, shared, slices, staged
+from .common import frugal, joined_bytes, shared, slices, staged
 
 WIDTH = 10
 BLOCK_PAIRS = 200_000
@@ -196,7 +196,7 @@ def measure(docs: DataFrame, bench: DataFrame, width: int = WIDTH, keep: list[st
             n_words, found = matcher().hits(*joined_bytes(part.column("text")))
             yield _with_summaries(part, keep, [_summary(n, *f) if len(f[1]) else (n, 0, 0, _EMPTY, False) for n, f in zip(n_words.tolist(), found)])
 
-    return docs.select(*{*keep, "text"}).mapInArrow(search, _schema(docs, keep))
+    return docs.select(*{*keep, "text"}).mapInArrow(frugal(search), _schema(docs, keep))
 
 
 def _schema(docs: DataFrame, keep: list[str]) -> str:

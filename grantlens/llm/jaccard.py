@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import column, in_blocks, joined_bytes, per_block, slices, staged, unpacked
+from .common import column, frugal, frugal_groups, in_blocks, joined_bytes, per_block, slices, staged, unpacked
 from .components import connected
 
 SHINGLE, PERCENT = 5, 75
@@ -73,7 +73,7 @@ def classes(blocks: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("mark"), pa.array([_digest(s) if len(s) else None for s in sets], pa.string()),
                                               pa.array([len(s) for s in sets], pa.int64())], ["doc_id", "mark", "class", "n_shingles"])
 
-    return blocks.mapInArrow(digests, "doc_id long, mark string, class string, n_shingles long")
+    return blocks.mapInArrow(frugal(digests), "doc_id long, mark string, class string, n_shingles long")
 
 
 def _short(found: np.ndarray, bits: int) -> np.ndarray:
@@ -118,8 +118,8 @@ def shared_elements(blocks: DataFrame, total: int) -> DataFrame:
         return pa.table({"block": pa.array([x[0] for x in out], pa.int64()), "elements": pa.array([x[1] for x in out], pa.binary()),
                          "uses": pa.array([x[2] for x in out], pa.binary())})
 
-    sent = blocks.mapInArrow(lots, "bucket long, block long, elements binary, uses binary")
-    return sent.groupBy("bucket").applyInArrow(count, "block long, elements binary, uses binary")
+    sent = blocks.mapInArrow(frugal(lots), "bucket long, block long, elements binary, uses binary")
+    return sent.groupBy("bucket").applyInArrow(frugal_groups(count, 1), "block long, elements binary, uses binary")
 
 
 def boundary(sizes: dict[int, int], scanned: float) -> int:
@@ -171,7 +171,7 @@ def signatures(blocks: DataFrame, shared: DataFrame, total: int, light: int) ->
                          "keys": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
 
     both = blocks.groupBy("block").cogroup(shared.groupBy("block"))
-    return both.applyInArrow(keys, "class string, n long, found binary, keys array<long>").dropDuplicates(["class"])
+    return both.applyInArrow(frugal_groups(keys, 4), "class string, n long, found binary, keys array<long>").dropDuplicates(["class"])
 
 
 def _first_keys(s: np.ndarray, uses: np.ndarray, light: int) -> np.ndarray:
@@ -321,7 +321,7 @@ def links(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """
     _, of_class, candidates = _prepared(docs)
     met = meetings(candidates, of_class.select("class", "rows"), group)
-    found = met.groupBy("group", "low", "high").applyInArrow(_pairs, "class string, other string")
+    found = met.groupBy("group", "low", "high").applyInArrow(frugal_groups(_pairs), "class string, other string")
     return found.select(F.least("class", "other").alias("class"), F.greatest("class", "other").alias("other"))
 
 
@@ -329,7 +329,7 @@ def _components(docs: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
     """The documents (doc_id, mark, class, n_shingles), and the classes' component (part), component_id and n_links."""
     named, of_class, candidates = _prepared(docs)
     met = meetings(candidates, of_class.select("class", "rows"), group)
-    found = staged(met.groupBy("group", "low", "high").applyInArrow(_sums, "class string, other string, n long"))
+    found = staged(met.groupBy("group", "low", "high").applyInArrow(frugal_groups(_sums), "class string, other string, n long"))
     parts = connected(found.where("other IS NOT NULL").select(F.col("class").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("class"), "part")
     counts = found.where("other IS NULL").groupBy("class").agg(F.sum("n").alias("n_links"))
     ids = of_class.select("class", "first", "rows").join(parts, "class", "left").join(counts, "class", "left").withColumn("part", F.coalesce("part", "class"))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import column, discarded, in_blocks, per_block, slices, stored, unpacked
+from .common import column, discarded, frugal, frugal_groups, in_blocks, per_block, slices, stored, unpacked
 from .components import connected
 from .jaccard import GROUP, matched, meetings, shingle_sets
 
@@ -92,7 +92,7 @@ def signed(blocks: DataFrame, bands: int = BANDS, permutations_each: int = PERMU
                      pa.array([block] * len(sets), pa.int64()), pa.array([of.get(i) for i in range(len(sets))], pa.list_(pa.int64()))],
                     ["doc_id", "class", "n_shingles", "block", "bands"])
 
-    return blocks.mapInArrow(sign, "doc_id long, class binary, n_shingles long, block long, bands array<long>")
+    return blocks.mapInArrow(frugal(sign), "doc_id long, class binary, n_shingles long, block long, bands array<long>")
 
 
 def _sets(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def _sets(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
                         rows.append((name, s.tobytes()))
         return pa.table({"class": pa.array([r[0] for r in rows], pa.binary()), "found": pa.array([r[1] for r in rows], pa.binary())})
 
-    return blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(pick, "class binary, found binary")
+    return blocks.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(frugal_groups(pick, 4), "class binary, found binary")
 
 
 def _confirmed(pairs: DataFrame) -> DataFrame:
@@ -128,7 +128,7 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
                 keep.append(100 * common >= PERCENT * (len(mine) + len(theirs) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "a_found", "b_found").mapInArrow(check, "a binary, b binary")
+    return pairs.select("a", "b", "a_found", "b_found").mapInArrow(frugal(check), "a binary, b binary")
 
 
 def _linked_in_block(table: pa.Table) -> pa.Table:
@@ -168,7 +168,7 @@ def confirmed_links(blocks: DataFrame, classes: DataFrame, group: int = GROUP) -
     found = _sets(blocks, classes.join(left.select("class").distinct(), "class", "left_semi").select("class", "block"))
     candidates = stored(candidates.join(found, "class"))
     visits = meetings(candidates, candidates.select("class", "part"), group, "part")
-    return stars.unionByName(stored(visits.groupBy("group", "low", "high").applyInArrow(_linked_in_block, "a binary, b binary")))
+    return stars.unionByName(stored(visits.groupBy("group", "low", "high").applyInArrow(frugal_groups(_linked_in_block), "a binary, b binary")))
 
 
 def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import frugal, slices, staged
 from .tokens import encoder
 
 CAPACITY = 4096
@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                 "doc_id": part.column("doc_id").take(pa.array(doc)), "piece": pa.array(piece, pa.int32()),
                 "start": pa.array(piece * capacity, pa.int64()), "length": pa.array(size, pa.int64()), "ids_crc32": pa.array(sums, pa.int64())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(frugal(cut), PIECES)
 
 
 @dataclass

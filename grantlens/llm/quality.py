@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, shared, slices
+from .common import frugal, joined_bytes, shared, slices
 
 CHUNK, STEP = 1024, 960
 WIDTH, FILTERS, REACH = 5, 12, 40
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cuts, pa.list_(pa.binary()))], ["doc_id", "cuts"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    found = read.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(chunks, "doc_id long, cuts array<binary>")
+    found = read.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(frugal(chunks), "doc_id long, cuts array<binary>")
     rows = found.groupBy("doc_id").agg(F.min("cuts").alias("cuts")).collect()  # a repeated id counts once
     rows.sort(key=lambda r: r["doc_id"])
     return fit([[bytes(c) for c in r["cuts"]] for r in rows], np.array([chosen[r["doc_id"]] for r in rows], float))
@@ -175,7 +175,7 @@ def score(docs: DataFrame, network: Network, keep: list[str] | None = None, thre
                 [part.column(c) for c in keep] + [pa.array(out), pa.array((out >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), "score double, predicted int"])
-    return docs.select(*{*keep, "text"}).mapInArrow(scored, schema)
+    return docs.select(*{*keep, "text"}).mapInArrow(frugal(scored), schema)
 
 
 def _in_steps(network: Network, data: np.ndarray, marks: np.ndarray) -> np.ndarray:

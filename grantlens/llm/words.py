@@ -24,13 +24,21 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _TABLES: dict[str, np.ndarray] = {}
+KEPT = 4_000_000
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse modulo 2^64, kept for the next call."""
-    if len(_TABLES.get("up", ())) <= n:
-        _TABLES["up"], _TABLES["down"] = _powers(_BASE, n), _powers(_INVERSE, n)
-    return _TABLES["up"], _TABLES["down"]
+    """Powers 0..n of the base and of its inverse modulo 2^64, kept for the next call up to KEPT of them."""
+    if len(_TABLES.get("up", ())) > n:
+        return _TABLES["up"], _TABLES["down"]
+    up, down = _powers(_BASE, n), _powers(_INVERSE, n)
+    if n <= KEPT:
+        _TABLES["up"], _TABLES["down"] = up, down
+    return up, down
+
+
+def forget() -> None:
+    _TABLES.clear()
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
