@@ -7,19 +7,27 @@ from pyspark.sql import functions as F
 from ..functions import columns as c
 from ..operators import selection
 from ..sources import inputs, sinks, tables
-from .registry import query
+from .registry import LIST_CHECKS, LISTS, query
 
 
 @query("src_tables", """
 SELECT c_custkey, c_name, n_name, s_suppkey FROM customer JOIN nation ON n_nationkey = c_nationkey
 JOIN supplier ON s_suppkey = c_custkey""")
 def src_tables(e):
-    t = tables.scan_all(e.spark, e.folder)
-    return (t["customer"].join(F.broadcast(t["nation"]), F.col("n_nationkey") == F.col("c_nationkey"))
-            .join(t["supplier"], F.col("s_suppkey") == F.col("c_custkey"))
+    """A join across both catalogs, by the names of their tables."""
+    staff, submission = (tables.Catalog(e.spark, e.folder, names) for names in tables.CATALOGS.values())
+    return (staff.table("customer").join(F.broadcast(staff.table("nation")), F.col("n_nationkey") == F.col("c_nationkey"))
+            .join(submission.table("supplier"), F.col("s_suppkey") == F.col("c_custkey"))
             .select("c_custkey", "c_name", "n_name", "s_suppkey"))
 
 
+@query("src_catalogs", " UNION ALL ".join(f"SELECT '{catalog}' AS catalog, '{t}' AS table_name, count(*) AS n_rows FROM {t}" for catalog, names in tables.CATALOGS.items() for t in names), LISTS, LIST_CHECKS)
+def src_catalogs(e):
+    """All tables of both catalogs with their rows."""
+    parts = [tables.row_counts(tables.Catalog(e.spark, e.folder, names)).withColumn("catalog", F.lit(catalog)) for catalog, names in tables.CATALOGS.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query("src_id_list", """
 SELECT p.prop_id, lpad(CAST(p.prop_id AS STRING), 7, '0') AS id_text, p.rqst_dol FROM v_prop p
 WHERE p.prop_id IN (SELECT prop_id FROM v_idlist)""")
@@ -86,4 +94,4 @@ def snk_result(e):
 @query("snk_table_stats", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in (*tables.STAFF, *tables.SUBMISSION)))
 def snk_table_stats(e):
-    return tables.row_counts(tables.scan_all(e.spark, e.folder))
+    return tables.row_counts(tables.Catalog(e.spark, e.folder))

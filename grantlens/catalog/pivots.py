@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions import criteria
-from ..operators import pivots, selection
+from ..operators import cube, pivots, selection
 from ..plans import stages
-from .registry import query
+from .registry import LIST_CHECKS, LISTS, query
 
 STATUS = ("F", "O", "P")
 
@@ -26,19 +27,28 @@ def _rollup(dims: list[str], select: str, src: str) -> str:
 _BASE = """bs AS (SELECT o2.dir_div_abbr AS "Dir", o.dir_div_abbr AS "Div", p.pgm_ele_code AS pgm, p.* FROM v_prj p JOIN v_org o ON o.org_code = p.org_code JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000')"""
 
 
-@query("pvt_count_1d", _rollup(["prop_stts_code"], "count(*) AS n", "v_prop"))
-def pvt_count_1d(e):
-    return pivots.totalled(e.prop, ["prop_stts_code"], F.count(F.lit(1)).alias("n"))
 
+def _counted(e, dims: list[str], kept: DataFrame | None = None) -> DataFrame:
+    """Proposals counted over dimensions of the cube, with subtotals."""
+    return pivots.totalled(stages.proposal_cube(e) if kept is None else kept, dims, F.sum("n").alias("n"))
 
-def _count_by(name: str, dim: str) -> None:
-    """One pivot for each dimension that proposals are counted by."""
-    query(name, _rollup([dim], "count(*) AS n", "v_prop"))(
-        lambda e: pivots.totalled(e.facts if dim in e.facts.columns else e.prop, [dim], F.count(F.lit(1)).alias("n")))
 
+def _across(e, rows: DataFrame, dims: list[str], by: str, values, prefix: str) -> DataFrame:
+    return pivots.totalled(rows, dims, *[F.coalesce(F.sum(F.when(F.col(by) == v, F.col("n"))), F.lit(0)).alias(f"{prefix}{v}") for v in values], F.sum("n").alias("n"))
+
+
+# One pivot for each dimension of the cube that proposals are counted by: status, object class, kind of summary, program, request, organisation, officer.
+for _name, _dim in {"pvt_count_1d": "prop_stts_code", "pvt_count_class": "obj_clas_code", "pvt_count_kind": "ILN", "pvt_count_program": "pgm_ele_code",
+                    "pvt_count_request": "natr_rqst_code", "pvt_count_organisation": "org_code", "pvt_count_officer": "PO"}.items():
+    _added = {} if _name not in ("pvt_count_class", "pvt_count_kind", "pvt_count_officer") else {"queries": LISTS, "checks": LIST_CHECKS}
+    query(_name, _rollup([_dim], "count(*) AS n", "(SELECT *, pm_ibm_logn_id AS PO FROM v_prj) t"), **_added)(lambda e, dim=_dim: _counted(e, [dim]))
+
+
+@query("pvt_count_investigator", _rollup(["pi_id"], "count(*) AS n", "v_prop"))
+def pvt_count_investigator(e):
+    """Counted from the proposals: investigators are too many for the cube."""
+    return pivots.totalled(e.facts, ["pi_id"], F.count(F.lit(1)).alias("n"))
 
-for _name, _dim in {"pvt_count_program": "pgm_ele_code", "pvt_count_request": "natr_rqst_code", "pvt_count_organisation": "org_code", "pvt_count_investigator": "pi_id"}.items():
-    _count_by(_name, _dim)
 
 REQUESTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
@@ -46,7 +56,7 @@ REQUESTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 @query("pvt_program_request", _rollup(["pgm_ele_code"], ", ".join(f"count(*) FILTER (WHERE natr_rqst_code = '{r}') AS \"rq_{r}\"" for r in REQUESTS) + ", count(*) AS n", "v_prop"))
 def pvt_program_request(e):
     """Programs down, kinds of request across."""
-    return pivots.across(e.prop, ["pgm_ele_code"], "natr_rqst_code", REQUESTS, "rq_")
+    return _across(e, stages.proposal_cube(e), ["pgm_ele_code"], "natr_rqst_code", REQUESTS, "rq_")
 
 
 _ACROSS = ", ".join(f"count(CASE WHEN prop_stts_code = '{s}' THEN 1 END) AS \"st_{s}\"" for s in STATUS) + ", count(*) AS n"
@@ -54,17 +64,17 @@ _ACROSS = ", ".join(f"count(CASE WHEN prop_stts_code = '{s}' THEN 1 END) AS \"st
 
 @query("pvt_count_2d", f"WITH {_BASE} " + _rollup(['"Dir"', '"Div"', "pgm"], _ACROSS, "bs"))
 def pvt_count_2d(e):
-    return pivots.across(stages.base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"], "prop_stts_code", STATUS, "st_")
+    return _across(e, stages.proposal_cube(e).withColumnRenamed("pgm_ele_code", "pgm"), ["Dir", "Div", "pgm"], "prop_stts_code", STATUS, "st_")
 
 
-_MONEY = "round(min(rqst_dol), 2) AS min_dol, round(avg(rqst_dol) + 1e-7, 4) AS avg_dol, round(max(rqst_dol), 2) AS max_dol"
+_TICKS = "CAST(sum(CAST(CAST(rqst_dol AS DECIMAL(18,4)) * 10000 AS BIGINT)) AS BIGINT)"
+_MONEY = f"round(min(rqst_dol), 2) AS min_dol, ((2 * {_TICKS} + count(rqst_dol)) // (2 * count(rqst_dol))) / 10000 AS avg_dol, round(max(rqst_dol), 2) AS max_dol"
 
 
 @query("pvt_minavgmax", f"WITH {_BASE} " + _rollup(['"Dir"', '"Div"', "pgm"], _MONEY, "bs"))
 def pvt_minavgmax(e):
-    return pivots.totalled(stages.base(e).withColumn("pgm", F.col("pgm_ele_code")), ["Dir", "Div", "pgm"],
-                           F.round(F.min("rqst_dol"), 2).alias("min_dol"), c.rounded(F.avg("rqst_dol"), 4, 1e-7).alias("avg_dol"),
-                           F.round(F.max("rqst_dol"), 2).alias("max_dol"))
+    found = cube.measures()
+    return pivots.totalled(stages.proposal_cube(e).withColumnRenamed("pgm_ele_code", "pgm"), ["Dir", "Div", "pgm"], *[found[m].alias(m) for m in ("min_dol", "avg_dol", "max_dol")])
 
 
 @query("pvt_sum", """
@@ -92,5 +102,13 @@ def pvt_people(e):
 @query("pvt_filtered", f"""WITH {_BASE}, f AS (SELECT * FROM bs WHERE "Dir" <> 'ASIA' AND natr_rqst_code IN ('BUILDING', 'MACHINERY') AND "ILN" IN ('I', 'L')) """
        + _rollup(["pgm"], _ACROSS, "f"))
 def pvt_filtered(e):
-    kept = criteria.apply(stages.base(e), {"Dir": "~ASIA", "natr_rqst_code": "BUILDING,MACHINERY", "ILN": "I,L", "Div": "eg:X"})
-    return pivots.across(kept.withColumn("pgm", F.col("pgm_ele_code")), ["pgm"], "prop_stts_code", STATUS, "st_")
+    kept = criteria.apply(stages.proposal_cube(e), {"Dir": "~ASIA", "natr_rqst_code": "BUILDING,MACHINERY", "ILN": "I,L", "Div": "eg:X"})
+    return _across(e, kept.withColumnRenamed("pgm_ele_code", "pgm"), ["pgm"], "prop_stts_code", STATUS, "st_")
+
+
+@query("pvt_sliced", """WITH f AS (SELECT pm_ibm_logn_id AS "PO", * FROM v_prj WHERE obj_clas_code IN ('4100', '4110') AND pm_ibm_logn_id <> 'po3' AND pgm_ele_code >= '2' AND pgm_ele_code <= '4' AND prop_stts_code IN ('F', 'O')) """
+       + _rollup(['"PO"', "obj_clas_code"], _ACROSS, "f"), LISTS, LIST_CHECKS)
+def pvt_sliced(e):
+    """Officers and object classes down, status across, with slicers on four dimensions."""
+    kept = criteria.apply(stages.proposal_cube(e), {"obj_clas_code": "4100,4110", "PO": "~po3", "pgm_ele_code": "2::4", "prop_stts_code": "F,O"})
+    return _across(e, kept, ["PO", "obj_clas_code"], "prop_stts_code", STATUS, "st_")

@@ -82,10 +82,11 @@ def prj_a_minus_b(e):
 @query("prj_base", """
 SELECT p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code,
   p.org_code || ' - ' || o.dir_div_abbr AS "OrgLabel", p.pgm_ele_code, CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC",
-  p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name AS inst_name, i.st_code,
+  p.pgm_annc_id, CASE WHEN p.org_code <> p.orig_org_code THEN p.orig_org_code END AS "origORG", p.pgm_ele_code || ' - ' || g.pgm_ele_name AS "Pgm", p.pm_ibm_logn_id AS "PO", p.obj_clas_code, nr.natr_rqst_abbr, ps.prop_stts_abbr, ps.prop_stts_txt,
+  p.rqst_eff_date, p.rqst_mnth_cnt, p.cntx_stmt_id, p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name AS inst_name, i.st_code,
   pi.pi_emai_addr, p.prop_titl_txt, p.rqst_dol, p.inst_id, p.pi_id
 FROM v_prj p JOIN v_org o ON o.org_code = p.org_code JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000'
-JOIN v_inst i ON i.inst_id = p.inst_id JOIN v_pi pi ON pi.pi_id = p.pi_id WHERE pi.prim_addr_flag = 'Y'""")
+JOIN v_inst i ON i.inst_id = p.inst_id JOIN v_pi pi ON pi.pi_id = p.pi_id JOIN v_pgm g ON g.pgm_ele_code = p.pgm_ele_code JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code JOIN v_rqst nr ON nr.natr_rqst_code = p.natr_rqst_code WHERE pi.prim_addr_flag = 'Y'""")
 def prj_base(e):
     return stages.base(e)
 

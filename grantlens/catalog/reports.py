@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..plans import reports, stages
 from .aggregates import (ADHOC, ADHOC_COLUMNS, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
                          SUMMARY, TIMED, YEARS, stats_sql)
-from .registry import query
-from .strings import ASSESSED, CONFLICT_PEOPLE, CONFLICT_TEXT, OUTCOMES
+from .registry import LIST_CHECKS, LISTS, query
+from .strings import ASSESSED, CONFLICT_PEOPLE, CONFLICT_TEXT, OUTCOMES, PLACED
 from .windows import CODES, LATEST, MATCH, NAMED, PATTERNS, PEOPLE, _slot_sql, patterns
 
 RA = """ra AS (SELECT x.prop_id AS lead, max(x.last_updt_tmsp) AS "RAupdate" FROM (SELECT prop_id, last_updt_tmsp FROM v_ra UNION ALL SELECT prop_id, last_updt_tmsp FROM v_upld WHERE upload_type_code = '034') x
@@ -18,8 +18,9 @@ PRIMARY = "v_pi pi ON pi.pi_id = p.pi_id AND pi.prim_addr_flag = 'Y'"
 DIV = """JOIN v_org o ON o.org_code = p.org_code"""
 BASE_FROM = f"""v_prj p {DIV} JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000' JOIN v_inst i ON i.inst_id = p.inst_id JOIN {PRIMARY}"""
 BASE = f"""bs AS (SELECT p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, o2.dir_div_abbr AS "Dir", p.org_code, p.org_code || ' - ' || o.dir_div_abbr AS "OrgLabel", p.pgm_ele_code,
-  CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC", p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name,
-  i.inst_shrt_name AS inst_name, i.st_code, pi.pi_emai_addr, p.prop_titl_txt, p.rqst_dol, p.inst_id, p.pi_id FROM {BASE_FROM})"""
+  CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC", p.pgm_annc_id, CASE WHEN p.org_code <> p.orig_org_code THEN p.orig_org_code END AS "origORG", p.pgm_ele_code || ' - ' || g.pgm_ele_name AS "Pgm", p.pm_ibm_logn_id AS "PO", p.obj_clas_code, nr.natr_rqst_abbr, ps.prop_stts_abbr, ps.prop_stts_txt,
+  p.rqst_eff_date, p.rqst_mnth_cnt, p.cntx_stmt_id, p.natr_rqst_code, p.prop_stts_code, p."ILN", p.lead, o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name,
+  i.inst_shrt_name AS inst_name, i.st_code, pi.pi_emai_addr, p.prop_titl_txt, p.rqst_dol, p.inst_id, p.pi_id FROM {BASE_FROM} JOIN v_pgm g ON g.pgm_ele_code = p.pgm_ele_code JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code JOIN v_rqst nr ON nr.natr_rqst_code = p.natr_rqst_code)"""
 APPROVALS = """ap AS (SELECT s.prop_id, CASE WHEN c.hum_date IS NOT NULL THEN strftime(c.hum_date, '%m/%d/%y') WHEN c.humn_date_pend_flag = 'Y' THEN 'Pend' END AS humn_date,
   CASE WHEN c.vert_date IS NOT NULL THEN strftime(c.vert_date, '%m/%d/%y') WHEN c.vrtb_date_pend_flag = 'Y' THEN 'Pend' END AS vrtb_date FROM v_subm s JOIN v_covr c ON c.temp_prop_id = s.temp_prop_id)"""
 COUNTRY = """cy AS (SELECT prop_id, string_agg(ctry_name, '; ' ORDER BY n) AS "Country" FROM (SELECT b.prop_id, c.ctry_name, row_number() OVER (PARTITION BY b.prop_id ORDER BY c.ctry_name) AS n
@@ -221,14 +222,22 @@ def rpt_orphans(e):
     return reports.orphans(e)
 
 
-@query("rpt_transfers", """
-WITH pa AS (SELECT p.prop_id, l.awd_id FROM v_prop p JOIN v_log l ON l.awd_id = p.prop_id
-  UNION SELECT p.prop_id, c.prev_awd_id FROM v_prop p JOIN v_subm s ON s.prop_id = p.prop_id JOIN v_covr c ON c.temp_prop_id = s.temp_prop_id WHERE c.prev_awd_id IS NOT NULL AND p.natr_rqst_code NOT IN ('BUILDING', 'MACHINERY')),
-x1 AS (SELECT pa.prop_id, pa.awd_id, min(l.last_prop_id) AS last_prop_id, 'awd ' AS xfer_type, CASE WHEN l.to_org <> l.from_org THEN l.from_org END AS "fromORG", l.to_org AS "toORG", min(l.awd_chg_date) AS crtd_date
-  FROM pa JOIN v_log l ON l.awd_id = pa.awd_id GROUP BY pa.prop_id, pa.awd_id, CASE WHEN l.to_org <> l.from_org THEN l.from_org END, l.to_org),
-x2 AS (SELECT prop_id, awd_id, last_prop_id FROM x1 WHERE prop_id <> last_prop_id UNION SELECT p.prop_id, pa.awd_id, p.prop_id FROM v_prop p LEFT JOIN pa ON pa.prop_id = p.prop_id),
-al AS (SELECT prop_id, awd_id, last_prop_id, xfer_type, "fromORG", "toORG", crtd_date, CAST(NULL AS STRING) AS note FROM x1
-  UNION ALL SELECT x2.prop_id, x2.awd_id, x2.last_prop_id, 'prop', CASE WHEN h.to_org <> h.from_org THEN h.from_org END, h.to_org, h.crtd_date, coalesce(h.note, '') FROM x2 JOIN v_own h ON h.prop_id = x2.last_prop_id WHERE h.ownr_stts_code = 9)
+_XFER = """pi.pi_last_name, i.inst_shrt_name"""
+_HELD = """JOIN v_pi pi ON pi.pi_id = q.pi_id AND pi.prim_addr_flag = 'Y' JOIN v_inst i ON i.inst_id = q.inst_id"""
+
+
+@query("rpt_transfers", f"""
+WITH RECURSIVE lk AS (SELECT p.prop_id AS node, c.prev_awd_id AS reached FROM v_prop p JOIN v_subm s ON s.prop_id = p.prop_id JOIN v_covr c ON c.temp_prop_id = s.temp_prop_id
+    WHERE c.prev_awd_id IS NOT NULL AND p.natr_rqst_code NOT IN ('BUILDING', 'MACHINERY') UNION SELECT awd_id, last_prop_id FROM v_log WHERE awd_id <> last_prop_id),
+rc(prop_id, awd_id, hops) AS (SELECT prop_id, prop_id, CAST(0 AS BIGINT) FROM v_prop UNION SELECT rc.prop_id, lk.reached, rc.hops + 1 FROM rc JOIN lk ON lk.node = rc.awd_id),
+pa AS (SELECT prop_id, awd_id, min(hops) AS hops FROM rc GROUP BY prop_id, awd_id),
+al AS (SELECT pa.prop_id, pa.awd_id, pa.hops, min(l.last_prop_id) AS last_prop_id, 'awd ' AS xfer_type, {_XFER}, CASE WHEN l.org_code <> q.org_code THEN q.org_code END AS "fromORG", l.org_code AS "toORG",
+    CASE WHEN l.pgm_ele_code <> q.pgm_ele_code THEN q.pgm_ele_code END AS "fromPEC", l.pgm_ele_code AS "toPEC",
+    CASE WHEN l.pm_ibm_logn_id <> q.pm_ibm_logn_id THEN q.pm_ibm_logn_id END AS "fromPO", l.pm_ibm_logn_id AS "toPO", min(l.awd_chg_date) AS crtd_date, CAST(NULL AS STRING) AS note
+  FROM pa JOIN v_log l ON l.awd_id = pa.awd_id JOIN v_prop q ON q.prop_id = l.last_prop_id {_HELD} GROUP BY ALL
+  UNION ALL SELECT pa.prop_id, pa.awd_id, pa.hops, pa.awd_id, 'prop', {_XFER}, CASE WHEN h.to_org <> h.from_org THEN h.from_org END, h.to_org, CASE WHEN h.to_pgm <> h.from_pgm THEN h.from_pgm END, h.to_pgm,
+    CASE WHEN h.to_lan_id <> h.from_lan_id THEN h.from_lan_id END, h.to_lan_id, h.crtd_date, coalesce(h.note, '')
+  FROM pa JOIN v_own h ON h.prop_id = pa.awd_id AND h.ownr_stts_code = 9 JOIN v_prop q ON q.prop_id = pa.awd_id {_HELD})
 SELECT al.*, p.lead, p."ILN", p.natr_rqst_code, p.prop_stts_code FROM al JOIN v_prj p ON p.prop_id = al.prop_id""")
 def rpt_transfers(e):
     return reports.transfers(e)
@@ -321,11 +330,11 @@ def _side(name: str) -> str:
 
 
 @query("rpt_tracker_proposal", f"""
-WITH {PANEL_ROWS}, {ADHOC}, {_codes('cp6', ' ', 6, True)}, sx AS (SELECT prop_id, min(panl_bgn_date) AS lo, max(panl_bgn_date) AS hi FROM pw GROUP BY prop_id),
+WITH {PANEL_ROWS}, {ADHOC}, cp6 AS ({PLACED}), sx AS (SELECT prop_id, min(panl_bgn_date) AS lo, max(panl_bgn_date) AS hi FROM pw GROUP BY prop_id),
 first AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.lo), last AS (SELECT pw.* FROM pw JOIN sx ON sx.prop_id = pw.prop_id AND pw.panl_bgn_date = sx.hi AND sx.hi > sx.lo),
 mo AS (SELECT prop_id, CAST(CAST(sum(CAST(budg_splt_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS split_tot_dol, max(frwd_date) AS split_frwd_date FROM v_splt GROUP BY prop_id)
 SELECT p.lead AS lead_id, p."ILN", p.prop_id, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.rqst_dol, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.bas_rsch_pct, p.prop_titl_txt,
-  pi.pi_last_name, pi.pi_gend_code, i.inst_shrt_name AS inst_name, cp6.codes AS "PRCs", {ADHOC_COLUMNS}, {_side('first')}, {_side('last')}, mo.split_tot_dol, mo.split_frwd_date,
+  pi.pi_last_name, pi.pi_gend_code, i.inst_shrt_name AS inst_name, cp6."PRCs6" AS "PRCs", {ADHOC_COLUMNS}, {_side('first')}, {_side('last')}, mo.split_tot_dol, mo.split_frwd_date,
   a.awd_id, a.tot_intn_awd_amt, a.awd_stts_code, a.awd_eff_date, a.awd_exp_date, i2.inst_shrt_name AS inst_awd
 FROM v_prj p JOIN {PRIMARY} JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cp6 ON cp6.prop_id = p.prop_id LEFT JOIN ah ON ah.prop_id = p.prop_id LEFT JOIN first ON first.prop_id = p.prop_id LEFT JOIN last ON last.prop_id = p.prop_id LEFT JOIN mo ON mo.prop_id = p.prop_id
 LEFT JOIN v_awd a ON a.awd_id = p.prop_id LEFT JOIN v_inst i2 ON i2.inst_id = a.inst_id""")
@@ -353,6 +362,29 @@ _PAIRS = """lp AS (SELECT lead, prop_id, pi_id FROM v_prj WHERE prop_id IN (SELE
 pr AS (SELECT * FROM lp UNION SELECT p.lead, p.prop_id, c.pi_id FROM lp p JOIN v_copi c ON c.prop_id = p.prop_id)"""
 
 
+@query("pi_bridge", f"WITH {_PAIRS} SELECT lead, prop_id, pi_id FROM pr", LISTS, LIST_CHECKS)
+def pi_bridge(e):
+    return reports.listed_people(e)
+
+
+@query("pi_held_awards", f"""
+WITH {_PAIRS}, mn AS (SELECT t.awd_id, t.n AS "totPIs", o.* EXCLUDE (oblg_id) FROM (SELECT awd_id, count(DISTINCT pi_id) AS n FROM v_awd_pi WHERE end_date IS NULL GROUP BY awd_id) t
+  JOIN (SELECT oblg_id, CAST(CAST(sum(CAST(oblg_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totOblg_amt", CAST(CAST(sum(CAST(cuml_xpnd_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totCuml_xpnd_amt", max(last_pymt_date) AS last_pymt_date FROM v_oblg GROUP BY oblg_id) o ON o.oblg_id = t.awd_id)
+SELECT w.pi_id, w.awd_id, w.proj_role_code, a.tot_intn_awd_amt, a.awd_exp_date, mn.* EXCLUDE (awd_id), i2.inst_shrt_name AS inst_awd, pi.pi_last_name, pi.pi_frst_name
+FROM v_awd_pi w JOIN v_awd a ON a.awd_id = w.awd_id AND a.awd_stts_code = '80' JOIN mn ON mn.awd_id = w.awd_id JOIN v_inst i2 ON i2.inst_id = a.inst_id JOIN v_pi pi ON pi.pi_id = w.pi_id AND pi.prim_addr_flag = 'Y'
+WHERE w.end_date IS NULL AND w.pi_id IN (SELECT pi_id FROM pr)""", LISTS, LIST_CHECKS)
+def pi_held_awards(e):
+    return reports.awards_of_people(e)
+
+
+@query("pi_held_pending", f"""
+WITH {_PAIRS}, ro AS (SELECT prop_id AS pend_id, pi_id, '1' AS proj_role_code FROM v_prop WHERE prop_stts_code = 'P' UNION SELECT c.prop_id, c.pi_id, '2' FROM v_copi c JOIN v_prop p ON p.prop_id = c.prop_id AND p.prop_stts_code = 'P')
+SELECT ro.*, pi.pi_last_name, p.rqst_dol, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.prop_titl_txt FROM ro JOIN v_pi pi ON pi.pi_id = ro.pi_id AND pi.prim_addr_flag = 'Y' JOIN v_prop p ON p.prop_id = ro.pend_id
+WHERE ro.pi_id IN (SELECT pi_id FROM pr)""", LISTS, LIST_CHECKS)
+def pi_held_pending(e):
+    return reports.pending_of_people(e)
+
+
 @query("rpt_pi_awards", f"""
 WITH {_PAIRS}, mn AS (SELECT t.awd_id, t.n AS "totPIs", o.* EXCLUDE (oblg_id) FROM (SELECT awd_id, count(DISTINCT pi_id) AS n FROM v_awd_pi WHERE end_date IS NULL GROUP BY awd_id) t
   JOIN (SELECT oblg_id, CAST(CAST(sum(CAST(oblg_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totOblg_amt", CAST(CAST(sum(CAST(cuml_xpnd_amt AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "totCuml_xpnd_amt", max(last_pymt_date) AS last_pymt_date FROM v_oblg GROUP BY oblg_id) o ON o.oblg_id = t.awd_id)

@@ -17,6 +17,10 @@ SELECT o.o_orderkey AS prop_id,
   CASE WHEN o.o_orderstatus = 'O' THEN DATE '1900-01-01' ELSE o.o_orderdate + INTERVAL 90 DAY END AS dd_rcom_date,
   CAST(CASE WHEN o.o_orderkey % 5 = 0 THEN 0.75 ELSE 1.0 END AS DOUBLE) AS bas_rsch_pct,
   CAST(CASE WHEN o.o_orderkey % 10 = 0 THEN 0.25 ELSE 0.0 END AS DOUBLE) AS other_pct,
+  concat('po', CAST(o.o_orderkey % 13 AS STRING)) AS pm_ibm_logn_id, CASE o.o_orderkey % 3 WHEN 0 THEN '4100' WHEN 1 THEN '4110' ELSE '4120' END AS obj_clas_code,
+  concat('PA-', CAST(o.o_orderkey % 5 AS STRING)) AS pgm_annc_id, o.o_orderdate + INTERVAL 180 DAY AS rqst_eff_date, 12 + 12 * (o.o_orderkey % 5) AS rqst_mnth_cnt,
+  CASE WHEN o.o_orderkey % 6 = 0 THEN concat('C', CAST(o.o_orderkey % 4 AS STRING)) END AS cntx_stmt_id,
+  CASE WHEN o.o_orderkey % 11 = 0 THEN '10000001' ELSE concat(CAST(10 + n.n_regionkey AS STRING), lpad(CAST(n.n_nationkey + 1 AS STRING), 6, '0')) END AS orig_org_code,
   concat(CASE WHEN o.o_orderkey % 23 = 0 THEN 'Goali: ' ELSE '' END, c.c_mktsegment, ' study ', CAST(o.o_orderkey - o.o_orderkey % 4 AS STRING),
          CASE WHEN o.o_orderkey % 29 = 1 THEN ' (revised)' ELSE '' END) AS prop_titl_txt
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
@@ -24,6 +28,15 @@ FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_
     "v_org": """
 SELECT concat(CAST(10 + n_regionkey AS STRING), lpad(CAST(n_nationkey + 1 AS STRING), 6, '0')) AS org_code, n_name AS dir_div_abbr FROM nation
 UNION ALL SELECT concat(CAST(10 + r_regionkey AS STRING), '000000'), r_name FROM region
+""",
+    "v_pgm": """
+SELECT * FROM (VALUES ('1-URGENT', 'Urgent'), ('2-HIGH', 'High'), ('3-MEDIUM', 'Medium'), ('4-NOT SPECIFIED', 'Not specified'), ('5-LOW', 'Low')) t(pgm_ele_code, pgm_ele_name)
+""",
+    "v_stts": """
+SELECT * FROM (VALUES ('F', 'AWD', 'Awarded'), ('O', 'PEND', 'Pending'), ('P', 'DECL', 'Declined')) t(prop_stts_code, prop_stts_abbr, prop_stts_txt)
+""",
+    "v_rqst": """
+SELECT * FROM (VALUES ('AUTOMOBILE', 'SUPP'), ('BUILDING', 'NEW'), ('FURNITURE', 'CONT'), ('HOUSEHOLD', 'TRAN'), ('MACHINERY', 'RNEW')) t(natr_rqst_code, natr_rqst_abbr)
 """,
     "v_pi": """
 SELECT c_custkey AS pi_id, c_name AS pi_last_name, concat('F', CAST(c_custkey % 10 AS STRING)) AS pi_frst_name, 'Y' AS prim_addr_flag, concat(lower(c_name), '@example.org') AS pi_emai_addr,
@@ -46,6 +59,10 @@ SELECT prop_id, pi_id, ' PI' AS pers FROM v_prop UNION ALL SELECT prop_id, pi_id
     "v_atr": """
 SELECT DISTINCT l.l_orderkey AS prop_id, 'PRC' AS prop_atr_type_code, lpad(CAST(p.p_size AS STRING), 4, '0') AS prop_atr_code
 FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+""",
+    "v_atr_seq": """
+SELECT l.l_orderkey AS prop_id, lpad(CAST(p.p_size AS STRING), 4, '0') AS prop_atr_code, CAST(min(l.l_linenumber) % 6 + 1 AS INT) AS prop_atr_seq
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY ALL
 """,
     "v_rating": """
 SELECT yn, string, CAST(score AS DOUBLE) AS score FROM (VALUES ('NNNNN','R',NULL),('NNNNY','P',1.0),('NNNYN','F',3.0),('NNNYY','F/P',2.0),('NNYNN','G',5.0),('NNYNY','G/P',2.98),('NNYYN','G/F',4.0),('NNYYY','G/F/P',2.99),
@@ -157,7 +174,7 @@ SELECT prop_id + 5000000 AS temp_prop_id, prop_atr_code AS spcl_item_code, CASE
     "v_covr": """
 SELECT o_orderkey + 5000000 AS temp_prop_id, CASE WHEN o_orderkey % 6 = 0 THEN o_orderdate + INTERVAL 10 DAY END AS hum_date, CASE WHEN o_orderkey % 6 = 1 THEN 'Y' ELSE 'N' END AS humn_date_pend_flag,
   CASE WHEN o_orderkey % 9 = 0 THEN o_orderdate + INTERVAL 20 DAY END AS vert_date, CASE WHEN o_orderkey % 9 = 4 THEN 'Y' ELSE 'N' END AS vrtb_date_pend_flag,
-  CASE WHEN o_orderkey % 8 = 5 THEN o_orderkey - 5 END AS prev_awd_id FROM orders
+  CASE WHEN o_orderkey % 8 = 5 AND o_orderkey % 40 <> 5 THEN o_orderkey - 8 END AS prev_awd_id FROM orders
 """,
     "v_rev_txt": """
 SELECT doc_id AS prop_id, length(text) AS text_len FROM documents
@@ -187,10 +204,12 @@ SELECT user_id AS prop_id, CASE WHEN event_type = 'click' THEN '034' ELSE '099'
 SELECT doc_id + 5000000 AS temp_prop_id, text AS revr_want, concat(source, ' ', lang) AS revr_dont_want FROM documents
 """,
     "v_log": """
-SELECT awd_id, awd_id - awd_id % 2 AS last_prop_id, awd_chg_date, from_org, to_org FROM v_chg
+SELECT awd_id, awd_id - awd_id % 2 AS last_prop_id, awd_chg_date, concat(CAST(10 + event_id % 5 AS STRING), lpad(CAST(event_id % 25 + 1 AS STRING), 6, '0')) AS org_code,
+  (['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'])[event_id % 5 + 1] AS pgm_ele_code, concat('po', CAST(event_id % 13 AS STRING)) AS pm_ibm_logn_id FROM v_chg
 """,
     "v_own": """
 SELECT awd_id * 2 AS prop_id, CASE WHEN event_id % 3 = 0 THEN 9 ELSE 1 END AS ownr_stts_code, awd_chg_date AS crtd_date, from_org, to_org,
+  (['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'])[event_id % 3 + 1] AS from_pgm, (['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'])[event_id % 5 + 1] AS to_pgm, concat('po', CAST(event_id % 4 AS STRING)) AS from_lan_id, concat('po', CAST(event_id % 6 AS STRING)) AS to_lan_id,
   CASE WHEN event_id % 6 = 0 THEN concat('event ', CAST(event_id AS STRING)) END AS note FROM v_chg
 """,
 }
@@ -212,6 +231,8 @@ def with_views(sql: str) -> str:
     if not needed:
         return body
     ctes = ",\n".join(f"{name} AS ({VIEWS[name].strip()})" for name in needed)
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

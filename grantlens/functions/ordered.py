@@ -49,6 +49,17 @@ def padded_concat(df: DataFrame, keys: Sequence[str], order: Sequence[Column], v
     return ranked.groupBy(*keys).agg(F.concat_ws(sep, *places).alias(name))
 
 
+def placed_concat(df: DataFrame, keys: Sequence[str], place: str, value: Column | str, sep: str, places: int, name: str = "joined") -> DataFrame:
+    """One string per group with each value at its stored place (1 to `places`).
+
+    A place without a value keeps its separator; of several values at one place the greatest stays. Values stored at other places are
+    not shown; `numbered` lists them. Aggregates combine before the shuffle, so no group is gathered.
+    """
+    v = F.col(value) if isinstance(value, str) else value
+    at = [F.coalesce(F.max(F.when(F.col(place) == i, v)), F.lit("")) for i in range(1, places + 1)]
+    return df.groupBy(*keys).agg(F.concat_ws(sep, *at).alias(name))
+
+
 def slots(df: DataFrame, keys: Sequence[str], order: Sequence[Column], fields: dict[str, Column | str],
           count: int, first: int = 0, pattern: str = "{field}{i}") -> DataFrame:
     """The first `count` rows of a group side by side.

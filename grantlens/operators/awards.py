@@ -64,20 +64,30 @@ def investigator_pairs(projects: DataFrame, copi: DataFrame) -> DataFrame:
     return own.unionByName(others).distinct()
 
 
-def active_awards(pairs: DataFrame, awd: DataFrame, awd_pi: DataFrame, oblg: DataFrame) -> DataFrame:
-    """Active awards of everybody in `pairs`, with the money of each award."""
+def held_awards(people: DataFrame, awd: DataFrame, awd_pi: DataFrame, oblg: DataFrame) -> DataFrame:
+    """Active awards of people (pi_id), each person and award once, with the money of each award."""
     running = awd.filter("awd_stts_code = '80'").select("awd_id", "inst_id", "tot_intn_awd_amt", "awd_exp_date")
-    held = active_people(awd_pi).select("pi_id", "awd_id", "proj_role_code").join(running, "awd_id")
+    held = active_people(awd_pi).select("pi_id", "awd_id", "proj_role_code").join(people.select("pi_id").distinct(), "pi_id", "left_semi").join(running, "awd_id")
     money = award_money(awd_pi.join(running, "awd_id", "left_semi"),
                         oblg.join(running, F.col("oblg_id") == F.col("awd_id"), "left_semi"))
-    return pairs.join(held.join(money, "awd_id"), "pi_id")
+    return held.join(money, "awd_id")
 
 
-def pending(pairs: DataFrame, prop: DataFrame, copi: DataFrame, status: list[str]) -> DataFrame:
-    """Other pending proposals of everybody in `pairs`, each role once."""
+def pending_roles(people: DataFrame, prop: DataFrame, copi: DataFrame, status: list[str]) -> DataFrame:
+    """pi_id, pend_id, proj_role_code: the pending proposals of people (pi_id), each role once."""
     waiting = prop.filter(F.col("prop_stts_code").isin(status)).select(F.col("prop_id").alias("pend_id"), F.col("pi_id").alias("_pi"))
     as_lead = waiting.select("pend_id", F.col("_pi").alias("pi_id"), F.lit("1").alias("proj_role_code"))
     as_other = (copi.select(F.col("prop_id").alias("pend_id"), "pi_id").join(waiting.select("pend_id"), "pend_id", "left_semi")
                 .withColumn("proj_role_code", F.lit("2")))
-    roles = as_lead.unionByName(as_other.select("pend_id", "pi_id", "proj_role_code"))
-    return pairs.join(roles, "pi_id").filter(F.col("pend_id") != F.col("prop_id")).distinct()
+    roles = as_lead.unionByName(as_other.select("pend_id", "pi_id", "proj_role_code")).distinct()
+    return roles.join(people.select("pi_id").distinct(), "pi_id", "left_semi")
+
+
+def active_awards(pairs: DataFrame, awd: DataFrame, awd_pi: DataFrame, oblg: DataFrame) -> DataFrame:
+    """Active awards of everybody in `pairs`, with the money of each award."""
+    return pairs.join(held_awards(pairs, awd, awd_pi, oblg), "pi_id")
+
+
+def pending(pairs: DataFrame, prop: DataFrame, copi: DataFrame, status: list[str]) -> DataFrame:
+    """Other pending proposals of everybody in `pairs`, each role once."""
+    return pairs.join(pending_roles(pairs, prop, copi, status), "pi_id").filter(F.col("pend_id") != F.col("prop_id"))

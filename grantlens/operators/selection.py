@@ -91,24 +91,32 @@ def listed(projects: DataFrame, ids: DataFrame) -> DataFrame:
     return by_id.unionByName(by_lead)
 
 
-def base_rows(projects: DataFrame, org: DataFrame, pi_primary: DataFrame, inst: DataFrame) -> DataFrame:
-    """One denormalised row per proposal; the directorate is found by a key made from the division's."""
+def base_rows(projects: DataFrame, org: DataFrame, pi_primary: DataFrame, inst: DataFrame, names: Sequence[DataFrame] = ()) -> DataFrame:
+    """One denormalised row per proposal; the directorate is found by a key made from the division's.
+
+    names: lookups of codes, each with the code's column first.
+    """
     division = org.select("org_code", F.col("dir_div_abbr").alias("Div"))
     directorate = org.select(F.col("org_code").alias("_dir"), F.col("dir_div_abbr").alias("Dir"))
     person = pi_primary.select("pi_id", "pi_last_name", "pi_frst_name", "pi_emai_addr")
     place = inst.select("inst_id", F.col("inst_shrt_name").alias("inst_name"), "st_code")
+    for lookup in names:
+        projects = projects.join(lookup, lookup.columns[0])
     return (
         projects.join(division, "org_code")
         .withColumn("_dir", c.directorate_code("org_code")).join(directorate, "_dir").drop("_dir")
         .join(person, "pi_id")
         .join(place, "inst_id")
         .withColumn("origPEC", c.only_if_changed("pgm_ele_code", "orig_pgm_ele_code"))
+        .withColumn("origORG", c.only_if_changed("org_code", "orig_org_code"))
+        .withColumnRenamed("pm_ibm_logn_id", "PO")
         .withColumn("OrgLabel", F.concat_ws(" - ", "org_code", "Div"))
         .withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
     )
 
 
-BASE = ["received_date", "dd_rcom_date", "Dir", "org_code", "OrgLabel", "pgm_ele_code", "origPEC",
+BASE = ["received_date", "dd_rcom_date", "pgm_annc_id", "Dir", "org_code", "origORG", "OrgLabel", "pgm_ele_code", "Pgm", "origPEC",
+        "PO", "obj_clas_code", "natr_rqst_abbr", "prop_stts_abbr", "prop_stts_txt", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id",
         "natr_rqst_code", "prop_stts_code", "ILN", "lead", "Div", "prop_id", "pi_last_name", "pi_frst_name",
         "inst_name", "st_code", "pi_emai_addr", "prop_titl_txt", "rqst_dol", "inst_id", "pi_id"]
 

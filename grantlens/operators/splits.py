@@ -8,28 +8,34 @@ from pyspark.sql import functions as F
 KEY = ["prop_id", "budg_yr", "splt_id"]
 
 
-def matching(splits: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Splits named by pattern rows (prop_id, budg_yr, splt_id); a null year or split means any.
+SHAPES = [["prop_id"], ["prop_id", "budg_yr"], ["prop_id", "splt_id"], KEY]  # the columns that a pattern can fix
 
-    The proposal stays an equi key, the rest is a residual, and a semi join cannot repeat a split
-    that several patterns name.
-    """
-    return splits.join(_renamed(patterns), _match(splits), "left_semi")
+
+def matching(splits: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Splits named by pattern rows (prop_id, budg_yr, splt_id), each once; a null year or split means any."""
+    return _marked(splits, patterns).filter("_named").drop("_named")
 
 
 def without(splits: DataFrame, patterns: DataFrame) -> DataFrame:
     """Splits no pattern row names."""
-    return splits.join(_renamed(patterns), _match(splits), "left_anti")
-
+    return _marked(splits, patterns).filter("NOT _named").drop("_named")
 
-def _renamed(patterns: DataFrame) -> DataFrame:
-    return patterns.select(*[F.col(k).alias(f"_t_{k}") for k in KEY]).distinct()
 
+def _marked(splits: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Splits with `_named`, whether a pattern names them.
 
-def _match(splits: DataFrame) -> Column:
-    return ((splits["prop_id"] == F.col("_t_prop_id"))
-            & (F.col("_t_budg_yr").isNull() | (F.col("_t_budg_yr") == splits["budg_yr"]))
-            & (F.col("_t_splt_id").isNull() | (F.col("_t_splt_id") == splits["splt_id"])))
+    Patterns are dealt by the columns that they fix: one equality join for each shape, with at most one match for each split. No pattern meets a
+    split that it does not name, however many patterns or splits a proposal has.
+    """
+    named = F.lit(False)
+    for i, shape in enumerate(SHAPES):
+        fixed = F.lit(True)
+        for k in KEY:
+            fixed = fixed & (F.col(k).isNotNull() if k in shape else F.col(k).isNull())
+        found = patterns.filter(fixed).select(*shape).distinct().withColumn(f"_shape{i}", F.lit(True))
+        splits = splits.join(found, shape, "left")
+        named = named | F.coalesce(F.col(f"_shape{i}"), F.lit(False))
+    return splits.withColumn("_named", named).drop(*[f"_shape{i}" for i in range(len(SHAPES))])
 
 
 def tracked(splits: DataFrame, chosen: Column, include: DataFrame, omit: DataFrame) -> DataFrame:

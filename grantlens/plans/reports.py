@@ -253,12 +253,14 @@ def orphans(e) -> DataFrame:
 
 
 NEW_KINDS = ["BUILDING", "MACHINERY"]
+OTHER_FACTS = ["orig_org_code", "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id"]
 
 
 def transfers(e) -> DataFrame:
     projects = _projects(e)
-    owned = changes.proposal_awards(projects, e.log, e.covr, e.subm, NEW_KINDS)
-    moved = changes.transfers(projects, owned, e.log, e.own)
+    chain = changes.proposal_awards(projects, e.log, e.covr, e.subm, NEW_KINDS)
+    props = e.prop.select("prop_id", "pi_id", "inst_id", *[own for own, _, _ in changes.PARTS.values()]).join(e.inst.select("inst_id", "inst_shrt_name"), "inst_id")
+    moved = changes.transfers(chain, props, e.pi_primary.select("pi_id", "pi_last_name"), e.log, e.own)
     facts = projects.select("prop_id", "lead", "ILN", "natr_rqst_code", "prop_stts_code")
     return moved.join(facts, "prop_id")
 
@@ -364,14 +366,14 @@ def tracker_proposal(e) -> DataFrame:
     award = e.awd.select(F.col("awd_id").alias("prop_id"), F.col("awd_id"), "tot_intn_awd_amt", "awd_stts_code", "awd_eff_date", "awd_exp_date",
                          F.col("inst_id").alias("_ai")).join(
         e.inst.select(F.col("inst_id").alias("_ai"), F.col("inst_shrt_name").alias("inst_awd")), "_ai", "left").drop("_ai")
-    codes = padded_concat(stages.codes_of(e.atr), ["prop_id"], [F.col("prop_atr_code")], "prop_atr_code", " ", 6, "PRCs")
+    codes = stages.placed_codes(e, "PRCs")
     return (_projects(e).withColumnRenamed("lead", "lead_id").withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
             .join(e.pi_primary.select("pi_id", "pi_last_name", "pi_gend_code"), "pi_id").join(e.inst.select("inst_id", F.col("inst_shrt_name").alias("inst_name")), "inst_id")
             .join(codes, "prop_id", "left").join(stages.adhoc_counters(e.rev), "prop_id", "left")
             .fillna(0, ["adhoc_reqd", "adhoc_pend", "revRcvd"])
             .join(side(ends.filter("is_first"), "first"), "prop_id", "left").join(side(ends.filter("is_last"), "last"), "prop_id", "left")
             .join(money, "prop_id", "left").join(award, "prop_id", "left")
-            .drop("lead_prop_id", "pi_id", "inst_id", "orig_pgm_ele_code", "other_pct"))
+            .drop("lead_prop_id", "pi_id", "inst_id", "orig_pgm_ele_code", "other_pct", *OTHER_FACTS))
 
 
 def tracker_split(e, include: DataFrame, omit: DataFrame, spec="S%") -> DataFrame:
@@ -389,6 +391,33 @@ def tracker_split(e, include: DataFrame, omit: DataFrame, spec="S%") -> DataFram
             .join(award, "prop_id", "left"))
 
 
+def _listed_pairs(e) -> DataFrame:
+    return awards.investigator_pairs(selection.listed(_projects(e), e.idlist), e.copi)
+
+
+def listed_people(e) -> DataFrame:
+    """The bridge of the reports on people's awards: which listed project has which investigator (lead, prop_id, pi_id).
+
+    With `awards_of_people` and `pending_of_people` it holds what `pi_awards` and `pi_pending` spell out for every pair: each table grows
+    with its inputs, also where one person is in very many projects and has very many awards.
+    """
+    return _listed_pairs(e)
+
+
+def awards_of_people(e) -> DataFrame:
+    """Active awards of everybody in the bridge, each person and award once, with money and names."""
+    rows = awards.held_awards(_listed_pairs(e), e.awd, e.awd_pi, e.oblg)
+    paid = e.inst.select("inst_id", F.col("inst_shrt_name").alias("inst_awd"))
+    return rows.join(paid, "inst_id").drop("inst_id").join(e.pi_primary.select("pi_id", "pi_last_name", "pi_frst_name"), "pi_id")
+
+
+def pending_of_people(e, status=("P",)) -> DataFrame:
+    """Pending proposals of everybody in the bridge, each person, proposal and role once; a reader leaves out the project itself."""
+    rows = awards.pending_roles(_listed_pairs(e), e.prop, e.copi, list(status))
+    facts = e.prop.select(F.col("prop_id").alias("pend_id"), "rqst_dol", "org_code", "pgm_ele_code", "prop_stts_code", "prop_titl_txt")
+    return rows.join(e.pi_primary.select("pi_id", "pi_last_name"), "pi_id").join(facts, "pend_id")
+
+
 def pi_awards(e) -> DataFrame:
     """Active awards, with money totals, of all PIs and co-PIs of the listed projects."""
     listed = selection.listed(_projects(e), e.idlist)

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..functions import text
-from ..functions.ordered import ordered_concat, padded_concat, slots
+from ..functions.ordered import ordered_concat, padded_concat, placed_concat, slots
 from ..functions import criteria
-from ..operators import awards, budgets, documents, panels, people, reviews, selection
+from ..operators import awards, budgets, cube, documents, panels, people, reviews, selection
 
 COMPARED = ["org_code", "pgm_ele_code", "natr_rqst_code", "prop_titl_txt"]
 AWARD_WINDOW = ("1996-01-01", "2000-12-31")
 AS_OF = "2009-02-20"
+CUBE_TABLES = ["orders", "customer", "nation", "region"]
 PANEL_FIELDS = {"panl_id": "panl_id", "panl_name": "panl_name", "panl_end": "panl_end_date", "rec_seq": "rcom_seq_num", "rec": "rcom_abbr", "rank": "prop_ordr"}
 PROP_FIELDS = {"prop_id": "prop_id", "last": "pi_last_name", "frst": "pi_frst_name", "inst": "inst_shrt_name", "rqst": "rqst_dol", "btot": "T", "PRC": "R"}
 PEOPLE_FIELDS = {"last_name": "pi_last_name", "email": "pi_emai_addr", "inst": "inst_shrt_name", "num_awd": "NumAwd", "last_awd": "LastAwd"}
@@ -26,6 +27,11 @@ def codes_space(atr):
     return ordered_concat(codes_of(atr), ["prop_id"], [F.col("prop_atr_code")], "prop_atr_code", " ", 11, 35, "R")
 
 
+def placed_codes(e, name):
+    """Six codes at their stored places."""
+    return placed_concat(e.atr_seq, ["prop_id"], "prop_atr_seq", "prop_atr_code", " ", 6, name)
+
+
 def codes_comma(atr):
     return ordered_concat(codes_of(atr), ["prop_id"], [F.col("prop_atr_code")], F.rtrim("prop_atr_code"), ",", 7, name="PRCs")
 
@@ -220,42 +226,73 @@ def summaries(e):
 
 
 def review_rows(e):
-    """Rated reviews of the heads with the text kept for the proposal."""
+    """Rated reviews of the heads, without the text that is kept for the proposal."""
     rated = e.rev.join(heads(e), "prop_id", "left_semi").join(
         e.rating.select(F.col("yn").alias("rev_prop_rtng_ind"), "string"), "rev_prop_rtng_ind")
-    return (rated.join(e.revr.select("revr_id", "revr_last_name"), "revr_id").join(people.emails(e.revr_mail), "revr_id")
-            .join(narratives(e).select("prop_id", "text"), "prop_id"))
+    return rated.join(e.revr.select("revr_id", "revr_last_name"), "revr_id").join(people.emails(e.revr_mail), "revr_id")
+
+
+def stream_references(e):
+    """The stream of documents before any text: one row for each review, and one for each proposal (`form` null) with the lengths of its head's documents."""
+    rows = projects(e).select("prop_id", F.col("lead").alias("of_lead"), "ILN")
+    lengths = documents_of(e, False).groupBy(F.col("prop_id").alias("of_lead"), "doc_type").agg(F.max("n").alias("n")).groupBy("of_lead").agg(
+        *[F.max(F.when(F.col("doc_type") == k, F.col("n"))).alias(f"len_{k}") for k in COMPARED_TEXTS])
+    own = rows.join(lengths, "of_lead", "left").withColumn("form", F.lit(None).cast("string"))
+    said = review_rows(e).select("prop_id", F.lit("Review").alias("form"), F.col("revr_last_name").alias("name"), F.col("revr_email").alias("info"), F.col("rev_stts_code").alias("stts"),
+                                 F.col("rev_due_date").alias("due"), F.col("rev_rtrn_date").alias("returned"), F.col("string").alias("score"))
+    return own.unionByName(said, allowMissingColumns=True)
+
+
+COMPARED_TEXTS = ("POCmnt", "Abstr")  # of a collaborator only where they differ in length from the head's
+
+
+def documents_of(e, texts: bool = True):
+    """prop_id, doc_type and length of the documents that proposals have; with their texts, or without."""
+    d = F.col("doc_id")
+    kind = F.when(d % 3 == 0, "Abstr").when(d % 3 == 1, "POCmnt").otherwise("RA")
+    more = ["source", "lang", "text"] if texts else []
+    return e.table("documents").select(d.alias("prop_id"), kind.alias("doc_type"), F.length("text").alias("n"), *more)
 
 
 def collected(e):
-    """Seven kinds of documents of all projects as one stream of rows."""
-    rows = projects(e).select("prop_id", "lead", "ILN")
-    lead_rows = selection.one_row_per_project(rows).select("prop_id", "lead")
+    """Seven kinds of documents of all projects as one stream of rows.
+
+    Rows refer to documents until the last step: texts of documents are joined once, to reviews and proposals together, so that they are
+    shuffled once, and a proposal with very many reviews is split by that join.
+    """
     s = documents.as_stream
-    kinds = {k: e.text.filter(F.col("doc_type") == k) for k in ("POCmnt", "RA", "Abstr", "xDiaryNt")}
+    lead_rows = heads(e).withColumn("lead", F.col("prop_id"))
     said = (e.panl_prop.select("panl_id", "prop_id").join(lead_rows, "prop_id").join(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), "panl_id")
             .join(e.rec.select("panl_id", "prop_id", "rcom_abbr", "prop_ordr"), ["panl_id", "prop_id"], "left")
             .withColumn("t", F.concat(F.lit("Panel "), F.col("panl_name"), F.lit(": "), F.coalesce("rcom_abbr", F.lit("none")))))
-    parts = [
-        s(review_rows(e), "Review", lead="prop_id", prop_id="prop_id", name="revr_last_name", info="revr_email",
-          stts="rev_stts_code", due="rev_due_date", returned="rev_rtrn_date", score="string", text="text"),
-        s(said, " PanlSumm", lead="lead", prop_id="prop_id", name=F.concat(F.lit(" "), F.col("panl_name")), info="panl_id",
-          stts=F.col("prop_ordr").cast("string"), due="panl_bgn_date", score="rcom_abbr", text="t"),
-        s(documents.unless_same_length(kinds["POCmnt"], rows), "POCmnt", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(kinds["RA"].join(lead_rows, "prop_id"), "RA", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(documents.unless_same_length(kinds["Abstr"], rows), "Abstr", lead="lead", prop_id="prop_id", name="author", text="text"),
-        s(summaries(e).join(lead_rows, "prop_id"), "SummProj", lead="lead", prop_id="prop_id", text="summ"),
-        s(kinds["xDiaryNt"].join(rows, "prop_id"), "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    attached = stream_references(e).join(documents_of(e), "prop_id")
+    head, kind = F.col("ILN") < "M", F.col("doc_type")
+    differs = F.col("n") != F.coalesce(*[F.when(kind == k, F.col(f"len_{k}")) for k in COMPARED_TEXTS])
+    summary = text.sections("spcl_char_pdf", "text", "lang", "source")
+    one = lambda name, author, body: F.struct(F.lit(name).alias("doc_type") if isinstance(name, str) else name.alias("doc_type"), author.alias("name"), body.alias("text"))
+    kept = F.when(kind == "RA", head).otherwise(head | differs)
+    shown = F.when(F.col("form").isNotNull(), F.array(one("Review", F.col("name"), F.col("text")))).otherwise(F.concat(
+        F.when(kept, F.array(one(kind, F.col("source"), F.col("text")))).otherwise(F.array()), F.when(head, F.array(one("SummProj", F.lit(None).cast("string"), summary))).otherwise(F.array())))
+    flagged = attached.withColumn("spcl_char_pdf", F.when(F.col("source").endswith("7"), "Y").otherwise("N"))
+    texts = flagged.select(F.coalesce("of_lead", "prop_id").alias("lead"), "prop_id", "info", "stts", "due", "returned", "score", F.explode(shown).alias("d"))
+    diaries = e.table("conversations").select(F.col("conv_id").alias("prop_id"), F.col("role").alias("author"), "text").join(projects(e).select("prop_id", "lead"), "prop_id")
+    panel = s(said, " PanlSumm", lead="lead", prop_id="prop_id", name=F.concat(F.lit(" "), F.col("panl_name")), info="panl_id",
+              stts=F.col("prop_ordr").cast("string"), due="panl_bgn_date", score="rcom_abbr", text="t")
+    return (texts.select("lead", "prop_id", "d.doc_type", "d.name", "info", "stts", "due", "returned", "score", "d.text")
+            .unionByName(panel).unionByName(s(diaries, "xDiaryNt", lead="lead", prop_id="prop_id", name="author", text="text")))
+
 
 
 def base(e):
-    rows = selection.base_rows(selection.with_project(e.prop), e.org, e.pi_primary, e.inst)
-    return rows.select(*selection.BASE)
+    rows = selection.base_rows(selection.with_project(e.prop), e.org, e.pi_primary, e.inst, [e.pgm_ele, e.prop_stts, e.natr_rqst])
+    return rows.withColumn("Pgm", F.concat_ws(" - ", "pgm_ele_code", "pgm_ele_name")).select(*selection.BASE)
+
+
+def proposal_cube(e):
+    """All proposals over the dimensions of the dashboards, stored once; entities without a folder build theirs each time."""
+    make = lambda: cube.build(base(e))
+    folder = getattr(e, "folder", None)
+    return make() if folder is None else cube.kept(e.spark, folder, CUBE_TABLES, make)
 
 
 def date_range(df: DataFrame, col: str, start: str | None = None, end: str | None = None) -> DataFrame:

@@ -3,14 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import contextlib
-import io
 import os
-import re
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only: they can be changed on a session somebody else created.
 RUNTIME = {
@@ -35,19 +32,16 @@ def initial_partitions(read_bytes: int, asked: int) -> int:
 def isolated(spark: SparkSession) -> SparkSession:
     """A session of its own for one query, with the caller's settings and the adaptive ones above; the caller's stays as it is."""
     own = spark.newSession()
-    has = own.conf.getAll
-    for key, value in {**spark.conf.getAll, **RUNTIME}.items():
+    has = _settings(own)
+    for key, value in {**_settings(spark), **RUNTIME}.items():
         if key.startswith("spark.sql.") and has.get(key) != value and own.conf.isModifiable(key):
             own.conf.set(key, value)
     return own
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Size of a table as Spark's plan statistics give it; no data is read."""
-    with contextlib.redirect_stdout(io.StringIO()) as told:
-        table.explain(mode="cost")
-    found = re.search(r"sizeInBytes=([0-9.E+]+) ([KMGTPE]?)i?B", told.getvalue())
-    return int(float(found[1]) * 1024 ** " KMGTPE".index(found[2] or " ")) if found else 0
+def _settings(spark: SparkSession) -> dict[str, str]:
+    """What is set in a session, in one answer."""
+    return {r["key"]: r["value"] for r in spark.sql("SET").collect()}
 
 
 def expect(spark: SparkSession, read_bytes: int) -> None:

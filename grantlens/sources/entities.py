@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordered import previous_value
-from ..session import expect, table_bytes
+from ..session import expect
 from .inputs import rating_table
-from .tables import scan
+from .tables import Catalog
 
 
 def _days(n: int) -> Column:
@@ -29,15 +29,16 @@ class Entities:
     def __init__(self, spark: SparkSession, folder: str, sized: bool = False):
         """With `sized`, the session is this query's own and its shuffles follow what the opened tables hold."""
         self.spark, self.folder, self.sized = spark, folder, sized
+        self.catalog = Catalog(spark, folder)
         self._tables: dict[str, DataFrame] = {}
         self._bytes = 0
 
     def table(self, name: str) -> DataFrame:
         """A base table; its footer is read once per set of entities."""
         if name not in self._tables:
-            self._tables[name] = scan(self.spark, self.folder, name)
+            self._tables[name] = self.catalog.table(name)
             if self.sized:
-                self._bytes += table_bytes(self._tables[name])
+                self._bytes += self.catalog.size(name)
                 expect(self.spark, self._bytes)
         return self._tables[name]
 
@@ -64,6 +65,12 @@ class Entities:
             .otherwise(F.col("o_orderdate") + _days(90)).alias("dd_rcom_date"),
             F.when(k % 5 == 0, 0.75).otherwise(1.0).alias("bas_rsch_pct"),
             F.when(k % 10 == 0, 0.25).otherwise(0.0).alias("other_pct"),
+            F.concat(F.lit("po"), _text(k % 13)).alias("pm_ibm_logn_id"),
+            F.when(k % 3 == 0, "4100").when(k % 3 == 1, "4110").otherwise("4120").alias("obj_clas_code"),
+            F.concat(F.lit("PA-"), _text(k % 5)).alias("pgm_annc_id"),
+            (F.col("o_orderdate") + _days(180)).alias("rqst_eff_date"),
+            (12 + 12 * (k % 5)).alias("rqst_mnth_cnt"),
+            F.when(k % 6 == 0, F.concat(F.lit("C"), _text(k % 4))).alias("cntx_stmt_id"),
         )
 
     @cached_property
@@ -75,13 +82,31 @@ class Entities:
             .join(self.nation, F.col("n_nationkey") == F.col("c_nationkey"))
             .select(
                 "prop_id", "lead_prop_id", "pi_id", F.col("c_nationkey").alias("inst_id"), _org_code().alias("org_code"),
+                F.when(k % 11 == 0, "10000001").otherwise(_org_code()).alias("orig_org_code"),
                 "pgm_ele_code", "orig_pgm_ele_code", "prop_stts_code", F.col("c_mktsegment").alias("natr_rqst_code"),
                 "rqst_dol", "received_date", "dd_rcom_date", "bas_rsch_pct", "other_pct",
+                "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id",
                 F.concat(F.when(k % 23 == 0, "Goali: ").otherwise(""), "c_mktsegment", F.lit(" study "),
                          _text(k - k % 4), F.when(k % 29 == 1, " (revised)").otherwise("")).alias("prop_titl_txt"),
             )
         )
 
+    def _named_codes(self, rows: dict[str, tuple[str, ...]], schema: str) -> DataFrame:
+        """A fixed lookup of a few codes."""
+        return F.broadcast(self.spark.createDataFrame([(code, *names) for code, names in rows.items()], schema))
+
+    @cached_property
+    def pgm_ele(self) -> DataFrame:
+        return self._named_codes(PROGRAMS, "pgm_ele_code string, pgm_ele_name string")
+
+    @cached_property
+    def prop_stts(self) -> DataFrame:
+        return self._named_codes(STATUSES, "prop_stts_code string, prop_stts_abbr string, prop_stts_txt string")
+
+    @cached_property
+    def natr_rqst(self) -> DataFrame:
+        return self._named_codes(REQUESTS, "natr_rqst_code string, natr_rqst_abbr string")
+
     @cached_property
     def keys(self) -> DataFrame:
         """Proposal, lead and request alone: one table where no other fact of a proposal is needed."""
@@ -197,6 +222,12 @@ class Entities:
             F.col("l_orderkey").alias("prop_id"), F.lit("PRC").alias("prop_atr_type_code"),
             F.lpad(_text(F.col("p_size")), 4, "0").alias("prop_atr_code")).distinct()
 
+    @cached_property
+    def atr_seq(self) -> DataFrame:
+        """Codes with the place that is stored for them: places may be empty, or hold several codes."""
+        return (self._line_part.groupBy(F.col("l_orderkey").alias("prop_id"), F.lpad(_text(F.col("p_size")), 4, "0").alias("prop_atr_code"))
+                .agg((F.min("l_linenumber") % 6 + 1).cast("int").alias("prop_atr_seq")))
+
     @cached_property
     def subm(self) -> DataFrame:
         """Submission control: bridge from proposal to its submission."""
@@ -228,7 +259,7 @@ class Entities:
             F.when(k % 6 == 1, "Y").otherwise("N").alias("humn_date_pend_flag"),
             F.when(k % 9 == 0, d + _days(20)).alias("vert_date"),
             F.when(k % 9 == 4, "Y").otherwise("N").alias("vrtb_date_pend_flag"),
-            F.when(k % 8 == 5, k - 5).alias("prev_awd_id"))
+            F.when((k % 8 == 5) & (k % 40 != 5), k - 8).alias("prev_awd_id"))  # chains of up to five
 
     # --- reviews ---------------------------------------------------------------------------
 
@@ -439,9 +470,12 @@ class Entities:
 
     @cached_property
     def log(self) -> DataFrame:
-        """Award change log with the proposal the change came from."""
-        return self.chg.select("awd_id", (F.col("awd_id") - F.col("awd_id") % 2).alias("last_prop_id"),
-                               "awd_chg_date", "from_org", "to_org")
+        """Award change log: what the award became, and the proposal that the change came from."""
+        k = F.col("event_id")
+        return self.chg.select(
+            "awd_id", (F.col("awd_id") - F.col("awd_id") % 2).alias("last_prop_id"), "awd_chg_date",
+            F.concat(_text(k % 5 + 10), F.lpad(_text(k % 25 + 1), 6, "0")).alias("org_code"),
+            F.get(F.array(*map(F.lit, PROGRAMS)), (k % 5).cast("int")).alias("pgm_ele_code"), F.concat(F.lit("po"), _text(k % 13)).alias("pm_ibm_logn_id"))
 
     @cached_property
     def own(self) -> DataFrame:
@@ -450,8 +484,15 @@ class Entities:
         return self.chg.select(
             (F.col("awd_id") * 2).alias("prop_id"), F.when(k % 3 == 0, 9).otherwise(1).alias("ownr_stts_code"),
             F.col("awd_chg_date").alias("crtd_date"), "from_org", "to_org",
+            F.get(F.array(*map(F.lit, PROGRAMS)), (k % 3).cast("int")).alias("from_pgm"), F.get(F.array(*map(F.lit, PROGRAMS)), (k % 5).cast("int")).alias("to_pgm"),
+            F.concat(F.lit("po"), _text(k % 4)).alias("from_lan_id"), F.concat(F.lit("po"), _text(k % 6)).alias("to_lan_id"),
             F.when(k % 6 == 0, F.concat(F.lit("event "), _text(k))).alias("note"))
 
+
+# Names of the codes that the tables hold.
+PROGRAMS = {"1-URGENT": ("Urgent",), "2-HIGH": ("High",), "3-MEDIUM": ("Medium",), "4-NOT SPECIFIED": ("Not specified",), "5-LOW": ("Low",)}
+STATUSES = {"F": ("AWD", "Awarded"), "O": ("PEND", "Pending"), "P": ("DECL", "Declined")}
+REQUESTS = {"AUTOMOBILE": ("SUPP",), "BUILDING": ("NEW",), "FURNITURE": ("CONT",), "HOUSEHOLD": ("TRAN",), "MACHINERY": ("RNEW",)}
 DOC_KINDS = ("proj_desc", "bibl", "dmp_plan", "ment_plan", "budg_expl", "supp")
 
 

@@ -33,6 +33,16 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
 
 
+def state(spark: SparkSession, folder: str) -> tuple[int, int, int] | None:
+    """Bytes, files and last change of a table's folder (or file), from its listing; null where there is none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return None
+    listed = files.listStatus(path)
+    return sum(f.getLen() for f in listed), len(listed), max((f.getModificationTime() for f in listed), default=0)
+
+
 def save_result(df: DataFrame, path: str) -> dict[str, object]:
     """Write a report; rows are counted by the write itself, not by a second run."""
     seen = Observation()

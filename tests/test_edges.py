@@ -295,3 +295,75 @@ def test_keywords(spark, first, second, tail):
 def test_dates(spark):
     df = spark.sql("SELECT timestamp_ntz'1999-03-07 23:59:59' AS d, timestamp_ntz'1900-01-01' AS z")
     assert tuple(df.select(c.us_date("d"), c.dotted_date("d"), c.real_date("z")).first()) == ("03/07/99", "1999.03.07", None)
+
+
+# --- patterns by shape, stored places, people and awards, texts once ---------------------------
+
+
+def test_patterns_meet_only_splits_that_they_name(spark):
+    """All four shapes, patterns that overlap or repeat, a proposal with very many splits and patterns; no residual condition in the plan."""
+    splits_ = spark.createDataFrame([(1, 2000 + i % 50, str(i), float(i)) for i in range(500)] + [(2, 2001, "7", 1.0), (3, None, None, 2.0), (None, 2001, "1", 3.0)],
+                                    "prop_id long, budg_yr int, splt_id string, dol double")
+    patterns = spark.createDataFrame([(1, 2003, None), (1, None, "9"), (1, 2003, "53"), (1, 2003, "53"), (1, 1990, "1"), (2, None, None), (3, None, None), (None, 2001, "1"), (9, None, None)]
+                                     + [(1, 3000 + i, str(i)) for i in range(400)], "prop_id long, budg_yr int, splt_id string")
+    named = {(r["prop_id"], r["dol"]) for r in splits.matching(splits_, patterns).collect()}
+    assert named == {(1, float(i)) for i in range(500) if i % 50 == 3 or i == 9} | {(2, 1.0), (3, 2.0)}
+    rest = [(r["prop_id"], r["dol"]) for r in splits.without(splits_, patterns).collect()]
+    assert len(rest) == splits_.count() - len(named) and not named & set(rest) and splits.matching(splits_, patterns).columns == splits_.columns
+    text = splits.matching(splits_, patterns)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(" OR " not in line and "isnull" not in line for line in text.splitlines() if "Join" in line)
+
+
+def test_values_stand_at_their_stored_places(spark):
+    from grantlens.functions.ordered import placed_concat
+
+    frame = spark.createDataFrame([(1, 1, "a"), (1, 4, "d"), (2, 2, "x"), (2, 2, "y"), (2, 9, "far"), (3, None, "n"), (4, 0, "zero")], "k long, place int, v string")
+    got = {r["k"]: r["s"] for r in placed_concat(frame, ["k"], "place", "v", "-", 4, "s").collect()}
+    assert got == {1: "a---d", 2: "-y--", 3: "---", 4: "---"}
+
+
+def test_awards_of_people_grow_with_their_inputs(spark):
+    """One person in 200 listed projects with 100 awards: 200 rows in the bridge and 100 awards, not their product."""
+    from grantlens.operators import awards
+
+    pairs = spark.createDataFrame([(p, p, 1) for p in range(200)] + [(5, 5, 2)], "lead long, prop_id long, pi_id long")
+    awd = spark.createDataFrame([(a, 1, "80", 1.0, "2001-01-01") for a in range(100)], "awd_id long, inst_id int, awd_stts_code string, tot_intn_awd_amt double, awd_exp_date string")
+    awd_pi = spark.createDataFrame([(a, 1, "1", None) for a in range(100)] + [(3, 9, "2", None)], "awd_id long, pi_id long, proj_role_code string, end_date string")
+    oblg = spark.createDataFrame([(a, 10.0, 1.0, "2001-01-01") for a in range(100)], "oblg_id long, oblg_amt double, cuml_xpnd_amt double, last_pymt_date string")
+    held = awards.held_awards(pairs, awd, awd_pi, oblg)
+    assert held.count() == 100 and awards.active_awards(pairs, awd, awd_pi, oblg).count() == 200 * 100
+    prop = spark.createDataFrame([(p, "P", 1) for p in range(50)], "prop_id long, prop_stts_code string, pi_id long")
+    copi = spark.createDataFrame([(7, 1), (7, 2), (8, 3)], "prop_id long, pi_id long")
+    assert awards.pending_roles(pairs, prop, copi, ["P"]).count() == 50 + 2
+    assert awards.pending(pairs.limit(1), prop, copi, ["P"]).count() == 50
+
+
+def test_tables_are_planned_without_footers_and_counted_from_them(spark, folder, tmp_path):
+    from grantlens.sources import tables
+
+    catalog = tables.Catalog(spark, folder)
+    for name in catalog.names:
+        catalog.schema(name)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    frames = [tables.Catalog(spark, folder).table(name) for name in catalog.names]
+    counts = tables.row_counts(catalog)
+    assert not tracker.getJobIdsForGroup("planning") and len(frames) == 14
+    text = counts._jdf.queryExecution().executedPlan().toString()
+    assert text.count("PushedAggregation: [COUNT(*)]") == 14
+    assert {r["table_name"]: r["n_rows"] for r in counts.collect()} == {name: spark.read.parquet(catalog.path(name)).count() for name in catalog.names}
+    with pytest.raises(KeyError):
+        catalog.table("orders_of_magnitude")
+    # A table whose files change is looked at again.
+    spark.range(3).withColumnRenamed("id", "r_regionkey").coalesce(1).write.parquet(f"{tmp_path}/region.parquet")
+    assert tables.scan(spark, str(tmp_path), "region").columns == ["r_regionkey"]
+    spark.range(3).withColumnRenamed("id", "other").write.mode("overwrite").parquet(f"{tmp_path}/region.parquet")
+    assert tables.scan(spark, str(tmp_path), "region").columns == ["other"]
+
+
+def test_texts_of_documents_are_joined_once(spark, folder):
+    from grantlens.catalog import QUERIES
+
+    text = QUERIES["txt_collect"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in text.splitlines() if "Relation [" in line and "doc_id#" in line]
+    assert len(scans) == 2  # lengths, and the texts themselves

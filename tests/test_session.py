@@ -2,7 +2,8 @@
 
 from grantlens.catalog import QUERIES
 from grantlens.functions.ordered import step_levels
-from grantlens.session import initial_partitions, table_bytes
+from grantlens.session import initial_partitions, isolated
+from grantlens.sources.tables import Catalog
 from grantlens.sources.sinks import work_folder
 
 
@@ -12,8 +13,18 @@ def test_partitions_follow_what_is_read():
     assert 10_000 <= initial_partitions(100 << 40, 200) <= 40_000
 
 
-def test_table_bytes(spark, folder):
-    assert table_bytes(spark.read.parquet(f"{folder}/lineitem.parquet")) > table_bytes(spark.read.parquet(f"{folder}/nation.parquet")) > 0
+def test_sizes_of_tables(spark, folder):
+    known = Catalog(spark, folder)
+    assert known.size("lineitem") > known.size("nation") > 0
+
+
+def test_a_query_has_its_callers_settings_and_leaves_them(spark):
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+    own = isolated(spark)
+    assert own.conf.get("spark.sql.legacy.timeParserPolicy") == "CORRECTED" and own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    own.conf.set("spark.sql.shuffle.partitions", "77")
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "77"
+    spark.conf.unset("spark.sql.legacy.timeParserPolicy")
 
 
 def test_the_callers_session_stays_as_it_is(spark, folder):
