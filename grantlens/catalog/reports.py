@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import reports, stages
-from .aggregates import (ADHOC, ADHOC_COLUMNS, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
+from .aggregates import (average_sql, ratio_sql, ADHOC, ADHOC_COLUMNS, BY_PANEL, DEMOG, LATEST_ROWS, MARKS, PANEL_ROWS, PROJ_PANEL, RANK_SCORE, SELECTED,
                          SUMMARY, TIMED, YEARS, stats_sql)
 from .registry import LIST_CHECKS, LISTS, query
 from .strings import ASSESSED, CONFLICT_PEOPLE, CONFLICT_TEXT, OUTCOMES, PLACED
@@ -144,8 +144,8 @@ def rpt_split_flags(e):
 @query("rpt_award_check", f"""
 WITH {LATEST}, {LATEST_ROWS}, {RA}, {APPROVALS}, {COUNTRY}, yr AS (SELECT q.prop_id, {YEARS} FROM (SELECT DISTINCT prop_id FROM v_budg) q)
 SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.received_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, ra."RAupdate", p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name,
-  i.inst_shrt_name AS inst, i.st_code, ap.humn_date, ap.vrtb_date, cy."Country", round(nullif(lb.frgn, 0), 4) AS frgn_trav_tot, p.prop_titl_txt, lb.revn_num AS brevn, p.rqst_dol AS rqst_tot, round(lb.t, 2) AS budg_tot, yr.* EXCLUDE (prop_id),
-  round(nullif(lb.sub_ctr, 0), 4) AS sub_ctr_tot, nullif(lb.part, 0) AS part_tot_cnt, pi.pi_emai_addr AS email
+  i.inst_shrt_name AS inst, i.st_code, ap.humn_date, ap.vrtb_date, cy."Country", nullif(lb.frgn, 0) AS frgn_trav_tot, p.prop_titl_txt, lb.revn_num AS brevn, p.rqst_dol AS rqst_tot, round(lb.t, 2) AS budg_tot, yr.* EXCLUDE (prop_id),
+  nullif(lb.sub_ctr, 0) AS sub_ctr_tot, nullif(lb.part, 0) AS part_tot_cnt, pi.pi_emai_addr AS email
 FROM v_prj p {DIV} LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN ap ON ap.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id LEFT JOIN lb ON lb.prop_id = p.prop_id
 LEFT JOIN yr ON yr.prop_id = p.prop_id""")
 def rpt_award_check(e):
@@ -153,9 +153,9 @@ def rpt_award_check(e):
 
 
 @query("rpt_award_flags", f"""
-WITH {LATEST}, {ALL_COUNTRIES}, q AS (SELECT p.*, round(lb.t, 2) AS t, lb.sub_ctr, lb.part, coalesce(cy."Country", '') AS "Country" FROM v_prj p LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id)
+WITH {LATEST}, {ALL_COUNTRIES}, q AS (SELECT p.*, round(lb.t, 2) AS t, lb.part_d, lb.part, coalesce(cy."Country", '') AS "Country" FROM v_prj p LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cy ON cy.prop_id = p.prop_id)
 SELECT p.lead, p."ILN", p.prop_id, CASE WHEN p.rqst_dol < p.t THEN 1 ELSE 0 END AS below_budget, CASE WHEN p.rqst_dol > p.t THEN 1 ELSE 0 END AS above_budget,
-  CASE WHEN (coalesce(p.sub_ctr, 0) > 0) <> (coalesce(p.part, 0) > 0) THEN 1 ELSE 0 END AS part_mismatch,
+  CASE WHEN (coalesce(p.part_d, 0) > 0) <> (coalesce(p.part, 0) > 0) THEN 1 ELSE 0 END AS part_mismatch,
   """ + ", ".join(f"CASE WHEN p.\"ILN\" = 'N' AND p.\"{x}\" <> first_value(p.\"{x}\") OVER (PARTITION BY p.lead ORDER BY p.\"ILN\", p.prop_id) THEN 1 ELSE 0 END AS \"dif_{x}\"" for x in ("org_code", "pgm_ele_code", "Country", "prop_titl_txt")) + " FROM q p")
 def rpt_award_flags(e):
     return reports.award_flags(e)
@@ -271,7 +271,7 @@ def rpt_reviewer_stats(e):
 @query("rpt_props_on_panels", f"""
 WITH {BASE}, {APPROVALS}, {COUNTRY}, {OUTCOMES}, rr AS (SELECT p.lead, m.string, m.score, r.rev_rtrn_date, row_number() OVER (PARTITION BY p.lead ORDER BY m.score DESC NULLS LAST, r.revr_id) AS n
   FROM v_prj p JOIN v_rev r ON r.prop_id = p.lead JOIN v_rating m ON m.yn = r.rev_prop_rtng_ind WHERE p."ILN" < 'M' AND r.rev_stts_code <> 'C'),
-rv AS (SELECT lead, string_agg(CASE WHEN n <= 10 THEN string END, ',' ORDER BY n) AS reviews, round(avg(score) + 1e-9, 6) AS avg_score, max(rev_rtrn_date) AS last_rev_date FROM rr GROUP BY lead)
+rv AS (SELECT lead, string_agg(CASE WHEN n <= 10 THEN string END, ',' ORDER BY n) AS reviews, {average_sql("score", 1000)} AS avg_score, max(rev_rtrn_date) AS last_rev_date FROM rr GROUP BY lead)
 SELECT bs.*, ap.humn_date, ap.vrtb_date, pp.panl_id, CASE WHEN s.panl_id IS NOT NULL THEN 'Y' END AS panl_held, s.panl_summ_rlse_flag AS summ_rlse, s.prop_ordr AS rank, s.rcom_seq_num AS rcom_seq, s.rcom_abbr, v.panl_name, v.panl_bgn_date,
   rv.reviews, rv.avg_score, rv.last_rev_date, cy."Country", CASE WHEN s.prop_ordr IS NOT NULL THEN 'rk ' || s.prop_ordr || ' of ' ELSE '' END || coalesce(ob."panlSumm", '') AS "rankInPanl"
 FROM bs JOIN ap ON ap.prop_id = bs.prop_id LEFT JOIN v_panl_prop pp ON pp.prop_id = bs.lead LEFT JOIN v_rec s ON s.panl_id = pp.panl_id AND s.prop_id = bs.lead LEFT JOIN v_panl v ON v.panl_id = pp.panl_id
@@ -305,11 +305,11 @@ def rpt_coi_projects(e):
 
 
 @query("rpt_subaward_recon", f"""
-WITH {BASE}, c AS (SELECT prop_id, perf_inst_id, revn_num, CASE WHEN src = 'budg' THEN coalesce(sub_ctr_req_dol, 0) ELSE 0 END AS s, CASE WHEN src = 'indirect' THEN round(coalesce(rate * amount / 100, 0) + 1e-6, 0) ELSE coalesce(amount, 0) END AS b
+WITH {BASE}, c AS (SELECT prop_id, perf_inst_id, revn_num, CASE WHEN src = 'budg' THEN coalesce(sub_ctr_req_dol, 0) ELSE 0 END AS s, CASE WHEN src = 'indirect' THEN CAST({ratio_sql("CAST(round(coalesce(rate, 0) * 10000) AS BIGINT) * CAST(round(coalesce(amount, 0) * 100) AS BIGINT)", "100000000")} AS DOUBLE) ELSE coalesce(amount, 0) END AS b
   FROM v_cost WHERE prop_id IN (SELECT prop_id FROM v_cost WHERE sub_ctr_req_dol > 0)),
-g AS (SELECT prop_id, perf_inst_id, revn_num, round(sum(s) + 1e-6, 0) AS s, round(sum(b) + 1e-6, 0) AS b FROM c GROUP BY prop_id, perf_inst_id, revn_num)
+g AS (SELECT prop_id, perf_inst_id, revn_num, CAST(round(sum(CAST(s AS DECIMAL(18, 4))), 0) AS DOUBLE) AS s, CAST(round(sum(CAST(b AS DECIMAL(18, 4))), 0) AS DOUBLE) AS b FROM c GROUP BY prop_id, perf_inst_id, revn_num)
 SELECT bs.prop_id, bs.lead, bs."ILN", bs."Div", bs.pi_last_name, bs.inst_name, bs.prop_titl_txt, i.inst_shrt_name AS perf_inst, g.revn_num, g.b AS budg_total,
-  nullif(round(g.b - (SELECT sum(x.budg_tot_dol) FROM v_budg x WHERE x.prop_id = g.prop_id AND x.revn_num = 0), 2), 0) AS budg_diff, g.s AS "subAwd",
+  nullif(round(g.b - (SELECT CAST(sum(CAST(x.budg_tot_dol AS DECIMAL(18, 4))) AS DOUBLE) FROM v_budg x WHERE x.prop_id = g.prop_id AND x.revn_num = 0), 2), 0) AS budg_diff, g.s AS "subAwd",
   nullif(g.s - (SELECT coalesce(sum(y.b), 0) FROM g y WHERE y.s = 0 AND y.prop_id = g.prop_id AND y.revn_num = g.revn_num), 0) AS "subAwd_diff"
 FROM g JOIN v_inst i ON i.inst_id = g.perf_inst_id JOIN bs ON bs.prop_id = g.prop_id WHERE g.s > 0""")
 def rpt_subaward_recon(e):
@@ -413,7 +413,7 @@ def rpt_panel_minutes(e):
 
 
 @query("rpt_compliance_prop", f"""
-WITH {PRESENT}, {APPROVALS}, b AS (SELECT prop_id, sum(budg_tot_dol) AS cum, sum(sub_ctr_dol) AS pdoc FROM v_budg WHERE revn_num = 0 GROUP BY prop_id), np AS (SELECT prop_id, count(*) AS n FROM v_copi GROUP BY prop_id)
+WITH {PRESENT}, {APPROVALS}, b AS (SELECT prop_id, CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DOUBLE) AS cum, sum(pdoc_grnt_dol) AS pdoc FROM v_budg WHERE revn_num = 0 GROUP BY prop_id), np AS (SELECT prop_id, count(*) AS n FROM v_copi GROUP BY prop_id)
 SELECT p."ILN", p.lead, p.prop_id, p.org_code, p.pgm_ele_code, CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS orig_pgm_ele_code, CASE WHEN upper(p.prop_titl_txt) LIKE '%GOALI%' THEN 'Y' END AS "GOALI_flag",
   ap.humn_date, ap.vrtb_date, CASE WHEN p."ILN" = 'N' THEN 'N/A' ELSE dp.pd END AS "ProjDesc", dp.rc AS "RefCited", CASE WHEN b.pdoc > 0 AND NOT dp.mp THEN 'No MP' ELSE dp.mp_pg END AS "MentPlan", dp.dmp AS "DMP", dp.bj AS budg_just_pg,
   dp.sup AS oth_supp_cnt, 1 + coalesce(np.n, 0) AS "tot_PIs", p.rqst_dol AS tot_rqst_dol, round(b.cum, 2) AS cumulative_tot_dol, nullif(round(b.cum - coalesce(p.rqst_dol, 0), 2), 0) AS "Diff_tot_dol"
@@ -423,7 +423,7 @@ def rpt_compliance_prop(e):
 
 
 @query("rpt_compliance_proj", f"""
-WITH {PRESENT}, {PEOPLE}, b AS (SELECT p.lead, sum(x.budg_tot_dol) AS cum, sum(x.sub_ctr_dol) AS pdoc FROM v_budg x JOIN v_prj p ON p.prop_id = x.prop_id WHERE x.revn_num = 0 GROUP BY p.lead),
+WITH {PRESENT}, {PEOPLE}, b AS (SELECT p.lead, CAST(sum(CAST(x.budg_tot_dol AS DECIMAL(18, 4))) AS DOUBLE) AS cum, sum(x.pdoc_grnt_dol) AS pdoc FROM v_budg x JOIN v_prj p ON p.prop_id = x.prop_id WHERE x.revn_num = 0 GROUP BY p.lead),
 t AS (SELECT lead, CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS tot_rqst_dol, CASE WHEN min(prop_titl_txt) <> max(prop_titl_txt) THEN 'Y' END AS dif_titl_collab FROM v_prj GROUP BY lead),
 s AS (SELECT lead, count(*) AS "NumPIs", count("LastAwd") AS "NumRPS", {_slot_sql(stages.PEOPLE_FIELDS, 10, 'pi{i}_{f}')} FROM ps GROUP BY lead)
 SELECT p.lead, p.org_code, p.pgm_ele_code, CASE WHEN upper(p.prop_titl_txt) LIKE '%GOALI%' THEN 'Y' END AS "GOALI_flag", dp.pd AS "ProjDesc", dp.rc AS "RefCited", CASE WHEN b.pdoc > 0 AND NOT dp.mp THEN 'No MP' ELSE dp.mp_pg END AS "MentPlan",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import documents, people, reviews, selection
 from ..plans import stages
+from .aggregates import average_sql, deviation_sql
 from .registry import query
 
 
@@ -111,8 +112,8 @@ def txt_doc_presence(e):
                     documents.references_cited().alias("RefCited"), documents.data_plan().alias("DMP")))
 
 
-@query("txt_length_stats", """
-SELECT r.revr_id, round(avg(length(d.text)) + 1e-9, 6) AS avg_len, round(stddev_samp(length(d.text)) + 1e-9, 6) AS std_len FROM v_rev r JOIN documents d ON d.doc_id = r.prop_id JOIN v_rating m ON m.yn = r.rev_prop_rtng_ind GROUP BY r.revr_id""")
+@query("txt_length_stats", f"""
+SELECT r.revr_id, {average_sql("length(d.text)")} AS avg_len, {deviation_sql("length(d.text)")} AS std_len FROM v_rev r JOIN documents d ON d.doc_id = r.prop_id JOIN v_rating m ON m.yn = r.rev_prop_rtng_ind GROUP BY r.revr_id""")
 def txt_length_stats(e):
     return reviews.score_stats(stages.timed(e)).select("revr_id", "avg_len", "std_len")
 

@@ -109,9 +109,20 @@ SELECT pr.panl_id, r.revr_id, r.prop_id FROM v_rev r JOIN v_panl_prop pp ON pp.p
 JOIN v_panl_revr pr ON pr.panl_id = pp.panl_id AND pr.revr_id = r.revr_id WHERE r.rev_stts_code = 'C'
 """,
     "v_budg": """
-SELECT l_orderkey AS prop_id, l_partkey % 3 AS revn_num, l_linenumber AS budg_seq_yr, sum(l_extendedprice) AS budg_tot_dol,
-  sum(CASE WHEN l_returnflag = 'A' THEN l_extendedprice * l_discount ELSE 0 END) AS sub_ctr_dol, sum(l_extendedprice * l_tax) AS frgn_trav_dol,
-  sum(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END) AS part_cnt
+SELECT l_orderkey AS prop_id, l_partkey % 3 AS revn_num, l_linenumber AS budg_seq_yr,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2))), 0) AS DOUBLE) AS budg_tot_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_discount AS DECIMAL(12, 2))) FILTER (WHERE l_returnflag = 'A'), 0) AS DOUBLE) AS sub_ctr_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_tax AS DECIMAL(12, 2))) FILTER (WHERE l_returnflag = 'N'), 0) AS DOUBLE) AS cnsl_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_discount AS DECIMAL(12, 2))) FILTER (WHERE l_linenumber % 2 = 0), 0) AS DOUBLE) AS cptr_serv_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_tax AS DECIMAL(12, 2))), 0) AS DOUBLE) AS frgn_trav_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2))) FILTER (WHERE l_linenumber % 3 = 0), 0) AS DOUBLE) AS pdoc_grnt_dol,
+  CAST(coalesce(sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * CAST(l_tax AS DECIMAL(12, 2))) FILTER (WHERE l_linestatus = 'F' AND l_returnflag = 'R'), 0) AS DOUBLE) AS part_dol,
+  CAST(coalesce(sum(CAST(l_quantity AS DECIMAL(12, 2))) FILTER (WHERE l_linestatus = 'F'), 0) AS DOUBLE) AS part_cnt,
+  CAST(coalesce(sum(CAST(l_quantity AS DECIMAL(12, 2))) FILTER (WHERE l_returnflag = 'R'), 0) AS DOUBLE) AS grad_pers_tot_cnt,
+  CAST(coalesce(sum(1) FILTER (WHERE l_returnflag = 'A'), 0) AS DOUBLE) AS sr_pers_cnt,
+  CAST(coalesce(sum(CAST(l_quantity AS DECIMAL(12, 2))) FILTER (WHERE l_linenumber % 3 = 0), 0) AS DOUBLE) AS sr_summ_mnth_cnt,
+  CAST(coalesce(sum(CAST(l_quantity AS DECIMAL(12, 2))) FILTER (WHERE l_linenumber % 3 = 1), 0) AS DOUBLE) AS sr_acad_mnth_cnt,
+  CAST(coalesce(sum(CAST(l_quantity AS DECIMAL(12, 2))) FILTER (WHERE l_linenumber % 3 = 2), 0) AS DOUBLE) AS sr_cal_mnth_cnt
 FROM lineitem GROUP BY l_orderkey, l_partkey % 3, l_linenumber
 """,
     "v_splt": """

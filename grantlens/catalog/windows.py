@@ -75,7 +75,7 @@ def win_slots_panels(e):
 
 
 # the budget of the latest revision and the code string, for the checks
-LATEST = """lb AS (SELECT prop_id, revn_num, CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS t, sum(sub_ctr_dol) AS sub_ctr, sum(frgn_trav_dol) AS frgn, sum(part_cnt) AS part FROM v_budg x
+LATEST = """lb AS (SELECT prop_id, revn_num, CAST(CAST(sum(CAST(budg_tot_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS t, CAST(sum(CAST(sub_ctr_dol AS DECIMAL(18, 4))) AS DOUBLE) AS sub_ctr, CAST(sum(CAST(cnsl_dol AS DECIMAL(18, 4))) AS DOUBLE) AS cnsl, CAST(sum(CAST(cptr_serv_dol AS DECIMAL(18, 4))) AS DOUBLE) AS cptr, CAST(sum(CAST(frgn_trav_dol AS DECIMAL(18, 4))) AS DOUBLE) AS frgn, CAST(sum(CAST(pdoc_grnt_dol AS DECIMAL(18, 4))) AS DOUBLE) AS pdoc, CAST(sum(CAST(part_dol AS DECIMAL(18, 4))) AS DOUBLE) AS part_d, CAST(sum(CAST(part_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS part, CAST(sum(CAST(grad_pers_tot_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS grad, CAST(sum(CAST(sr_pers_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS sr, CAST(sum(CAST(sr_summ_mnth_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS sr_summ, CAST(sum(CAST(sr_acad_mnth_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS sr_acad, CAST(sum(CAST(sr_cal_mnth_cnt AS DECIMAL(18, 4))) AS DOUBLE) AS sr_cal FROM v_budg x
   WHERE NOT EXISTS (SELECT 1 FROM v_budg y WHERE y.prop_id = x.prop_id AND y.revn_num > x.revn_num) GROUP BY prop_id, revn_num)"""
 CODES = """cd AS (SELECT prop_id, substr(string_agg(prop_atr_code, ' ' ORDER BY prop_atr_code), 1, 35) AS "R" FROM (
   SELECT *, row_number() OVER (PARTITION BY prop_id ORDER BY prop_atr_code) AS n FROM v_atr) WHERE n <= 11 GROUP BY prop_id)"""

@@ -60,9 +60,31 @@ def approval(date: Column | str, pending: Column | str) -> Column:
     return F.when(d.isNotNull(), us_date(d)).when(_c(pending) == "Y", "Pend")
 
 
-def rounded(col: Column, digits: int = 6, noise: float = 1e-9) -> Column:
-    """Half up, where a half that summation noise pushed just below still counts as one."""
-    return F.round(col + noise, digits)
+_WHOLE = "decimal(38,0)"
+
+
+def half_up(over: Column, under: Column) -> Column:
+    """The ratio of two whole numbers (the lower one above 0) as a whole number, halves away from zero; exact, whatever was added in which order."""
+    twice = 2 * over + F.signum(over).cast("int") * under
+    return ((twice - twice % (2 * under)).cast("double") / (2 * under).cast("double")).cast("double")
+
+
+def _steps(col: Column | str, scale: int) -> Column:
+    return F.round(_c(col) * scale).cast("long")
+
+
+def average(col: Column | str, scale: int = 1) -> Column:
+    """Aggregate: the mean to six places of values that are whole multiples of 1 / scale, from whole sums."""
+    total, n = F.sum(_steps(col, scale)).cast(_WHOLE), F.count(_c(col))
+    return F.when(n > 0, F.round(half_up(total * (1_000_000 // scale), n)) / 1_000_000)
+
+
+def deviation(col: Column | str, scale: int = 1) -> Column:
+    """Aggregate: the sample deviation to six places of such values; the variance's numerator is a whole number, and null for a single value."""
+    x = _steps(col, scale).cast("decimal(18,0)")
+    n, total, squares = F.count(_c(col)), F.sum(x).cast("decimal(19,0)"), F.sum(x * x).cast("decimal(28,0)")
+    over = (squares * n.cast("decimal(10,0)")).cast(_WHOLE) - (total * total).cast(_WHOLE)
+    return F.when(n > 1, F.round(F.sqrt(over.cast("double") / (n * (n - 1)).cast("double")) / scale, 6))
 
 
 def money(col: Column | str) -> Column:
@@ -70,8 +92,14 @@ def money(col: Column | str) -> Column:
     return F.sum(_c(col).cast("decimal(18,4)")).cast("decimal(28,2)").cast("double")
 
 
-def dollars(col: Column) -> Column:
-    return rounded(col, 0, 1e-6)
+def precise(col: Column | str) -> Column:
+    """Aggregate: a sum of amounts of up to four places, exact."""
+    return F.sum(_c(col).cast("decimal(18,4)")).cast("double")
+
+
+def dollars(col: Column | str) -> Column:
+    """Aggregate: an exact sum in whole dollars."""
+    return F.round(F.sum(_c(col).cast("decimal(18,4)")), 0).cast("double")
 
 
 def flag(cond: Column) -> Column:

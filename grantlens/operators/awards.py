@@ -32,7 +32,7 @@ def money_text(amount: Column) -> Column:
 
 
 def award_amounts(splt: DataFrame) -> DataFrame:
-    return splt.groupBy(F.col("prop_id").alias("awd_id")).agg(F.sum("budg_splt_tot_dol").alias("awd_amt"))
+    return splt.groupBy(F.col("prop_id").alias("awd_id")).agg(c.money("budg_splt_tot_dol").alias("awd_amt"))
 
 
 def active_people(awd_pi: DataFrame) -> DataFrame:

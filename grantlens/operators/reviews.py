@@ -12,6 +12,7 @@ from ..functions.ordered import first_in_group, joined, ordered_concat
 from ..sources.inputs import LETTER_SCORES
 
 AD_HOC = ".ad hoc"  # fixed value: stands for the panel of a review outside any panel
+SCORES = 1000  # scores are thousandths
 CAP, WIDTH = 15, 50  # fixed values: places and width of a ratings string
 
 
@@ -94,14 +95,11 @@ def ratings_order() -> list[Column]:
 
 
 def summary(reviews: DataFrame) -> DataFrame:
-    """Per project over its unconflicted reviews: count, scores, ratings string, last date.
-
-    A reviewer has one review per proposal (that is the key), so counting them needs no distinct.
-    """
+    """Per project over its unconflicted reviews: reviewers, scores, ratings string, last date. A reviewer with several reviews counts once."""
     counted = reviews.filter("confl = 0")
     stats = counted.groupBy("lead").agg(
-        F.count("revr_id").alias("Nrev"), c.zero_to_null(F.sum("unmkd")).alias("Nunmkd"),
-        F.min("score").alias("minScore"), c.rounded(F.avg("score")).alias("avg_score"),
+        F.countDistinct("revr_id").alias("Nrev"), c.zero_to_null(F.sum("unmkd")).alias("Nunmkd"),
+        F.min("score").alias("minScore"), c.average("score", SCORES).alias("avg_score"),
         F.max("score").alias("maxScore"), F.max("rev_rtrn_date").alias("last_rev_date"))
     return stats.join(ratings(counted, ["lead"], "allReviews", CAP, WIDTH), "lead", "left")
 
@@ -150,16 +148,13 @@ def score_stats(reviews: DataFrame, key: str = "revr_id", suffix: str = "") -> D
 
     Needs prop_id, rev_rtrn_date, score, text_len, days_early. Deviations are sample deviations.
     """
-    def r(col):
-        return c.rounded(col)
-
     return reviews.groupBy(key).agg(
         F.count("prop_id").alias(f"nProps{suffix}"), F.max("rev_rtrn_date").alias(f"latest{suffix}"),
-        F.min("score").alias(f"min_score{suffix}"), r(F.avg("score")).alias(f"avg_score{suffix}"),
-        F.max("score").alias(f"max_score{suffix}"), r(F.stddev_samp("score")).alias(f"std_score{suffix}"),
-        r(F.avg("text_len")).alias(f"avg_len{suffix}"), r(F.stddev_samp("text_len")).alias(f"std_len{suffix}"),
-        r(F.avg("days_early")).alias(f"avg_days_early{suffix}"),
-        r(F.stddev_samp("days_early")).alias(f"std_days_early{suffix}"))
+        F.min("score").alias(f"min_score{suffix}"), c.average("score", SCORES).alias(f"avg_score{suffix}"),
+        F.max("score").alias(f"max_score{suffix}"), c.deviation("score", SCORES).alias(f"std_score{suffix}"),
+        c.average("text_len").alias(f"avg_len{suffix}"), c.deviation("text_len").alias(f"std_len{suffix}"),
+        c.average("days_early").alias(f"avg_days_early{suffix}"),
+        c.deviation("days_early").alias(f"std_days_early{suffix}"))
 
 
 def timed(rev: DataFrame, rating: DataFrame, texts: DataFrame) -> DataFrame:

@@ -170,7 +170,7 @@ def award_check(e) -> DataFrame:
 
 
 def award_flags(e) -> DataFrame:
-    """Request against budget, subcontract money against head count, non-leads against their lead."""
+    """Request against budget, participant money against head count, non-leads against their lead."""
     totals = budgets.totals(e.budg)
     rows = (_projects(e).join(totals, "prop_id", "left").join(
         children.bag(stages.country_rows(e), ["prop_id"], F.col("ctry_name"), "Country"), "prop_id", "left")
@@ -179,7 +179,7 @@ def award_flags(e) -> DataFrame:
     return marked.select(
         "lead", "ILN", "prop_id", c.flag(F.col("rqst_dol") < F.col("T")).alias("below_budget"),
         c.flag(F.col("rqst_dol") > F.col("T")).alias("above_budget"),
-        c.flag(c.differs(F.col("sub_ctr_tot") > 0, F.col("part_tot_cnt") > 0)).alias("part_mismatch"),
+        c.flag(c.differs(F.col("part_tot_dol") > 0, F.col("part_tot_cnt") > 0)).alias("part_mismatch"),
         "dif_org_code", "dif_pgm_ele_code", "dif_Country", "dif_prop_titl_txt")
 
 
@@ -301,7 +301,7 @@ def props_on_panels(e) -> DataFrame:
           .withColumnRenamed("prop_id", "lead"))
     outcome = panels.listed_outcomes(e.panl.select("panl_id", "panl_name", "panl_bgn_date"), e.rec, stages.projects(e))
     short = stages.short_reviews(e)
-    rated = short.groupBy("lead").agg(c.rounded(F.avg("score")).alias("avg_score"), F.max("rev_rtrn_date").alias("last_rev_date")).join(
+    rated = short.groupBy("lead").agg(c.average("score", reviews.SCORES).alias("avg_score"), F.max("rev_rtrn_date").alias("last_rev_date")).join(
         reviews.ratings(short, ["lead"], "reviews", 10, None), "lead")
     return (stages.base(e).join(approvals(e), "prop_id")
             .join(on, "lead", "left").join(outcome, "panl_id", "left").join(rated, "lead", "left")
@@ -458,7 +458,7 @@ def compliance_by_proposal(e) -> DataFrame:
     A document of the whole project is not asked of non-leads.
     """
     first_budget = e.budg.filter("revn_num = 0").groupBy("prop_id").agg(
-        F.sum("budg_tot_dol").alias("_cum"), F.sum("sub_ctr_dol").alias("_pd"))
+        c.money("budg_tot_dol").alias("_cum"), F.sum("pdoc_grnt_dol").alias("_pd"))
     number = (e.copi.groupBy("prop_id").agg(F.count(F.lit(1)).alias("_n")))
     rows = (_projects(e).join(e.subm, "prop_id").join(documents.presence(e.doc), "temp_prop_id", "left")
             .join(first_budget, "prop_id", "left").join(number, "prop_id", "left").join(approvals(e), "prop_id", "left"))
@@ -476,11 +476,11 @@ def compliance_by_proposal(e) -> DataFrame:
 
 def compliance_by_project(e) -> DataFrame:
     """Per project: the same on its head, title differences, ten people with their awards."""
-    rows = stages.people_rows(e)
+    rows = sinks.staged(stages.people_rows(e))  # read for the numbers and for the slots
     numbers = rows.groupBy("lead").agg(F.count(F.lit(1)).alias("NumPIs"), F.count("LastAwd").alias("NumRPS"))
     projects = _projects(e)
-    first_budget = (e.budg.filter("revn_num = 0").groupBy("prop_id").agg(F.sum("budg_tot_dol").alias("_cum"), F.sum("sub_ctr_dol").alias("_pd"))
-                    .join(projects.select("prop_id", "lead"), "prop_id").groupBy("lead").agg(F.sum("_cum").alias("_cum"), F.sum("_pd").alias("_pd")))
+    first_budget = (e.budg.filter("revn_num = 0").groupBy("prop_id").agg(c.money("budg_tot_dol").alias("_cum"), F.sum("pdoc_grnt_dol").alias("_pd"))
+                    .join(projects.select("prop_id", "lead"), "prop_id").groupBy("lead").agg(c.money("_cum").alias("_cum"), F.sum("_pd").alias("_pd")))
     heads = (selection.one_row_per_project(projects).select("lead", "prop_id", "org_code", "pgm_ele_code", "prop_titl_txt")
              .join(e.subm, "prop_id").join(documents.presence(e.doc), "temp_prop_id", "left"))
     wide = (heads.join(numbers, "lead").join(stages.title_totals(projects), "lead", "left").join(first_budget, "lead", "left")

@@ -346,14 +346,17 @@ class Entities:
 
     @cached_property
     def budg(self) -> DataFrame:
-        price = F.col("l_extendedprice")
+        exact = lambda name: F.col(name).cast("decimal(12,2)")
+        price, line = exact("l_extendedprice"), F.col("l_linenumber")
+        sum_of = lambda value, when=None: F.coalesce(F.sum(value if when is None else F.when(when, value)), F.lit(0)).cast("double")
+        flag, closed, quantity = F.col("l_returnflag"), F.col("l_linestatus") == "F", exact("l_quantity")
         return (self.table("lineitem")
-                .groupBy(F.col("l_orderkey").alias("prop_id"), (F.col("l_partkey") % 3).alias("revn_num"),
-                         F.col("l_linenumber").alias("budg_seq_yr"))
-                .agg(F.sum(price).alias("budg_tot_dol"),
-                     F.sum(F.when(F.col("l_returnflag") == "A", price * F.col("l_discount")).otherwise(0.0)).alias("sub_ctr_dol"),
-                     F.sum(price * F.col("l_tax")).alias("frgn_trav_dol"),
-                     F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)).alias("part_cnt")))
+                .groupBy(F.col("l_orderkey").alias("prop_id"), (F.col("l_partkey") % 3).alias("revn_num"), line.alias("budg_seq_yr"))
+                .agg(sum_of(price).alias("budg_tot_dol"), sum_of(price * exact("l_discount"), flag == "A").alias("sub_ctr_dol"), sum_of(price * exact("l_tax"), flag == "N").alias("cnsl_dol"),
+                     sum_of(price * exact("l_discount"), line % 2 == 0).alias("cptr_serv_dol"), sum_of(price * exact("l_tax")).alias("frgn_trav_dol"), sum_of(price, line % 3 == 0).alias("pdoc_grnt_dol"),
+                     sum_of(price * exact("l_tax"), closed & (flag == "R")).alias("part_dol"), sum_of(quantity, closed).alias("part_cnt"), sum_of(quantity, flag == "R").alias("grad_pers_tot_cnt"),
+                     sum_of(F.lit(1), flag == "A").alias("sr_pers_cnt"), sum_of(quantity, line % 3 == 0).alias("sr_summ_mnth_cnt"), sum_of(quantity, line % 3 == 1).alias("sr_acad_mnth_cnt"),
+                     sum_of(quantity, line % 3 == 2).alias("sr_cal_mnth_cnt")))
 
     @cached_property
     def splt(self) -> DataFrame:
