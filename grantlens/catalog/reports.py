@@ -122,8 +122,9 @@ def rpt_coding_flags(e):
     return reports.coding_flags(e)
 
 
-_SPLITS = f"""{CODES}, {SPLIT_CODES}, sl AS (SELECT p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, i.inst_shrt_name AS inst, p.org_code, p.pgm_ele_code AS "pPEC", s.pgm_ele_code AS "bPEC", cd."R" AS "propPRCs",
-  sc.codes AS "bPRCs", s.budg_yr, s.splt_id, round(s.budg_splt_tot_dol, 2) AS budg_splt_tot_dol, p.prop_titl_txt FROM v_prj p {DIV} JOIN v_splt s ON s.prop_id = p.prop_id LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id
+_SPLITS = f"""{CODES}, {SPLIT_CODES}, sl AS (SELECT p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.cntx_stmt_id, p.pgm_annc_id, ps.prop_stts_abbr, nr.natr_rqst_abbr, p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id,
+  pi.pi_last_name, i.inst_shrt_name AS inst, p.org_code AS "pOrg", s.org_code AS "bOrg", p.pgm_ele_code AS "pPEC", s.pgm_ele_code AS "bPEC", p.pm_ibm_logn_id AS "pPO", s.pm_ibm_logn_id AS "bPO", p.obj_clas_code AS "pObj", s.obj_clas_code AS "bObj",
+  s.awd_id, cd."R" AS "propPRCs", sc.codes AS "bPRCs", s.budg_yr, s.splt_id, round(s.budg_splt_tot_dol, 2) AS budg_splt_tot_dol, p.prop_titl_txt FROM v_prj p {DIV} JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code JOIN v_rqst nr ON nr.natr_rqst_code = p.natr_rqst_code JOIN v_splt s ON s.prop_id = p.prop_id LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id
   LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN sc ON sc.prop_id = s.prop_id AND sc.budg_yr = s.budg_yr AND sc.splt_id = s.splt_id)"""
 
 
@@ -134,7 +135,7 @@ def rpt_splits(e):
 
 @query("rpt_split_flags", f"""WITH {_SPLITS}, pset AS (SELECT prop_id, list_sort(list(DISTINCT rtrim(prop_atr_code))) AS codes FROM v_atr WHERE prop_atr_type_code = 'PRC' GROUP BY prop_id),
 bset AS (SELECT prop_id, budg_yr, splt_id, list_sort(list(DISTINCT rtrim(pgm_ref_code))) AS codes FROM v_splt_code GROUP BY ALL)
-SELECT sl.prop_id, sl.budg_yr, sl.splt_id, CASE WHEN "pPEC" <> "bPEC" THEN 1 ELSE 0 END AS "dif_PEC", (pset.codes IS DISTINCT FROM bset.codes)::INT AS "dif_PRCs",
+SELECT sl.prop_id, sl.budg_yr, sl.splt_id, """ + ", ".join(f'CASE WHEN "p{n}" <> "b{n}" THEN 1 ELSE 0 END AS "dif_{n}"' for n in ("Org", "PEC", "PO", "Obj")) + """, (pset.codes IS DISTINCT FROM bset.codes)::INT AS "dif_PRCs",
 CASE WHEN row_number() OVER (PARTITION BY sl.prop_id ORDER BY sl.budg_yr, sl.splt_id) = 1 THEN 1 ELSE 0 END AS new_group
 FROM sl LEFT JOIN pset USING (prop_id) LEFT JOIN bset ON bset.prop_id = sl.prop_id AND bset.budg_yr = sl.budg_yr AND bset.splt_id = sl.splt_id""")
 def rpt_split_flags(e):
@@ -318,9 +319,10 @@ def rpt_subaward_recon(e):
 
 @query("rpt_autocode_check", f"""
 WITH {_codes('cp7', ' ', 7, True)}, {DEMOG}
-SELECT p.lead, p."ILN", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name, i.st_code, p.prop_stts_code, p.bas_rsch_pct, p.other_pct, p.org_code, p.pgm_ele_code,
+SELECT p.lead, p."ILN", p.prop_id, p.cntx_stmt_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name, i.st_code, p.prop_stts_code, ps.prop_stts_abbr, p.pm_ibm_logn_id AS "PO", p.bas_rsch_pct, p.other_pct,
+  p.apld_rsch_pct, p.educ_trng_pct, p.mjr_equp_pct, p.land_buld_fix_equp_pct, p.non_invt_pct, p.org_code, CASE WHEN p.org_code <> p.orig_org_code THEN p.orig_org_code END AS orig_org, p.pgm_ele_code,
   CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "orig_PEC", dm.* EXCLUDE (prop_id), cp7.codes AS "PRCs", p.prop_titl_txt
-FROM v_prj p JOIN {PRIMARY} JOIN v_inst i ON i.inst_id = p.inst_id JOIN dm ON dm.prop_id = p.prop_id LEFT JOIN cp7 ON cp7.prop_id = p.prop_id""")
+FROM v_prj p JOIN {PRIMARY} JOIN v_inst i ON i.inst_id = p.inst_id JOIN dm ON dm.prop_id = p.prop_id JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code LEFT JOIN cp7 ON cp7.prop_id = p.prop_id""")
 def rpt_autocode_check(e):
     return reports.autocode_check(e)
 
@@ -440,8 +442,9 @@ def rpt_list_found(e):
 
 
 @query("rpt_portfolio", """
-SELECT q.*, o.dir_div_abbr AS "Dir" FROM (SELECT left(org_code, 4) AS "Org", pgm_ele_code, natr_rqst_code, count(prop_id) AS "Nprop", CAST(sum(CASE WHEN lead_prop_id <> prop_id THEN 0 ELSE 1 END) AS BIGINT) AS "Nproj", CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "SumRqstDol"
-FROM v_prop GROUP BY 1, 2, 3) q JOIN v_org o ON o.org_code = left(q."Org", 2) || '000000'""")
+SELECT q.* EXCLUDE (prop_stts_code), o.dir_div_abbr AS "Dir", nr.natr_rqst_abbr, oc.obj_clas_name, g.pgm_ele_name, ps.prop_stts_abbr FROM (SELECT pm_ibm_logn_id AS "PO", left(org_code, 4) AS "Org", pgm_annc_id, pgm_ele_code, natr_rqst_code, obj_clas_code, prop_stts_code, count(prop_id) AS "Nprop", CAST(sum(CASE WHEN lead_prop_id <> prop_id THEN 0 ELSE 1 END) AS BIGINT) AS "Nproj", CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS "SumRqstDol"
+FROM v_prop WHERE dd_rcom_date >= TIMESTAMP '1995-01-01' AND dd_rcom_date <= TIMESTAMP '1997-01-01' AND obj_clas_code LIKE '4%' GROUP BY 1, 2, 3, 4, 5, 6, 7) q JOIN v_org o ON o.org_code = left(q."Org", 2) || '000000'
+JOIN v_rqst nr ON nr.natr_rqst_code = q.natr_rqst_code JOIN v_class oc ON oc.obj_clas_code = q.obj_clas_code JOIN v_pgm g ON g.pgm_ele_code = q.pgm_ele_code JOIN v_stts ps ON ps.prop_stts_code = q.prop_stts_code""")
 def rpt_portfolio(e):
     return reports.portfolio(e)
 

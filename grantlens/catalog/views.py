@@ -19,6 +19,7 @@ SELECT o.o_orderkey AS prop_id,
   CAST(CASE WHEN o.o_orderkey % 10 = 0 THEN 0.25 ELSE 0.0 END AS DOUBLE) AS other_pct,
   concat('po', CAST(o.o_orderkey % 13 AS STRING)) AS pm_ibm_logn_id, CASE o.o_orderkey % 3 WHEN 0 THEN '4100' WHEN 1 THEN '4110' ELSE '4120' END AS obj_clas_code,
   concat('PA-', CAST(o.o_orderkey % 5 AS STRING)) AS pgm_annc_id, o.o_orderdate + INTERVAL 180 DAY AS rqst_eff_date, 12 + 12 * (o.o_orderkey % 5) AS rqst_mnth_cnt,
+  CAST(CASE WHEN o.o_orderkey % 5 = 1 THEN 0.5 ELSE 0 END AS DOUBLE) AS apld_rsch_pct, CAST(CASE WHEN o.o_orderkey % 7 = 1 THEN 0.2 ELSE 0 END AS DOUBLE) AS educ_trng_pct, CAST(CASE WHEN o.o_orderkey % 9 = 1 THEN 0.1 ELSE 0 END AS DOUBLE) AS mjr_equp_pct, CAST(CASE WHEN o.o_orderkey % 11 = 1 THEN 0.05 ELSE 0 END AS DOUBLE) AS land_buld_fix_equp_pct, CAST(CASE WHEN o.o_orderkey % 13 = 1 THEN 0.3 ELSE 0 END AS DOUBLE) AS non_invt_pct,
   CASE WHEN o.o_orderkey % 6 = 0 THEN concat('C', CAST(o.o_orderkey % 4 AS STRING)) END AS cntx_stmt_id,
   CASE WHEN o.o_orderkey % 11 = 0 THEN '10000001' ELSE concat(CAST(10 + n.n_regionkey AS STRING), lpad(CAST(n.n_nationkey + 1 AS STRING), 6, '0')) END AS orig_org_code,
   concat(CASE WHEN o.o_orderkey % 23 = 0 THEN 'Goali: ' ELSE '' END, c.c_mktsegment, ' study ', CAST(o.o_orderkey - o.o_orderkey % 4 AS STRING),
@@ -34,6 +35,9 @@ SELECT * FROM (VALUES ('1-URGENT', 'Urgent'), ('2-HIGH', 'High'), ('3-MEDIUM', '
 """,
     "v_stts": """
 SELECT * FROM (VALUES ('F', 'AWD', 'Awarded'), ('O', 'PEND', 'Pending'), ('P', 'DECL', 'Declined')) t(prop_stts_code, prop_stts_abbr, prop_stts_txt)
+""",
+    "v_class": """
+SELECT * FROM (VALUES ('4100', 'Grants'), ('4110', 'Contracts'), ('4120', 'Fellowships')) t(obj_clas_code, obj_clas_name)
 """,
     "v_rqst": """
 SELECT * FROM (VALUES ('AUTOMOBILE', 'SUPP'), ('BUILDING', 'NEW'), ('FURNITURE', 'CONT'), ('HOUSEHOLD', 'TRAN'), ('MACHINERY', 'RNEW')) t(natr_rqst_code, natr_rqst_abbr)
@@ -127,7 +131,8 @@ FROM lineitem GROUP BY l_orderkey, l_partkey % 3, l_linenumber
 """,
     "v_splt": """
 SELECT l_orderkey AS prop_id, CAST(year(l_shipdate) AS INT) AS budg_yr, CAST(l_linenumber AS STRING) AS splt_id, sum(l_extendedprice) AS budg_splt_tot_dol,
-  min(p_type) AS pgm_ele_code, max(l_shipdate) AS frwd_date FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey, year(l_shipdate), l_linenumber
+  min(p_type) AS pgm_ele_code, max(l_shipdate) AS frwd_date, concat(CAST(min(l_partkey) % 5 + 10 AS STRING), lpad(CAST(min(l_partkey) % 25 + 1 AS STRING), 6, '0')) AS org_code,
+  concat('po', CAST(min(l_partkey) % 13 AS STRING)) AS pm_ibm_logn_id, CASE min(l_partkey) % 4 WHEN 0 THEN '2500' WHEN 1 THEN '4100' ELSE '4110' END AS obj_clas_code, CASE WHEN max(l_linestatus) = 'F' THEN l_orderkey END AS awd_id FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey, year(l_shipdate), l_linenumber
 """,
     "v_splt_code": """
 SELECT DISTINCT l_orderkey AS prop_id, CAST(year(l_shipdate) AS INT) AS budg_yr, CAST(l_linenumber AS STRING) AS splt_id, lpad(CAST(p_size AS STRING), 4, '0') AS pgm_ref_code
@@ -192,7 +197,8 @@ SELECT doc_id AS prop_id, length(text) AS text_len FROM documents
 """,
     "v_awd": """
 SELECT o_orderkey AS awd_id, CAST(o_custkey % 25 AS INT) AS inst_id, CASE WHEN o_orderkey % 3 = 0 THEN '90' ELSE '80' END AS awd_stts_code, o_totalprice AS tot_intn_awd_amt,
-  o_orderdate AS awd_eff_date, o_orderdate + INTERVAL 1000 DAY AS awd_exp_date FROM orders WHERE o_orderstatus = 'F'
+  o_orderdate AS awd_eff_date, o_orderdate + INTERVAL 1000 DAY AS awd_exp_date, concat('po', CAST(o_orderkey % 7 AS STRING)) AS pm_ibm_logn_id,
+  concat(CAST(o_orderkey % 5 + 10 AS STRING), '000001') AS org_code, o_orderpriority AS pgm_ele_code FROM orders WHERE o_orderstatus = 'F'
 """,
     "v_oblg": """
 SELECT l_orderkey AS oblg_id, l_extendedprice AS oblg_amt, CASE WHEN l_linestatus = 'F' THEN l_extendedprice ELSE 0 END AS cuml_xpnd_amt, l_shipdate AS last_pymt_date FROM lineitem

@@ -15,6 +15,7 @@ from ..functions import criteria
 from ..functions.ordered import cumulative, ordered_concat, padded_concat, running_number, slots
 from ..operators import awards, budgets, changes, children, documents, panels, people, reviews, selection, splits
 from ..sources import sinks
+from ..sources.entities import SHARES
 from . import stages
 
 ID_STEP = 12  # ids are counted in steps of 4096
@@ -123,24 +124,26 @@ def coding_flags(e, states=("S1", "S2"), state_code="0015", people_code="0012",
         *[f"dif_{x}" for x in wanted])
 
 
+PAIRS = {"Org": "org_code", "PEC": "pgm_ele_code", "PO": "pm_ibm_logn_id", "Obj": "obj_clas_code"}  # what a split has as well as its proposal
+
+
 def split_rows(e) -> DataFrame:
-    """Every split next to its proposal: program and codes of both."""
-    rows = stages.proposal_rows(e).join(e.org.select("org_code", F.col("dir_div_abbr").alias("Div")), "org_code")
-    s = e.splt.select("prop_id", "budg_yr", "splt_id", F.round("budg_splt_tot_dol", 2).alias("budg_splt_tot_dol"),
-                      F.col("pgm_ele_code").alias("bPEC"))
-    return (rows.join(s, "prop_id").join(stages.split_codes(e.splt_code), splits.KEY, "left")
-            .select("lead", "ILN", "Div", "prop_id", "pi_last_name", F.col("inst_shrt_name").alias("inst"), "org_code",
-                    F.col("pgm_ele_code").alias("pPEC"), "bPEC", F.col("R").alias("propPRCs"), "bPRCs", "budg_yr", "splt_id",
-                    "budg_splt_tot_dol", "prop_titl_txt"))
+    """Every split next to its proposal: organisation, program, officer, object class and codes of both, and the split's award."""
+    rows = (stages.proposal_rows(e).join(e.org.select("org_code", F.col("dir_div_abbr").alias("Div")), "org_code").join(e.prop_stts, "prop_stts_code").join(e.natr_rqst, "natr_rqst_code")
+            .select("received_date", c.real_date("dd_rcom_date").alias("dd_rcom_date"), "cntx_stmt_id", "pgm_annc_id", "prop_stts_abbr", "natr_rqst_abbr", "lead", "ILN", "Div", "prop_id", "pi_last_name",
+                    F.col("inst_shrt_name").alias("inst"), F.col("R").alias("propPRCs"), "prop_titl_txt", *[F.col(x).alias(f"p{n}") for n, x in PAIRS.items()]))
+    s = e.splt.select(*splits.KEY, F.round("budg_splt_tot_dol", 2).alias("budg_splt_tot_dol"), "awd_id", *[F.col(x).alias(f"b{n}") for n, x in PAIRS.items()])
+    return rows.join(s, "prop_id").join(stages.split_codes(e.splt_code), splits.KEY, "left")
 
 
 def split_flags(e) -> DataFrame:
+    """Where a split differs from its proposal in any of five things, and where a proposal's splits begin."""
     rows = (split_rows(e)
             .join(children.bag(stages.codes_of(e.atr), ["prop_id"], F.rtrim("prop_atr_code"), "_prop_codes"), "prop_id", "left")
-            .join(children.bag(e.splt_code, ["prop_id", "budg_yr", "splt_id"], F.rtrim("pgm_ref_code"), "_splt_codes", True), ["prop_id", "budg_yr", "splt_id"], "left"))
+            .join(children.bag(e.splt_code, splits.KEY, F.rtrim("pgm_ref_code"), "_splt_codes", True), splits.KEY, "left"))
     first = rows.groupBy("prop_id").agg(F.min(F.struct("budg_yr", "splt_id")).alias("_f"))
     return rows.join(first, "prop_id").select(
-        "prop_id", "budg_yr", "splt_id", c.flag(F.col("pPEC") != F.col("bPEC")).alias("dif_PEC"),
+        *splits.KEY, *[c.flag(F.col(f"p{n}") != F.col(f"b{n}")).alias(f"dif_{n}") for n in PAIRS],
         c.flag(~F.col("_prop_codes").eqNullSafe(F.col("_splt_codes"))).alias("dif_PRCs"),
         c.flag(F.struct("budg_yr", "splt_id") == F.col("_f")).alias("new_group"))
 
@@ -253,7 +256,7 @@ def orphans(e) -> DataFrame:
 
 
 NEW_KINDS = ["BUILDING", "MACHINERY"]
-OTHER_FACTS = ["orig_org_code", "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id"]
+OTHER_FACTS = ["orig_org_code", "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id", *SHARES]
 
 
 def transfers(e) -> DataFrame:
@@ -343,12 +346,14 @@ def subaward_reconciliation(e) -> DataFrame:
 
 
 def autocode_check(e) -> DataFrame:
-    """Codes, percentages, changed program and demographics of every proposal."""
+    """Codes, percentages, context, changed organisation and program, and demographics of every proposal."""
     codes = padded_concat(stages.codes_of(e.atr), ["prop_id"], [F.col("prop_atr_code")], "prop_atr_code", " ", 7, "PRCs")
     return (_projects(e).join(e.pi_primary.select("pi_id", "pi_last_name", "pi_frst_name"), "pi_id").join(e.inst, "inst_id")
             .join(people.demographics(e.person, e.pi, e.pdmog), "prop_id").join(codes, "prop_id", "left")
-            .select("lead", "ILN", "prop_id", "pi_last_name", "pi_frst_name", "inst_shrt_name", "st_code", "prop_stts_code", "bas_rsch_pct",
-                    "other_pct", "org_code", "pgm_ele_code", c.only_if_changed("pgm_ele_code", "orig_pgm_ele_code").alias("orig_PEC"),
+            .join(e.prop_stts.select("prop_stts_code", "prop_stts_abbr"), "prop_stts_code")
+            .select("lead", "ILN", "prop_id", "cntx_stmt_id", "pi_last_name", "pi_frst_name", "inst_shrt_name", "st_code", "prop_stts_code", "prop_stts_abbr", F.col("pm_ibm_logn_id").alias("PO"),
+                    "bas_rsch_pct", "other_pct", *SHARES, "org_code", c.only_if_changed("org_code", "orig_org_code").alias("orig_org"), "pgm_ele_code",
+                    c.only_if_changed("pgm_ele_code", "orig_pgm_ele_code").alias("orig_PEC"),
                     "NfmlPIs", "NhispPIs", "NhndcpPIs", "NnonWhtAsnPIs", "PRCs", "prop_titl_txt"))
 
 
@@ -512,10 +517,15 @@ def list_found(e) -> DataFrame:
     return e.idlist.join(found, "prop_id", "left").select("prop_id", F.coalesce("_row", F.lit("--")).alias("found"))
 
 
-def portfolio(e) -> DataFrame:
-    """Proposals, projects and money by organisation and program; names are joined to the groups."""
+def portfolio(e, start="1995-01-01", end="1997-01-01", classes="4%") -> DataFrame:
+    """Proposals, projects and money by officer, organisation, announcement, program, request, object class and status, of those recommended in a
+    date window in some object classes; names are joined to the groups."""
+    window = criteria.apply(stages.date_range(e.prop, "dd_rcom_date", start, end), {"obj_clas_code": classes})
     names = e.org.select(F.col("org_code").alias("_dir"), F.col("dir_div_abbr").alias("Dir"))
-    return (stages.portfolio_counts(e.prop).withColumn("_dir", c.directorate_code("Org")).join(names, "_dir").drop("_dir"))
+    out = stages.portfolio_counts(window).withColumn("_dir", c.directorate_code("Org")).join(names, "_dir").drop("_dir")
+    for lookup in (e.natr_rqst, e.obj_clas, e.pgm_ele, e.prop_stts.select("prop_stts_code", "prop_stts_abbr")):
+        out = out.join(lookup, lookup.columns[0])
+    return out.drop("prop_stts_code")
 
 
 def panel_load_by_org(e, start="1995-01-01", end="1996-01-01") -> DataFrame:

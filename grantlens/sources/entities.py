@@ -71,6 +71,7 @@ class Entities:
             (F.col("o_orderdate") + _days(180)).alias("rqst_eff_date"),
             (12 + 12 * (k % 5)).alias("rqst_mnth_cnt"),
             F.when(k % 6 == 0, F.concat(F.lit("C"), _text(k % 4))).alias("cntx_stmt_id"),
+            *[F.when(k % m == 1, share).otherwise(0.0).alias(name) for name, (m, share) in SHARES.items()],
         )
 
     @cached_property
@@ -85,7 +86,7 @@ class Entities:
                 F.when(k % 11 == 0, "10000001").otherwise(_org_code()).alias("orig_org_code"),
                 "pgm_ele_code", "orig_pgm_ele_code", "prop_stts_code", F.col("c_mktsegment").alias("natr_rqst_code"),
                 "rqst_dol", "received_date", "dd_rcom_date", "bas_rsch_pct", "other_pct",
-                "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id",
+                "pm_ibm_logn_id", "obj_clas_code", "pgm_annc_id", "rqst_eff_date", "rqst_mnth_cnt", "cntx_stmt_id", *SHARES,
                 F.concat(F.when(k % 23 == 0, "Goali: ").otherwise(""), "c_mktsegment", F.lit(" study "),
                          _text(k - k % 4), F.when(k % 29 == 1, " (revised)").otherwise("")).alias("prop_titl_txt"),
             )
@@ -107,6 +108,10 @@ class Entities:
     def natr_rqst(self) -> DataFrame:
         return self._named_codes(REQUESTS, "natr_rqst_code string, natr_rqst_abbr string")
 
+    @cached_property
+    def obj_clas(self) -> DataFrame:
+        return self._named_codes(CLASSES, "obj_clas_code string, obj_clas_name string")
+
     @cached_property
     def keys(self) -> DataFrame:
         """Proposal, lead and request alone: one table where no other fact of a proposal is needed."""
@@ -364,7 +369,11 @@ class Entities:
                 .groupBy(F.col("l_orderkey").alias("prop_id"), F.year("l_shipdate").alias("budg_yr"),
                          _text(F.col("l_linenumber")).alias("splt_id"))
                 .agg(F.sum("l_extendedprice").alias("budg_splt_tot_dol"), F.min("p_type").alias("pgm_ele_code"),
-                     F.max("l_shipdate").alias("frwd_date")))
+                     F.max("l_shipdate").alias("frwd_date"), F.min("l_partkey").alias("_p"), F.max("l_linestatus").alias("_s"))
+                .withColumn("org_code", F.concat(_text(F.col("_p") % 5 + 10), F.lpad(_text(F.col("_p") % 25 + 1), 6, "0")))
+                .withColumn("pm_ibm_logn_id", F.concat(F.lit("po"), _text(F.col("_p") % 13)))
+                .withColumn("obj_clas_code", F.when(F.col("_p") % 4 == 0, "2500").when(F.col("_p") % 4 == 1, "4100").otherwise("4110"))
+                .withColumn("awd_id", F.when(F.col("_s") == "F", F.col("prop_id"))).drop("_p", "_s"))
 
     @cached_property
     def splt_code(self) -> DataFrame:
@@ -389,7 +398,8 @@ class Entities:
             F.col("o_orderkey").alias("awd_id"), (F.col("o_custkey") % 25).cast("int").alias("inst_id"),
             F.when(F.col("o_orderkey") % 3 == 0, "90").otherwise("80").alias("awd_stts_code"),
             F.col("o_totalprice").alias("tot_intn_awd_amt"), F.col("o_orderdate").alias("awd_eff_date"),
-            (F.col("o_orderdate") + _days(1000)).alias("awd_exp_date"))
+            (F.col("o_orderdate") + _days(1000)).alias("awd_exp_date"), F.concat(F.lit("po"), _text(F.col("o_orderkey") % 7)).alias("pm_ibm_logn_id"),
+            F.concat(_text(F.col("o_orderkey") % 5 + 10), F.lit("000001")).alias("org_code"), F.col("o_orderpriority").alias("pgm_ele_code"))
 
     @cached_property
     def awd_pi(self) -> DataFrame:
@@ -496,6 +506,9 @@ class Entities:
 PROGRAMS = {"1-URGENT": ("Urgent",), "2-HIGH": ("High",), "3-MEDIUM": ("Medium",), "4-NOT SPECIFIED": ("Not specified",), "5-LOW": ("Low",)}
 STATUSES = {"F": ("AWD", "Awarded"), "O": ("PEND", "Pending"), "P": ("DECL", "Declined")}
 REQUESTS = {"AUTOMOBILE": ("SUPP",), "BUILDING": ("NEW",), "FURNITURE": ("CONT",), "HOUSEHOLD": ("TRAN",), "MACHINERY": ("RNEW",)}
+CLASSES = {"4100": ("Grants",), "4110": ("Contracts",), "4120": ("Fellowships",)}
+# Further percentages of a proposal: one of so many proposals has the share.
+SHARES = {"apld_rsch_pct": (5, 0.5), "educ_trng_pct": (7, 0.2), "mjr_equp_pct": (9, 0.1), "land_buld_fix_equp_pct": (11, 0.05), "non_invt_pct": (13, 0.3)}
 DOC_KINDS = ("proj_desc", "bibl", "dmp_plan", "ment_plan", "budg_expl", "supp")
 
 
