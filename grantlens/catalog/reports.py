@@ -87,10 +87,11 @@ pp AS (SELECT p.lead, p.prop_id, pi.pi_last_name, pi.pi_frst_name, pi.pi_emai_ad
   row_number() OVER (PARTITION BY p.lead ORDER BY p."ILN", p.prop_id) AS n FROM v_prj p LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN lb ON lb.prop_id = p.prop_id LEFT JOIN cd ON cd.prop_id = p.prop_id),
 ss AS (SELECT lead, {_slot_sql(dict(stages.PROP_FIELDS, btot='t', PRC='r'), 7)} FROM pp GROUP BY lead),
 tt AS (SELECT lead, CAST(CAST(sum(CAST(rqst_dol AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS rqst_tot, CAST(CAST(sum(CAST(t AS DECIMAL(18, 4))) AS DECIMAL(28, 2)) AS DOUBLE) AS budg_tot, max(revn_num) AS "budRevnMax", substr(string_agg(CASE WHEN n <= 7 THEN pi_emai_addr END, ';' ORDER BY n), 1, 255) AS "allPIemail" FROM pp GROUP BY lead)
-SELECT p.lead, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.org_code, p.pgm_ele_code, p.natr_rqst_code, p.prop_stts_code, rtrim(p.prop_titl_txt) AS prop_titl_txt,
+SELECT p.pgm_annc_id, p.pm_ibm_logn_id AS "PO", p.obj_clas_code, p.cntx_stmt_id, p.pgm_ele_code || ' - ' || g.pgm_ele_name AS "Pgm", ps.prop_stts_abbr, nr.natr_rqst_abbr,
+  CASE WHEN p.org_code <> p.orig_org_code THEN p.orig_org_code END AS "origORG", CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC", p.rqst_eff_date, p.rqst_mnth_cnt, p.lead, p.received_date, nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.org_code, p.pgm_ele_code, p.natr_rqst_code, p.prop_stts_code, rtrim(p.prop_titl_txt) AS prop_titl_txt,
   o.dir_div_abbr AS "Div", o2.dir_div_abbr AS "Dir", pi.pi_emai_addr AS email, ra."RAupdate", sm.* EXCLUDE (lead), mk."Nunrlsbl", ah."N" AS "AhNrev", ah."V" AS "AhRevs", ah.last_rev_date AS "AhLast",
   sp.* EXCLUDE (lead), pl."nPanl", ss.* EXCLUDE (lead), tt.* EXCLUDE (lead), {RANK_SCORE} AS "RecRkMin"
-FROM v_prj p {DIV} LEFT JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000' LEFT JOIN {PRIMARY} LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN sm ON sm.lead = p.lead LEFT JOIN mk ON mk.lead = p.lead
+FROM v_prj p {DIV} JOIN v_pgm g ON g.pgm_ele_code = p.pgm_ele_code JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code JOIN v_rqst nr ON nr.natr_rqst_code = p.natr_rqst_code LEFT JOIN v_org o2 ON o2.org_code = left(p.org_code, 2) || '000000' LEFT JOIN {PRIMARY} LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN sm ON sm.lead = p.lead LEFT JOIN mk ON mk.lead = p.lead
 LEFT JOIN bp ah ON ah.lead = p.lead AND ah.panl_id = '.ad hoc' LEFT JOIN sp ON sp.lead = p.lead LEFT JOIN pl ON pl.lead = p.lead LEFT JOIN ss ON ss.lead = p.lead LEFT JOIN tt ON tt.lead = p.lead WHERE p."ILN" < 'M'""")
 def rpt_project_wide(e):
     return reports.project_wide(e)
@@ -98,11 +99,13 @@ def rpt_project_wide(e):
 
 @query("rpt_coding_check", f"""
 WITH {ASSESSED}, {BY_PANEL}, {SUMMARY}, {CONFLICT_PEOPLE}, {PROJ_PANEL}, {MARKS}, {CODES}, {RA}, {DEMOG}
-SELECT nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.received_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.bas_rsch_pct, p.other_pct, cd."R" AS "propPRCs", i.st_code,
+SELECT p.pgm_annc_id, p.pm_ibm_logn_id AS "PO", p.obj_clas_code, p.cntx_stmt_id, p.pgm_ele_code || ' - ' || g.pgm_ele_name AS "Pgm", ps.prop_stts_abbr, nr.natr_rqst_abbr,
+  CASE WHEN p.org_code <> p.orig_org_code THEN p.orig_org_code END AS "origORG", CASE WHEN p.pgm_ele_code <> p.orig_pgm_ele_code THEN p.orig_pgm_ele_code END AS "origPEC", p.apld_rsch_pct, p.educ_trng_pct, p.mjr_equp_pct, p.land_buld_fix_equp_pct, p.non_invt_pct,
+  nullif(p.dd_rcom_date, TIMESTAMP '1900-01-01') AS dd_rcom_date, p.received_date, p.org_code, p.pgm_ele_code, p.prop_stts_code, p.natr_rqst_code, p.bas_rsch_pct, p.other_pct, cd."R" AS "propPRCs", i.st_code,
   ra."RAupdate", p.lead, p."ILN", o.dir_div_abbr AS "Div", p.prop_id, pi.pi_last_name, pi.pi_frst_name, i.inst_shrt_name AS inst, pl."nPanl", pl."nPSunmrkd", pl."nPSunrls", round(pl.best, 6) AS "RecRkMin", sm."Nrev", sm."allReviews",
   sm.avg_score, sm.last_rev_date, sm."Nunmkd", mk."Nconfl", mk."Nunrlsbl", mk."n_released_unfinished", mk."NpendSlct", mk."n_systems_differ", p.prop_titl_txt, p.rqst_dol AS rqst_tot, dm."NfmlPIs", dm."NhispPIs", dm."NhndcpPIs", dm."NnonWhtAsnPIs",
   pi.pi_emai_addr AS email
-FROM v_prj p {DIV} LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN dm ON dm.prop_id = p.prop_id
+FROM v_prj p {DIV} JOIN v_pgm g ON g.pgm_ele_code = p.pgm_ele_code JOIN v_stts ps ON ps.prop_stts_code = p.prop_stts_code JOIN v_rqst nr ON nr.natr_rqst_code = p.natr_rqst_code LEFT JOIN {PRIMARY} LEFT JOIN v_inst i ON i.inst_id = p.inst_id LEFT JOIN cd ON cd.prop_id = p.prop_id LEFT JOIN ra ON ra.lead = p.lead LEFT JOIN dm ON dm.prop_id = p.prop_id
 LEFT JOIN sm ON sm.lead = p.prop_id LEFT JOIN mk ON mk.lead = p.prop_id LEFT JOIN pl ON pl.lead = p.prop_id""")
 def rpt_coding_check(e):
     return reports.coding_check(e)

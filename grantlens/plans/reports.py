@@ -45,6 +45,16 @@ def glossary(used: DataFrame, code: str, names: DataFrame | None, name: str = "d
     return codes.join(names.toDF("code", name), "code")
 
 
+HEAD_FACTS = ["pgm_annc_id", "PO", "obj_clas_code", "cntx_stmt_id", "Pgm", "prop_stts_abbr", "natr_rqst_abbr", "origORG", "origPEC"]
+
+
+def _with_head_facts(e, rows: DataFrame) -> DataFrame:
+    """Proposals with what the reports show of their own row: officer, announcement, context, object class, names of codes, changed organisation and program."""
+    return (rows.join(e.pgm_ele, "pgm_ele_code").join(e.prop_stts.drop("prop_stts_txt"), "prop_stts_code").join(e.natr_rqst, "natr_rqst_code")
+            .withColumn("Pgm", F.concat_ws(" - ", "pgm_ele_code", "pgm_ele_name")).withColumnRenamed("pm_ibm_logn_id", "PO")
+            .withColumn("origORG", c.only_if_changed("org_code", "orig_org_code")).withColumn("origPEC", c.only_if_changed("pgm_ele_code", "orig_pgm_ele_code")))
+
+
 def project_wide(e) -> DataFrame:
     """The flagship: one wide row per project with its reviews, up to three panels, up to seven
     proposals and totals."""
@@ -61,8 +71,8 @@ def project_wide(e) -> DataFrame:
         "lead", F.col("N").alias("AhNrev"), F.col("V").alias("AhRevs"), F.col("last_rev_date").alias("AhLast"))
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
     directorate = e.org.select(F.col("org_code").alias("_dir"), F.col("dir_div_abbr").alias("Dir"))
-    facts = (selection.one_row_per_project(projects)
-             .select("lead", "received_date", c.real_date("dd_rcom_date").alias("dd_rcom_date"), "org_code", "pgm_ele_code",
+    facts = (_with_head_facts(e, selection.one_row_per_project(projects))
+             .select("lead", *HEAD_FACTS, "rqst_eff_date", "rqst_mnth_cnt", "received_date", c.real_date("dd_rcom_date").alias("dd_rcom_date"), "org_code", "pgm_ele_code",
                      "natr_rqst_code", "prop_stts_code", F.rtrim("prop_titl_txt").alias("prop_titl_txt"), "pi_id",
                      c.directorate_code("org_code").alias("_dir"))
              .join(division, "org_code").join(directorate, "_dir", "left").drop("_dir")
@@ -81,7 +91,7 @@ def coding_check(e) -> DataFrame:
     assessed = sinks.staged(stages.lead_reviews(e, True))
     on_panels = panels.project_panel_summary(panels.said_by_panels(reviews.panels_of(assessed), e.rec))
     division = e.org.select("org_code", F.col("dir_div_abbr").alias("Div"))
-    facts = (_projects(e).withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
+    facts = (_with_head_facts(e, _projects(e)).withColumn("dd_rcom_date", c.real_date("dd_rcom_date"))
              .join(division, "org_code")
              .join(e.pi_primary.select("pi_id", "pi_last_name", "pi_frst_name", "pi_emai_addr"), "pi_id", "left")
              .join(e.inst, "inst_id", "left")
@@ -96,7 +106,7 @@ def coding_check(e) -> DataFrame:
             .join(on_head(reviews.marks(assessed)), "prop_id", "left")
             .join(on_head(on_panels), "prop_id", "left")
             .withColumn("RecRkMin", F.round("RecRkMin", 6))
-            .select("dd_rcom_date", "received_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "bas_rsch_pct",
+            .select(*HEAD_FACTS, *SHARES, "dd_rcom_date", "received_date", "org_code", "pgm_ele_code", "prop_stts_code", "natr_rqst_code", "bas_rsch_pct",
                     "other_pct", F.col("R").alias("propPRCs"), "st_code", "RAupdate", "lead", "ILN", "Div", "prop_id", "pi_last_name",
                     "pi_frst_name", F.col("inst_shrt_name").alias("inst"), "nPanl", "nPSunmrkd", "nPSunrls", "RecRkMin", "Nrev",
                     "allReviews", "avg_score", "last_rev_date", "Nunmkd", "Nconfl", "Nunrlsbl", "n_released_unfinished", "NpendSlct", "n_systems_differ",
