@@ -532,7 +532,7 @@ def portfolio(e, start="1995-01-01", end="1997-01-01", classes="4%") -> DataFram
     date window in some object classes; names are joined to the groups."""
     window = criteria.apply(stages.date_range(e.prop, "dd_rcom_date", start, end), {"obj_clas_code": classes})
     names = e.org.select(F.col("org_code").alias("_dir"), F.col("dir_div_abbr").alias("Dir"))
-    out = stages.portfolio_counts(window).withColumn("_dir", c.directorate_code("Org")).join(names, "_dir").drop("_dir")
+    out = stages.portfolio_counts(window, [F.col("pm_ibm_logn_id").alias("PO"), *stages.PORTFOLIO]).withColumn("_dir", c.directorate_code("Org")).join(names, "_dir").drop("_dir")
     for lookup in (e.natr_rqst, e.obj_clas, e.pgm_ele, e.prop_stts.select("prop_stts_code", "prop_stts_abbr")):
         out = out.join(lookup, lookup.columns[0])
     return out.drop("prop_stts_code")

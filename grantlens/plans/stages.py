@@ -164,8 +164,11 @@ def new_institutions(prop, awd, as_of=AS_OF, months=58, status="P"):
     return pending.join(recent, "inst_id", "left_anti")
 
 
-def portfolio_counts(prop):
-    return prop.groupBy(F.col("pm_ibm_logn_id").alias("PO"), F.substring("org_code", 1, 4).alias("Org"), "pgm_annc_id", "pgm_ele_code", "natr_rqst_code", "obj_clas_code", "prop_stts_code").agg(
+PORTFOLIO = ("pgm_annc_id", "pgm_ele_code", "natr_rqst_code", "obj_clas_code", "prop_stts_code")
+
+
+def portfolio_counts(prop, kinds=("pgm_ele_code", "natr_rqst_code")):
+    return prop.groupBy(F.substring("org_code", 1, 4).alias("Org"), *kinds).agg(
         F.count("prop_id").alias("Nprop"),
         F.sum(F.when(F.col("lead_prop_id") != F.col("prop_id"), 0).otherwise(1)).alias("Nproj"),
         c.money("rqst_dol").alias("SumRqstDol"))

@@ -197,7 +197,8 @@ def test_demographics_multiply_by_rows(spark):
 def test_latest_revision_and_totals(spark):
     data = [(1, 0, 1, 5.0, 1.0, 0.0, 0.0), (1, 2, 1, 7.0, 0.0, 0.0, 2.0), (1, 2, 2, 8.0, 0.0, 1.0, 0.0), (2, 0, 1, 3.0, 1.0, 0.0, 0.0)]
     budg = spark.createDataFrame(data, "prop_id long, revn_num long, budg_seq_yr int, budg_tot_dol double, sub_ctr_dol double, frgn_trav_dol double, part_cnt double")
-    assert rows(budgets.totals(budg)) == [(1, 2, 15.0, None, 1.0, 2.0), (2, 0, 3.0, 1.0, None, None)]
+    lines = {"sub_ctr_dol": "s", "frgn_trav_dol": "f", "part_cnt": "p"}
+    assert rows(budgets.totals(budg, lines)) == [(1, 2, 15.0, None, 1.0, 2.0), (2, 0, 3.0, 1.0, None, None)] and len(budgets.LINES) == 12
     detail = budgets.detail_and_total(budg).collect()
     for p in (1, 2):
         assert sum(r.dol for r in detail if r.prop_id == p and r.budg_seq_yr) == sum(r.dol for r in detail if r.prop_id == p and r.budg_seq_yr is None)
@@ -297,6 +298,24 @@ def test_dates(spark):
     assert tuple(df.select(c.us_date("d"), c.dotted_date("d"), c.real_date("z")).first()) == ("03/07/99", "1999.03.07", None)
 
 
+def test_averages_and_deviations_do_not_depend_on_order(spark):
+    """Whole sums: halves go away from zero on both sides, a single value has no deviation, missing values do not count."""
+    import math
+    import statistics
+
+    groups = {1: [4.992, 3.65, 9.0, None], 2: [-0.5, 0.0], 3: [2.0], 4: [None], 5: [1.0, 2.0, 2.0], 6: [1e5] * 3 + [99_999.0], 7: [-1.0, -2.0, -2.0]}
+    frame = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k int, v double")
+    got = {r["k"]: (r["a"], r["d"]) for r in frame.groupBy("k").agg(c.average("v", 1000).alias("a"), c.deviation("v", 1000).alias("d")).collect()}
+    for k, vs in groups.items():
+        vs = [v for v in vs if v is not None]
+        assert got[k][0] == (pytest.approx(math.fsum(vs) / len(vs), abs=6e-7) if vs else None)
+        assert got[k][1] == (pytest.approx(statistics.stdev(vs), abs=6e-7) if len(vs) > 1 else None)
+    assert got[5][0] == 1.666667 and got[7][0] == -1.666667
+    half = spark.createDataFrame([(0.000001,), (0.0,), (-0.000001,), (-0.000002,)], "v double")
+    assert half.agg(c.average("v", 1_000_000).alias("a")).first()["a"] == -0.000001  # -0.5 of the last place
+    assert half.agg(c.dollars(F.lit(0.5)).alias("a"), c.dollars(F.lit(-0.625)).alias("b")).first() == (2.0, -3.0)
+
+
 # --- patterns by shape, stored places, people and awards, texts once ---------------------------
 
 
