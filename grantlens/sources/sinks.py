@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder for this application below the shared one that spark.checkpoint.dir names.
 
-    Where that is unset it is the warehouse, which a cluster shares as well; never a machine-local temporary folder.
+    Where that is unset it is the warehouse, if a cluster shares it; never a folder of one machine.
     """
     return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
 
@@ -29,7 +29,7 @@ def remove(spark: SparkSession, folder: str) -> None:
 
 
 def _application_folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _in_warehouse(spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
     return f"{base.rstrip('/')}/grantlens/{spark.sparkContext.applicationId}"
 
 
@@ -43,6 +43,12 @@ def state(spark: SparkSession, folder: str) -> tuple[int, int, int] | None:
     return sum(f.getLen() for f in listed), len(listed), max((f.getModificationTime() for f in listed), default=0)
 
 
+def _in_warehouse(warehouse: str, master: str) -> str:
+    if not master.startswith("local") and ("://" not in warehouse or warehouse.startswith("file:")):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir: the warehouse is a folder of one machine")
+    return f"{warehouse}/_work"
+
+
 def save_result(df: DataFrame, path: str) -> dict[str, object]:
     """Write a report; rows are counted by the write itself, not by a second run."""
     seen = Observation()

@@ -1,5 +1,7 @@
 """Shuffle sizes, the caller's session, and the folder for intermediate tables."""
 
+import pytest
+
 from grantlens.catalog import QUERIES
 from grantlens.functions.ordered import step_levels
 from grantlens.session import initial_partitions, isolated
@@ -40,3 +42,13 @@ def test_work_folder_is_shared(spark):
 
 def test_steps_of_running_numbers_grow_with_the_data():
     assert [step_levels(n) for n in (1, 8, 64, 200, 2000, 32_768)] == [8, 8, 8, 10, 13, 14]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from grantlens.sources.sinks import _in_warehouse
+
+    assert _in_warehouse("hdfs://name/warehouse", "yarn") == "hdfs://name/warehouse/_work"
+    assert _in_warehouse("file:/tmp/warehouse", "local[4]") == "file:/tmp/warehouse/_work"
+    for warehouse in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse", "file:///x"):
+        with pytest.raises(RuntimeError):
+            _in_warehouse(warehouse, "spark://host:7077")
