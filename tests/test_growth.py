@@ -4,7 +4,7 @@ import pytest
 
 from grantlens.catalog import QUERIES
 from grantlens.operators import budgets, reviews
-from grantlens.session import expect, isolated
+from grantlens.session import MOST_PARTITIONS, expect, isolated, scan_bytes
 
 
 def optimized(df):
@@ -29,6 +29,16 @@ def test_partitions_grow_with_the_rows_of_the_tables(spark):
     assert asked[0] == int(spark.conf.get("spark.sql.shuffle.partitions")) and asked[1] >= 60 and asked[2] >= 360
 
 
+def test_a_tasks_share_is_the_same_at_any_size(spark):
+    own, mb = isolated(spark), 1 << 20
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m", "adaptive execution merges what was cut"
+    for gb in (1, 6):
+        expect(own, gb << 30)
+        assert (gb << 30) / int(own.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) <= 8 * mb
+        assert int(own.conf.get("spark.sql.files.maxPartitionBytes")) == 8 * mb, "a task groups the rows that it reads"
+    assert scan_bytes(0) == 8 * mb and scan_bytes(16 * mb * MOST_PARTITIONS) == 16 * mb and scan_bytes(1 << 60) == 128 * mb
+
+
 def test_proposals_meet_their_panels_last(spark, folder):
     text = optimized(QUERIES["rpt_props_on_panels"](spark, folder))
     join = next(x for x in text.splitlines() if "Join " in x)
