@@ -5,6 +5,7 @@ import pytest
 from grantlens.catalog import QUERIES
 from grantlens.operators import budgets, reviews
 from grantlens.session import MOST_PARTITIONS, expect, isolated, scan_bytes
+from grantlens.sources.entities import Entities
 
 
 def optimized(df):
@@ -60,6 +61,22 @@ def test_totals_of_the_latest_revision_without_sorting(spark, budget):
     assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_budget_lines_travel_as_they_are_and_once_more_to_their_proposal(spark, tmp_path):
+    """Sums are made behind the shuffles, also for unknown keys and lines that come twice."""
+    lines = [(1, 3, 1, 2.0, 10.0, 0.1, 0.2, "A", "F"), (1, 3, 1, 2.0, 10.0, 0.1, 0.2, "A", "F"), (1, 6, 3, 1.0, 5.0, None, 0.4, "R", "F"), (1, 4, 2, 4.0, 8.0, 0.5, 0.25, "N", "O"),
+             (2, None, 1, 1.0, 7.0, 0.0, 0.0, None, None), (None, 5, None, 3.0, 9.0, 0.1, 0.1, "R", "O")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    budg = Entities(spark, str(tmp_path)).budg
+    assert sorted(((r.prop_id, r.revn_num, r.budg_seq_yr, r.budg_tot_dol, r.sub_ctr_dol, r.cptr_serv_dol, r.part_dol, r.part_cnt, r.sr_pers_cnt, r.sr_summ_mnth_cnt) for r in budg.collect()), key=repr) == sorted([
+        (1, 0, 1, 20.0, 2.0, 0.0, 0.0, 4.0, 2.0, 0.0), (1, 0, 3, 5.0, 0.0, 0.0, 2.0, 1.0, 0.0, 1.0), (1, 1, 2, 8.0, 0.0, 4.0, 0.0, 0.0, 0.0, 0.0),
+        (2, None, 1, 7.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0), (None, 2, None, 9.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)], key=repr)
+    got = budgets.totals(budg)
+    assert {(r.prop_id, r.RN, r["T"], r.cptr_serv_tot) for r in got.collect()} == {(1, 1, 8.0, 4.0), (2, None, 7.0, None), (None, 2, 9.0, None)}
+    plan = budgets.totals(budg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "sum(" not in plan[plan.rindex("Exchange"):]
+
+
 @pytest.mark.parametrize("name", ["prj_totals", "win_slots_props", "rpt_splits"])
 def test_budget_lines_that_nobody_shows_are_not_summed(spark, folder, name):
     assert "l_tax" not in QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
