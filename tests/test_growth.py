@@ -1,9 +1,12 @@
 """What a task holds and what is shuffled grows no faster than the tables."""
 
+import re
+
 import pytest
 
 from grantlens.catalog import QUERIES
 from grantlens.operators import budgets, reviews
+from grantlens.plans import stages
 from grantlens.session import MOST_PARTITIONS, expect, isolated, scan_bytes
 from grantlens.sources.entities import Entities
 
@@ -46,6 +49,27 @@ def test_proposals_meet_their_panels_last(spark, folder):
     assert join.count("lead#") == 2, "rows of proposals and panels are shuffled again"
 
 
+def test_splits_meet_their_proposal_last(spark, folder):
+    text = optimized(QUERIES["rpt_splits"](spark, folder))
+    join = next(x for x in text.splitlines() if "Join " in x)
+    assert "prop_id#" in join and "splt_id#" not in join and "budg_yr#" not in join, "rows of proposals and splits are shuffled again"
+
+
+@pytest.fixture()
+def shuffled(spark):
+    """Shuffles of a frame, by their keys, where no table is small enough to broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield lambda df: [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", df._jdf.queryExecution().executedPlan().toString())]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_codes_are_shuffled_once_to_what_has_them(spark, folder, shuffled):
+    e = Entities(spark, folder)
+    assert [x for x in shuffled(stages.codes_space(e.atr)) if "partkey" not in x] == ["prop_id"]
+    assert [x for x in shuffled(stages.split_codes(e.splt_code)) if "partkey" not in x] == ["prop_id, budg_yr, splt_id"]
+
+
 BUDGET = "prop_id long, revn_num long, budg_seq_yr int, budg_tot_dol double, " + ", ".join(f"{x} double" for x in budgets.LINES)
 
 
