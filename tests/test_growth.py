@@ -70,6 +70,55 @@ def test_codes_are_shuffled_once_to_what_has_them(spark, folder, shuffled):
     assert [x for x in shuffled(stages.split_codes(e.splt_code)) if "partkey" not in x] == ["prop_id, budg_yr, splt_id"]
 
 
+def test_reviews_are_shuffled_once_to_their_proposal(spark, folder, shuffled):
+    keys = shuffled(Entities(spark, folder).rev)
+    assert keys.count("l_orderkey") == 1 and not any("l_suppkey" in x or x == "prop_id" for x in keys)
+
+
+def carrying(df, column):
+    """Keys of the shuffles that carry a column."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    pairs = [(re.search(r"Exchange hashpartitioning\((.*?), \d+\)", a), b) for a, b in zip(lines, lines[1:])]
+    return [re.sub(r"#\d+L?", "", found.group(1)) for found, below in pairs if found and column in below]
+
+
+@pytest.mark.parametrize("name", ["rpt_coding_check"])
+def test_rows_of_proposals_are_shuffled_once_and_without_names_of_codes(spark, folder, shuffled, name):
+    old = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "500")
+    try:
+        report = QUERIES[name](spark, folder)
+        assert len(carrying(report, "prop_titl_txt")) == 1 and not carrying(report, "natr_rqst_abbr")
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", old)
+
+
+def test_reviews_wait_at_their_project_for_the_credits(spark, folder, shuffled):
+    (key, value), = stages.AT_ITS_PROJECT.items()
+    before = spark.conf.get(key)
+    assert "string" in stages.credited_reviews(Entities(spark, folder)).columns and spark.conf.get(key) == before, "for the write alone"
+    spark.conf.set(key, value)
+    try:
+        assert "lead, revr_id" not in shuffled(stages.lead_reviews(Entities(spark, folder), True))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_only_panels_of_heads_are_staged(spark, folder):
+    e = Entities(spark, folder)
+    whole = e.panl_prop
+    own, heads = stages.with_head_panels(e), {r.prop_id for r in stages.heads(e).collect()}
+    assert e.panl_prop is whole and own.rec.columns == e.rec.columns
+    assert sorted(map(tuple, own.panl_prop.collect())) == sorted(tuple(r) for r in whole.collect() if r.prop_id in heads)
+
+
+def test_summary_of_single_reviews(spark):
+    rows = [(1, 5, 0, 1, 2.0, "G", None), (1, 6, 0, 0, 4.5, "E", None), (1, None, 0, 0, None, None, None), (1, 7, 1, 1, 1.0, "P", None), (None, 5, 0, 0, 3.0, "V", None)]
+    df = spark.createDataFrame(rows, "lead long, revr_id long, confl int, unmkd int, score double, string string, rev_rtrn_date timestamp_ntz")
+    assert sorted(reviews.summary(df, once=True).collect(), key=repr) == sorted(reviews.summary(df).collect(), key=repr)
+    assert "distinct" not in optimized(reviews.summary(df, once=True))
+
+
 BUDGET = "prop_id long, revn_num long, budg_seq_yr int, budg_tot_dol double, " + ", ".join(f"{x} double" for x in budgets.LINES)
 
 
