@@ -82,7 +82,7 @@ def carrying(df, column):
     return [re.sub(r"#\d+L?", "", found.group(1)) for found, below in pairs if found and column in below]
 
 
-@pytest.mark.parametrize("name", ["rpt_coding_check"])
+@pytest.mark.parametrize("name", ["rpt_coding_check", "rpt_project_wide"])
 def test_rows_of_proposals_are_shuffled_once_and_without_names_of_codes(spark, folder, shuffled, name):
     old = spark.conf.get("spark.sql.debug.maxToStringFields")
     spark.conf.set("spark.sql.debug.maxToStringFields", "500")
