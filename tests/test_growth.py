@@ -82,13 +82,13 @@ def carrying(df, column):
     return [re.sub(r"#\d+L?", "", found.group(1)) for found, below in pairs if found and column in below]
 
 
-@pytest.mark.parametrize("name", ["rpt_coding_check", "rpt_project_wide"])
-def test_rows_of_proposals_are_shuffled_once_and_without_names_of_codes(spark, folder, shuffled, name):
+@pytest.mark.parametrize(("name", "times"), [("rpt_coding_check", 1), ("rpt_project_wide", 1), ("rpt_props_on_panels", 2)])
+def test_rows_of_proposals_are_shuffled_seldom_and_without_names_of_codes(spark, folder, shuffled, name, times):
     old = spark.conf.get("spark.sql.debug.maxToStringFields")
     spark.conf.set("spark.sql.debug.maxToStringFields", "500")
     try:
         report = QUERIES[name](spark, folder)
-        assert len(carrying(report, "prop_titl_txt")) == 1 and not carrying(report, "natr_rqst_abbr")
+        assert len(carrying(report, "prop_titl_txt")) == times and not carrying(report, "natr_rqst_abbr")
     finally:
         spark.conf.set("spark.sql.debug.maxToStringFields", old)
 
