@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from grantlens.catalog import QUERIES
 from grantlens.operators import budgets, reviews
@@ -150,6 +151,15 @@ def test_budget_lines_travel_as_they_are_and_once_more_to_their_proposal(spark,
     assert plan.count("Exchange hashpartitioning") == 2 and "sum(" not in plan[plan.rindex("Exchange"):]
 
 
+def test_budget_lines_travel_once_for_sums_by_proposal(spark, folder, shuffled):
+    e = Entities(spark, folder)
+    got, plan = stages.budget_totals(e), stages.budget_totals(e)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "sum(" not in plan[plan.rindex("Exchange"):]
+    was = budgets.totals(e.budg, {}).withColumn("T", F.round("T", 2))
+    assert got.columns == was.columns and sorted(got.collect(), key=repr) == sorted(was.collect(), key=repr)
+    assert "l_tax" not in plan
+
+
 @pytest.mark.parametrize("name", ["prj_totals", "win_slots_props", "rpt_splits"])
 def test_budget_lines_that_nobody_shows_are_not_summed(spark, folder, name):
     assert "l_tax" not in QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
