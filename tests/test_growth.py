@@ -113,6 +113,15 @@ def test_only_panels_of_heads_are_staged(spark, folder):
     assert sorted(map(tuple, own.panl_prop.collect())) == sorted(tuple(r) for r in whole.collect() if r.prop_id in heads)
 
 
+def test_copies_of_entities_expect_what_all_have_opened(spark, folder, monkeypatch):
+    seen = []
+    monkeypatch.setattr("grantlens.sources.entities.expect", lambda spark, size: seen.append(size))
+    e = Entities(spark, folder, sized=True)
+    own = stages.with_head_panels(e)
+    own.revr  # opens a further table
+    assert len(seen) >= 4 and seen == sorted(seen)
+
+
 def test_summary_of_single_reviews(spark):
     rows = [(1, 5, 0, 1, 2.0, "G", None), (1, 6, 0, 0, 4.5, "E", None), (1, None, 0, 0, None, None, None), (1, 7, 1, 1, 1.0, "P", None), (None, 5, 0, 0, 3.0, "V", None)]
     df = spark.createDataFrame(rows, "lead long, revr_id long, confl int, unmkd int, score double, string string, rev_rtrn_date timestamp_ntz")
